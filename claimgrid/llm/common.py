@@ -55,6 +55,15 @@ def small_side(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
 
 
+def packed(df: DataFrame, **columns) -> DataFrame:
+    """All columns of df in one struct ``row``, beside working columns whose names then clash with none."""
+    return df.select(F.struct(*(F.col(f"`{c}`") for c in df.columns)).alias("row"), *(c.alias(n) for n, c in columns.items()))
+
+
+def unpacked(df: DataFrame, names: list[str]) -> DataFrame:
+    return df.select(*(F.col(f"row.`{c}`").alias(c) for c in names))
+
+
 def connected_components(edges: DataFrame) -> DataFrame:
     """(node, root) for every node of edges (a, b), root being the least node reachable.
 

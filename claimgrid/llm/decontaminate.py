@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import small_side
+from .common import packed, small_side, unpacked, written
 
 #: Places that count (1) and places that are ignored (0).
 MASKS = ("111010011", "110100111", "101101101")
@@ -71,6 +71,6 @@ def decontaminate(docs: DataFrame, items: DataFrame, **how) -> DataFrame:
 
     Rows are told apart by the text's hash and length, for equal texts leak alike.
     """
-    key = {"_h": F.xxhash64("text"), "_n": F.coalesce(F.length("text"), F.lit(-1))}
-    found = leaks(docs.withColumns(key), items, keep=("_h", "_n"), **how).select("_h", "_n").distinct()
-    return docs.withColumns(key).join(small_side(found.checkpoint()), ["_h", "_n"], "left_anti").select(*docs.columns)
+    keyed = packed(docs, text=F.col("text"), _h=F.xxhash64("text"), _n=F.coalesce(F.length("text"), F.lit(-1)))
+    found = written(leaks(keyed, items, keep=("_h", "_n"), **how).select("_h", "_n").distinct(), "leaks")
+    return unpacked(keyed.join(small_side(found), ["_h", "_n"], "left_anti"), docs.columns)

@@ -21,10 +21,13 @@ import heapq
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .common import packed
+
 SEED, PASSES, WEIGHTS = 20, 3, (1, 2, 3)
 MAX_PATTERNS = 200_000
 #: Hash bins of a pattern.
 BINS = 4096
+ADDED = ("_size", "_source_size", "_target", "_copies")
 
 
 def targets(sizes: dict, weights: dict, most: float = PASSES) -> dict:
@@ -106,21 +109,20 @@ def bounded(df: DataFrame, what: str) -> list:
 
 
 def mix(docs: DataFrame, size: Column, members: Column | None = None, weights: tuple[float, ...] = WEIGHTS, passes: int = PASSES, seed: int = SEED) -> DataFrame:
-    """All rows and columns of docs, with ``_size``, ``_source_size``, ``_target``, ``_copies``.
+    """All rows and columns of docs, with ``_size``, ``_source_size``, ``_target``, ``_copies`` (columns so named are replaced).
 
     size: words of a row. members: array of the sources it belongs to (default: of ``source`` alone). _source_size and
     _target are of its first source; _copies is how often the mix takes it.
     """
     spark = docs.sparkSession
     members = F.array("source") if members is None else F.array_sort(F.array_distinct(members))
-    tie = F.xxhash64(*(F.col(c).cast("string") for c in ("doc_id", "text"))) if "text" in docs.columns else F.lit(0).cast("long")
-    rows = docs.withColumns({"_size": size.cast("long"), "_members": members})
-    rows = rows.withColumns({"_u": F.xxhash64(F.lit(seed), "doc_id", "_size"), "_tie": tie})
+    tie = F.xxhash64(*(F.col(f"`{c}`").cast("string") for c in docs.columns if c in ("doc_id", "text")))
+    rows = packed(docs, _size=size.cast("long"), _members=members, _u=F.xxhash64(F.lit(seed), "doc_id", size.cast("long")), _tie=tie)
     rows = rows.withColumn("_bin", F.shiftrightunsigned("_u", 64 - BINS.bit_length() + 1).cast("int"))
     binned = rows.groupBy("_members", "_bin").agg(F.sum("_size").alias("words"))
     patterns = {tuple(r["_members"]): r["words"] for r in bounded(binned.groupBy("_members").agg(F.sum("words").alias("words")), "patterns")}
     if not patterns:
-        return rows.select(*docs.columns, "_size", F.lit(0).cast("long").alias("_source_size"), F.lit(0.0).alias("_target"), F.lit(0).alias("_copies"))
+        return _shown(rows.withColumns({"_source_size": F.lit(0).cast("long"), "_target": F.lit(0.0), "_copies": F.lit(0)}), docs)
     sizes: dict = {}
     for p, n in patterns.items():
         for s in p:
@@ -150,7 +152,11 @@ def mix(docs: DataFrame, size: Column, members: Column | None = None, weights: t
     at_cut = at_cut.withColumn("_more", F.col("_sum") + F.col("_size") / 2 <= F.col("_part"))
     rest = rows.where("_cut is null or _bin <> _cut").withColumns({"_sum": F.lit(None).cast("long"), "_more": F.coalesce(F.col("_bin") < F.col("_cut"), F.col("_part") > 0)})
     both = rest.unionByName(at_cut)
-    return both.select(*docs.columns, "_size", "_source_size", "_target", (F.col("_whole") + F.col("_more").cast("int")).alias("_copies"))
+    return _shown(both.withColumn("_copies", F.col("_whole") + F.col("_more").cast("int")), docs)
+
+
+def _shown(rows: DataFrame, docs: DataFrame) -> DataFrame:
+    return rows.select(*(F.col(f"row.`{c}`").alias(c) for c in docs.columns if c not in ADDED), *ADDED)
 
 
 def words_of(text: str = "text") -> Column:
@@ -161,4 +167,4 @@ def words_of(text: str = "text") -> Column:
 
 def expand(mixed: DataFrame, columns: list[str]) -> DataFrame:
     """Each row as often as the mix takes it."""
-    return mixed.where("_copies > 0").withColumn("_i", F.explode(F.sequence(F.lit(1), F.col("_copies")))).select(*columns)
+    return mixed.where("_copies > 0").select(*(F.col(f"`{c}`") for c in columns), F.explode(F.sequence(F.lit(1), F.col("_copies")))).select(*(F.col(f"`{c}`") for c in columns))

@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import connected_components, small_side, split_words, written
+from .common import connected_components, packed, small_side, split_words, unpacked, written
 
 SHINGLE, RADIUS, SEED = 3, 3, 42
 #: Most rows of a block value that one task compares; larger ones are cut into tiles.
@@ -214,16 +214,15 @@ def one_of_each(docs: DataFrame, radius: int = RADIUS, shingle: int = SHINGLE) -
     Every row has a place: rows are told apart by doc_id and text, and of wholly equal rows one stays. Rows with a
     null doc_id come after the others of their component.
     """
-    key = F.xxhash64("text")
-    rows = written(fingerprints(docs.withColumn("_h", key), shingle, keep=("doc_id", "_h")), "simhash-fps")
+    mine = packed(docs, doc_id=F.col("doc_id"), text=F.col("text"), _h=F.xxhash64("text"))
+    rows = written(fingerprints(mine, shingle, keep=("doc_id", "_h")), "simhash-fps")
     nodes = written(rows.groupBy("fp").count(), "simhash-nodes")
     roots = connected_components(links(nodes, radius))
     order = F.struct(F.col("doc_id").isNull().alias("n"), "doc_id", "_h")
     best = rows.groupBy("fp").agg(F.min(order).alias("best"))
     best = best.join(roots, best.fp == roots.node, "left").groupBy(F.coalesce("root", "fp").alias("root")).agg(F.min("best").alias("best"))
     kept = small_side(written(best.select(F.col("best.doc_id").alias("_d"), F.col("best._h").alias("_k")), "simhash-kept"))
-    left = docs.withColumn("_h", key)
-    # _h is null-free; doc_id may be null
-    stay = left.join(kept, left["doc_id"].eqNullSafe(kept["_d"]) & (left["_h"] == kept["_k"]), "left_semi")
+    stay = mine.join(kept, mine["doc_id"].eqNullSafe(kept["_d"]) & (mine["_h"] == kept["_k"]), "left_semi")
+    # Of wholly equal rows one stays; they are few, for one document of a component is left of each.
     first = Window.partitionBy("doc_id", "_h").orderBy(F.lit(1))
-    return stay.withColumn("_n", F.row_number().over(first)).where("_n = 1").drop("_n", "_h").select(*docs.columns)
+    return unpacked(stay.withColumn("_n", F.row_number().over(first)).where("_n = 1"), docs.columns)

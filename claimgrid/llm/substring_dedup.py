@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import split_words, small_side, written
+from .common import packed, small_side, split_words, written
 
 WINDOW = 50
 _U = np.uint64
@@ -237,7 +237,7 @@ def digests(docs: DataFrame, window: int = WINDOW) -> DataFrame:
 def dedup(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     """docs with repeated passages cut out of ``text``; texts without any stay as they are."""
     _, lost = cleaned(docs, window)
-    lost = lost.select(F.col("doc_id").alias("_d"), F.col("mark").alias("_m"), "kept")
-    mark = F.crc32(F.coalesce(F.col("text"), F.lit("")).cast("binary"))
-    out = docs.join(lost, (docs["doc_id"] == F.col("_d")) & (mark == F.col("_m")), "left")
-    return out.withColumn("text", F.coalesce("kept", "text")).select(*docs.columns)
+    mine = packed(docs, doc_id=F.col("doc_id").cast("long"), mark=F.crc32(F.coalesce(F.col("text"), F.lit("")).cast("binary")))
+    out = mine.join(lost.select("doc_id", "mark", "kept"), ["doc_id", "mark"], "left")
+    column = lambda c: F.coalesce("kept", "row.text").alias(c) if c == "text" else F.col(f"row.`{c}`").alias(c)
+    return out.select(*(column(c) for c in docs.columns))

@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import written
+from .common import packed, unpacked, written
 
 #: Most labelled rows that are trained on, the shards they are dealt to, and passes over them.
 MAX_TRAIN, SHARDS, PASSES = 12_000, 4, 4
@@ -165,4 +165,5 @@ def classify(docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN) ->
 
 def clean(docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN) -> DataFrame:
     """docs without the texts that score 0.5 or more."""
-    return scored(docs, fit(docs, labels, max_train)).where("_score < 0.5").drop("_score")
+    mine = packed(docs, text=F.col("text"))
+    return unpacked(scored(mine, fit(docs, labels, max_train)).where("_score < 0.5"), docs.columns)
