@@ -62,4 +62,35 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (op1_decontaminate, op2_quality_rules, op3_mix_sources, op4_secret_scan, op5_toxicity, op6_token_output, op7_simhash, op8_sharding, op9_pseudonyms, op10_substring_dedup)}
-ORACLE_SQL: dict[str, str] = {}
+
+
+def _leak_sql() -> str:
+    """The same seeds, as joined words instead of hashes, and the same verification."""
+    words = "list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[^\\p{L}\\p{N}]+'), lambda w: w <> '')"
+    span = decontaminate.SPAN
+
+    def seeds(side: str, key: str) -> str:
+        place = f"SELECT {key}, h, unnest(range(len(h) - {span - 1})) AS p FROM {side} WHERE len(h) >= {span}"
+        one = lambda m, mask: f"SELECT {key}, p, concat_ws(' ', {m}, " + ", ".join(f"h[p + {i + 1}]" for i, c in enumerate(mask) if c == "1") + f") AS seed FROM ({place})"
+        return " UNION ALL ".join(one(m, mask) for m, mask in enumerate(decontaminate.MASKS))
+
+    verify, agree = decontaminate.VERIFY, decontaminate.AGREE
+    return f"""WITH d AS (SELECT doc_id, {words} AS h FROM documents), b AS (SELECT DISTINCT item_id, {words} AS h FROM benchmark),
+ hit AS (SELECT DISTINCT x.doc_id, y.item_id, x.p - y.p AS diagonal FROM ({seeds("d", "doc_id")}) x JOIN ({seeds("b", "item_id")}) y USING (seed)),
+ beside AS (SELECT hit.*, greatest(-diagonal, 0) AS f, d.h AS dh, b.h AS bh FROM hit JOIN d USING (doc_id) JOIN b USING (item_id)),
+ same AS (SELECT doc_id, item_id, diagonal, least({verify}, len(bh)) AS wide, list_transform(range(f, least(len(bh), len(dh) - diagonal)), lambda j: (dh[diagonal + j + 1] = bh[j + 1])::INT) AS s FROM beside),
+ best AS (SELECT doc_id, item_id, diagonal, wide, list_max(list_transform(range(1, len(s) - wide + 2), lambda p: list_sum(s[p : p + wide - 1]))) AS agreeing FROM same)
+ SELECT doc_id, item_id, max(agreeing)::BIGINT AS agreeing, arg_max(diagonal, (agreeing, -diagonal))::BIGINT AS doc_place FROM best WHERE agreeing >= ceil(wide * {agree}) GROUP BY doc_id, item_id"""
+
+
+def _substring_sql(window: int = substring_dedup.WINDOW) -> str:
+    return f"""WITH w AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS ws FROM documents),
+ windows AS (SELECT doc_id, p, md5(array_to_string(ws[p : p + {window - 1}], ' ')) AS g FROM (SELECT doc_id, ws, unnest(range(1, len(ws) - {window - 2})) AS p FROM w WHERE len(ws) >= {window})),
+ earliest AS (SELECT g, min(doc_id) AS first FROM windows GROUP BY g),
+ gone AS (SELECT DISTINCT doc_id, unnest(range(p, p + {window})) AS i FROM windows JOIN earliest USING (g) WHERE first < doc_id),
+ each AS (SELECT doc_id, unnest(ws) AS word, unnest(range(1, len(ws) + 1)) AS i FROM w),
+ kept AS (SELECT doc_id, string_agg(word, ' ' ORDER BY i) AS text, count(*) AS n FROM each ANTI JOIN gone USING (doc_id, i) GROUP BY doc_id)
+ SELECT w.doc_id, len(ws)::BIGINT AS n_words, (len(ws) - coalesce(n, 0))::BIGINT AS n_removed, sha256(coalesce(text, '')) AS kept_sha256 FROM w LEFT JOIN kept USING (doc_id)"""
+
+
+ORACLE_SQL: dict[str, str] = {"op1_decontaminate": _leak_sql(), "op10_substring_dedup": _substring_sql()}
