@@ -16,8 +16,8 @@ def delimited(spark: SparkSession, path: str, columns: list[str] | None = None,
         df = spark.read.csv(path, sep=sep, header=True, encoding=encoding, quote='"', escape='"')
         df = df.toDF(*(c.lstrip("﻿") for c in df.columns))
     else:
-        lines = spark.read.option("wholetext", True).text(path).select(F.explode(F.slice(F.split("value", r"\r?\n"), skip + 1, 2**31 - 1)).alias("line")).where("line <> ''")
-        header = names or [c.strip('"').lstrip("﻿") for c in lines.first()[0].split(sep)]
+        lines = spark.read.option("wholetext", True).text(path).select(F.posexplode(F.split("value", r"\r?\n")).alias("pos", "line")).where((F.col("pos") >= skip) & (F.col("line") != ""))
+        header = names or [c.strip('"').lstrip("﻿") for c in lines.orderBy("pos").first()["line"].split(sep)]
         parsed = lines.select(F.from_csv("line", _ddl(header), {"sep": sep, "quote": '"', "escape": '"'}).alias("r")).select("r.*")
         df = parsed if names else parsed.where(~_is_header(header))
     if columns:
