@@ -16,7 +16,7 @@ def delimited(spark: SparkSession, path: str, columns: list[str] | None = None,
         df = spark.read.csv(path, sep=sep, header=True, encoding=encoding, quote='"', escape='"')
         df = df.toDF(*(c.lstrip("﻿") for c in df.columns))
     else:
-        lines = spark.read.option("wholetext", True).text(path).select(F.posexplode(F.split("value", r"\r?\n")).alias("pos", "line")).where((F.col("pos") >= skip) & (F.col("line") != ""))
+        lines = spark.read.text(path, wholetext=True).select(F.posexplode(F.split("value", r"\r?\n")).alias("pos", "line")).where((F.col("pos") >= skip) & (F.col("line") != ""))
         header = names or [c.strip('"').lstrip("﻿") for c in lines.orderBy("pos").first()["line"].split(sep)]
         parsed = lines.select(F.from_csv("line", _ddl(header), {"sep": sep, "quote": '"', "escape": '"'}).alias("r")).select("r.*")
         df = parsed if names else parsed.where(~_is_header(header))
@@ -40,7 +40,7 @@ def json_array(spark: SparkSession, path: str, schema: str) -> DataFrame:
 
 def json_map(spark: SparkSession, path: str, value: str, names: tuple[str, str] = ("key", "value")) -> DataFrame:
     """A file that holds one JSON object, as rows of key and value; value: the type of its values."""
-    whole = spark.read.option("wholetext", True).text(path)
+    whole = spark.read.text(path, wholetext=True)
     return whole.select(F.explode(F.from_json("value", f"map<string,{value}>")).alias(*names))
 
 

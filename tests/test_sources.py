@@ -96,7 +96,7 @@ def test_bgee(spark, ctx):
 
 
 def test_cello(spark, ctx, tmp_path):
-    (tmp_path / "c.json").write_text(json.dumps({"GSM1": ["CL:1", "CL:404"], "GSM2": [], "GSM3": ["UBERON:1"]}))
+    (tmp_path / "c.json").write_text(json.dumps({"GSM1": ["CL:1", "CL:404"], "GSM2": [], "GSM3": ["UBERON:1"]}, indent=1))
     raw = readers.json_map(spark, str(tmp_path / "c.json"), "array<string>")
     assert run("Cello", ctx, raw=raw) == [("GSM1", "tissue", "CL:1", "lung cell")]
 
