@@ -8,7 +8,8 @@ File names carry the attempt; only files named in the manifest, which finished t
 repeated or lost tasks do no harm.
 
 Words between ASCII white space are encoded by the tokenizers library and remembered by each task: the tokenizer drops white
-space and none of its rules reach across it, so a text's ids are those of its words in turn.
+space and none of its rules reach across it, so a text's ids are those of its words in turn. It lower-cases too, so words
+are remembered in lower case.
 
 Defined cases: a null text is empty and yields the end id alone; equal doc_ids are ordered by text hash; a null doc_id comes
 first; an empty table gives no rows; other columns are not looked at.
@@ -30,8 +31,8 @@ from pyspark.sql import functions as F
 from .common import shared_path, split_words
 
 END_ID, LENGTH, ROWS = 2, 1024, 256
-#: Words whose ids a task remembers.
-REMEMBER = 400_000
+#: Words whose ids a task remembers, and words of texts it looks at together.
+REMEMBER, WORDS_AT_ONCE = 600_000, 200_000
 
 
 class Encoder:
@@ -47,25 +48,70 @@ class Encoder:
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
         self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size(with_added_tokens=True) <= 1 << 16 else "<u4")
+        self.batch = getattr(self.tokenizer, "encode_batch_fast", self.tokenizer.encode_batch)
+        vocab = self.tokenizer.get_vocab(with_added_tokens=True)
+        self.closes = np.zeros(max(vocab.values()) + 1, bool)
+        self.closes[[i for t, i in vocab.items() if t.endswith("</w>")]] = True
         self.known: dict[bytes, bytes] = {}
 
+    def _ids(self, texts: list[str]) -> list[list[int]]:
+        return [e.ids for e in self.batch(texts, add_special_tokens=False)]
+
     def learn(self, words: list[bytes]) -> None:
-        if len(self.known) > REMEMBER:
-            self.known.clear()
-        new = list(dict.fromkeys(w for w in words if w not in self.known))
-        batch = getattr(self.tokenizer, "encode_batch_fast", self.tokenizer.encode_batch)
-        for i in range(0, len(new), 4096):
-            some = new[i : i + 4096]
-            for w, e in zip(some, batch([w.decode() for w in some], add_special_tokens=False), strict=True):
-                self.known[w] = np.array(e.ids, self.dtype).tobytes()
-
-    def __call__(self, raw: bytes | None) -> bytes:
-        words = split_words(raw)
-        try:
-            return b"".join([self.known[w] for w in words])
-        except KeyError:
-            self.learn(words)
-            return b"".join([self.known[w] for w in words])
+        """Words of letters are encoded many at a time: each ends with the one token that closes a word. Of other words a
+        final comma or full stop after a letter is a token run of its own."""
+        known, kind = self.known, self.dtype
+        stems, tails = [], []
+        for w in words:
+            if w[-1] in b",." and w[-2:-1].isalpha():
+                tails.append(w)
+                if w[:-1] not in known:
+                    stems.append(w[:-1])
+        new = [w for w in dict.fromkeys([*words, *stems, b",", b"."]) if w not in known]
+        if tails:
+            ended = set(tails)
+            new = [w for w in new if w not in ended]
+        plain, other = [], []
+        for w, text in zip(new, b"\n".join(new).decode().split("\n"), strict=True):
+            (plain if text.isalpha() else other).append(w)
+        for i in range(0, len(plain), 4000):
+            some = plain[i : i + 4000]
+            ids = np.array(self._ids([b" ".join(some).decode()])[0], kind)
+            ends = np.flatnonzero(self.closes[ids]) + 1
+            if len(ends) == len(some):  # a word of letters closes at least once, so here each does so once
+                flat, cuts = ids.tobytes(), (ends * kind.itemsize).tolist()
+                known.update(zip(some, map(flat.__getitem__, map(slice, [0, *cuts[:-1]], cuts)), strict=True))
+            else:
+                other += some
+        for i in range(0, len(other), 4096):
+            some = other[i : i + 4096]
+            for w, ids in zip(some, self._ids([w.decode() for w in some]), strict=True):
+                known[w] = np.array(ids, kind).tobytes()
+        for w in tails:
+            known[w] = known[w[:-1]] + known[w[-1:]]
+
+    def many(self, raws: list[bytes | None]) -> Iterator[bytes]:
+        """ids of each text, learning new words of many texts at once."""
+        split, n = [], 0
+        for raw in raws:
+            # Capitals and small letters have the same ids, but for the tokenizer's special strings.
+            split.append(split_words(raw if raw is None or b"<|" in raw else raw.lower()))
+            n += len(split[-1])
+            if n > WORDS_AT_ONCE:
+                yield from self._some(split)
+                split, n = [], 0
+        yield from self._some(split)
+
+    def _some(self, split: list[list[bytes]]) -> Iterator[bytes]:
+        known, every = self.known, set().union(*split)
+        new = [w for w in every if w not in known]
+        if len(known) + len(new) > REMEMBER:
+            known.clear()
+            new = list(every)
+        if new:
+            self.learn(new)
+        for words in split:
+            yield b"".join([known[w] for w in words])
 
 
 def _schema(dtype: np.dtype, length: int) -> pa.Schema:
@@ -94,8 +140,7 @@ def write(docs: DataFrame, out: str, tokenizer: str, end_id: int = END_ID, lengt
         with fs.open_output_stream(f"{base}/{name}.arrow") as sink, fs.open_output_stream(f"{base}/{name}.index.arrow") as index_sink, pa.ipc.new_file(sink, schema) as writer, pa.ipc.new_file(index_sink, INDEX) as index:
             for b in batches:
                 sizes = []
-                for raw in b.column(1).to_pylist():
-                    ids = encoder(raw)
+                for ids in encoder.many(b.column(1).to_pylist()):
                     held += ids
                     held += end
                     sizes.append(len(ids) // encoder.dtype.itemsize + 1)
