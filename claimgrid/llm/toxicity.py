@@ -2,9 +2,9 @@
 
 A text's features are the distinct 32-bit hashes of its lower-cased words, of pairs of neighbours and of pairs that skip one
 word. Each coordinate has its own rate, and L1 keeps the weights sparse: what is trained fits a small broadcast array of
-(hash, weight). Training takes at most ``max_train`` labelled rows, the ones with the least hash of doc_id; they are dealt to
-a fixed number of shards which are trained in parallel, and the shards' weights are averaged. Rows of the held-out part are
-never looked at. Labels, language, source and doc_id aren't inputs of a score.
+(hash, weight). Training takes at most ``max_train`` labelled rows, the ones with the least hash of doc_id, so its one task is
+bounded at every size; features are made in parallel before. Rows of the held-out part are never looked at. Labels,
+language, source and doc_id aren't inputs of a score.
 
 Defined cases: an empty or null text scores the intercept alone; a doc_id with several labels counts as toxic if one is 1,
 null labels are left out; without any labelled row every score is 0.5; repeated rows score alike; a null doc_id is scored
@@ -25,9 +25,9 @@ from pyspark.sql import functions as F
 
 from .common import packed, unpacked, written
 
-#: Most labelled rows that are trained on, the shards they are dealt to, and passes over them.
-MAX_TRAIN, SHARDS, PASSES = 12_000, 4, 4
-ALPHA, BETA, L1, L2 = 0.3, 1.0, 1.0, 0.1
+#: Most labelled rows that are trained on (in one task, in sequence), and passes over them.
+MAX_TRAIN, PASSES = 12_000, 6
+ALPHA, BETA, L1, L2 = 3.0, 1.0, 4.0, 0.0
 FOLDS = 5
 _WORD = re.compile(r"\w+")
 REMEMBER = 500_000
@@ -129,20 +129,16 @@ def fit(docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN) -> Model
             found = [np.unique(make(t)).view(np.int32) for t in b.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(2), pa.array(found, pa.list_(pa.int32()))], names=["doc_id", "toxic", "f"])
 
-    def one_shard(pdf: pd.DataFrame) -> pd.DataFrame:
+    def train_all(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.drop_duplicates("doc_id").sort_values("doc_id")  # a document counts once
-        hashes, weights, intercept = train([np.asarray(f, np.int32).view(np.uint32) for f in pdf["f"]], pdf["toxic"].to_numpy(float), int(pdf["shard"].iloc[0]))
+        hashes, weights, intercept = train([np.asarray(f, np.int32).view(np.uint32) for f in pdf["f"]], pdf["toxic"].to_numpy(float))
         return pd.DataFrame({"hash": np.r_[hashes.astype(np.int64), -1], "weight": np.r_[weights, intercept]})
 
     rows = rows.select("doc_id", "text", F.col("toxic").cast("int").alias("toxic"))
-    made = rows.mapInArrow(features, "doc_id long, toxic int, f array<int>").withColumn("shard", F.pmod(F.xxhash64("doc_id", F.lit(1)), F.lit(SHARDS)).cast("int"))
-    trained = made.groupBy("shard").applyInPandas(one_shard, "hash long, weight double").withColumn("one", (F.col("hash") == -1).cast("int"))
-    trained = trained.groupBy("hash").agg(F.sum("weight").alias("weight"), F.sum("one").alias("n")).toPandas()  # at most the features of max_train rows
-    if not len(trained):
-        return Model(np.empty(0, np.uint32), np.empty(0), 0.0)
-    shards, own = int(trained["n"].max()), trained["hash"].to_numpy() >= 0
-    mean = trained["weight"].to_numpy() / shards
-    return Model(trained["hash"].to_numpy()[own].astype(np.uint32), mean[own], float(mean[~own].sum()))
+    made = rows.mapInArrow(features, "doc_id long, toxic int, f array<int>")
+    trained = made.groupBy(F.lit(0).alias("all")).applyInPandas(train_all, "hash long, weight double").toPandas()  # sparse weights
+    own = trained["hash"].to_numpy() >= 0
+    return Model(trained["hash"].to_numpy()[own].astype(np.uint32), trained["weight"].to_numpy(float)[own], float(trained["weight"][~own].sum()))
 
 
 def scored(docs: DataFrame, model: Model) -> DataFrame:
