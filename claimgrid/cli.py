@@ -1,12 +1,19 @@
-"""Command line: python -m claimgrid.cli search|retrieve|supported|validate|sources|status"""
+"""Command line: python -m claimgrid.cli
+
+Users: setup, search, retrieve, supported, validate, delete. Builders: process, build, metadata, package, sources, status,
+init-config, validate-config.
+"""
 
 from __future__ import annotations
 
 import argparse
+import json
+import os
+import shutil
 import sys
 
 from claimgrid import schema, sinks
-from claimgrid.plans.pipeline import Checkpoints, next_folder
+from claimgrid.plans.pipeline import Checkpoints, environment, merged_config, next_folder
 from claimgrid.plans.retrieval import Database, Request, export, parse_filters, parse_terms, retrieve
 
 
@@ -38,9 +45,91 @@ def parser() -> argparse.ArgumentParser:
     t = sub.add_parser("status", help="stages of a build that are done")
     t.add_argument("checkpoint")
     t.add_argument("--clear", action="store_true")
+    for name, text in (("setup", "remember where the data lies"), ("delete", "remove the data and forget it")):
+        one = sub.add_parser(name, help=text)
+        one.add_argument("--config", default=CONFIG)
+        if name == "setup":
+            one.add_argument("--data", required=True)
+    one = sub.add_parser("process", help="claims of a source from tables of its raw frames")
+    one.add_argument("source")
+    one.add_argument("--raw", action="append", required=True, metavar="NAME=PATH", help="a Parquet table for each raw frame")
+    one.add_argument("--obo", required=True)
+    one.add_argument("--tissue-systems", required=True)
+    one.add_argument("--disease-systems", required=True)
+    one.add_argument("--output", required=True)
+    one = sub.add_parser("build", help="all stages from processed claims to tables")
+    one.add_argument("--config", required=True)
+    one.add_argument("--start")
+    one.add_argument("--end")
+    one.add_argument("--skip", default="")
+    one = sub.add_parser("metadata", help="descriptive metadata of samples or series")
+    one.add_argument("level", choices=["sample", "series", "list-fields"])
+    one.add_argument("--table", required=True)
+    one.add_argument("--ids")
+    one.add_argument("--fields", default="")
+    one.add_argument("--output")
+    one = sub.add_parser("package", help="write a folder's manifest")
+    one.add_argument("folder")
+    one.add_argument("--overwrite", action="store_true")
+    for name in ("init-config", "validate-config"):
+        sub.add_parser(name, help="a build's configuration").add_argument("path")
     return p
 
 
+CONFIG = os.path.join(os.path.expanduser("~"), ".claimgrid.json")
+#: What a build's configuration names.
+INPUTS = ("root", "obo", "names", "claims", "systems", "entries")
+
+
+def config(path: str) -> dict:
+    """A build's configuration, with values of the environment on top; ValueError if something is missing."""
+    with open(path) as f:
+        out = merged_config(json.load(f), environment("CLAIMGRID"))
+    if missing := [k for k in INPUTS if not out.get(k)]:
+        raise ValueError("the configuration lacks " + ", ".join(missing))
+    return out
+
+
+def _local(a: argparse.Namespace) -> int | None:
+    """Commands that need no Spark; None if the command isn't one of them."""
+    if a.command == "setup":
+        sinks.save_json({"data": os.path.abspath(a.data)}, a.config)
+    elif a.command == "delete":
+        with open(a.config) as f:
+            data = json.load(f)["data"]
+        if not os.path.exists(os.path.join(data, "MANIFEST.md5")):
+            print(f"{data} isn't a package; nothing is deleted", file=sys.stderr)
+            return 1
+        shutil.rmtree(data)
+        os.remove(a.config)
+    elif a.command == "package":
+        print(sinks.package(a.folder, a.overwrite))
+    elif a.command == "init-config":
+        sinks.save_json(dict.fromkeys(INPUTS, ""), a.path)
+    elif a.command == "validate-config":
+        try:
+            config(a.path)
+        except ValueError as e:
+            print(e, file=sys.stderr)
+            return 1
+    else:
+        return None
+    return 0
+
+
+def _process(spark, a: argparse.Namespace) -> None:
+    from claimgrid.operators import ontology
+    from claimgrid.sources import processors, registry  # noqa: F401  registers the sources
+
+    terms = ontology.stanzas(spark, a.obo)
+    closed = ontology.closure(ontology.edges(terms))
+    inside = lambda ids: ontology.system_descendants(closed, spark.createDataFrame([(t,) for t in ids.split(",")], "term string"))
+    foreign = {p: ontology.reverse_xrefs(ontology.xrefs(terms, p)) for p in ("DOID", "MESH", "UMLS")}
+    ctx = registry.Context(inside(a.tissue_systems), inside(a.disease_systems), ontology.term_names(terms), foreign)
+    raw = {name: spark.read.parquet(path) for name, _, path in (x.partition("=") for x in a.raw)}
+    registry.save(registry.process(a.source, ctx, **raw), a.output, a.source)
+
+
 def main(argv: list[str] | None = None) -> int:
     a = parser().parse_args(argv)
     if a.command == "supported":
@@ -63,6 +152,8 @@ def main(argv: list[str] | None = None) -> int:
             state.clear()
         print("\n".join(f"{x['stage']}  {x['at']}" for x in state.done) or "no stage is done")
         return 0
+    if (code := _local(a)) is not None:
+        return code
     from pyspark.sql import SparkSession
 
     spark = SparkSession.builder.appName("claimgrid").getOrCreate()
@@ -71,6 +162,25 @@ def main(argv: list[str] | None = None) -> int:
 
         search(spark.read.parquet(f"{a.data}/terms"), spark.read.parquet(f"{a.data}/synonyms"), a.query, a.k, a.type, a.ontology).show(a.k, truncate=80)
         return 0
+    if a.command == "process":
+        _process(spark, a)
+        return 0
+    if a.command == "build":
+        from claimgrid.plans.build import stages
+
+        inputs = config(a.config)
+        print("\n".join(stages(spark, inputs["root"], inputs).run(a.start, a.end, tuple(filter(None, a.skip.split(","))))))
+        return 0
+    if a.command == "metadata":
+        from claimgrid.operators import metadata
+
+        table = spark.read.parquet(a.table)
+        if a.level == "list-fields":
+            print("\n".join([*(c for c in table.columns if c != "channels"), *metadata.channel_fields(table)]))
+            return 0
+        make = metadata.sample_metadata if a.level == "sample" else metadata.series_metadata
+        sinks.write(make(table, spark.read.parquet(a.ids), list(filter(None, a.fields.split(",")))), a.output, sort_by=a.level)
+        return 0
     attribute = {"tissues": "tissue", "diseases": "disease"}.get(a.attribute, a.attribute)
     request = Request(attribute, parse_terms(a.terms, attribute), a.level, "direct" if a.direct else a.mode, licence=a.license, fmt=a.fmt, metadata=[x for x in a.metadata.split(",") if x], **parse_filters(a.filters))
     db = Database.load(spark, a.data, a.level)

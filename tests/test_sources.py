@@ -277,3 +277,27 @@ def test_build_and_command_line(spark, ctx, tmp_path, capsys):
     assert {r.entry: r.platform for r in spark.read.parquet(f"{root}/series_entries").collect()} == {"GSE1": "GPL1|GPL2", "GSE2": "GPL2"}
     assert sorted(readers.claim_tables(spark, f"{tmp_path}/claims", ["ALE", "Gemma"])) == ["ALE"]
     assert aggregate.counts_from_lists(frame(spark, ["sources"], ("a|b",), ("b",))).collect()[0]["source"] == "b"
+
+
+def test_metadata(spark):
+    from claimgrid.operators import metadata
+
+    kind = "accession string, title string, channels array<struct<source_name:string,characteristics:array<struct<tag:string,value:string>>>>"
+    table = spark.createDataFrame([("GSM1", "a\nb", [("lung", [("age", "3"), (None, "x")])]), ("GSM2", None, None), ("GSM3", "c", [])], kind)
+    ids = spark.createDataFrame([("GSM1",), ("GSM2",), ("GSM1",)], "id string")
+    got = {r["sample"]: tuple(r)[1:] for r in metadata.sample_metadata(table, ids, ["title", "source_name", "characteristics", "color"]).collect()}
+    assert got == {"GSM1": ("a b", "lung", "age: 3|x", "NA", "NA"), "GSM2": ("NA",) * 5}
+    assert metadata.known_fields(table, ["title", "color"]) == (["accession", "title"], ["color"])
+    series = spark.createDataFrame([("GSE1", "t", None, ["GSM1", "GSM2"])], "accession string, title string, summary string, sample_id array<string>")
+    row = metadata.series_metadata(series, series.select("accession")).first()
+    assert row.description == "Title: t | Summary: NA" and row.sample_id == "GSM1|GSM2" and row.series == "GSE1"
+
+
+def test_local_commands(tmp_path, capsys):
+    c, data = str(tmp_path / "c.json"), tmp_path / "data"
+    data.mkdir()
+    assert cli.main(["setup", "--data", str(data), "--config", c]) == 0
+    assert cli.main(["delete", "--config", c]) == 1 and data.exists()
+    assert cli.main(["package", str(data)]) == 0 and cli.main(["delete", "--config", c]) == 0 and not data.exists()
+    assert cli.main(["init-config", c]) == 0 and cli.main(["validate-config", c]) == 1
+    assert "lacks root" in capsys.readouterr().err
