@@ -55,6 +55,18 @@ def small_side(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
 
 
+def bounded_sample(labels: DataFrame, most: int) -> DataFrame:
+    """At most ``most`` rows of labels (a row for each doc_id), the ones with the least hash of doc_id.
+
+    A share of the hashes that gives little more than ``most`` rows is cut out first, so what is ordered stays small
+    whatever the number of partitions.
+    """
+    place = F.shiftrightunsigned(F.xxhash64("doc_id"), 11) / float(1 << 53)
+    share = 1.2 * most / max(1, labels.count())
+    some = labels if share >= 1 else labels.where(place < share)
+    return written(some.orderBy(place, "doc_id").limit(most), "sample")
+
+
 def packed(df: DataFrame, **columns) -> DataFrame:
     """All columns of df in one struct ``row``, beside working columns whose names then clash with none."""
     return df.select(F.struct(*(F.col(f"`{c}`") for c in df.columns)).alias("row"), *(c.alias(n) for n, c in columns.items()))

@@ -108,15 +108,16 @@ def bounded(df: DataFrame, what: str) -> list:
     return rows
 
 
-def mix(docs: DataFrame, size: Column, members: Column | None = None, weights: tuple[float, ...] = WEIGHTS, passes: int = PASSES, seed: int = SEED) -> DataFrame:
+def mix(docs: DataFrame, size: Column, members: Column | None = None, weights: tuple[float, ...] = WEIGHTS, passes: int = PASSES, seed: int = SEED, tie: Column | None = None) -> DataFrame:
     """All rows and columns of docs, with ``_size``, ``_source_size``, ``_target``, ``_copies`` (columns so named are replaced).
 
     size: words of a row. members: array of the sources it belongs to (default: of ``source`` alone). _source_size and
-    _target are of its first source; _copies is how often the mix takes it.
+    _target are of its first source; _copies is how often the mix takes it. tie: orders rows of equal doc_id and size
+    (default: the text's hash). docs is read four times, so a narrow table of sizes serves where texts aren't needed.
     """
     spark = docs.sparkSession
     members = F.array("source") if members is None else F.array_sort(F.array_distinct(members))
-    tie = F.xxhash64(*(F.col(f"`{c}`").cast("string") for c in docs.columns if c in ("doc_id", "text")))
+    tie = F.xxhash64("text") if tie is None else tie
     rows = packed(docs, _size=size.cast("long"), _members=members, _u=F.xxhash64(F.lit(seed), "doc_id", size.cast("long")), _tie=tie)
     rows = rows.withColumn("_bin", F.shiftrightunsigned("_u", 64 - BINS.bit_length() + 1).cast("int"))
     binned = rows.groupBy("_members", "_bin").agg(F.sum("_size").alias("words"))

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import split_words, written
+from .common import bounded_sample, split_words, written
 
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 #: Further statistics, and for each statistic the sign of its effect on quality (0: any).
@@ -165,8 +165,9 @@ def grow(x: np.ndarray, y: np.ndarray, signs: np.ndarray, trees: int = TREES) ->
 def fit(stats: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN) -> Trees:
     """Trees from at most max_train labelled rows of statistics, the ones with the least hash of doc_id."""
     known = labels.where("doc_id is not null and quality is not null").groupBy("doc_id").agg(F.min("quality").alias("_quality"))
-    rows = stats.join(known, "doc_id").select("doc_id", "_quality", *RATIOS).orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_train)
-    rows = rows.toPandas().drop_duplicates("doc_id")
+    known = bounded_sample(known.join(stats.select("doc_id").distinct(), "doc_id", "left_semi"), max_train)
+    rows = stats.join(F.broadcast(known), "doc_id").groupBy("doc_id", "_quality").agg(*(F.min(c).alias(c) for c in RATIOS))
+    rows = rows.toPandas().sort_values("doc_id")  # max_train rows of numbers at most
     x, y = rows[list(RATIOS)].to_numpy(float), rows["_quality"].to_numpy(float)
     if len(set(y)) < 2:
         return Trees(*(np.array([v]) for v in (-1, 0.0, 0, 0, 0.0)), np.array([0]), 1.0)

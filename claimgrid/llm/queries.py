@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import decontaminate, mixing, pii, quality_rules, secret_scan, sharding, simhash, substring_dedup, token_output, toxicity
-from .common import table
+from .common import table, written
 
 TOKENIZER = "word_bpe_49k.json"
 
@@ -27,7 +27,9 @@ def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
-    mixed = mixing.mix(table(spark, sf_dir, "documents"), mixing.words_of())
+    docs = table(spark, sf_dir, "documents")
+    sizes = written(docs.select("doc_id", "source", mixing.words_of().alias("size"), F.xxhash64("text").alias("tie")), "mix-sizes")
+    mixed = mixing.mix(sizes, F.col("size"), tie=F.col("tie"))
     return mixed.select("doc_id", F.col("_size").alias("size"), F.col("_source_size").alias("source_size"), F.col("_target").alias("target"), (F.col("_size") * F.col("_copies")).alias("taken"))
 
 

@@ -33,6 +33,8 @@ from .common import packed, small_side, split_words, written
 WINDOW = 50
 _U = np.uint64
 _BASE = {1: 0x9E3779B97F4A7C15 | 1, 2: 0xC2B2AE3D27D4EB4F | 1}
+#: Occurrences above which a half window counts as hot; there are at most the words of the corpus divided by this.
+HOT = 2000
 #: Words whose hashes a task remembers.
 REMEMBER = 500_000
 
@@ -212,8 +214,12 @@ def cleaned(docs: DataFrame, window: int = WINDOW) -> tuple[DataFrame, DataFrame
     halves = marked.mapInArrow(lambda x: _half_rows(x, window), "doc_id long, mark long, n_words long, sha256 string, half array<long>, at array<int>")
     halves = written(halves, "substring-halves")
     rows = halves.select("doc_id", "mark", F.inline(F.arrays_zip("half", "at")))
-    twice = rows.groupBy("half").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")).where("lo < hi").select("half")
-    alive = rows.join(twice, "half", "left_semi").groupBy("doc_id", "mark").agg(F.collect_set("at").alias("at"))
+    twice = rows.groupBy("half").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi"), F.count("*").alias("n")).where("lo < hi").select("half", "n")
+    twice = written(twice, "substring-twice")
+    # Halves that very many documents share are few: they are told apart without a shuffle, so no task gets all their rows.
+    hot = small_side(twice.where(F.col("n") > HOT).select("half"))
+    seldom = rows.join(hot, "half", "left_anti").join(twice.where(F.col("n") <= HOT).select("half"), "half", "left_semi")
+    alive = rows.join(hot, "half", "left_semi").unionByName(seldom).groupBy("doc_id", "mark").agg(F.collect_set("at").alias("at"))
     alive = written(alive, "substring-alive")
     named = small_side(alive.select("doc_id", "mark"))
     some = marked.join(named, ["doc_id", "mark"], "left_semi")

@@ -114,6 +114,20 @@ class Encoder:
             yield b"".join([known[w] for w in words])
 
 
+_KEPT: dict[str, Encoder] = {}
+
+
+def encoder_of(path: str) -> Encoder:
+    """Where executors have this package, a Python worker keeps its encoder, and the words it knows, between tasks."""
+    try:
+        from claimgrid.llm import token_output as home
+    except ImportError:
+        return Encoder(path)
+    if path not in home._KEPT:
+        home._KEPT[path] = home.Encoder(path)
+    return home._KEPT[path]
+
+
 def _schema(dtype: np.dtype, length: int) -> pa.Schema:
     return pa.schema([("ids", pa.list_(pa.from_numpy_dtype(dtype), length)), ("mask", pa.list_(pa.bool_(), length))])
 
@@ -131,7 +145,7 @@ def write(docs: DataFrame, out: str, tokenizer: str, end_id: int = END_ID, lengt
     """Writes docs under the URI out; the manifest: (file, index file, first token's place, tokens), in order."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(tokenizer)
+        encoder = encoder_of(tokenizer)
         fs, base = pa.fs.FileSystem.from_uri(out)
         name = f"part-{TaskContext.get().partitionId():06d}-{uuid.uuid4().hex}"
         schema, end = _schema(encoder.dtype, length), np.array([end_id], encoder.dtype).tobytes()

@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import packed, unpacked, written
+from .common import bounded_sample, packed, unpacked
 
 #: Most labelled rows that are trained on (in one task, in sequence), and passes over them.
 MAX_TRAIN, PASSES = 12_000, 6
@@ -120,7 +120,7 @@ def fit(docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN) -> Model
     known = labels.where("doc_id is not null and toxic is not null").where(fold() != 0)
     known = known.groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     known = known.join(docs.select("doc_id").where("doc_id is not null").distinct(), "doc_id", "left_semi")
-    known = written(known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_train), "toxicity-sample")
+    known = bounded_sample(known, max_train)
     rows = docs.select("doc_id", "text").join(F.broadcast(known), "doc_id")  # max_train rows at most
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
