@@ -9,7 +9,8 @@ levels end: every longer repeat is covered by repeated whole windows.
 
 Equal whole windows lie around equal halves, so a half's hash deals them to a task. Before that, each batch of documents
 settles what it can by itself and sends a window only for its earliest document; a passage that a third of all documents
-share makes a row for each batch, not for each document.
+share makes a row for each batch, not for each document. Windows around a half that very many documents share (a common
+line between different texts) are dealt by half and whole together, so no task gets all the documents of such a half.
 
 A document is known by (doc_id, checksum of its text). Defined cases: a null text has no words; documents under 50 words
 keep all; rows with an equal doc_id don't remove each other's words; a row with a null doc_id keeps all words and counts as
@@ -106,7 +107,8 @@ def _half_rows(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[pa.Re
 
 
 def _whole_rows(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[pa.RecordBatch]:
-    """Windows around surviving halves. settled: repeated already within the batch. else to be compared by half."""
+    """Windows around surviving halves, whose places are inverted (below 0) if hot. settled: repeated already within the
+    batch; else to be compared by half, or by half and whole if hot."""
     size, first, second, word_hashes = window // 2, Hasher(1), Hasher(2), Words()
     for b in batches:
         ids, marks = b.column(0).to_numpy(), b.column(1).to_numpy()
@@ -115,9 +117,12 @@ def _whole_rows(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[pa.R
             h = word_hashes(split_words(raw))
             half = first.windows(h, size)
             choice = chosen(half, window, size)
-            place = np.flatnonzero(np.isin(choice, np.array(at)))
-            part["half"].append(half[choice[place]])
-            part["whole"].append(second.windows(h, window)[place])
+            at = np.array(at)
+            place = np.flatnonzero(np.isin(choice, np.where(at < 0, ~at, at)))
+            key, whole = half[choice[place]], second.windows(h, window)[place]
+            # For equal wholes the key of a hot half tells halves apart as well as the half itself.
+            part["half"].append(np.where(np.isin(choice[place], ~at[at < 0]), _finish(key ^ whole), key))
+            part["whole"].append(whole)
             part["place"].append(place)
             part["row"].append(np.full(len(place), i))
         if not part["half"]:
@@ -204,11 +209,12 @@ def _marked(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.crc32(raw).alias("mark"), raw.alias("raw"))
 
 
-def cleaned(docs: DataFrame, window: int = WINDOW) -> tuple[DataFrame, DataFrame]:
+def cleaned(docs: DataFrame, window: int = WINDOW, most: int = HOT) -> tuple[DataFrame, DataFrame]:
     """What every document is, and the documents that lose words.
 
     The first: doc_id, mark, n_words, sha256 of all words, one row for each row of docs. The second: doc_id, mark,
     n_removed, kept (the kept words, joined by a space), one row for each (doc_id, mark) with a repeated window.
+    Halves with over ``most`` occurrences are dealt as hot, which is of no effect on the result.
     """
     marked = _marked(docs)
     halves = marked.mapInArrow(lambda x: _half_rows(x, window), "doc_id long, mark long, n_words long, sha256 string, half array<long>, at array<int>")
@@ -217,9 +223,10 @@ def cleaned(docs: DataFrame, window: int = WINDOW) -> tuple[DataFrame, DataFrame
     twice = rows.groupBy("half").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi"), F.count("*").alias("n")).where("lo < hi").select("half", "n")
     twice = written(twice, "substring-twice")
     # Halves that very many documents share are few: they are told apart without a shuffle, so no task gets all their rows.
-    hot = small_side(twice.where(F.col("n") > HOT).select("half"))
-    seldom = rows.join(hot, "half", "left_anti").join(twice.where(F.col("n") <= HOT).select("half"), "half", "left_semi")
-    alive = rows.join(hot, "half", "left_semi").unionByName(seldom).groupBy("doc_id", "mark").agg(F.collect_set("at").alias("at"))
+    hot = small_side(twice.where(F.col("n") > most).select("half"))
+    seldom = rows.join(hot, "half", "left_anti").join(twice.where(F.col("n") <= most).select("half"), "half", "left_semi")
+    common = rows.join(hot, "half", "left_semi").withColumn("at", F.bitwise_not("at"))
+    alive = common.unionByName(seldom).groupBy("doc_id", "mark").agg(F.collect_set("at").alias("at"))
     alive = written(alive, "substring-alive")
     named = small_side(alive.select("doc_id", "mark"))
     some = marked.join(named, ["doc_id", "mark"], "left_semi")
@@ -232,9 +239,9 @@ def cleaned(docs: DataFrame, window: int = WINDOW) -> tuple[DataFrame, DataFrame
     return halves.select("doc_id", "mark", "n_words", "sha256"), lost.dropDuplicates(["doc_id", "mark"])
 
 
-def digests(docs: DataFrame, window: int = WINDOW) -> DataFrame:
+def digests(docs: DataFrame, window: int = WINDOW, most: int = HOT) -> DataFrame:
     """doc_id, n_words, n_removed, kept_sha256 of every row of docs."""
-    whole, lost = cleaned(docs, window)
+    whole, lost = cleaned(docs, window, most)
     lost = lost.select("doc_id", "mark", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
     out = whole.join(lost, ["doc_id", "mark"], "left")
     return out.select("doc_id", "n_words", F.coalesce("n_removed", F.lit(0).cast("long")).alias("n_removed"), F.coalesce("kept_sha256", "sha256").alias("kept_sha256"))

@@ -249,3 +249,16 @@ def test_substring(odd, none, spark):
     ids = [5, 3, 3, 9, 1, 0, 8, 7, 6, None]
     got = Counter((r.doc_id, r.n_words, r.n_removed, r.kept_sha256) for r in substring_dedup.digests(S.table(spark, texts, ids)).collect())
     assert got == Counter(S.substring_digest(list(zip(ids, texts, strict=True))))
+
+
+def test_substring_hot_halves(spark):
+    """A line that all texts share, between different texts and between equal ones, with every half hot, some, or none."""
+    line = S.long_text("line", 30)
+    pairs = [f"{S.long_text(f'a{i % 9}', 45)} {line} {S.long_text(f'b{i % 7}', 45)}" for i in range(40)]
+    texts = [*pairs, *(f"{S.long_text(f'c{i}', 60)} {line} {S.long_text(f'd{i}', 60)}" for i in range(20))]
+    docs = S.table(spark, texts, list(range(60))).repartition(7)
+    want = Counter(S.substring_digest(list(enumerate(texts))))
+    for most in (1, 10, 2000):
+        got = Counter((r.doc_id, r.n_words, r.n_removed, r.kept_sha256) for r in substring_dedup.digests(docs, most=most).collect())
+        assert got == want
+    assert sum(r[2] for r in want) > 1000
