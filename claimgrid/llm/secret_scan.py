@@ -27,7 +27,7 @@ ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]{24,}")  # a run of these letters that is long enough, as no match can begin within a run
 KINDS = ("assign", "access", "hex", "guess")
 # Wider credential contexts.
-CONTEXT = re.compile(r"""(?ai:\b(?:pass(?:word|wd|phrase|code)?|pwd|pin|secret|token|credentials?|auth|bearer|(?:api|access|private|secret|client)[_-]?(?:key|secret|token)))["']?(?:\s{0,3}[:=]\s{0,3}|\s+(?i:is|was)\s+|\s+)["']?([^\s"'<>|,;]{6,256})""")
+CONTEXT = re.compile(r"""(?ai:\b(?:pass(?:word|wd|phrase|code)?|pwd|pin|secret|token|credentials?|auth|bearer|(?:api|access|private|secret|client)[_-]?(?:key|secret|token)))["']?(?:\s{0,3}[:=]\s{0,3}|\s+(?i:is|was)\s+|\s+)["']?([^\s"'<>|,;]{6,})""")
 _CONTEXT_WORDS = ("pass", "pwd", "pin", "secret", "token", "credential", "auth", "bearer", "key")
 _ASSIGN_WORDS = ("password", "passwd", "secret", "token", "apikey", "api_key")
 

@@ -137,6 +137,13 @@ def test_secrets(odd, none):
     assert secret_scan.guess_cost("password1999") < secret_scan.guess_cost("Xk9$mQ2!vLr8")
 
 
+def test_secrets_of_any_length():
+    """A span reaches to the end of its value, so redacting leaves no tail."""
+    for n in (255, 256, 257, 400, 5000):
+        value = S.long_text("token", n).replace(" ", "Q")[:n]
+        assert secret_scan.spans(f"bearer {value} end") == [(7, 3, "guess", 7 + n)]
+
+
 def test_guess_cost_is_the_least_over_segmentations():
     """Never above brute force, and joining pieces never costs more than the pieces apart."""
     rng = np.random.default_rng(2)
