@@ -3,7 +3,9 @@
 The cost of a value is the least log10 of guesses over all ways to cut it into known words, dates, repeats, keyboard walks and
 brute-force spans: costs of pieces add up. A value that follows a credential word and costs at least ``MIN_COST`` is a
 secret. Base kinds: ``assign``, ``access`` and ``hex``; the programme adds kind ``guess`` for values in wider contexts
-(other credential words, or "is" instead of a sign) that no base span covers.
+(other credential words, or "is" or a blank instead of a sign) that no base span wholly covers. A context within a value that isn't
+a secret counts too. Only without a ":" or "=" letters in the case of a word (all small, all capital, or capitalised) are
+read as prose, whatever they cost.
 
 Offsets are code points, ends exclusive. Defined cases: a null or empty text has no spans; matches of a kind don't overlap, the
 leftmost comes first; repeated rows have equal results; a null doc_id is a row like others; an empty table gives an empty
@@ -15,7 +17,9 @@ from __future__ import annotations
 import hashlib
 import math
 import re
+from bisect import bisect_right
 from collections.abc import Iterator
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -26,8 +30,9 @@ ASSIGN = re.compile(r"""(?ai:password|passwd|secret|token|api_?key)["']?\x20*[:=
 ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]{24,}")  # a run of these letters that is long enough, as no match can begin within a run
 KINDS = ("assign", "access", "hex", "guess")
-# Wider credential contexts.
-CONTEXT = re.compile(r"""(?ai:\b(?:pass(?:word|wd|phrase|code)?|pwd|pin|secret|token|credentials?|auth|bearer|(?:api|access|private|secret|client)[_-]?(?:key|secret|token)))["']?(?:\s{0,3}[:=]\s{0,3}|\s+(?i:is|was)\s+|\s+)["']?([^\s"'<>|,;]{6,})""")
+# Wider credential contexts, up to where the value begins; the word may have letters, digits or "_" before it.
+CONTEXT = re.compile(r"""(?ai:(pass(?:word|wd|phrase|code)?|pwd|pin|secret|token|credentials?|auth|bearer|(?:api|access|private|secret|client)[_-]?(?:key|secret|token)))["']?(?:\s{0,3}([:=])\s{0,3}|\s+(?i:is|was)\s+|\s+)["']?(?=[^\s"'<>|,;]{6})""")
+VALUE = re.compile(r"""[^\s"'<>|,;]+""")
 _CONTEXT_WORDS = ("pass", "pwd", "pin", "secret", "token", "credential", "auth", "bearer", "key")
 _ASSIGN_WORDS = ("password", "passwd", "secret", "token", "apikey", "api_key")
 
@@ -88,6 +93,15 @@ def guess_cost(value: str) -> float:
     return best[n]
 
 
+def _prose(text: str, m: re.Match, end: int) -> bool:
+    """Without a sign, "compass", "spin" and the like are no credential words, and letters in the case of a word no value."""
+    if m[2]:
+        return False
+    value = text[m.end() : end]
+    glued = m.start() > 0 and text[m.start() - 1].isalpha() and m[1].lower() in ("pass", "pin", "auth", "bearer")
+    return glued or value.isalpha() and (value[1:].islower() or value.isupper() or value == value.swapcase())
+
+
 def spans(text: str | None) -> list[tuple[int, int, str, int]]:
     """(start, place of the kind, kind, end) of all spans, in order."""
     if not text:
@@ -99,13 +113,19 @@ def spans(text: str | None) -> list[tuple[int, int, str, int]]:
         found += [(m.start(), 1, "access", m.end()) for m in ACCESS.finditer(text) if m.end() - m.start() >= 20]
     found += [(m.start(), 2, "hex", m.end()) for m in HEX.finditer(text)]
     if any(w in low for w in _CONTEXT_WORDS):
-        taken = sorted((s, e) for s, _, _, e in found)
+        base = sorted((s, e) for s, _, _, e in found)
+        furthest = [0, *accumulate((e for _, e in base), max)]  # end of the base spans that begin up to a place
+        stop = done = 0
         for m in CONTEXT.finditer(text):
-            s, e = m.span(1)
-            e -= len(m[1]) - len(m[1].rstrip(".!?:)]}#*$%&"))
-            value = text[s:e]
-            if len(value) >= 6 and not value.isalpha() and not any(a < e and s < b for a, b in taken) and guess_cost(value) >= MIN_COST:
-                found.append((s, 3, "guess", e))
+            s = m.end()
+            if s >= stop:
+                stop = VALUE.match(text, s).end()
+                end = stop - (len(tail := text[s:stop]) - len(tail.rstrip(".!?:)]}#*$%&")))
+            if s < done or end - s < 6 or end <= furthest[bisect_right(base, (s, math.inf))] or _prose(text, m, end):
+                continue
+            if guess_cost(text[s:end]) >= MIN_COST:
+                found.append((s, 3, "guess", end))
+                done = end
     return sorted(found)
 
 

@@ -144,6 +144,24 @@ def test_secrets_of_any_length():
         assert secret_scan.spans(f"bearer {value} end") == [(7, 3, "guess", 7 + n)]
 
 
+def test_secrets_in_all_contexts():
+    guesses = lambda t: [t[s:e] for s, _, k, e in secret_scan.spans(t) if k == "guess"]
+    for text, value in (
+        ("auth: Bearer eyJhbGciOi.abc123XYZ", "eyJhbGciOi.abc123XYZ"),  # a context within a value that is none
+        ("pwd=QwZrTnVbKpLsXmYh", "QwZrTnVbKpLsXmYh"),
+        ("pwd is QwZrTnVbKpLsXmYh", "QwZrTnVbKpLsXmYh"),
+        ("DB_PASS=x7Kp2mQ9vR", "x7Kp2mQ9vR"),
+        ("aws_secret_access_key = wJalrXUtnFEMIK7MDENG", "wJalrXUtnFEMIK7MDENG"),
+        ("mypwd: x7Kp2mQ9vR", "x7Kp2mQ9vR"),
+        ("bearer 0123456789abcdef01234567.restOf9Secret", "0123456789abcdef01234567.restOf9Secret"),
+        ("password=abcdefgh$rest9Xk", "abcdefgh$rest9Xk"),
+    ):
+        assert guesses(text) == [value]
+    for text in ("password forgotten international", "a compass N34E12-45.2xx", "bearer 0123456789abcdef01234567", "token=aB3dE6gH9 here", "pwd=password"):
+        assert not guesses(text)
+    assert len(guesses("0123456789abcdef01234567 pwd=x7Kp2mQ9vR " * 20_000)) == 20_000
+
+
 def test_guess_cost_is_the_least_over_segmentations():
     """Never above brute force, and joining pieces never costs more than the pieces apart."""
     rng = np.random.default_rng(2)
