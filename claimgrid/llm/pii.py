@@ -6,8 +6,9 @@ a number below the format's size, a Feistel network permutes the numbers (cycle
 result is written in the same layout with its check digits made anew. The permutation depends on the key and the format
 alone: no table of values is kept, nothing is shuffled, and whoever holds the key can go back (``restore``).
 
-Defined cases: a null text stays null, an empty one empty; values that fail their check stay as they are; of overlapping values the
-leftmost counts; repeated rows have equal results; a null doc_id is a row like others; an empty table gives an empty
+Defined cases: a null text stays null, an empty one empty; values that fail their check stay as they are; cards and IBANs
+end where a group of their run ends, an IBAN at its country's length, others at the longest valid end; of overlapping values
+the leftmost counts; repeated rows have equal results; a null doc_id is a row like others; an empty table gives an empty
 result; other columns of docs are kept.
 """
 
@@ -26,17 +27,25 @@ KEY, ROUNDS = "claimgrid", 8
 DAYS = (datetime.date(1900, 1, 1).toordinal(), datetime.date(2099, 12, 31).toordinal())
 KINDS = ("email", "iban", "card", "ssn", "date", "ip", "phone")
 # The layouts that are looked for, in order of precedence.
-PATTERN = re.compile(
-    r"(?P<email>(?<![\w.+-])[A-Za-z0-9][A-Za-z0-9._%+-]{0,63}@(?:[A-Za-z0-9-]+\.)+[A-Za-z]{2,})"
-    r"|(?P<iban>(?<![A-Za-z0-9])[A-Z]{2}\d{2}(?: ?[A-Z0-9]){11,30}(?![A-Za-z0-9]))"
-    r"|(?P<date>(?<![\w/.-])(?:\d{4}-\d{2}-\d{2}|\d{4}/\d{2}/\d{2}|\d{2}/\d{2}/\d{4}|\d{2}\.\d{2}\.\d{4}|\d{2}-\d{2}-\d{4})(?![\w/-]|\.\d))"
-    r"|(?P<ssn>(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-]))"
-    r"|(?P<ip>(?<![\w.])\d{1,3}(?:\.\d{1,3}){3}(?!\w|\.\d))"
-    r"|(?P<phone>(?<![\w+])(?:\+\d{1,3}[ .-]?)?\(\d{2,4}\)[ .-]?\d{3,4}[ .-]?\d{3,4}(?!\w)|(?<![\w+])\+\d{1,3}(?:[ .-]?\d{2,4}){2,4}(?!\w))"
-    r"|(?P<card>(?<![\w-])\d(?:[ -]?\d){12,18}(?![\w]|-\d))"
-    r"|(?P<phone2>(?<![\w.-])\d{3}[.-]\d{3}[.-]\d{4}(?![\w-]))"
+_LAYOUTS = (
+    r"(?P<email>(?<![\w.+-])[A-Za-z0-9][A-Za-z0-9._%+-]{0,63}@(?:[A-Za-z0-9-]+\.)+[A-Za-z]{2,})",
+    r"(?P<iban>(?<![A-Za-z0-9])[A-Z]{2}\d{2}(?: ?[A-Z0-9]){11,30}(?![A-Za-z0-9]))",
+    r"(?P<date>(?<![\w/.-])(?:\d{4}-\d{2}-\d{2}|\d{4}/\d{2}/\d{2}|\d{2}/\d{2}/\d{4}|\d{2}\.\d{2}\.\d{4}|\d{2}-\d{2}-\d{4})(?![\w/-]|\.\d))",
+    r"(?P<ssn>(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-]))",
+    r"(?P<ip>(?<![\w.])\d{1,3}(?:\.\d{1,3}){3}(?!\w|\.\d))",
+    r"(?P<phone>(?<![\w+])(?:\+\d{1,3}[ .-]?)?\(\d{2,4}\)[ .-]?\d{3,4}[ .-]?\d{3,4}(?!\w)|(?<![\w+])\+\d{1,3}(?:[ .-]?\d{2,4}){2,4}(?!\w))",
+    r"(?P<card>(?<![\w-])\d(?:[ -]?\d){12,18}(?!\w))",
+    r"(?P<phone2>(?<![\w.-])\d{3}[.-]\d{3}[.-]\d{4}(?![\w-]))",
 )
+PATTERN = re.compile("|".join(_LAYOUTS))
 _MAYBE = re.compile(r"@|\d")
+# The layouts whose values may follow in the run of a card or an IBAN.
+_OTHER = re.compile("|".join(x for x in _LAYOUTS if not x.startswith(("(?P<iban>", "(?P<card>"))))
+# The length of an IBAN in each country of the registry.
+IBAN_LENGTHS = {c[:2]: int(c[2:]) for c in """AD24 AE23 AL28 AT20 AZ28 BA20 BE16 BG22 BH22 BI27 BR29 BY28 CH21 CR22 CY28 CZ24 DE22 DJ27 DK18 DO28 EE20 EG29
+ES24 FI18 FK18 FO18 FR27 GB22 GE22 GI23 GL18 GR27 GT28 HN28 HR21 HU28 IE22 IL23 IQ23 IS26 IT27 JO30 KW30 KZ20 LB28 LC32 LI21 LT20 LU20 LV21 LY25 MC27 MD24
+ME22 MK19 MN20 MR27 MT31 MU30 NI28 NL18 NO15 OM23 PK24 PL28 PS29 PT25 QA29 RO24 RS22 RU33 SA24 SC31 SD18 SE24 SI19 SK24 SM27 SO23 ST25 SV28 TL23 TN24 TR26
+UA29 VA22 VG24 XK20 YE30""".split()}
 
 
 class Permuter:
@@ -176,23 +185,51 @@ def phone(s: str, f: Permuter, back: bool) -> str | None:
 CHANGE: dict[str, Callable[[str, Permuter, bool], str | None]] = {"email": email, "iban": iban, "card": card, "ssn": ssn, "date": date, "ip": ip, "phone": phone, "phone2": phone}
 
 
+def _ends(text: str, m: re.Match) -> list[int]:
+    """Where the value that begins with m may end, the likeliest first: ends of groups in the run of a card or an IBAN."""
+    if m.lastgroup not in ("card", "iban"):
+        return [m.end()]
+    starts = [i + 1 for i in range(m.start(), m.end()) if text[i] in " -"]
+    stop = next((i for i in starts if _OTHER.match(text, i)), m.end() + 1)
+    counts = {i: sum(map(str.isalnum, text[m.start() : i])) for i in (*(i - 1 for i in starts), m.end()) if i < stop}
+    least, most = (13, 19) if m.lastgroup == "card" else (15, 34)
+    ends = sorted((i for i, n in counts.items() if least <= n <= most), reverse=True)
+    length = IBAN_LENGTHS.get(m[0][:2]) if m.lastgroup == "iban" else None
+    if length is None:
+        return ends
+    return [i for i in ends if counts[i] == length] or ends[:1]
+
+
+def _first(text: str, pos: int, f: Permuter, back: bool) -> tuple[int, int, str, str, int | None] | None:
+    """start, end, kind, pseudonym of the first value from pos on, and where a failed reading begins that overlaps it (or None)."""
+    failed: list[tuple[int, int]] = []
+    while m := PATTERN.search(text, pos):
+        for end in _ends(text, m):
+            new = CHANGE[m.lastgroup](text[m.start() : end], f, back)
+            if new is not None:
+                return m.start(), end, m.lastgroup, new, min((a for a, b in failed if b > m.start()), default=None)
+            failed.append((m.start(), end))
+        pos = m.start() + 1
+        while pos < m.end() and text[pos].isalnum() and text[pos - 1].isalnum():
+            pos += 1  # a rejected run of digits isn't looked at from its middle
+        failed = [x for x in failed if x[1] > pos]
+    return None
+
+
 def pseudonyms(text: str | None, f: Permuter, back: bool = False) -> tuple[str | None, list[str]]:
     """The text with pseudonyms, and the kinds of the values replaced, in order."""
     if not text or not _MAYBE.search(text):
         return text, []
     out, at, kinds = [], 0, []
-    pos = 0
-    while m := PATTERN.search(text, pos):
-        kind = m.lastgroup
-        new = CHANGE[kind](m[0], f, back)
-        if new is None:
-            pos = m.start() + 1
-            while pos < m.end() and text[pos].isalnum() and text[pos - 1].isalnum():
-                pos += 1  # a rejected run of digits isn't looked at from its middle
-            continue
-        out += [text[at : m.start()], new]
+    while found := _first(text, at, f, back):
+        start, end, kind, new, failed = found
+        if failed is not None:  # walks on to a value beside which the failed readings fail too, or the way back would be lost
+            low = max(failed - 2, 0)
+            while (again := _first(text[low:start] + new + text[end : end + 100], failed - low, f, back)) is None or again[:2] != (start - low, end - low):
+                new = CHANGE[kind](new, f, back)
+        out += [text[at:start], new]
         kinds.append(kind.rstrip("2"))
-        at = pos = m.end()
+        at = end
     return "".join(out) + text[at:], kinds
 
 

@@ -172,6 +172,44 @@ def test_guess_cost_is_the_least_over_segmentations():
         assert secret_scan.guess_cost(a) <= sum(map(secret_scan.brute, a)) + 1e-9
 
 
+def test_values_before_more_digits_or_capitals():
+    """Against a brute force over groups that doesn't use the layouts: no valid card or IBAN stays, and the way back is exact."""
+    rng, f = np.random.default_rng(7), pii.Permuter()
+
+    def grouped(chars, sep):
+        return sep.join(chars[i : i + 4] for i in range(0, len(chars), 4))
+
+    def luhn_ok(d):
+        return sum(int(c) if i % 2 == 0 else sum(map(int, str(2 * int(c)))) for i, c in enumerate(reversed(d))) % 10 == 0
+
+    def mod_ok(t):
+        return int("".join(str(int(c, 36)) for c in t[4:] + t[:4])) % 97 == 1
+
+    def digits(n):
+        return "".join(map(str, rng.integers(0, 10, n)))
+
+    assert pii.pseudonyms("4111 1111 1111 1111 12/27", f)[0].endswith(" 12/27")
+    after = ["", " 12/27", " 123", " 1227 123", " 12 27 123", "-123", "-1227", " 2024-01-02", " 555-123-4567", " 10.0.0.1", " 7@x.org", " BIC COBADEFF", " BIC COBADEFFXXX 12", " AND MORE", " DE"]
+    for _ in range(150):
+        body = digits(int(rng.choice([12, 15, 18])))
+        number = next(body + c for c in "0123456789" if luhn_ok(body + c))
+        account = digits(18)
+        iban = next(x for x in (f"DE{k:02d}{account}" for k in range(2, 99)) if mod_ok(x))
+        for tail in after:
+            for value, sep, ok in ((number, " ", luhn_ok), (number, "", luhn_ok), (number, "-", luhn_ok), (iban, " ", mod_ok), (iban, "", mod_ok)):
+                if "-" in (sep, tail[:1]) and (sep != "-" or ok is mod_ok):
+                    continue
+                for head in ("", "pay ", "12 "):
+                    laid = grouped(value, sep) if sep else value
+                    text = head + laid + tail
+                    new, kinds = pii.pseudonyms(text, f)
+                    assert kinds and laid not in new, text
+                    if not head.strip().isdigit() and ok is mod_ok:
+                        own = new[len(head) : len(head + laid)].replace(" ", "")
+                        assert own[:2] == "DE" and mod_ok(own) and kinds[0] == "iban", text
+                    assert pii.pseudonyms(new, f, back=True)[0] == text, text
+
+
 def test_toxicity(odd, none, labels):
     rows = toxicity.classify(odd, labels).collect()
     assert len(rows) == len(S.ODD) and all(0 <= r.score <= 1 and r.predicted == (r.score >= 0.5) for r in rows)
