@@ -4,7 +4,8 @@ Texts become arrays of 64-bit hashes of lower-cased words of letters and digits.
 and ignores the others; every window of a text has a hash of the cared-for words for each mask. Hashes of test items are
 joined with those of training windows; a hit names an item and a diagonal (where in the document the item would begin). Each
 diagonal is verified once: word by word along the item, some VERIFY consecutive places (all, in shorter items) must
-agree in at least ``agree`` of them. Substituted words are so tolerated, insertions split a passage into two diagonals.
+agree in at least ``agree`` of them. The masks reach every diagonal that this accepts, for items of any length (an enumeration
+in the tests proves it), so the seeds decide nothing. Substituted words are so tolerated, insertions split a passage into two diagonals.
 
 Windows are generated and joined within one stage, with no shuffle of the corpus, as long as the test items' hashes number
 at most BROADCAST_ROWS (counted before); beyond that the join is a shuffled one. Only verified diagonals are grouped.
@@ -24,6 +25,8 @@ from .common import packed, small_side, unpacked, written
 #: Places that count (1) and places that are ignored (0).
 MASKS = ("111010011", "110100111", "101101101")
 SPAN = len(MASKS[0])
+#: With these, every placing of substitutions that VERIFY and AGREE accept leaves some mask a window whose places that count agree.
+ALL_MASKS = (*MASKS, "110011101", "111110001", "010111110", "001110111", "101111100")
 VERIFY, AGREE = 16, 0.8
 
 
@@ -40,7 +43,7 @@ def _seeds(words: DataFrame, keep: list[str], masks: tuple[str, ...]) -> DataFra
     return placed.select(*keep, "h", "place", F.explode(F.array(*(seed(m, mask) for m, mask in enumerate(masks)))).alias("seed"))
 
 
-def leaks(docs: DataFrame, items: DataFrame, keep: tuple[str, ...] = ("doc_id",), masks: tuple[str, ...] = MASKS, verify: int = VERIFY, agree: float = AGREE) -> DataFrame:
+def leaks(docs: DataFrame, items: DataFrame, keep: tuple[str, ...] = ("doc_id",), masks: tuple[str, ...] = ALL_MASKS, verify: int = VERIFY, agree: float = AGREE) -> DataFrame:
     """keep columns, item_id, agreeing (most agreeing places of a window), doc_place (where the item would begin)."""
     test = items.select("item_id", word_hashes(F.col("text")).alias("h")).where(F.col("item_id").isNotNull()).distinct()
     seeds = _seeds(test, ["item_id"], masks).select("seed", "item_id", F.col("place").alias("item_place")).distinct()

@@ -62,6 +62,42 @@ def test_seeds_tolerate_substitutions():
     assert missed < 8
 
 
+def test_seeds_reach_all_that_is_accepted():
+    """Every placing of as many substitutions as VERIFY and AGREE accept; fewer only leave more windows whole. Longer items agree in a window of VERIFY words."""
+    from itertools import combinations
+
+    for n in range(decontaminate.SPAN, decontaminate.VERIFY + 1):
+        windows = [{p + i for i, c in enumerate(m) if c == "1"} for m in decontaminate.ALL_MASKS for p in range(n - decontaminate.SPAN + 1)]
+        for other in combinations(range(n), n - math.ceil(n * decontaminate.AGREE)):
+            assert any(w.isdisjoint(other) for w in windows), (n, other)
+
+
+def test_leaks_against_brute_force(spark):
+    """All diagonals of all pairs, without seeds."""
+    rng = np.random.default_rng(11)
+    items = {k: [f"w{k}x{i}" for i in range(9 + k % 14)] for k in range(60)}
+    docs = []
+    for k in range(240):
+        item = list(items[k % 60])
+        for i in rng.choice(len(item), min(len(item), int(rng.integers(1, 6))), replace=False):
+            item[i] = "other"
+        docs.append([f"a{i}" for i in range(k % 3 * 4)] + item + [f"b{i}" for i in range(k % 5)])
+    for other in ((1, 5, 6), (0, 4, 9)):  # three of 15 words
+        docs.append([w if i not in other else "other" for i, w in enumerate(items[6])])
+    want = {}
+    for i, d in enumerate(docs):
+        for k, item in items.items():
+            n = min(decontaminate.VERIFY, len(item))
+            for at in range(-len(item) + 1, len(d)):
+                same = [d[at + j] == item[j] for j in range(max(0, -at), min(len(item), len(d) - at))]
+                most = max((sum(same[p : p + n]) for p in range(len(same) - n + 1)), default=0)
+                if most >= math.ceil(n * decontaminate.AGREE):
+                    want[i, k] = max(want.get((i, k), (0, 0)), (most, -at))
+    texts, tests = [" ".join(d) for d in docs], [(k, " ".join(x)) for k, x in items.items()]
+    found = decontaminate.leaks(S.table(spark, texts), spark.createDataFrame(tests, "item_id long, text string")).collect()
+    assert {(r.doc_id, r.item_id): (r.agreeing, -r.doc_place) for r in found} == want and len(want) > 100
+
+
 def test_substituted_passage(spark):
     item = S.long_text("item", 30).split()
     changed = [w if i % 9 != 4 else "other" for i, w in enumerate(item)]
