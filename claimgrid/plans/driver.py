@@ -467,6 +467,16 @@ def sra_to_gsm(spark, sf_dir):
     return integrate.archive_to_sample(runs, samples)
 
 
+@query("sra_to_gsm_all", """WITH samples AS (SELECT 'GSM' || c_custkey AS accession, CASE WHEN c_custkey % 10 <> 0 THEN 'SRX' || (c_custkey // 4) END AS x FROM customer), runs AS (SELECT 'SRR' || s_suppkey AS accession, 'SRX' || (s_suppkey // 2) AS x FROM supplier)
+ SELECT r.accession AS archive_id, s.accession AS entry FROM runs r JOIN samples s USING (x) UNION ALL SELECT x, accession FROM samples WHERE x IS NOT NULL""")
+def sra_to_gsm_all(spark, sf_dir):
+    """All customers, a tenth without an experiment; at most four samples and two runs share one."""
+    named = F.when(F.col("c_custkey") % 10 != 0, F.concat(F.lit('"SRX'), F.expr("c_custkey div 4"), F.lit('"')))
+    samples = table(spark, sf_dir, "customer").select(F.concat(F.lit("GSM"), F.col("c_custkey")).alias("accession"), named.alias("sra_experiment"))
+    runs = table(spark, sf_dir, "supplier").select(F.concat(F.lit("SRR"), F.col("s_suppkey")).alias("accession"), F.concat(F.lit("SRX"), F.expr("s_suppkey div 2")).alias("experiment_accession"))
+    return integrate.archive_to_sample(runs, samples)
+
+
 @query("crosswalk_replace", "SELECT s_suppkey, coalesce(n_name, 'NA') AS place FROM supplier LEFT JOIN (SELECT * FROM nation WHERE n_nationkey < 20) ON s_nationkey = n_nationkey")
 def crosswalk_replace(spark, sf_dir):
     from claimgrid.sources.processors import crosswalk
