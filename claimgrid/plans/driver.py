@@ -588,6 +588,22 @@ def search_documents(spark, sf_dir):
     return search.bm25plus(docs, _QUERY).withColumn("score", F.round("score", 6))
 
 
+@query("search_documents_all", _BM25_SQL.replace(" WHERE lang = 'en'", ""))
+def search_documents_all(spark, sf_dir):
+    """Documents of every language are scored and counted."""
+    docs = table(spark, sf_dir, "documents").select(F.col("doc_id").cast("string").alias("term_id"), "text", F.lit(1).alias("weight"))
+    return search.bm25plus(docs, _QUERY).withColumn("score", F.round("score", 6))
+
+
+# As a name a text weighs 10, in the frequencies and in the lengths.
+@query("search_documents_typed", _BM25_SQL.replace("count(*) AS tf", "10 * count(*) AS tf").replace("count(*) AS dl", "10 * count(*) AS dl") + " ORDER BY round(s.score, 9) DESC, doc_id::VARCHAR LIMIT 20")
+def search_documents_typed(spark, sf_dir):
+    """The language as the optional type of a search."""
+    docs = table(spark, sf_dir, "documents").select(F.col("doc_id").cast("string").alias("term_id"), F.col("text").alias("name"), F.lit("documents").alias("ontology"), F.col("lang").alias("type"))
+    none = docs.select("term_id", F.col("name").alias("synonym"), F.lit(None).cast("string").alias("scope")).limit(0)
+    return search.search(docs, none, _QUERY, 20, type="en").select("term_id", F.round("score", 6).alias("score"))
+
+
 @query("search_bm25plus", f"""WITH {_CORPUS_SQL}, own AS (SELECT * FROM fields WHERE type = 'SMALL'), tok AS (SELECT term_id, w, unnest(regexp_extract_all(lower(text), '[A-Za-z0-9]+')) AS token FROM own),
  tf AS (SELECT term_id, token, sum(w) AS tf FROM tok GROUP BY ALL), dl AS (SELECT term_id, sum(w) AS dl FROM tok GROUP BY term_id), st AS (SELECT count(*) AS n, avg(dl) AS avgdl FROM dl),
  df AS (SELECT token, count(*) AS df FROM tf WHERE token IN ('red', 'widget') GROUP BY token),

@@ -8,3 +8,8 @@ def test_every_customer_with_an_experiment_is_mapped(spark, sf_dir):
     want = {f"GSM{r.c_custkey}" for r in driver.table(spark, sf_dir, "customer").collect() if r.c_custkey % 10}
     assert {r.entry for r in out.where("archive_id like 'SRX%'").collect()} == want
     assert out.where("archive_id like 'SRR%'").count()
+
+
+def test_documents_of_every_language_are_scored(spark, sf_dir):
+    assert driver.QUERIES["search_documents_all"](spark, sf_dir).count() == driver.table(spark, sf_dir, "documents").count()
+    assert driver.QUERIES["search_documents_typed"](spark, sf_dir).count() == 20
