@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from claimgrid import sinks
 from claimgrid.functions import scalar as S
 from claimgrid.operators import aggregate, curate, filters, integrate, ontology, report, reshape, search
-from claimgrid.schema import CONTROL_ID, CROWD, EXPERT
+from claimgrid.schema import AGE_GROUPS, CONTROL_ID, CROWD, EXPERT, ORGANISMS
 from claimgrid.sources.processors import AGE_LAYOUTS, described_age, described_sex  # noqa: F401
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -677,6 +677,22 @@ def contract_violations(spark, sf_dir):
     return report.violations(own, own.select("entry", F.lit("homo sapiens").alias("organism")).limit(0), level="series")
 
 
+# Claims of all attributes, some with another evidence code or age group, so that every rule is broken somewhere.
+_CONTRACT_SQL = f"""WITH {_claims_sql()}, {_ENTRIES_SQL}, own AS (SELECT entry, attribute, source, CASE WHEN source = 'S7' THEN 'guess' ELSE ecode END AS ecode, CASE WHEN attribute = 'age' AND source = 'S5' THEN 'elder' ELSE term_id END AS term FROM claims),
+ ruled AS (SELECT entry, term AS value, CASE WHEN ecode NOT IN ('expert-curated', 'crowd-sourced') THEN 'ecode' WHEN attribute = 'tissue' AND split_part(term, ':', 1) NOT IN ('UBERON', 'CL') THEN 'tissue ontology' WHEN attribute = 'disease' AND split_part(term, ':', 1) <> 'MONDO' THEN 'disease ontology' WHEN attribute = 'sex' AND term NOT IN ('M', 'F') THEN 'sex' WHEN attribute = 'age' AND term NOT IN {_in([g for g, _, _ in AGE_GROUPS])} THEN 'age group' END AS rule FROM own WHERE term IS NOT NULL),
+ many AS (SELECT entry, 'several values of ' || attribute AS rule, count(DISTINCT term) AS n FROM own WHERE attribute IN ('sex', 'age') GROUP BY entry, attribute, source HAVING count(DISTINCT term) > 1),
+ once AS (SELECT entry, rule, value FROM ruled WHERE rule IS NOT NULL UNION ALL SELECT entry, 'organism', organism FROM entries WHERE organism NOT IN {_in(sorted(ORGANISMS))})
+ SELECT 'sample' AS level, * FROM once UNION ALL SELECT 'sample', entry, rule, n::VARCHAR FROM many UNION ALL SELECT 'series', * FROM once"""
+
+
+@query("contract_violations_all", _CONTRACT_SQL)
+def contract_violations_all(spark, sf_dir):
+    """Every rule, at both levels, over the claims of all attributes and all entries."""
+    own = claims(spark, sf_dir).withColumns({"ecode": F.when(F.col("source") == "S7", "guess").otherwise(F.col("ecode")), "term_id": F.when((F.col("attribute") == "age") & (F.col("source") == "S5"), "elder").otherwise(F.col("term_id"))})
+    of = lambda level: report.violations(own, entries(spark, sf_dir), level=level).select(F.lit(level).alias("level"), "entry", "rule", "value")
+    return of("sample").unionByName(of("series"))
+
+
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Annotations of the targets, wide."""
     return annotate_wide(spark, sf_dir)

@@ -13,3 +13,9 @@ def test_every_customer_with_an_experiment_is_mapped(spark, sf_dir):
 def test_documents_of_every_language_are_scored(spark, sf_dir):
     assert driver.QUERIES["search_documents_all"](spark, sf_dir).count() == driver.table(spark, sf_dir, "documents").count()
     assert driver.QUERIES["search_documents_typed"](spark, sf_dir).count() == 20
+
+
+def test_every_rule_of_the_contract_is_broken(spark, sf_dir):
+    found = {(r.level, r.rule) for r in driver.QUERIES["contract_violations_all"](spark, sf_dir).select("level", "rule").distinct().collect()}
+    both = {"ecode", "tissue ontology", "disease ontology", "sex", "age group", "organism"}
+    assert found == {(x, r) for x in ("sample", "series") for r in both} | {("sample", f"several values of {a}") for a in ("sex", "age")}
