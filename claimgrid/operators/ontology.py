@@ -94,15 +94,24 @@ def closure(edges: DataFrame) -> DataFrame:
 
 
 def closure_sql(edges: DataFrame, levels: int = 100) -> DataFrame:
-    """The same by one recursive query: no jobs between rounds, but paths are counted along every way, so for shallow graphs."""
+    """The same by one recursive query: no jobs between rounds, but paths are counted along every way, so for shallow graphs.
+
+    It is run at once, as Spark's limit on the rows of a recursion (1,000,000) is lifted for this query alone.
+    """
     edges.createOrReplaceTempView("_edges")
     nodes(edges).createOrReplaceTempView("_nodes")
-    return edges.sparkSession.sql(
-        f"""WITH RECURSIVE walk(ancestor, descendant) MAX RECURSION LEVEL {levels} AS (
+    spark = edges.sparkSession
+    limit = spark.conf.get("spark.sql.cteRecursionRowLimit")
+    spark.conf.set("spark.sql.cteRecursionRowLimit", "-1")
+    try:
+        return spark.sql(
+            f"""WITH RECURSIVE walk(ancestor, descendant) MAX RECURSION LEVEL {levels} AS (
               SELECT term, term FROM _nodes
               UNION ALL SELECT w.ancestor, e.child FROM walk w JOIN _edges e ON w.descendant = e.parent)
             SELECT DISTINCT ancestor, descendant FROM walk"""
-    )
+        ).checkpoint()
+    finally:
+        spark.conf.set("spark.sql.cteRecursionRowLimit", limit)
 
 
 def closure_from_matrix(wide: DataFrame, row: str = "ancestor") -> DataFrame:
