@@ -6,16 +6,17 @@ import sys
 import tempfile
 import uuid
 
-from pyspark import StorageLevel
 from pyspark.cloudpickle import register_pickle_by_value
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-# Executors need no copy of this package: functions travel with the tasks.
+# Executors need no copy of this package: functions travel with the tasks. Broadcast values are pickled by reference,
+# so they are plain arrays, tuples and dictionaries.
 register_pickle_by_value(sys.modules[__package__])
 
-#: Rows up to which a side of a join is broadcast once it has been counted; above, the join shuffles.
-BROADCAST_ROWS = 500_000
+#: Rows and bytes up to which a side of a join is broadcast once it has been counted; above, the join shuffles.
+BROADCAST_ROWS, BROADCAST_BYTES = 500_000, 64 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -28,16 +29,31 @@ def split_words(raw: bytes | None) -> list[bytes]:
 
 
 def shared_root(spark: SparkSession) -> str:
-    """The folder that driver and executors share, as a URI; one is made only where the cluster names none."""
+    """The folder that driver and executors share, as the session names it; a local one is made only in local mode."""
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not root:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         root = "file://" + tempfile.mkdtemp(prefix="claimgrid-")
+    if not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(root)
-    return root if "://" in root else "file://" + root.removeprefix("file:")
+    return root
 
 
 def shared_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_root(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    """A new URI in the shared folder, in one folder for each application, which goes when the application ends.
+
+    A root without a scheme lies in the cluster's default file system.
+    """
+    files = spark.sparkContext._jvm.org.apache.hadoop.fs
+    folder = files.Path(f"{shared_root(spark).rstrip('/')}/claimgrid-{spark.sparkContext.applicationId}")
+    store = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    folder = store.makeQualified(folder)
+    if not store.exists(folder):
+        store.mkdirs(folder)
+        store.deleteOnExit(folder)
+    uri = str(folder.toUri())
+    return f"{uri if '://' in uri else uri.replace(':/', ':///', 1)}/{name}-{uuid.uuid4().hex}"
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
@@ -47,12 +63,25 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def small_side(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
-    """df with a broadcast hint if it has at most ``rows`` rows; else as it is, for a shuffled join.
+def _bytes(name: str, kind: T.DataType) -> Column:
+    """About how many bytes a column's value takes."""
+    c = F.col(f"`{name}`")
+    if isinstance(kind, T.StringType | T.BinaryType):
+        return F.coalesce(F.octet_length(c), F.lit(0)) + 16
+    if isinstance(kind, T.ArrayType):
+        each = F.transform(c, lambda x: F.octet_length(x.cast("string")) + 8)
+        return F.coalesce(F.aggregate(each, F.lit(0), lambda s, x: s + x), F.lit(0)) + 24
+    return F.lit(16)
+
 
-    Meant for frames that are already written or cached, since it counts them (up to the bound only).
+def small_side(df: DataFrame, rows: int = BROADCAST_ROWS, size: int = BROADCAST_BYTES) -> DataFrame:
+    """df with a broadcast hint if it has at most ``rows`` rows and about ``size`` bytes; else as it is, for a shuffled join.
+
+    Meant for frames that are already written, since it counts them (up to the bound only).
     """
-    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+    width = sum((_bytes(f.name, f.dataType) for f in df.schema.fields), F.lit(0).cast("long"))
+    n, total = df.limit(rows + 1).agg(F.count("*"), F.sum(width)).first()
+    return F.broadcast(df) if n <= rows and (total or 0) <= size else df
 
 
 def bounded_sample(labels: DataFrame, most: int) -> DataFrame:
@@ -81,19 +110,20 @@ def connected_components(edges: DataFrame) -> DataFrame:
 
     Alternating large-star and small-star rounds; each is two aggregations with map-side minima and two joins
     on a node, so nothing holds a whole component, and a hot node is a skewed join that adaptive execution splits.
-    A round's edges are checkpointed. Rounds grow with the logarithm of the longest chain.
+    A round's edges are checkpointed. Rounds grow with the logarithm of the longest chain, and end when every node that
+    isn't a root has one edge, to a root: exactly then another round would change nothing.
     """
     shared_root(edges.sparkSession)
     now = edges.where("a is not null and b is not null and a <> b").select(
         F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")
     )
     now = now.distinct().checkpoint()
-    before = None
+    one, none = F.lit(1).alias("up"), F.lit(0).alias("up")
     while True:
-        size = now.agg(F.count("*"), F.sum(F.hash("a", "b").cast("long"))).first()
-        if size == before or not size[0]:
+        ends = now.select("a", one, F.lit(0).alias("down")).union(now.select("b", none, F.lit(1)))
+        ends = ends.groupBy("a").agg(F.sum("up").alias("up"), F.max("down").alias("down"))
+        if ends.where("up > 1 or (up = 1 and down = 1)").isEmpty():
             break
-        before = size
         both = now.union(now.select("b", "a"))
         least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
         large = both.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
@@ -101,7 +131,4 @@ def connected_components(edges: DataFrame) -> DataFrame:
         small = large.join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).union(least.select("a", "m"))
         now = small.where("a <> b").distinct().checkpoint()
     roots = now.select(F.col("a").alias("node"), F.col("b").alias("root"))
-    return roots.union(now.select("b", "b")).groupBy("node").agg(F.min("root").alias("root"))
-
-
-KEEP = StorageLevel.DISK_ONLY
+    return roots.union(now.select("b", "b").distinct())
