@@ -2,13 +2,14 @@
 
 A text's features are the distinct 32-bit hashes of its lower-cased words, of pairs of neighbours and of pairs that skip one
 word. Each coordinate has its own rate, and L1 keeps the weights sparse: what is trained fits a small broadcast array of
-(hash, weight). Training takes at most ``max_train`` labelled rows, the ones with the least hash of doc_id, so its one task is
-bounded at every size; features are made in parallel before. Rows of the held-out part are never looked at. Labels,
-language, source and doc_id aren't inputs of a score.
+(hash, weight). Training takes at most ``max_train`` labelled rows, the ones with the least hash of doc_id, and of these the
+first that have at most MAX_FEATURES features together, so its one task is bounded at every size; features are made in
+parallel before. Rows of the held-out part are never looked at. Labels, language, source and doc_id aren't inputs of a score.
 
 Defined cases: an empty or null text scores the intercept alone; a doc_id with several labels counts as toxic if one is 1,
-null labels are left out; without any labelled row every score is 0.5; repeated rows score alike; a null doc_id is scored
-and counts as not held out; an empty table gives an empty result; other columns are not looked at.
+null labels are left out; unless labelled rows of both kinds are there, nothing can be told: every score is 0 and ``clean``
+keeps all; repeated rows score alike; a null doc_id is scored and counts as not held out; doc_id may be of any type; an
+empty table gives an empty result; other columns are not looked at.
 """
 
 from __future__ import annotations
@@ -23,10 +24,12 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bounded_sample, packed, unpacked
+from .common import bounded_sample, packed, unpacked, written
 
 #: Most labelled rows that are trained on (in one task, in sequence), and passes over them.
 MAX_TRAIN, PASSES = 12_000, 6
+#: Most features of all rows that are trained on, four bytes each.
+MAX_FEATURES = 60_000_000
 ALPHA, BETA, L1, L2 = 3.0, 1.0, 4.0, 0.0
 FOLDS = 5
 _WORD = re.compile(r"\w+")
@@ -94,15 +97,22 @@ def train(rows: list[np.ndarray], labels: np.ndarray, seed: int = 0, passes: int
 
 
 class Model:
-    """Sparse weights by sorted hash."""
+    """Sparse weights by sorted hash. Without weights and intercept (None) it knows nothing and scores 0."""
 
-    def __init__(self, hashes: np.ndarray, weights: np.ndarray, intercept: float):
+    def __init__(self, hashes: np.ndarray, weights: np.ndarray, intercept: float | None):
         order = np.argsort(hashes)
         self.hashes, self.weights, self.intercept = hashes[order], weights[order], intercept
         self.maybe = np.zeros(1 << 16, bool)
         self.maybe[self.hashes & 0xFFFF] = True
 
+    @property
+    def plain(self) -> tuple[np.ndarray, np.ndarray, float | None]:
+        """What a broadcast carries."""
+        return self.hashes, self.weights, self.intercept
+
     def score(self, features: np.ndarray) -> float:
+        if self.intercept is None:
+            return 0.0
         total = self.intercept
         some = features[self.maybe[features & 0xFFFF]] if len(self.hashes) else features[:0]
         if len(some):
@@ -116,7 +126,7 @@ def fold():
     return F.crc32(F.col("doc_id").cast("string").cast("binary")) % FOLDS
 
 
-def fit(docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN) -> Model:
+def fit(docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN, max_features: int = MAX_FEATURES) -> Model:
     known = labels.where("doc_id is not null and toxic is not null").where(fold() != 0)
     known = known.groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     known = known.join(docs.select("doc_id").where("doc_id is not null").distinct(), "doc_id", "left_semi")
@@ -135,18 +145,26 @@ def fit(docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN) -> Model
         return pd.DataFrame({"hash": np.r_[hashes.astype(np.int64), -1], "weight": np.r_[weights, intercept]})
 
     rows = rows.select("doc_id", "text", F.col("toxic").cast("int").alias("toxic"))
-    made = rows.mapInArrow(features, "doc_id long, toxic int, f array<int>")
-    trained = made.groupBy(F.lit(0).alias("all")).applyInPandas(train_all, "hash long, weight double").toPandas()  # sparse weights
+    made = written(rows.mapInArrow(features, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, toxic int, f array<int>"), "toxicity-features")
+    sizes = made.groupBy("doc_id").agg(F.max("toxic").alias("toxic"), F.sum(F.size("f")).alias("n")).orderBy(F.xxhash64("doc_id"), "doc_id").toPandas()  # max_train rows of numbers
+    fit_in = sizes["n"].cumsum() <= max_features
+    if sizes["toxic"][fit_in].nunique() < 2:
+        return Model(np.empty(0, np.uint32), np.empty(0), None)
+    some = made
+    if not fit_in.all():
+        kept = docs.sparkSession.createDataFrame([(x,) for x in sizes["doc_id"][fit_in].tolist()], docs.select("doc_id").schema)
+        some = made.join(F.broadcast(kept), "doc_id", "left_semi")  # max_train ids at most
+    trained = some.groupBy(F.lit(0).alias("all")).applyInPandas(train_all, "hash long, weight double").toPandas()  # sparse weights
     own = trained["hash"].to_numpy() >= 0
     return Model(trained["hash"].to_numpy()[own].astype(np.uint32), trained["weight"].to_numpy(float)[own], float(trained["weight"][~own].sum()))
 
 
 def scored(docs: DataFrame, model: Model) -> DataFrame:
     """All columns of docs and ``_score``."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    shared = docs.sparkSession.sparkContext.broadcast(model.plain)
 
     def run(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        make, own = Features(), shared.value
+        make, own = Features(), Model(*shared.value)
         for part in texts:
             yield pd.Series([own.score(make(t)) for t in part], dtype=float)
 
@@ -160,6 +178,6 @@ def classify(docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN) ->
 
 
 def clean(docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN) -> DataFrame:
-    """docs without the texts that score 0.5 or more."""
+    """docs without the texts that score 0.5 or more; all of them if there is nothing to learn from."""
     mine = packed(docs, text=F.col("text"))
     return unpacked(scored(mine, fit(docs, labels, max_train)).where("_score < 0.5"), docs.columns)
