@@ -13,7 +13,7 @@ rules; repeated rows have equal results; an empty table gives an empty result; o
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import astuple, dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -177,12 +177,13 @@ def fit(stats: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN) -> Tree
 def judged(docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN) -> DataFrame:
     """doc_id, the counts, base_failed, kept, score for every row of docs."""
     stats = written(counted(docs), "quality-stats")
-    shared = docs.sparkSession.sparkContext.broadcast(fit(stats, labels, max_train))
+    shared = docs.sparkSession.sparkContext.broadcast(astuple(fit(stats, labels, max_train)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        trees = Trees(*shared.value)
         for b in batches:
             x = np.stack([b.column(c).to_numpy() for c in RATIOS], axis=1)
-            score = 1 / (1 + np.exp(-shared.value.margin(x)))
+            score = 1 / (1 + np.exp(-trees.margin(x)))
             yield pa.RecordBatch.from_arrays([*(b.column(c) for c in ("doc_id", *COUNTS)), pa.array(score)], names=["doc_id", *COUNTS, "score"])
 
     schema = f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, " + ", ".join(f"{c} long" for c in COUNTS) + ", score double"
