@@ -3,12 +3,13 @@
 Texts become arrays of 64-bit hashes of lower-cased words of letters and digits. A mask of SPAN places cares for some of them
 and ignores the others; every window of a text has a hash of the cared-for words for each mask. Hashes of test items are
 joined with those of training windows; a hit names an item and a diagonal (where in the document the item would begin). Each
-diagonal is verified once: word by word along the item, some VERIFY consecutive places (all, in shorter items) must
-agree in at least ``agree`` of them. The masks reach every diagonal that this accepts, for items of any length (an enumeration
+hit is verified word by word along its diagonal: some VERIFY consecutive places (all, in shorter items) must agree in
+at least ``agree`` of them. The masks hit within every run of places that this accepts, for items of any length (an enumeration
 in the tests proves it), so the seeds decide nothing. Substituted words are so tolerated, insertions split a passage into two diagonals.
 
-Windows are generated and joined within one stage, with no shuffle of the corpus, as long as the test items' hashes number
-at most BROADCAST_ROWS (counted before); beyond that the join is a shuffled one. Only verified diagonals are grouped.
+Items are dealt to blocks of about BLOCK seeds, as many blocks as the counted seeds need. A block's seeds and words are
+broadcast, and windows are generated, joined and verified within one stage: no shuffle carries the corpus, however many items
+there are; more items mean more scans. Only verified diagonals are grouped.
 
 Defined cases: a null text has no words; documents and items of fewer than SPAN words match nothing, being too short to tell
 from chance; repeated rows and items give one row for each (doc_id, item_id); null doc_ids are reported together under null;
@@ -17,6 +18,8 @@ an empty table on either side gives an empty result; other columns are not looke
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -28,6 +31,8 @@ SPAN = len(MASKS[0])
 #: With these, every placing of substitutions that VERIFY and AGREE accept leaves some mask a window whose places that count agree.
 ALL_MASKS = (*MASKS, "110011101", "111110001", "010111110", "001110111", "101111100")
 VERIFY, AGREE = 16, 0.8
+#: Seeds of a block on average; a block has more where one item has, for an item isn't split.
+BLOCK = 2_000_000
 
 
 def word_hashes(text: Column) -> Column:
@@ -43,32 +48,40 @@ def _seeds(words: DataFrame, keep: list[str], masks: tuple[str, ...]) -> DataFra
     return placed.select(*keep, "h", "place", F.explode(F.array(*(seed(m, mask) for m, mask in enumerate(masks)))).alias("seed"))
 
 
-def leaks(docs: DataFrame, items: DataFrame, keep: tuple[str, ...] = ("doc_id",), masks: tuple[str, ...] = ALL_MASKS, verify: int = VERIFY, agree: float = AGREE) -> DataFrame:
+def leaks(docs: DataFrame, items: DataFrame, keep: tuple[str, ...] = ("doc_id",), masks: tuple[str, ...] = ALL_MASKS, verify: int = VERIFY, agree: float = AGREE, block: int = BLOCK) -> DataFrame:
     """keep columns, item_id, agreeing (most agreeing places of a window), doc_place (where the item would begin)."""
-    test = items.select("item_id", word_hashes(F.col("text")).alias("h")).where(F.col("item_id").isNotNull()).distinct()
-    seeds = _seeds(test, ["item_id"], masks).select("seed", "item_id", F.col("place").alias("item_place")).distinct()
+    span = len(masks[0])
+    test = items.select("item_id", word_hashes(F.col("text")).alias("h")).where(F.col("item_id").isNotNull() & (F.size("h") >= span)).distinct()
+    test = written(test, "decontaminate-items")
+    seeds = test.agg(F.coalesce(F.sum(F.size("h") - (span - 1)), F.lit(0))).first()[0] * len(masks)
+    blocks = max(1, -(-seeds // block))
+    part = lambda i: test if blocks == 1 else test.where(F.pmod(F.xxhash64("item_id", "h"), F.lit(blocks)) == i)
     train = docs.select(*keep, word_hashes(F.col("text")).alias("h"))
-    windows = _seeds(train, [*keep], masks)
-    hits = windows.join(small_side(seeds), "seed").withColumn("diagonal", F.col("place") - F.col("item_place"))
-    lengths = test.select(F.col("item_id").alias("_i"), F.col("h").alias("item"))
-    # The document's words beside the longest item decide equality of diagonals; the item's own are joined later.
-    longest = int(test.agg(F.max(F.size("h"))).first()[0] or 0)
-    beside = F.slice("h", F.greatest(F.col("diagonal"), F.lit(0)) + 1, F.lit(max(longest, 1)))
-    found = hits.select(*keep, "item_id", "diagonal", beside.alias("beside")).distinct()
-    found = found.join(small_side(lengths), F.col("item_id") == F.col("_i"))
-    first = F.greatest(-F.col("diagonal"), F.lit(0))
-    own = F.slice("item", first + 1, F.size("item"))
-    n = F.least(F.size("beside"), F.size(own))
-    same = F.zip_with(F.slice("beside", F.lit(1), n), F.slice(own, F.lit(1), n), lambda a, b: (a == b).cast("int"))
-    found = found.withColumns({"same": same, "wide": F.least(F.lit(verify), F.size("item"))})
-    at = F.when(F.size("same") >= F.col("wide"), F.sequence(F.lit(1), F.size("same") - F.col("wide") + 1)).otherwise(F.array().cast("array<int>"))
-    sums = F.transform(at, lambda p: F.aggregate(F.slice("same", p, F.col("wide")), F.lit(0), lambda s, x: s + x))
-    found = found.withColumn("agreeing", F.array_max(sums)).where(F.col("agreeing") >= F.ceil(F.col("wide") * agree))
+    found = reduce(DataFrame.union, (_verified(train, part(i), keep, masks, verify, agree) for i in range(blocks)))
     best = F.max(F.struct("agreeing", (-F.col("diagonal")).alias("d"))).alias("b")
     found = found.groupBy(*keep, "item_id").agg(best)
     return found.select(*keep, "item_id", F.col("b.agreeing").alias("agreeing"), (-F.col("b.d")).alias("doc_place"))
 
 
+def _verified(train: DataFrame, test: DataFrame, keep: tuple[str, ...], masks: tuple[str, ...], verify: int, agree: float) -> DataFrame:
+    """keep columns, item_id, diagonal, agreeing of each accepted hit, for a block of items.
+
+    An accepted run of places has a hit inside, so it is enough to look at the runs around each hit: the work for a hit
+    doesn't grow with the text or the item.
+    """
+    seeds = _seeds(test, ["item_id"], masks).select("seed", "item_id", F.col("place").alias("item_place")).distinct()
+    hits = _seeds(train, [*keep], masks).join(F.broadcast(seeds), "seed")  # a block's seeds
+    hits = hits.join(F.broadcast(test.select(F.col("item_id").alias("_i"), F.col("h").alias("item"))), F.col("item_id") == F.col("_i"))  # a block's words
+    lead = F.least("place", "item_place", F.lit(verify - len(masks[0])))
+    most = lead + F.least(F.lit(verify), F.size("h") - F.col("place"), F.size("item") - F.col("item_place"))
+    same = F.zip_with(F.slice("h", F.col("place") - lead + 1, most), F.slice("item", F.col("item_place") - lead + 1, most), lambda a, b: (a == b).cast("int"))
+    found = hits.select(*keep, "item_id", (F.col("place") - F.col("item_place")).alias("diagonal"), F.least(F.lit(verify), F.size("item")).alias("wide"), same.alias("same"))
+    at = F.when(F.size("same") >= F.col("wide"), F.sequence(F.lit(1), F.size("same") - F.col("wide") + 1)).otherwise(F.array().cast("array<int>"))
+    sums = F.transform(at, lambda p: F.aggregate(F.slice("same", p, F.col("wide")), F.lit(0), lambda s, x: s + x))
+    found = found.withColumn("agreeing", F.array_max(sums)).where(F.col("agreeing") >= F.ceil(F.col("wide") * agree))
+    return found.select(*keep, "item_id", "diagonal", "agreeing")
+
+
 def decontaminate(docs: DataFrame, items: DataFrame, **how) -> DataFrame:
     """docs without the rows whose text shares a passage with an item.
 
