@@ -1,11 +1,11 @@
 """Secret scans: fixed patterns, and a guess-cost dynamic programme for values in credential contexts.
 
-The cost of a value is the least log10 of guesses over all ways to cut it into known words, dates, repeats, keyboard walks and
-brute-force spans: costs of pieces add up. A value that follows a credential word and costs at least ``MIN_COST`` is a
+The cost of a value is the least log10 of guesses over all ways to cut it into known words (by rank), dates, repeats of blocks of
+up to four characters, keyboard walks and brute-force spans: costs of pieces add up. A value that follows a credential word and costs at least ``MIN_COST`` is a
 secret. Base kinds: ``assign``, ``access`` and ``hex``; the programme adds kind ``guess`` for values in wider contexts
 (other credential words, or "is" or a blank instead of a sign) that no base span wholly covers. A context within a value that isn't
-a secret counts too. Only without a ":" or "=" letters in the case of a word (all small, all capital, or capitalised) are
-read as prose, whatever they cost.
+a secret counts too. Without a ":" or "=", letters in the case of a word (all small, all capital, or capitalised) are read as
+prose unless they cost PROSE_COST. A value ends at white space, quotes or separators, without closing points and brackets.
 
 Offsets are code points, ends exclusive. Defined cases: a null or empty text has no spans; matches of a kind don't overlap, the
 leftmost comes first; repeated rows have equal results; a null doc_id is a row like others; an empty table gives an empty
@@ -15,12 +15,14 @@ result; other columns are not looked at.
 from __future__ import annotations
 
 import hashlib
+import json
 import math
 import re
 from bisect import bisect_right
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from itertools import accumulate
 
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -36,20 +38,61 @@ VALUE = re.compile(r"""[^\s"'<>|,;]+""")
 _CONTEXT_WORDS = ("pass", "pwd", "pin", "secret", "token", "credential", "auth", "bearer", "key")
 _ASSIGN_WORDS = ("password", "passwd", "secret", "token", "apikey", "api_key")
 
-MIN_COST = 10.0
-# Frequent words of passwords, in order of rank.
+#: Most ranked words that are broadcast.
+MAX_WORDS = 1_000_000
+#: Least cost of a secret, and of letters alone without a sign, in the case of a word.
+MIN_COST, PROSE_COST = 10.0, 15.0
+# Frequent words of passwords, in order of rank. A longer ranked list can follow (``ranked``).
 WORDS = """password love iloveyou monkey dragon master hello freedom whatever trust shadow sunshine princess welcome login admin
 letmein football baseball superman batman starwars michael jordan jennifer hunter soccer killer pepper ginger summer winter spring
 autumn flower cookie cheese orange purple silver golden secret access system server change default guest test user root pass word
 token account number house water light night morning happy music magic money the and for you with this that have from your
 please required invalid missing reset forgot enter your new old here below above example sample string value none null true false""".split()
-RANK = {w: i + 1 for i, w in reversed(list(enumerate(WORDS)))}
-LONGEST_WORD = max(map(len, WORDS))
-# Rows of a keyboard.
-ROWS = ("1234567890", "qwertyuiop", "asdfghjkl", "zxcvbnm", "abcdefghijklmnopqrstuvwxyz")
-NEXT = {(a, b) for row in ROWS for a, b in zip(row, row[1:], strict=False)} | {(b, a) for row in ROWS for a, b in zip(row, row[1:], strict=False)}
+#: Most characters of a word, and of a repeat or walk that stops before its run does.
+LONGEST_WORD, LONGEST_PIECE = 24, 32
+# The rows of a keyboard from the top, each a little further right than the one above; and the alphabet.
+KEYBOARD = ("1234567890", "qwertyuiop", "asdfghjkl", "zxcvbnm")
+ALPHABET = "abcdefghijklmnopqrstuvwxyz"
 DATE = re.compile(r"(?:19|20)\d\d[-/._]?(?:0[1-9]|1[0-2])[-/._]?(?:0[1-9]|[12]\d|3[01])|(?:0?[1-9]|[12]\d|3[01])[-/._]?(?:0?[1-9]|1[0-2])[-/._]?(?:19|20)\d\d|(?:19|20)\d\d")
-LEET = str.maketrans("@431!05$7", "aaeiiosst"[:9])
+# Signs that stand for letters.
+LEET = str.maketrans("@431!05$7", "aaeiiosst")
+
+
+def _neighbours() -> dict[tuple[str, str], int]:
+    """Direction of a step from a key to a key beside it in two dimensions, or along the alphabet."""
+    steps = {}
+    place = {c: (r, i) for r, row in enumerate(KEYBOARD) for i, c in enumerate(row)}
+    for a, (r, i) in place.items():
+        for b, (q, j) in place.items():
+            if (q - r, j - i) in ((0, 1), (0, -1), (1, 0), (1, -1), (-1, 0), (-1, 1)):
+                steps[a, b] = (q - r) * 3 + j - i
+    for a, b in zip(ALPHABET, ALPHABET[1:], strict=False):
+        steps.setdefault((a, b), 10)
+        steps.setdefault((b, a), 11)
+    return steps
+
+
+STEPS = _neighbours()
+
+
+def ranked(words: Iterable[str]) -> dict[str, int]:
+    """Rank from 1 of words by their order, after those of WORDS; lower-cased, 3 to LONGEST_WORD characters."""
+    out: dict[str, int] = {}
+    for w in (*WORDS, *words):
+        if 3 <= len(w) <= LONGEST_WORD:
+            out.setdefault(w.lower(), len(out) + 1)
+    return out
+
+
+def ranked_of_vocabulary(path: str, end: str = "</w>") -> dict[str, int]:
+    """The whole words of a tokenizer's vocabulary file: ids follow the frequency of its merges, so they rank words."""
+    with open(path, encoding="utf-8") as f:
+        vocab = json.load(f)["model"]["vocab"]
+    whole = [t.removesuffix(end) for t in sorted(vocab, key=vocab.get) if t.endswith(end)]
+    return ranked(w for w in whole if w.isascii() and w.isalpha())
+
+
+RANKS = ranked(())
 
 
 def brute(ch: str) -> float:
@@ -57,52 +100,81 @@ def brute(ch: str) -> float:
     return 1.0 if ch.isdigit() else 1.15 if ch.islower() else 1.3 if ch.isupper() else 1.5
 
 
-def guess_cost(value: str) -> float:
-    """The least log10 of guesses over all segmentations; time is linear in the length of value, for pieces are bounded or maximal."""
+def word_cost(piece: str, rank: int, swapped: bool) -> float:
+    """A word's rank, where its capitals are, and whether signs stand for letters."""
+    upper = sum(c.isupper() for c in piece)
+    case = 0.0 if not upper else 0.3 if upper in (1, len(piece)) else 0.3 * min(upper, len(piece) - upper) + 0.3
+    return 0.3 + math.log10(rank + 1) + case + (0.5 if swapped else 0.0)
+
+
+def date_cost(piece: str) -> float:
+    return math.log10(120) if len(piece) == 4 else math.log10(120 * 365) + 0.3
+
+
+def repeat_cost(block: str, times: int) -> float:
+    return sum(map(brute, block)) + math.log10(times) + 0.3
+
+
+def walk_cost(n: int, turns: int) -> float:
+    """The first key, the length, and the way at each turn."""
+    return 1.6 + math.log10(n) + 0.7 * turns
+
+
+def pieces(value: str, ranks: dict[str, int] = RANKS) -> Iterator[tuple[int, int, float]]:
+    """(start, end, cost) of all pieces that a segmentation may use, by start. Those from one start are bounded in number:
+    repeats and walks end after at most LONGEST_PIECE characters or with their run."""
     n, low = len(value), value.lower()
+    if len(low) != n:  # a letter whose small form has two characters
+        low = "".join(c if len(c.lower()) != 1 else c.lower() for c in value)
     plain = low.translate(LEET)
-    best = [0.0] + [math.inf] * n
-    dates: dict[int, list[int]] = {}
-    for i in range(n):
-        if value[i].isdigit() and (m := DATE.match(value, i)):
-            dates.setdefault(i, []).append(m.end())
-    repeat = [0] * (n + 1)  # how long the run of one character is that starts here
-    walk = [0] * (n + 1)
+    runs = [[0] * (n + 1) for _ in range(5)]  # how far characters are equal to those k places on
+    walk = [1] * (n + 1)
     for i in range(n - 1, -1, -1):
-        repeat[i] = 1 + (repeat[i + 1] if i + 1 < n and value[i] == value[i + 1] else 0)
-        walk[i] = 1 + (walk[i + 1] if i + 1 < n and (low[i], low[i + 1]) in NEXT else 0)
+        for k in range(1, 5):
+            runs[k][i] = runs[k][i + 1] + 1 if i + k < n and value[i] == value[i + k] else 0
+        walk[i] = walk[i + 1] + 1 if i + 1 < n and (low[i], low[i + 1]) in STEPS else 1
     for i in range(n):
-        cost = best[i]
-
-        def offer(end: int, more: float, cost: float = cost) -> None:
-            if cost + more < best[end]:
-                best[end] = cost + more
-
-        offer(i + 1, brute(value[i]))
+        yield i, i + 1, brute(value[i])
         for k in range(3, min(LONGEST_WORD, n - i) + 1):
-            for text, extra in ((low[i : i + k], 0.0), (plain[i : i + k], 0.5)):
-                if text in RANK:
-                    upper = sum(c.isupper() for c in value[i : i + k])
-                    offer(i + k, 0.3 + math.log10(RANK[text] + 1) + extra + (0 if not upper else 0.3 if upper in (1, k) else 0.3 * min(upper, k - upper) + 0.3))
-        for end in dates.get(i, ()):
-            offer(end, math.log10(120) if end - i == 4 else math.log10(120 * 365) + 0.3)
-        if repeat[i] >= 3:
-            offer(i + repeat[i], brute(value[i]) + math.log10(repeat[i]) + 0.3)
-        if walk[i] >= 3:
-            offer(i + walk[i], 1.3 + math.log10(walk[i]) + 0.5)
-    return best[n]
-
-
-def _prose(text: str, m: re.Match, end: int) -> bool:
-    """Without a sign, "compass", "spin" and the like are no credential words, and letters in the case of a word no value."""
+            for text, swapped in ((low[i : i + k], False), (plain[i : i + k], True)):
+                if text in ranks:
+                    yield i, i + k, word_cost(value[i : i + k], ranks[text], swapped)
+        if value[i].isdigit() and (m := DATE.match(value, i)):
+            yield i, m.end(), date_cost(m[0])
+        for k in range(1, 5):
+            most, least = runs[k][i] // k + 1, 3 if k == 1 else 2
+            for times in {*range(least, min(most, LONGEST_PIECE // k) + 1), most}:
+                if times >= least:
+                    yield i, i + k * times, repeat_cost(value[i : i + k], times)
+        turns, way = 0, None
+        for m in range(2, min(walk[i], LONGEST_PIECE) + 1):
+            step = STEPS[low[i + m - 2], low[i + m - 1]]
+            turns, way = turns + (way is not None and step != way), step
+            if m >= 3:
+                yield i, i + m, walk_cost(m, turns)
+
+
+def guess_cost(value: str, ranks: dict[str, int] = RANKS) -> float:
+    """The least log10 of guesses over all segmentations; time is linear in the length of value."""
+    best = [0.0] + [math.inf] * len(value)
+    for i, end, more in pieces(value, ranks):
+        if best[i] + more < best[end]:
+            best[end] = best[i] + more
+    return best[-1]
+
+
+def _least(text: str, m: re.Match, end: int) -> float:
+    """The cost from which a value is a secret. Without a sign, "compass", "spin" and the like are no credential words, and
+    letters in the case of a word must cost more."""
     if m[2]:
-        return False
+        return MIN_COST
     value = text[m.end() : end]
-    glued = m.start() > 0 and text[m.start() - 1].isalpha() and m[1].lower() in ("pass", "pin", "auth", "bearer")
-    return glued or value.isalpha() and (value[1:].islower() or value.isupper() or value == value.swapcase())
+    if m.start() > 0 and text[m.start() - 1].isalpha() and m[1].lower() in ("pass", "pin", "auth", "bearer"):
+        return math.inf
+    return PROSE_COST if value.isalpha() and (value[1:].islower() or value.isupper() or value == value.swapcase()) else MIN_COST
 
 
-def spans(text: str | None) -> list[tuple[int, int, str, int]]:
+def spans(text: str | None, ranks: dict[str, int] = RANKS) -> list[tuple[int, int, str, int]]:
     """(start, place of the kind, kind, end) of all spans, in order."""
     if not text:
         return []
@@ -120,10 +192,11 @@ def spans(text: str | None) -> list[tuple[int, int, str, int]]:
             s = m.end()
             if s >= stop:
                 stop = VALUE.match(text, s).end()
-                end = stop - (len(tail := text[s:stop]) - len(tail.rstrip(".!?:)]}#*$%&")))
-            if s < done or end - s < 6 or end <= furthest[bisect_right(base, (s, math.inf))] or _prose(text, m, end):
+                end = stop - (len(tail := text[s:stop]) - len(tail.rstrip(".:)]}")))
+            if s < done or end - s < 6 or end <= furthest[bisect_right(base, (s, math.inf))]:
                 continue
-            if guess_cost(text[s:end]) >= MIN_COST:
+            least = _least(text, m, end)
+            if least < math.inf and guess_cost(text[s:end], ranks) >= least:
                 found.append((s, 3, "guess", end))
                 done = end
     return sorted(found)
@@ -133,50 +206,59 @@ def joined(found: list[tuple[int, int, str, int]]) -> str:
     return ",".join(f"{k}:{s}:{e}" for s, _, k, e in found)
 
 
-def scanned(docs: DataFrame, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
-    """keep columns and ``found``, an array of (kind, start, end), one row for each row of docs."""
-    n = len(keep)
+def _shared(docs: DataFrame, words: dict[str, int] | None):
+    """A function that gives the ranks in a task."""
+    if words is None:
+        return lambda: RANKS
+    if len(words) > MAX_WORDS:
+        raise ValueError(f"more than {MAX_WORDS} ranked words")
+    shared = docs.sparkSession.sparkContext.broadcast(words)
+    return lambda: shared.value
+
+
+def scanned(docs: DataFrame, keep: tuple[str, ...] = ("doc_id",), words: dict[str, int] | None = None) -> DataFrame:
+    """keep columns and ``found``, an array of (kind, start, end), one row for each row of docs.
+
+    words: ranks of known words, MAX_WORDS at most, which are broadcast (default: those of WORDS).
+    """
+    n, ranks = len(keep), _shared(docs, words)
     kind = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64())]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = ranks()
         for b in batches:
-            rows = [[{"kind": k, "start": s, "end": e} for s, _, k, e in spans(x.as_py())] for x in b.column(n)]
+            rows = [[{"kind": k, "start": s, "end": e} for s, _, k, e in spans(x.as_py(), own)] for x in b.column(n)]
             yield pa.RecordBatch.from_arrays([*b.columns[:n], pa.array(rows, kind)], names=[*keep, "found"])
 
     schema = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in keep) + ", found array<struct<kind: string, start: long, `end`: long>>"
     return docs.select(*keep, F.col("text").cast("string").alias("text")).mapInArrow(run, schema)
 
 
-def digests(docs: DataFrame) -> DataFrame:
+def digests(docs: DataFrame, words: dict[str, int] | None = None) -> DataFrame:
     """doc_id, n_assign, n_access, n_hex, base_sha256, spans, n_guess of every row of docs."""
     show = lambda a: F.array_join(F.transform(a, lambda x: F.concat_ws(":", x["kind"], x["start"].cast("string"), x["end"].cast("string"))), ",")
     n = lambda k: F.size(F.filter("found", lambda x: x["kind"] == k)).cast("long").alias(f"n_{k}")
     base = show(F.filter("found", lambda x: x["kind"] != "guess"))
-    return scanned(docs).select("doc_id", n("assign"), n("access"), n("hex"), F.sha2(base, 256).alias("base_sha256"), show(F.col("found")).alias("spans"), n("guess"))
+    return scanned(docs, words=words).select("doc_id", n("assign"), n("access"), n("hex"), F.sha2(base, 256).alias("base_sha256"), show(F.col("found")).alias("spans"), n("guess"))
 
 
-def redact(docs: DataFrame, mask: str = "*") -> DataFrame:
-    """docs with every span of ``text`` replaced by as many mask characters."""
+def redacted(text: str | None, ranks: dict[str, int] = RANKS, mask: str = "*") -> str | None:
+    """The text with as many mask characters for every span; spans may overlap."""
+    for s, _, _, e in spans(text, ranks):
+        text = text[:s] + mask * (e - s) + text[e:]
+    return text
 
-    def run(texts):
-        import pandas as pd
 
-        for part in texts:
-            out = []
-            for t in part:
-                for s, _, _, e in reversed(spans(t)):
-                    t = t[:s] + mask * (e - s) + t[e:]
-                out.append(t)
-            yield pd.Series(out, dtype=object)
+def redact(docs: DataFrame, mask: str = "*", words: dict[str, int] | None = None) -> DataFrame:
+    """docs with every span of ``text`` replaced by as many mask characters; a null text stays null."""
+    ranks = _shared(docs, words)
 
-    return docs.withColumn("text", F.pandas_udf(_typed(run), "string")(F.col("text")))
-
-
-def _typed(run):
-    import pandas as pd
+    def run(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        own = ranks()
+        for part in texts:
+            yield pd.Series([redacted(t, own, mask) for t in part], dtype=object)
 
-    run.__annotations__ = {"texts": Iterator[pd.Series], "return": Iterator[pd.Series]}
-    return run
+    return docs.withColumn("text", F.pandas_udf(run, "string")(F.col("text")))
 
 
 def base_digest(text: str | None) -> str:
