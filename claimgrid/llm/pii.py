@@ -4,10 +4,14 @@ Validated values are replaced within their format by a keyed permutation of all
 (mod 97), social security numbers, calendar dates, IPv4 addresses, phone numbers and e-mail addresses. A value is ranked as
 a number below the format's size, a Feistel network permutes the numbers (cycle walking keeps them in range), and the
 result is written in the same layout with its check digits made anew. The permutation depends on the key and the format
-alone: no table of values is kept, nothing is shuffled, and whoever holds the key can go back (``restore``).
+alone: no table of values is kept, nothing is shuffled, and whoever holds the key can go back (``restore``). There is no
+key in the code: the caller names one, from the session's setting KEY_SETTING or from elsewhere.
 
-Defined cases: a null text stays null, an empty one empty; values that fail their check stay as they are; cards and IBANs
-end where a group of their run ends, an IBAN at its country's length, others at the longest valid end; of overlapping values
+A day keeps its pseudonym in every layout, and so do e-mail addresses that differ in the case of letters. For that, days
+up to the 12th, which some layouts can't tell from months, are permuted among themselves, and addresses in small letters.
+
+Defined cases: dates of the years 1900 to 2099 stay in these years, others become others; a null text stays null, an empty
+one empty; values that fail their check stay as they are; cards and IBANs end where a group of their run ends, an IBAN at its country's length, others at the longest valid end; of overlapping values
 the leftmost counts; repeated rows have equal results; a null doc_id is a row like others; an empty table gives an empty
 result; other columns of docs are kept.
 """
@@ -17,14 +21,16 @@ from __future__ import annotations
 import datetime
 import hashlib
 import re
+import secrets
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-KEY, ROUNDS = "claimgrid", 8
-DAYS = (datetime.date(1900, 1, 1).toordinal(), datetime.date(2099, 12, 31).toordinal())
+KEY_SETTING, ROUNDS = "spark.claimgrid.pii.key", 8
+DAYS = range(datetime.date(1900, 1, 1).toordinal(), datetime.date(2100, 1, 1).toordinal())
+EVERY_DAY = range(1, datetime.date.max.toordinal() + 1)
 KINDS = ("email", "iban", "card", "ssn", "date", "ip", "phone")
 # The layouts that are looked for, in order of precedence.
 _LAYOUTS = (
@@ -51,7 +57,7 @@ UA29 VA22 VG24 XK20 YE30""".split()}
 class Permuter:
     """Keyed permutations of 0..n-1, one for each (tweak, n)."""
 
-    def __init__(self, key: str = KEY):
+    def __init__(self, key: str):
         self.key = hashlib.sha256(key.encode()).digest()
 
     def __call__(self, value: int, n: int, tweak: str, back: bool = False) -> int:
@@ -103,8 +109,10 @@ def permuted_text(text: str, tweak: str, f: Permuter, back: bool) -> str:
 
 
 def email(s: str, f: Permuter, back: bool) -> str | None:
+    """Capitals are where they were, and of no effect on the rest."""
     name, _, top = s.rpartition(".")
-    return permuted_text(name, "email", f, back) + "." + top
+    new = permuted_text(name.lower(), "email", f, back)
+    return "".join(c.upper() if old.isupper() else c for c, old in zip(new, name, strict=True)) + "." + top
 
 
 def card(s: str, f: Permuter, back: bool) -> str | None:
@@ -141,26 +149,29 @@ def ssn(s: str, f: Permuter, back: bool) -> str | None:
     return refill(s, f"{n:09d}")
 
 
+def moved_day(day: datetime.date, f: Permuter, back: bool) -> datetime.date:
+    """Another day that is like the first within 1900 to 2099 or not, and within the first twelve days of a month or not."""
+    near = day.toordinal() in DAYS
+    every, kind = (DAYS, "date") if near else (EVERY_DAY, "far date")
+    value = day.toordinal() - every[0]
+    while True:
+        value = f(value, len(every), kind, back)
+        new = datetime.date.fromordinal(every[0] + value)
+        if (new.day > 12) == (day.day > 12) and (near or new.toordinal() not in DAYS):
+            return new
+
+
 def date(s: str, f: Permuter, back: bool) -> str | None:
+    """Months come first where both readings are days, but with points days do."""
     a, b, c = (int(x) for x in re.split(r"[-/.]", s))
-    for year, month, day, order in ((a, b, c, "ymd"),) if a > 99 else ((c, a, b, "mdy"), (c, b, a, "dmy")):
-        if order == "mdy" and "." in s:
-            continue
+    readings = [(a, b, c, "ymd")] if s[4:5] in ("-", "/") else [(c, b, a, "dmy")] if "." in s else [(c, a, b, "mdy"), (c, b, a, "dmy")]
+    for year, month, day, order in readings:
         try:
-            day_number = datetime.date(year, month, day).toordinal()
+            new = moved_day(datetime.date(year, month, day), f, back)
         except ValueError:
             continue
-        if not DAYS[0] <= day_number <= DAYS[1]:
-            return None
-        n = DAYS[1] - DAYS[0] + 1
-        value = day_number - DAYS[0]
-        while True:
-            value = f(value, n, "date", back)
-            new = datetime.date.fromordinal(DAYS[0] + value)
-            parts = {"y": f"{new.year:04d}", "m": f"{new.month:02d}", "d": f"{new.day:02d}"}
-            # a day-first date must not be readable as month-first, or the way back would be lost
-            if order != "dmy" or "." in s or new.day > 12:
-                return refill(s, "".join(parts[x] for x in order))
+        parts = {"y": f"{new.year:04d}", "m": f"{new.month:02d}", "d": f"{new.day:02d}"}
+        return refill(s, "".join(parts[x] for x in order))
     return None
 
 
@@ -233,7 +244,17 @@ def pseudonyms(text: str | None, f: Permuter, back: bool = False) -> tuple[str |
     return "".join(out) + text[at:], kinds
 
 
-def pseudonymise(docs: DataFrame, key: str = KEY, back: bool = False) -> DataFrame:
+def session_key(spark: SparkSession) -> str:
+    """The key of KEY_SETTING. Without one, a random key is made for this session: values are linked within it, and there is
+    no way back once it ends."""
+    key = spark.conf.get(KEY_SETTING, None)
+    if not key:
+        key = secrets.token_hex(32)
+        spark.conf.set(KEY_SETTING, key)
+    return key
+
+
+def pseudonymise(docs: DataFrame, key: str, back: bool = False) -> DataFrame:
     """docs with pseudonyms in ``text``, and ``n_<kind>`` for each kind and ``n_values``; other columns as they are.
 
     A column of docs that already has such a name is replaced.
@@ -257,5 +278,5 @@ def pseudonymise(docs: DataFrame, key: str = KEY, back: bool = False) -> DataFra
     return out.select(*(F.col(f"`{c}`") for c in docs.columns if c not in added), *added)
 
 
-def restore(docs: DataFrame, key: str = KEY) -> DataFrame:
+def restore(docs: DataFrame, key: str) -> DataFrame:
     return pseudonymise(docs, key, back=True)
