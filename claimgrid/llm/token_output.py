@@ -2,21 +2,23 @@
 
 Documents are range-partitioned and sorted by doc_id. A task encodes its texts, appends the end id and packs the ids into
 rows of ``length`` tokens; it writes them as an Arrow IPC file whose batches hold two fixed-size lists: ``ids`` and ``mask``
-(false on the padding that fills a file's last row). Batches have equal row counts, so row r lies in batch r // rows at
-r % rows, and a memory map gives its ids and mask without a copy. A second file has each document's id, start and length.
-File names carry the attempt; only files named in the manifest, which finished tasks return, belong to the output, so
-repeated or lost tasks do no harm.
+(a byte each: 1, and 0 on the padding that fills a file's last row). Batches have equal row counts, so row r lies in batch
+r // rows at r % rows, and a memory map gives its ids and mask without a copy. A second file has each document's id, start
+and length. File names carry the attempt; only files named in the manifest, which finished tasks return, belong to the
+output, so repeated or lost tasks do no harm, and files of other attempts are removed in the end.
 
-Words between ASCII white space are encoded by the tokenizers library and remembered by each task: the tokenizer drops white
-space and none of its rules reach across it, so a text's ids are those of its words in turn. It lower-cases too, so words
-are remembered in lower case.
+Where the tokenizer's own file says that it lower-cases, drops white space and closes words by a suffix, words between ASCII
+white space are encoded once and remembered by each task, in small letters: none of its rules reach across white space, so
+a text's ids are those of its words in turn. With any other tokenizer whole texts are encoded.
 
 Defined cases: a null text is empty and yields the end id alone; equal doc_ids are ordered by text hash; a null doc_id comes
-first; an empty table gives no rows; other columns are not looked at.
+first; doc_id may be of any type that has an order; an empty table gives no rows; other columns are not looked at.
 """
 
 from __future__ import annotations
 
+import json
+import os
 import uuid
 import zlib
 from collections.abc import Iterator
@@ -27,6 +29,7 @@ import pyarrow.fs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from .common import shared_path, split_words
 
@@ -35,23 +38,51 @@ END_ID, LENGTH, ROWS = 2, 1024, 256
 REMEMBER, WORDS_AT_ONCE = 600_000, 200_000
 
 
+# The normalizers and the split of a tokenizer whose words can be encoded one by one.
+_NORMALIZERS = ("NFC", "Replace", "Lowercase")
+_SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+
+
+def splits_at_spaces(config: dict) -> bool:
+    """Whether a tokenizer's file says that it lower-cases, folds white space, drops it and closes each piece by a suffix."""
+    normalizers = (config.get("normalizer") or {}).get("normalizers") or []
+    splits = (config.get("pre_tokenizer") or {}).get("pretokenizers") or [{}]
+    model, folds = config.get("model") or {}, [n for n in normalizers if n["type"] == "Replace"]
+    return (
+        tuple(n["type"] for n in normalizers) == _NORMALIZERS
+        and [(n["pattern"], n["content"]) for n in folds] == [({"Regex": r"\s+"}, " ")]
+        and [x.get("type") for x in splits] == ["Split", "ByteLevel"]
+        and (splits[0]["pattern"], splits[0]["behavior"], splits[0]["invert"]) == ({"Regex": _SPLIT}, "Removed", True)
+        and not splits[1]["add_prefix_space"]
+        and (model.get("type"), model.get("end_of_word_suffix"), model.get("dropout")) == ("BPE", "</w>", None)
+        and all(t["content"].startswith("<|") for t in config.get("added_tokens") or [])
+    )
+
+
+def facts(path: str) -> tuple[bool, np.ndarray]:
+    """Of a tokenizer's file, once for all tasks: whether words can be encoded one by one, and which ids close a word."""
+    with open(path, encoding="utf-8") as f:
+        config = json.load(f)
+    vocab = config["model"].get("vocab", {})
+    vocab = vocab if isinstance(vocab, dict) else {x[0]: i for i, x in enumerate(vocab)}
+    closes = np.zeros(1 + max([*vocab.values(), *(t["id"] for t in config.get("added_tokens") or [])], default=0), bool)
+    closes[[i for t, i in vocab.items() if t.endswith("</w>")]] = True
+    return splits_at_spaces(config), closes
+
+
 class Encoder:
     """ids of whole texts as little-endian bytes of ``dtype``."""
 
-    def __init__(self, path: str):
-        import os
-
+    def __init__(self, path: str, known: tuple[bool, np.ndarray] | None = None):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
-        self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size(with_added_tokens=True) <= 1 << 16 else "<u4")
+        self.by_word, self.closes = known or facts(path)
+        self.dtype = np.dtype("<u2" if len(self.closes) <= 1 << 16 else "<u4")
         self.batch = getattr(self.tokenizer, "encode_batch_fast", self.tokenizer.encode_batch)
-        vocab = self.tokenizer.get_vocab(with_added_tokens=True)
-        self.closes = np.zeros(max(vocab.values()) + 1, bool)
-        self.closes[[i for t, i in vocab.items() if t.endswith("</w>")]] = True
         self.known: dict[bytes, bytes] = {}
 
     def _ids(self, texts: list[str]) -> list[list[int]]:
@@ -92,6 +123,10 @@ class Encoder:
 
     def many(self, raws: list[bytes | None]) -> Iterator[bytes]:
         """ids of each text, learning new words of many texts at once."""
+        if not self.by_word:
+            for raw in raws:
+                yield np.array(self._ids([(raw or b"").decode()])[0], self.dtype).tobytes()
+            return
         split, n = [], 0
         for raw in raws:
             # Capitals and small letters have the same ids, but for the tokenizer's special strings.
@@ -115,29 +150,31 @@ class Encoder:
 
 
 def _schema(dtype: np.dtype, length: int) -> pa.Schema:
-    return pa.schema([("ids", pa.list_(pa.from_numpy_dtype(dtype), length)), ("mask", pa.list_(pa.bool_(), length))])
+    return pa.schema([("ids", pa.list_(pa.from_numpy_dtype(dtype), length)), ("mask", pa.list_(pa.uint8(), length))])
 
 
 def _pack(flat: np.ndarray, real: int, length: int, schema: pa.Schema) -> pa.RecordBatch:
-    mask = np.arange(len(flat)) < real
+    mask = (np.arange(len(flat)) < real).view(np.uint8)
     lists = [pa.FixedSizeListArray.from_arrays(pa.array(flat), length), pa.FixedSizeListArray.from_arrays(pa.array(mask), length)]
     return pa.RecordBatch.from_arrays(lists, schema=schema)
 
 
-INDEX = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("n_tokens", pa.int64())])
+def _index(kind: pa.DataType) -> pa.Schema:
+    return pa.schema([("doc_id", kind), ("start", pa.int64()), ("n_tokens", pa.int64())])
 
 
 def write(docs: DataFrame, out: str, tokenizer: str, end_id: int = END_ID, length: int = LENGTH, rows: int = ROWS) -> list[tuple]:
     """Writes docs under the URI out; the manifest: (file, index file, first token's place, tokens), in order."""
+    kind, known = to_arrow_type(docs.schema["doc_id"].dataType), facts(tokenizer)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(tokenizer)
+        encoder = Encoder(tokenizer, known)
         fs, base = pa.fs.FileSystem.from_uri(out)
         name = f"part-{TaskContext.get().partitionId():06d}-{uuid.uuid4().hex}"
-        schema, end = _schema(encoder.dtype, length), np.array([end_id], encoder.dtype).tobytes()
+        schema, index_schema, end = _schema(encoder.dtype, length), _index(kind), np.array([end_id], encoder.dtype).tobytes()
         step, place, held = length * rows * encoder.dtype.itemsize, 0, bytearray()
         fs.create_dir(base, recursive=True)
-        with fs.open_output_stream(f"{base}/{name}.arrow") as sink, fs.open_output_stream(f"{base}/{name}.index.arrow") as index_sink, pa.ipc.new_file(sink, schema) as writer, pa.ipc.new_file(index_sink, INDEX) as index:
+        with fs.open_output_stream(f"{base}/{name}.arrow") as sink, fs.open_output_stream(f"{base}/{name}.index.arrow") as index_sink, pa.ipc.new_file(sink, schema) as writer, pa.ipc.new_file(index_sink, index_schema) as index:
             for b in batches:
                 sizes = []
                 for ids in encoder.many(b.column(1).to_pylist()):
@@ -148,17 +185,18 @@ def write(docs: DataFrame, out: str, tokenizer: str, end_id: int = END_ID, lengt
                         writer.write_batch(_pack(np.frombuffer(bytes(held[:step]), encoder.dtype), length * rows, length, schema))
                         del held[:step]
                 ends = place + np.cumsum(np.array(sizes, np.int64))
-                index.write_batch(pa.RecordBatch.from_arrays([b.column(0), pa.array(ends - sizes), pa.array(sizes, pa.int64())], schema=INDEX))
+                index.write_batch(pa.RecordBatch.from_arrays([b.column(0).cast(kind), pa.array(ends - sizes), pa.array(sizes, pa.int64())], schema=index_schema))
                 place = int(ends[-1]) if sizes else place
             if held:
                 flat = np.frombuffer(bytes(held), encoder.dtype)
                 writer.write_batch(_pack(np.concatenate([flat, np.zeros(-len(flat) % length, encoder.dtype)]), len(flat), length, schema))
         yield pa.RecordBatch.from_arrays([pa.array([TaskContext.get().partitionId()], pa.int32()), pa.array([name]), pa.array([place], pa.int64())], names=["part", "name", "tokens"])
 
-    some = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("raw"))
+    some = docs.select("doc_id", F.col("text").cast("binary").alias("raw"))
     order = ["doc_id", F.xxhash64("raw")]
     done = some.repartitionByRange(*order).sortWithinPartitions(*order).mapInArrow(run, "part int, name string, tokens long").collect()  # a row for each file
     manifest, place = [], 0
+    _remove_others(out, {name for _, name, tokens in done if tokens})
     for _, name, tokens in sorted(done):
         if tokens:
             manifest.append((f"{out}/{name}.arrow", f"{out}/{name}.index.arrow", place, tokens))
@@ -166,6 +204,14 @@ def write(docs: DataFrame, out: str, tokenizer: str, end_id: int = END_ID, lengt
     return manifest
 
 
+def _remove_others(out: str, names: set[str]) -> None:
+    """Files of empty partitions and of attempts that didn't finish."""
+    fs, base = pa.fs.FileSystem.from_uri(out)
+    for info in fs.get_file_info(pa.fs.FileSelector(base, allow_not_found=True)):
+        if info.base_name.split(".")[0] not in names:
+            fs.delete_file(info.path)
+
+
 def opened(uri: str) -> pa.ipc.RecordBatchFileReader:
     """A file as it lies, mapped into memory if the store is a local or mounted folder."""
     fs, path = pa.fs.FileSystem.from_uri(uri)
@@ -173,11 +219,11 @@ def opened(uri: str) -> pa.ipc.RecordBatchFileReader:
 
 
 def sequence(reader: pa.ipc.RecordBatchFileReader, row: int, rows: int = ROWS) -> tuple[np.ndarray, np.ndarray]:
-    """ids and mask of one sequence, by its row in the file; the ids are a view of the file's own bytes."""
+    """ids and mask of one sequence, by its row in the file: views of the file's own bytes."""
     batch = reader.get_batch(row // rows)
     ids, mask = batch.column(0), batch.column(1)
     n, at = ids.type.list_size, row % rows
-    return ids.flatten().slice(at * n, n).to_numpy(), mask.flatten().slice(at * n, n).to_numpy(zero_copy_only=False)
+    return ids.flatten().slice(at * n, n).to_numpy(), mask.flatten().slice(at * n, n).to_numpy()
 
 
 class Stream:
@@ -197,8 +243,8 @@ class Stream:
             start, n = start + len(piece), n - len(piece)
 
 
-def read(spark, manifest: list[tuple]) -> DataFrame:
-    """doc_id, start, n_tokens, ids_crc32 of every document, from the files."""
+def read(spark, manifest: list[tuple], kind: str = "long") -> DataFrame:
+    """doc_id (of the type kind), start, n_tokens, ids_crc32 of every document, from the files."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for files in batches:
@@ -215,10 +261,10 @@ def read(spark, manifest: list[tuple]) -> DataFrame:
                     yield pa.RecordBatch.from_arrays([b.column(0), pa.array(b.column(1).to_numpy() + place), b.column(2), pa.array(sums, pa.int64())], names=["doc_id", "start", "n_tokens", "ids_crc32"])
 
     files = spark.createDataFrame(manifest or [("", "", 0, 0)], "file string, idx string, place long, tokens long").where("tokens > 0")
-    return files.repartition(max(1, len(manifest)), "file").mapInArrow(lambda x: run(b.select(["file", "idx", "place"]) for b in x), "doc_id long, start long, n_tokens long, ids_crc32 long")
+    return files.repartition(max(1, len(manifest)), "file").mapInArrow(lambda x: run(b.select(["file", "idx", "place"]) for b in x), f"doc_id {kind}, start long, n_tokens long, ids_crc32 long")
 
 
 def tokenized(docs: DataFrame, tokenizer: str, **how) -> DataFrame:
     """Writes docs to a new place in the shared folder and reads the files back."""
     spark = docs.sparkSession
-    return read(spark, write(docs, shared_path(spark, "tokens"), tokenizer, **how))
+    return read(spark, write(docs, shared_path(spark, "tokens"), tokenizer, **how), docs.schema["doc_id"].dataType.simpleString())
