@@ -30,6 +30,8 @@ SHINGLE, RADIUS, SEED = 3, 3, 42
 TILE = 8192
 #: Rows of a side of the numpy comparison.
 SQUARE = 256
+#: Shingles of a text whose bits are unpacked at a time.
+BLOCK = 255 * 256
 #: Rows of complete groups that a task compares at a time.
 CHUNK = 50_000
 
@@ -44,10 +46,13 @@ def fingerprint(raw: bytes | None, shingle: int = SHINGLE, seed: int = SEED) ->
         hashes = [digest(join(words), seed)]
     else:
         hashes = [digest(join(x), seed) for x in zip(*(words[i:] for i in range(shingle)), strict=False)]
-    rows = np.zeros((-(-len(hashes) // 255) * 255, 8), np.uint8)
-    rows[: len(hashes)] = np.array(hashes, "<u8").view(np.uint8).reshape(-1, 8)
-    bits = np.unpackbits(rows, axis=1, bitorder="little").reshape(-1, 255, 64)  # 255 ones still fit a byte
-    ones = bits.sum(axis=1, dtype=np.uint8).sum(axis=0, dtype=np.int64)
+    ones = np.zeros(64, np.int64)
+    for at in range(0, len(hashes), BLOCK):
+        some = hashes[at : at + BLOCK]
+        rows = np.zeros((-(-len(some) // 255) * 255, 8), np.uint8)
+        rows[: len(some)] = np.array(some, "<u8").view(np.uint8).reshape(-1, 8)
+        bits = np.unpackbits(rows, axis=1, bitorder="little").reshape(-1, 255, 64)  # 255 ones still fit a byte
+        ones += bits.sum(axis=1, dtype=np.uint8).sum(axis=0, dtype=np.int64)
     return int(np.packbits(ones * 2 > len(hashes), bitorder="little").view("<u8")[0])
 
 
@@ -221,8 +226,14 @@ def one_of_each(docs: DataFrame, radius: int = RADIUS, shingle: int = SHINGLE) -
     order = F.struct(F.col("doc_id").isNull().alias("n"), "doc_id", "_h")
     best = rows.groupBy("fp").agg(F.min(order).alias("best"))
     best = best.join(roots, best.fp == roots.node, "left").groupBy(F.coalesce("root", "fp").alias("root")).agg(F.min("best").alias("best"))
-    kept = small_side(written(best.select(F.col("best.doc_id").alias("_d"), F.col("best._h").alias("_k")), "simhash-kept"))
-    stay = mine.join(kept, mine["doc_id"].eqNullSafe(kept["_d"]) & (mine["_h"] == kept["_k"]), "left_semi")
-    # Of wholly equal rows one stays; they are few, for one document of a component is left of each.
+    kept = written(best.select(F.col("best.doc_id").alias("_d"), F.col("best._h").alias("_k")), "simhash-kept")
+    same = lambda df, side: df.join(side, df["doc_id"].eqNullSafe(side["_d"]) & (df["_h"] == side["_k"]), "left_semi")
+    # Of wholly equal rows one stays. They are found among the fingerprints, so only their own rows are ordered.
+    twice = same(rows, small_side(kept)).groupBy("doc_id", "_h").count().where("count > 1")
+    twice = written(twice.select(F.col("doc_id").alias("_d"), F.col("_h").alias("_k")), "simhash-twice")
+    if twice.isEmpty():
+        return unpacked(same(mine, small_side(kept)), docs.columns)
+    once = kept.join(twice, kept["_d"].eqNullSafe(twice["_d"]) & (kept["_k"] == twice["_k"]), "left_anti")
     first = Window.partitionBy("doc_id", "_h").orderBy(F.lit(1))
-    return unpacked(stay.withColumn("_n", F.row_number().over(first)).where("_n = 1"), docs.columns)
+    one = same(mine, small_side(twice)).withColumn("_n", F.row_number().over(first)).where("_n = 1").drop("_n")
+    return unpacked(same(mine, small_side(written(once, "simhash-once"))).unionByName(one), docs.columns)
