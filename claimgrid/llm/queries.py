@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -34,7 +36,7 @@ def op3_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return secret_scan.digests(table(spark, sf_dir, "documents"))
+    return secret_scan.digests(table(spark, sf_dir, "documents"), secret_scan.ranked_of_vocabulary(tokenizer_path()))
 
 
 def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -56,7 +58,7 @@ def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op9_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    return pii.pseudonymise(docs.select("doc_id", "text"))
+    return pii.pseudonymise(docs.select("doc_id", "text"), pii.session_key(spark))
 
 
 def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -67,19 +69,13 @@ QUERIES = {f.__name__: f for f in (op1_decontaminate, op2_quality_rules, op3_mix
 
 
 def _leak_sql() -> str:
-    """The same seeds, as joined words instead of hashes, and the same verification."""
+    """Verification of every diagonal that shares enough words, without any seeds."""
     words = "list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[^\\p{L}\\p{N}]+'), lambda w: w <> '')"
-    span = decontaminate.SPAN
-
-    def seeds(side: str, key: str) -> str:
-        place = f"SELECT {key}, h, unnest(range(len(h) - {span - 1})) AS p FROM {side} WHERE len(h) >= {span}"
-        one = lambda m, mask: f"SELECT {key}, p, concat_ws(' ', {m}, " + ", ".join(f"h[p + {i + 1}]" for i, c in enumerate(mask) if c == "1") + f") AS seed FROM ({place})"
-        return " UNION ALL ".join(one(m, mask) for m, mask in enumerate(decontaminate.MASKS))
-
-    verify, agree = decontaminate.VERIFY, decontaminate.AGREE
+    verify, agree, span = decontaminate.VERIFY, decontaminate.AGREE, decontaminate.SPAN
     return f"""WITH d AS (SELECT doc_id, {words} AS h FROM documents), b AS (SELECT DISTINCT item_id, {words} AS h FROM benchmark),
- hit AS (SELECT DISTINCT x.doc_id, y.item_id, x.p - y.p AS diagonal FROM ({seeds("d", "doc_id")}) x JOIN ({seeds("b", "item_id")}) y USING (seed)),
- beside AS (SELECT hit.*, greatest(-diagonal, 0) AS f, d.h AS dh, b.h AS bh FROM hit JOIN d USING (doc_id) JOIN b USING (item_id)),
+ dw AS (SELECT doc_id, unnest(h) AS w, unnest(range(len(h))) AS p FROM d), bw AS (SELECT item_id, unnest(h) AS w, unnest(range(len(h))) AS p FROM b WHERE len(h) >= {span}),
+ near AS (SELECT doc_id, item_id, dw.p - bw.p AS diagonal FROM dw JOIN bw USING (w) GROUP BY ALL HAVING count(*) >= {math.ceil(span * agree)}),
+ beside AS (SELECT near.*, greatest(-diagonal, 0) AS f, d.h AS dh, b.h AS bh FROM near JOIN d USING (doc_id) JOIN b USING (item_id)),
  same AS (SELECT doc_id, item_id, diagonal, least({verify}, len(bh)) AS wide, list_transform(range(f, least(len(bh), len(dh) - diagonal)), lambda j: (dh[diagonal + j + 1] = bh[j + 1])::INT) AS s FROM beside),
  best AS (SELECT doc_id, item_id, diagonal, wide, list_max(list_transform(range(1, len(s) - wide + 2), lambda p: list_sum(s[p : p + wide - 1]))) AS agreeing FROM same)
  SELECT doc_id, item_id, max(agreeing)::BIGINT AS agreeing, arg_max(diagonal, (agreeing, -diagonal))::BIGINT AS doc_place FROM best WHERE agreeing >= ceil(wide * {agree}) GROUP BY doc_id, item_id"""
