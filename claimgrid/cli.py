@@ -1,19 +1,21 @@
 """Command line: python -m claimgrid.cli
 
-Users: setup, search, retrieve, supported, validate, delete. Builders: process, build, metadata, package, sources, status,
-init-config, validate-config.
+Users: setup, search, retrieve, supported, validate, delete. Builders: process, build, combine, ontology, shields, metadata,
+package, sources, status, init-config, validate-config. Downloads are left to other tools.
 """
 
 from __future__ import annotations
 
 import argparse
+import csv
 import json
 import os
 import shutil
 import sys
+from datetime import date
 
 from claimgrid import schema, sinks
-from claimgrid.plans.pipeline import Checkpoints, environment, merged_config, next_folder
+from claimgrid.plans.pipeline import Checkpoints, environment, merged_config, next_folder, read_config
 from claimgrid.plans.retrieval import Database, Request, export, parse_filters, parse_terms, retrieve
 
 
@@ -38,6 +40,7 @@ def parser() -> argparse.ArgumentParser:
     r.add_argument("--metadata", default="")
     r.add_argument("--fmt", choices=sinks.FORMATS, default="parquet")
     r.add_argument("--output", required=True)
+    r.add_argument("--registry", help="CSV of source, license and whatever is to be cited: citation, doi, url, rights, notes")
     sub.add_parser("supported", help="values that requests take")
     v = sub.add_parser("validate", help="files of a package that have changed")
     v.add_argument("folder")
@@ -62,6 +65,15 @@ def parser() -> argparse.ArgumentParser:
     one.add_argument("--start")
     one.add_argument("--end")
     one.add_argument("--skip", default="")
+    one = sub.add_parser("combine", help="one step of a build")
+    one.add_argument("step", choices=["geo", "sra", "sample", "series"])
+    one.add_argument("--config", required=True)
+    one = sub.add_parser("ontology", help="the relations of terms, or the tables of the search")
+    one.add_argument("step", choices=["relations", "search-db"])
+    one.add_argument("--config", required=True)
+    one = sub.add_parser("shields", help="a badge file for each source and level")
+    one.add_argument("--data", required=True)
+    one.add_argument("--output", required=True)
     one = sub.add_parser("metadata", help="descriptive metadata of samples or series")
     one.add_argument("level", choices=["sample", "series", "list-fields"])
     one.add_argument("--table", required=True)
@@ -70,6 +82,7 @@ def parser() -> argparse.ArgumentParser:
     one.add_argument("--output")
     one = sub.add_parser("package", help="write a folder's manifest")
     one.add_argument("folder")
+    one.add_argument("--from", dest="sources", action="append", default=[], help="a file or folder to copy in first")
     one.add_argument("--overwrite", action="store_true")
     for name in ("init-config", "validate-config"):
         sub.add_parser(name, help="a build's configuration").add_argument("path")
@@ -78,18 +91,25 @@ def parser() -> argparse.ArgumentParser:
 
 CONFIG = os.path.join(os.path.expanduser("~"), ".claimgrid.json")
 #: What a build's configuration names.
-INPUTS = ("root", "obo", "names", "claims", "systems", "entries")
+INPUTS = ("root", "obo", "claims", "systems", "technologies")
+#: Steps of a build by the names of the command line.
+STEPS = {"geo": "geo", "sra": "archive", "sample": "sample", "series": "series", "relations": "relations", "search-db": "search"}
 
 
 def config(path: str) -> dict:
     """A build's configuration, with values of the environment on top; ValueError if something is missing."""
-    with open(path) as f:
-        out = merged_config(json.load(f), environment("CLAIMGRID"))
+    out = merged_config(read_config(path), environment("CLAIMGRID"))
     if missing := [k for k in INPUTS if not out.get(k)]:
         raise ValueError("the configuration lacks " + ", ".join(missing))
     return out
 
 
+def registry_of(path: str) -> dict[str, dict[str, str]]:
+    """What a CSV with a column ``source`` says about each source."""
+    with open(path, newline="", encoding="utf-8-sig") as f:
+        return {r["source"]: {k: v for k, v in r.items() if k != "source" and v} for r in csv.DictReader(f)}
+
+
 def _local(a: argparse.Namespace) -> int | None:
     """Commands that need no Spark; None if the command isn't one of them."""
     if a.command == "setup":
@@ -103,7 +123,7 @@ def _local(a: argparse.Namespace) -> int | None:
         shutil.rmtree(data)
         os.remove(a.config)
     elif a.command == "package":
-        print(sinks.package(a.folder, a.overwrite))
+        print(sinks.package(a.folder, a.overwrite, a.sources))
     elif a.command == "init-config":
         sinks.save_json(dict.fromkeys(INPUTS, ""), a.path)
     elif a.command == "validate-config":
@@ -171,6 +191,19 @@ def main(argv: list[str] | None = None) -> int:
         inputs = config(a.config)
         print("\n".join(stages(spark, inputs["root"], inputs).run(a.start, a.end, tuple(filter(None, a.skip.split(","))))))
         return 0
+    if a.command in ("combine", "ontology"):
+        from claimgrid.plans.build import stages
+
+        inputs, step = config(a.config), STEPS[a.step]
+        print("\n".join(stages(spark, inputs["root"], inputs).run(step, step, resume=False)))
+        return 0
+    if a.command == "shields":
+        from claimgrid.sources.readers import parquet_if_there
+
+        for level in schema.LEVELS:
+            if (badges := parquet_if_there(spark, f"{a.data}/badges/level={level}")) is not None:
+                print("\n".join(sinks.save_badges(badges, a.output)))
+        return 0
     if a.command == "metadata":
         from claimgrid.operators import metadata
 
@@ -183,11 +216,19 @@ def main(argv: list[str] | None = None) -> int:
         return 0
     attribute = {"tissues": "tissue", "diseases": "disease"}.get(a.attribute, a.attribute)
     request = Request(attribute, parse_terms(a.terms, attribute), a.level, "direct" if a.direct else a.mode, licence=a.license, fmt=a.fmt, metadata=[x for x in a.metadata.split(",") if x], **parse_filters(a.filters))
-    db = Database.load(spark, a.data, a.level)
+    credits = registry_of(a.registry) if a.registry else {}
+    licences = {name: info["license"] for name, info in credits.items() if info.get("license")}
+    db = Database.load(spark, a.data, a.level, {**schema.LICENCES, **licences})
     result = retrieve(db, request)
     if result.missing:
         print("unknown terms: " + ", ".join(result.missing), file=sys.stderr)
-    export(result, db, request, next_folder(a.output) if "://" not in a.output else a.output)
+    local = "://" not in a.output
+    output = next_folder(a.output) if local else a.output
+    text = export(result, db, request, output, credits, date.today().isoformat())
+    if local:
+        with open(f"{output}.citation.txt", "w") as f:
+            f.write(text)
+    print(text, end="")
     return 0
 
 

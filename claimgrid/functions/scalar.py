@@ -25,12 +25,18 @@ def distinct_list(values: Column) -> Column:
     return F.array_distinct(F.array_compact(values))
 
 
+def first_case(cases: list[tuple[Column, Column]], default: Column | None = None) -> Column:
+    """The value of the first condition that holds; else the default, or null."""
+    (condition, value), *rest = cases
+    out = F.when(condition, value)
+    for condition, value in rest:
+        out = out.when(condition, value)
+    return out if default is None else out.otherwise(default)
+
+
 def age_group(years: Column) -> Column:
     """The first closed age interval that holds a number of years; null outside all."""
-    cases = F
-    for name, low, high in AGE_GROUPS:
-        cases = cases.when(years.between(low, high), name)
-    return cases
+    return first_case([(years.between(low, high), F.lit(name)) for name, low, high in AGE_GROUPS])
 
 
 def months_to_years(months: Column) -> Column:
@@ -49,6 +55,11 @@ def extract(text: Column, pattern: str, group: int = 1) -> Column:
     return F.nullif(F.regexp_extract(text, pattern, group), F.lit(""))
 
 
+def title(text: Column) -> Column:
+    """Each word with a capital, the rest small."""
+    return F.initcap(text)
+
+
 def tokens(text: Column) -> Column:
     """Lower-cased runs of ASCII letters and digits."""
     return F.regexp_extract_all(F.lower(text), F.lit("[A-Za-z0-9]+"), F.lit(0))

@@ -100,6 +100,14 @@ def study_rollup(claims: DataFrame, entries: DataFrame, control: str = CONTROL_I
     return own.groupBy("series", "attribute", "source").agg(joined("term_id"), joined("ecode"))
 
 
+def series_claims(claims: DataFrame, entries: DataFrame, control: str = CONTROL_ID) -> DataFrame:
+    """Claims of series, one for each term, without pure controls: a curated evidence code counts before a crowd's."""
+    series = entries.select("entry", F.explode(split_multi("series")).alias("series")).where("series <> '' and series <> 'NA'")
+    own = claims.where(F.col("term_id") != control).join(series, "entry")
+    rolled = own.groupBy(F.col("series").alias("entry"), "attribute", "source", "term_id").agg(F.min("term_name").alias("term_name"), F.max("ecode").alias("ecode"))
+    return rolled.select("entry", "attribute", "source", "term_id", "term_name", "ecode")
+
+
 def series_entries(entries: DataFrame) -> DataFrame:
     """Accessions of series: platforms, organisms and projects of all its samples, sorted and joined."""
     each = entries.withColumn("series", F.explode(split_multi("series"))).where("series <> '' and series <> 'NA'")

@@ -11,6 +11,7 @@ from dataclasses import dataclass, replace
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from claimgrid.operators.reshape import unpivoted
 from claimgrid.schema import CONTROL, CONTROL_ID, NEGATIVE, POSITIVE, UNKNOWN
 
 
@@ -37,10 +38,16 @@ def label(cells: DataFrame, closure: DataFrame, targets: list[str] | DataFrame)
     return up.union(weak).groupBy("entry", "term").agg(F.max("value").alias("value"))
 
 
-def dense(labels: DataFrame, entries: DataFrame, targets: list[str]) -> DataFrame:
-    """A row for each entry and target, -1 where labels has none. Its size is entries times targets, asked for at export only."""
-    every = entries.select("entry").distinct().select("entry", F.explode(F.array(*(F.lit(t) for t in targets))).alias("term"))
-    return every.join(labels, ["entry", "term"], "left").select("entry", "term", F.coalesce("value", F.lit(NEGATIVE)).alias("value"))
+def dense(labels: DataFrame, entries: DataFrame, targets: list[str] | DataFrame) -> DataFrame:
+    """A row for each entry and target, -1 where labels has none. Its size is entries times targets, asked for at export only.
+
+    An entry's labels are gathered first, so the pairs that are spelled out aren't shuffled.
+    """
+    spark = labels.sparkSession
+    every = (targets if isinstance(targets, DataFrame) else spark.createDataFrame([(t,) for t in targets], "term string")).agg(F.array_sort(F.collect_set("term")).alias("every"))
+    given = labels.groupBy("entry").agg(F.map_from_entries(F.collect_list(F.struct("term", "value"))).alias("given"))
+    own = entries.select("entry").distinct().join(given, "entry", "left").crossJoin(F.broadcast(every))  # one row
+    return own.select("entry", "given", F.explode("every").alias("term")).select("entry", "term", F.coalesce(F.try_element_at("given", F.col("term")), F.lit(NEGATIVE)).alias("value"))
 
 
 def with_controls(labels: DataFrame, cells: DataFrame, entries: DataFrame, control: str = CONTROL_ID) -> DataFrame:
@@ -125,21 +132,39 @@ class Curation:
         return self.entries.orderBy(self.index).limit(n)
 
     def add_ids(self, more: DataFrame) -> Curation:
-        """Further columns of entries; every entry must have one row in more."""
-        joined = self.entries.join(more, self.index)
-        if joined.count() != self.entries.count():
+        """Further columns of entries; every entry must have exactly one row in more."""
+        found = more.groupBy(self.index).agg(F.count("*").alias("_n"))
+        if not self.entries.select(self.index).join(found, self.index, "left").where("coalesce(_n, 0) <> 1").isEmpty():
             raise ValueError("the new ids don't match the entries one to one")
-        return replace(self, entries=joined)
+        return replace(self, entries=self.entries.join(more, self.index))
+
+    @staticmethod
+    def of_wide(wide: DataFrame, ids: list[str], index: str = "entry", keep_zero: bool = False) -> Curation:
+        """From a frame with id columns and a column for each term; cells are those that aren't 0, with ``value`` if any is
+        not 1."""
+        cells = unpivoted(wide.select(index, *(F.col(f"`{c}`") for c in wide.columns if c not in ids)), index, keep_zero=keep_zero)
+        return Curation(cells, wide.select(*ids), index)
+
+    def wide(self, terms: list[str] | None = None, descending: bool = False) -> DataFrame:
+        """Ids and a column for each term, in the order given, else sorted."""
+        terms = terms or sorted((r["term"] for r in self.entities.collect()), reverse=descending)
+        value = F.first("value") if "value" in self.cells.columns else F.lit(1)
+        pivot = self.cells.groupBy(self.index).pivot("term", terms).agg(value)
+        return self.entries.join(pivot, self.index, "left").na.fill(0, terms)
 
     def collapse(self, on: str = "series") -> Curation:
         groups = self.entries.select(on, *(c for c in self.groups if c != on)).groupBy(on).agg(*(F.array_join(F.array_sort(F.collect_set(c)), "|").alias(c) for c in self.groups if c != on))
         return Curation(collapse(self.cells, self.entries, on).withColumnRenamed(on, "entry"), groups.withColumnRenamed(on, "entry"), "entry", True)
 
-    def propagate(self, closure: DataFrame, targets: list[str]) -> Curation:
+    def propagate(self, closure: DataFrame, targets: list[str] | DataFrame) -> Curation:
         cells = annotate(self.cells, closure, targets)
         return replace(self, cells=cells, entries=self.entries.join(cells.select("entry").distinct(), "entry", "left_semi"))
 
-    def labels(self, closure: DataFrame, targets: list[str], control: str = CONTROL_ID) -> Curation:
-        """Labels with controls, unless the curation is collapsed."""
+    def labels(self, closure: DataFrame, targets: list[str] | DataFrame, control: str = CONTROL_ID) -> Curation:
+        """Labels with controls, unless the curation is collapsed. Controls that are none for any target are left out."""
         out = label(self.cells.where(F.col("term") != control), closure, targets)
-        return replace(self, cells=out if self.collapsed else with_controls(out, self.cells, self.entries, control))
+        if self.collapsed:
+            return replace(self, cells=out)
+        out = with_controls(out, self.cells, self.entries, control)
+        idle = self.cells.where(F.col("term") == control).select(self.index).distinct().join(out.select(self.index), self.index, "left_anti")
+        return replace(self, cells=out, entries=self.entries.join(idle, self.index, "left_anti"))

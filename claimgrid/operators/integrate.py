@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from claimgrid.functions.scalar import sra_kind, split_multi, unquoted
+from claimgrid.functions.scalar import level_of, split_multi, sra_kind, unquoted
 from claimgrid.operators.filters import cleaned, excluded, valid_samples
 from claimgrid.operators.ontology import most_specific
 from claimgrid.schema import CLAIMS
@@ -16,11 +18,11 @@ def from_processed(processed: DataFrame, source: str) -> DataFrame:
     return processed.select(F.col("accession").alias("entry"), "attribute", F.lit(source).alias("source"), "term_id", "term_name", "ecode")
 
 
-def combined(tables: dict[str, DataFrame]) -> DataFrame:
-    """Claims of all sources; a source may be absent."""
+def combined(tables: dict[str, DataFrame], sources: dict[str, str] | None = None) -> DataFrame:
+    """Claims of all sources; a source may be absent. sources: the source of a table's claims, if it isn't the table's name."""
     out = None
-    for source, df in tables.items():
-        one = from_processed(df, source)
+    for name, df in tables.items():
+        one = from_processed(df, (sources or {}).get(name, name))
         out = one if out is None else out.unionByName(one)
     if out is None:
         raise ValueError("no sources")
@@ -38,6 +40,16 @@ def archive_to_sample(runs: DataFrame, samples: DataFrame, overrides: DataFrame
     return out if overrides is None else out.union(overrides.select("archive_id", "entry"))
 
 
+def union_relaxed(*frames: DataFrame) -> DataFrame:
+    """Rows of all frames by column name; what a frame lacks is null."""
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
+
+
+def json_field(value: Column, field: str, kind: str = "string") -> Column:
+    """A field of JSON objects."""
+    return F.from_json(value, f"`{field}` {kind}")[field]
+
+
 def archive_claims(claims: DataFrame, mapping: DataFrame) -> DataFrame:
     """Claims on runs and experiments as claims on samples; projects are left out. An id of two samples gives both a claim."""
     own = claims.where(F.coalesce(sra_kind(F.col("entry")) != "project", F.lit(True)))
@@ -50,6 +62,12 @@ def merged(first: DataFrame, second: DataFrame) -> DataFrame:
     return second.unionByName(first.join(second.select(*keys).distinct(), keys, "left_anti").select(*second.columns))
 
 
+def with_archive(claims: DataFrame, mapping: DataFrame) -> DataFrame:
+    """Claims on samples, with those on runs and experiments brought to samples; of both on one thing the archive's count."""
+    own = claims.where(level_of(F.col("entry")) == "sample")
+    return merged(own, archive_claims(claims.where(sra_kind(F.col("entry")).isin("run", "experiment")), mapping))
+
+
 def merged_entries(first: DataFrame, second: DataFrame) -> DataFrame:
     """One row for each entry of either; of two values the second counts, if it has one."""
     a, b = first.alias("a"), second.alias("b")
@@ -78,13 +96,15 @@ def with_organism(entries: DataFrame, channels: DataFrame) -> DataFrame:
 
 
 def sample_database(claims: DataFrame, entries: DataFrame, closure: DataFrame | None = None, systems: DataFrame | None = None, deleted: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
-    """Claims and entries of the sample level: valid organisms, no excluded ids, known attributes, most specific terms."""
+    """Claims and entries of the sample level: valid organisms, no excluded ids, known attributes, and of tissues and diseases
+    the most specific terms within the systems."""
     entries = valid_samples(entries)
     if deleted is not None:
         entries = excluded(entries, deleted, "entry")
     claims = cleaned(claims).join(entries.select("entry"), "entry", "left_semi")
     if closure is not None:
-        claims = most_specific(claims, closure, systems)
+        of_ontology = F.col("attribute").isin("tissue", "disease")
+        claims = most_specific(claims.where(of_ontology), closure, systems).unionByName(claims.where(~of_ontology))
     return claims, entries.join(claims.select("entry").distinct(), "entry", "left_semi")
 
 

@@ -2,25 +2,18 @@
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from claimgrid.functions.scalar import extract
 from claimgrid.schema import CONTROL_ID, NA
+from claimgrid.storage import shared_root
 
 # Pseudo ids that stand for a control, by ontology; and the one edge that closes a cycle (child, parent).
 PSEUDO_CONTROLS = ("DOID:0000000", "MESH:D000000", "UMLS:C0000000")
 MAPPINGS = {("DOID", "MONDO"), ("MESH", "MONDO"), ("UMLS", "MONDO"), ("MONDO", "MESH")}
 
 
-def _checkpoints(spark: SparkSession) -> None:
-    """Uses the cluster's shared folder; sets one only where none is named."""
-    if not spark.conf.get("spark.checkpoint.dir", None) and not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="claimgrid-"))
-
-
 def stanzas(spark: SparkSession, path: str) -> DataFrame:
     """(pos, text): [Term] stanzas of an OBO file, plain or gz, without obsolete terms."""
     raw = spark.read.text(path, lineSep="\n\n").select(F.monotonically_increasing_id().alias("pos"), F.trim("value").alias("text"))
@@ -75,20 +68,19 @@ def nodes(edges: DataFrame) -> DataFrame:
 def closure(edges: DataFrame) -> DataFrame:
     """(ancestor, descendant) with every term its own: paths double in length each round until no pair is new.
 
-    Cycles end it too. Each round is checkpointed to the shared folder, so plans stay short and lost executors do no harm.
+    A round joins only the last round's new pairs with all pairs. Cycles end it too. Each round is checkpointed to the
+    shared folder, so plans stay short and lost executors do no harm.
     """
     spark = edges.sparkSession
-    _checkpoints(spark)
+    shared_root(spark)
     own = edges.where("parent is not null and child is not null").select(F.col("parent").alias("ancestor"), F.col("child").alias("descendant"))
-    pairs = own.distinct().checkpoint()
-    n = pairs.count()
-    while n:
-        longer = pairs.select("ancestor", F.col("descendant").alias("via")).join(pairs.select(F.col("ancestor").alias("via"), "descendant"), "via")
-        pairs = pairs.union(longer.select("ancestor", "descendant")).distinct().checkpoint()
-        more = pairs.count()
-        if more == n:
-            break
-        n = more
+    new = own.distinct().checkpoint()
+    pairs = new
+    via = lambda df, side: df.withColumnRenamed(side, "via")
+    while not new.isEmpty():
+        longer = via(new, "descendant").join(via(pairs, "ancestor"), "via").union(via(pairs, "descendant").join(via(new, "ancestor"), "via"))
+        new = longer.select("ancestor", "descendant").distinct().join(pairs, ["ancestor", "descendant"], "left_anti").checkpoint()
+        pairs = pairs.union(new)
     self_pairs = nodes(edges).where("term is not null").select(F.col("term").alias("ancestor"), F.col("term").alias("descendant"))
     return pairs.where("ancestor <> descendant").union(self_pairs)
 
@@ -101,6 +93,7 @@ def closure_sql(edges: DataFrame, levels: int = 100) -> DataFrame:
     edges.createOrReplaceTempView("_edges")
     nodes(edges).createOrReplaceTempView("_nodes")
     spark = edges.sparkSession
+    shared_root(spark)
     limit = spark.conf.get("spark.sql.cteRecursionRowLimit")
     spark.conf.set("spark.sql.cteRecursionRowLimit", "-1")
     try:
@@ -143,7 +136,7 @@ def leaves(edges: DataFrame) -> DataFrame:
 
 def depths(edges: DataFrame) -> DataFrame:
     """(term, depth): the greatest, over the roots, of the shortest distance from a root."""
-    _checkpoints(edges.sparkSession)
+    shared_root(edges.sparkSession)
     front = roots(edges).select(F.col("term").alias("root"), "term", F.lit(0).alias("d")).checkpoint()
     seen, step = front, 0
     while not front.isEmpty():

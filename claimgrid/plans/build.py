@@ -1,15 +1,27 @@
-"""The stages of a build from processed claims to tables that requests read."""
+"""The stages of a build, from processed claims to the tables that requests read.
+
+Under the root lie ``claims/level=<level>/attribute=<attribute>``, ``entries/level=<level>``, ``technologies``, ``closure``,
+``terms`` and ``synonyms``; badges and overlaps in folders of their own; what stages hand on in ``geo_claims`` and
+``archive_claims``.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from claimgrid.functions.scalar import level_of
 from claimgrid.operators import aggregate, integrate, ontology, report, search
 from claimgrid.operators.filters import excluded, valid_series
-from claimgrid.plans.pipeline import Checkpoints, Pipeline
-from claimgrid.schema import LICENCES
-from claimgrid.sources.readers import claim_tables, name_lists
+from claimgrid.plans.pipeline import Pipeline, StageTable
+from claimgrid.schema import LEVELS
+from claimgrid.sources import processors, registry  # noqa: F401  registers the sources
+from claimgrid.sources.readers import claim_tables, id_list, name_lists
+
+#: What a build needs; with ``runs`` and ``samples`` it also brings archive ids to samples, and makes entries if there are none.
+NEEDED = ("obo", "systems", "claims", "technologies")
+#: Raw catalogue tables from which entries are made.
+CATALOGUE = ("samples", "series", "experiments", "channels")
 
 
 def save(df: DataFrame, path: str, *partition: str) -> None:
@@ -17,39 +29,73 @@ def save(df: DataFrame, path: str, *partition: str) -> None:
 
 
 def stages(spark: SparkSession, root: str, inputs: dict[str, str]) -> Pipeline:
-    """Stages relations, search, combine, series, report under root.
+    """Stages relations, search, geo, archive, sample, series, report under root.
 
-    inputs: obo, systems (comma-separated ids), names (JSON), claims (folder), entries, technologies (Parquet), deleted (text).
+    inputs: obo, systems (comma-separated ids), claims (folder of processed claims), technologies (Parquet: id, technology);
+    entries (Parquet), or samples, series, experiments and channels (Parquet) to make them from; optional: names (JSON),
+    runs and overrides (Parquet) of the archive, deleted (text), descriptions (Parquet: entry, level, description).
     """
+    if missing := [k for k in NEEDED if not inputs.get(k)]:
+        raise ValueError("the build lacks " + ", ".join(missing))
     at = lambda name: f"{root}/{name}"
     read = lambda name: spark.read.parquet(at(name))
+    given = lambda name: spark.read.parquet(inputs[name])
+    deleted = id_list(spark, inputs["deleted"]) if "deleted" in inputs else None
 
     def relations() -> None:
         save(ontology.closure(ontology.edges(ontology.stanzas(spark, inputs["obo"]))), at("closure"))
+        save(given("technologies"), at("technologies"))
+        if "descriptions" in inputs:
+            save(given("descriptions"), at("descriptions"), "level")
 
     def search_tables() -> None:
-        terms, synonyms = search.term_tables(name_lists(spark, inputs["names"]))
-        save(terms, at("terms"))
-        save(synonyms, at("synonyms"))
-
-    def combine() -> None:
-        claims = integrate.combined(claim_tables(spark, inputs["claims"], sorted(LICENCES)))
-        systems = spark.createDataFrame([(s,) for s in inputs["systems"].split(",")], "term string")
-        deleted = spark.read.text(inputs["deleted"]).withColumnRenamed("value", "entry") if "deleted" in inputs else None
-        claims, entries = integrate.sample_database(claims, spark.read.parquet(inputs["entries"]), read("closure"), systems, deleted)
-        save(claims, at("sample_claims"), "attribute")
-        save(entries, at("sample_entries"))
+        if "names" in inputs:
+            terms, synonyms = search.term_tables(name_lists(spark, inputs["names"]))
+            save(terms, at("terms"))
+            save(synonyms, at("synonyms"))
+
+    def all_claims() -> DataFrame:
+        return integrate.combined(claim_tables(spark, inputs["claims"], registry.names()), registry.sources())
+
+    def geo() -> None:
+        """Claims that are on samples as they come."""
+        save(all_claims().where(level_of(F.col("entry")) == "sample"), at("geo_claims"))
+
+    def archive() -> None:
+        """Claims on runs and experiments, brought to samples; none without the archive's tables."""
+        own = all_claims()
+        if "runs" in inputs and "samples" in inputs:
+            mapping = integrate.archive_to_sample(given("runs"), given("samples"), given("overrides") if "overrides" in inputs else None)
+            own = integrate.archive_claims(own, mapping)
+        else:
+            own = own.limit(0)
+        save(own, at("archive_claims"))
+
+    def catalogue() -> DataFrame:
+        if "entries" in inputs:
+            return given("entries")
+        return integrate.with_organism(integrate.sample_entries(given("samples"), given("series"), given("experiments")), given("channels"))
+
+    def sample() -> None:
+        claims = integrate.merged(read("geo_claims"), read("archive_claims"))
+        systems = spark.createDataFrame([(s.strip(),) for s in inputs["systems"].split(",")], "term string")
+        claims, entries = integrate.sample_database(claims, catalogue(), read("closure"), systems, deleted)
+        save(claims, at("claims/level=sample"), "attribute")
+        save(entries, at("entries/level=sample"))
 
     def series() -> None:
-        claims, entries = read("sample_claims"), read("sample_entries")
-        rolled = aggregate.study_rollup(claims, entries).withColumnRenamed("series", "entry")
-        save(ontology.most_specific(rolled.withColumn("term_id", F.explode(F.split("term_id", "[|]"))), read("closure")), at("series_claims"), "attribute")
-        own = valid_series(aggregate.series_entries(entries)).withColumnRenamed("series", "entry")
-        save(excluded(own, spark.read.text(inputs["deleted"]), "entry") if "deleted" in inputs else own, at("series_entries"))
+        rolled = aggregate.series_claims(spark.read.parquet(at("claims/level=sample")), spark.read.parquet(at("entries/level=sample")))
+        own = valid_series(aggregate.series_entries(spark.read.parquet(at("entries/level=sample")))).withColumnRenamed("series", "entry")
+        own = own if deleted is None else excluded(own, deleted, "entry")
+        rolled = ontology.most_specific(rolled.join(own.select("entry"), "entry", "left_semi"), read("closure"))
+        save(rolled, at("claims/level=series"), "attribute")
+        save(own, at("entries/level=series"))
 
     def reports() -> None:
-        for level in ("sample", "series"):
-            save(report.badges(aggregate.claims_by_source(read(f"{level}_claims")), level), at(f"{level}_badges"))
-            save(aggregate.overlap(read(f"{level}_claims")), at(f"{level}_overlap"))
+        for level in LEVELS:
+            claims = spark.read.parquet(at(f"claims/level={level}"))
+            save(report.badges(aggregate.claims_by_source(claims), level, sorted(set(registry.sources().values()))), at(f"badges/level={level}"))
+            save(aggregate.overlap(claims), at(f"overlap/level={level}"))
 
-    return Pipeline([("relations", relations), ("search", search_tables), ("combine", combine), ("series", series), ("report", reports)], Checkpoints.load(f"{root}/stages.json") if root.startswith("/") else None)
+    done = StageTable(spark, at("stages"))
+    return Pipeline([("relations", relations), ("search", search_tables), ("geo", geo), ("archive", archive), ("sample", sample), ("series", series), ("report", reports)], done)

@@ -8,19 +8,16 @@ every seventh part.
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from claimgrid import sinks
 from claimgrid.functions import scalar as S
 from claimgrid.operators import aggregate, curate, filters, integrate, ontology, report, reshape, search
+from claimgrid.plans.catalog import ORACLE_SQL, QUERIES, query, table  # noqa: F401
 from claimgrid.schema import AGE_GROUPS, CONTROL_ID, CROWD, EXPERT, ORGANISMS
-from claimgrid.sources.processors import AGE_LAYOUTS, described_age, described_sex  # noqa: F401
-
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLE_SQL: dict[str, str] = {}
+from claimgrid.sources.processors import described_age, described_sex
+from claimgrid.storage import written
 
 TARGETS = ["P:1", "P:12", "P:15", "P:17", "TYPE:SMALL", "TYPE:LARGE"]
 SYSTEMS = ["TYPE:SMALL", "TYPE:PROMO", "P:3"]
@@ -31,32 +28,20 @@ PROMO_AS_CONTROL = f"CASE WHEN p_type = 'PROMO' THEN '{CONTROL_ID}' ELSE 'B:' ||
 EVENTS = ["click", "error", "purchase", "signup", "view"]
 
 
-def query(name: str, sql: str | None = None):
-    """Registers a query, with its SQL if SQL can express it."""
-
-    def add(f: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
-        QUERIES[name] = f
-        if sql is not None:
-            ORACLE_SQL[name] = sql
-        return f
-
-    return add
-
-
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
-
-
 # ---- the claim model on the driver's tables ----
 
 _AGE_SQL = "CASE WHEN l_quantity - 1 BETWEEN -1 AND 0 THEN 'fetus' WHEN l_quantity - 1 BETWEEN 0 AND 2 THEN 'infant' WHEN l_quantity - 1 BETWEEN 2 AND 10 THEN 'child' WHEN l_quantity - 1 BETWEEN 10 AND 20 THEN 'adolescent' WHEN l_quantity - 1 BETWEEN 20 AND 50 THEN 'adult' WHEN l_quantity - 1 BETWEEN 50 AND 80 THEN 'older_adult' WHEN l_quantity - 1 BETWEEN 80 AND 150 THEN 'elderly_adult' END"
 
 
-def claims(spark: SparkSession, sf_dir: str, *attributes: str) -> DataFrame:
+def claims(spark: SparkSession, sf_dir: str, *attributes: str, names: bool = False) -> DataFrame:
     """Claims of the attributes asked for: one scan of lineitem, and of part only if names or brands are needed."""
     attributes = attributes or ("tissue", "disease", "sex", "age")
-    items, parts = table(spark, sf_dir, "lineitem"), table(spark, sf_dir, "part")
-    items = items.join(parts.select(F.col("p_partkey").alias("l_partkey"), "p_name", "p_type", "p_brand"), "l_partkey")
+    items = table(spark, sf_dir, "lineitem")
+    if names or "disease" in attributes:
+        parts = table(spark, sf_dir, "part")
+        items = items.join(parts.select(F.col("p_partkey").alias("l_partkey"), "p_name", "p_type", "p_brand"), "l_partkey")
+    else:
+        items = items.withColumns({c: F.lit(None).cast("string") for c in ("p_name", "p_type", "p_brand")})
     term = {
         "tissue": F.concat(F.lit("P:"), F.col("l_partkey")),
         "disease": F.when(F.col("p_type") == "PROMO", CONTROL_ID).otherwise(F.concat(F.lit("B:"), "p_brand")),
@@ -110,8 +95,15 @@ _NODES_SQL = "nodes AS (SELECT parent AS term FROM edges UNION SELECT child FROM
 _CLOSURE_SQL = f"{_EDGES_SQL}, {_NODES_SQL}, closure AS (SELECT term AS ancestor, term AS descendant FROM nodes UNION SELECT c.ancestor, e.child FROM closure c JOIN edges e ON c.descendant = e.parent)"
 
 
+_CLOSURES: dict[tuple[str, str], DataFrame] = {}
+
+
 def closure(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ontology.closure(edges(spark, sf_dir))
+    """The closure of the parts, built once for an application, as a build does once for all requests."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _CLOSURES:
+        _CLOSURES[key] = written(ontology.closure(edges(spark, sf_dir)), "closure")
+    return _CLOSURES[key]
 
 
 def named(spark: SparkSession, column: str, values: list[str]) -> DataFrame:
@@ -204,7 +196,7 @@ _COMPILED_SQL = "SELECT entry, string_agg(DISTINCT term_id, '|' ORDER BY term_id
 
 @query("compiled_annotations", f"WITH {_claims_sql('tissue')}, {_ENTRIES_SQL}, {_CHOSEN_SQL} {_COMPILED_SQL}")
 def compiled_annotations(spark, sf_dir):
-    own = filters.select_claims(claims(spark, sf_dir, "tissue"), entries(spark, sf_dir), "tissue", "AMERICA", "expert", "permissive", technologies(spark, sf_dir), "rnaseq", registry=REGISTRY)
+    own = filters.select_claims(claims(spark, sf_dir, "tissue", names=True), entries(spark, sf_dir), "tissue", "AMERICA", "expert", "permissive", technologies(spark, sf_dir), "rnaseq", registry=REGISTRY)
     return aggregate.compiled(own, entries(spark, sf_dir))
 
 
@@ -332,7 +324,7 @@ def synonyms_by_scope(spark, sf_dir):
 
 @query("closure", f"WITH RECURSIVE {_CLOSURE_SQL} SELECT ancestor, descendant FROM closure")
 def closure_query(spark, sf_dir):
-    return closure(spark, sf_dir)
+    return ontology.closure(edges(spark, sf_dir))
 
 
 @query("closure_recursive", f"WITH RECURSIVE {_CLOSURE_SQL} SELECT ancestor, descendant FROM closure")
@@ -408,6 +400,24 @@ def label(spark, sf_dir):
     return curate.dense(curate.label(own, closure(spark, sf_dir), TARGETS), own, TARGETS)
 
 
+# Every term of the ontology is a target, as in the reference's own mass request.
+_EVERY_LABEL_SQL = _LABELS_SQL.replace(f" WHERE k.ancestor IN {_in(TARGETS)}", "").replace(f" AND k.descendant IN {_in(TARGETS)}", "")
+
+
+@query("annotate_all", f"WITH RECURSIVE {_CELLS_SQL}, {_CLOSURE_SQL} SELECT DISTINCT c.entry, k.ancestor AS term FROM cells c JOIN closure k ON c.term = k.descendant")
+def annotate_all(spark, sf_dir):
+    """All terms as targets, as a frame."""
+    closed = closure(spark, sf_dir)
+    return curate.annotate(cells(spark, sf_dir), closed, closed.select(F.col("ancestor").alias("term")))
+
+
+@query("label_all", f"WITH RECURSIVE {_CELLS_SQL}, {_CLOSURE_SQL}, {_EVERY_LABEL_SQL} SELECT entry, term, value FROM labels")
+def label_all(spark, sf_dir):
+    """Label mode for all terms; -1 is implied where there is no row."""
+    closed = closure(spark, sf_dir)
+    return curate.label(cells(spark, sf_dir), closed, closed.select(F.col("ancestor").alias("term")))
+
+
 _CONTROL_SQL = f"""WITH RECURSIVE {_claims_sql('disease')}, {_ENTRIES_SQL}, {_CLOSURE_SQL}, cells AS (SELECT DISTINCT entry, term_id AS term FROM claims),
  brands AS (SELECT DISTINCT 'B:' || p_brand AS term FROM part), labels AS (SELECT DISTINCT entry, term, 1 AS value FROM cells WHERE term IN ('B:Brand#1', 'B:Brand#2', 'B:Brand#3')),
  controls AS (SELECT DISTINCT entry FROM cells WHERE term = '{CONTROL_ID}'), pos AS (SELECT DISTINCT series, term FROM labels JOIN entries USING (entry))
@@ -518,7 +528,7 @@ def dedupe_first(spark, sf_dir):
 def union_relaxed(spark, sf_dir):
     a = table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("id"), F.col("s_name").alias("name"), F.col("s_acctbal").alias("balance"))
     b = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("id"), F.col("c_name").alias("name"), F.col("c_mktsegment").alias("segment"))
-    return a.unionByName(b, allowMissingColumns=True)
+    return integrate.union_relaxed(a, b)
 
 
 # ---- scalar ----
@@ -542,7 +552,7 @@ def regex_extract_fields(spark, sf_dir):
 
 @query("json_fields", "SELECT event_id, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k FROM events")
 def json_fields(spark, sf_dir):
-    return table(spark, sf_dir, "events").select("event_id", F.from_json("props", "k long")["k"].alias("k"))
+    return table(spark, sf_dir, "events").select("event_id", integrate.json_field(F.col("props"), "k", "long").alias("k"))
 
 
 @query("tokenise", "SELECT doc_id, len(t) AS n, len(list_distinct(t)) AS n_distinct FROM (SELECT doc_id, regexp_extract_all(lower(text), '[A-Za-z0-9]+') AS t FROM documents)")

@@ -8,6 +8,10 @@ from collections.abc import Callable
 from dataclasses import dataclass, field
 from datetime import UTC, datetime
 
+from pyspark.sql import SparkSession
+
+from claimgrid.sources.readers import parquet_if_there
+
 
 @dataclass
 class Checkpoints:
@@ -38,12 +42,38 @@ class Checkpoints:
             os.remove(self.path)
 
 
+class StageTable:
+    """Completed stages as one-row tables under a folder, in any store that Spark writes to."""
+
+    def __init__(self, spark: SparkSession, path: str):
+        self.spark, self.path = spark, path
+
+    def _write(self, stage: str, rows: list[tuple]) -> None:
+        self.spark.createDataFrame(rows, "stage string, at string").coalesce(1).write.mode("overwrite").parquet(f"{self.path}/name={stage}")
+
+    @property
+    def done(self) -> list[dict]:
+        found = parquet_if_there(self.spark, self.path)
+        return [] if found is None else [{"stage": r["stage"], "at": r["at"]} for r in found.orderBy("at").collect()]  # a row for each stage
+
+    def has(self, stage: str) -> bool:
+        found = parquet_if_there(self.spark, f"{self.path}/name={stage}")
+        return found is not None and not found.isEmpty()
+
+    def add(self, stage: str) -> None:
+        self._write(stage, [(stage, datetime.now(UTC).isoformat(timespec="microseconds"))])
+
+    def clear(self) -> None:
+        for x in self.done:
+            self._write(x["stage"], [])
+
+
 @dataclass
 class Pipeline:
     """Named stages; run() goes from start to end, without those skipped or already done."""
 
     stages: list[tuple[str, Callable[[], object]]]
-    checkpoints: Checkpoints | None = None
+    checkpoints: Checkpoints | StageTable | None = None
 
     def names(self) -> list[str]:
         return [n for n, _ in self.stages]
@@ -79,6 +109,16 @@ def merged_config(*configs: dict) -> dict:
     return out
 
 
+def read_config(path: str) -> dict:
+    """A JSON file, or a YAML file where the yaml package is installed."""
+    with open(path) as f:
+        if not path.endswith((".yaml", ".yml")):
+            return json.load(f)
+        import yaml
+
+        return yaml.safe_load(f) or {}
+
+
 def environment(prefix: str, environ: dict[str, str] | None = None) -> dict:
     """PREFIX_A__B=x as {"a": {"b": "x"}}."""
     out: dict = {}

@@ -2,18 +2,19 @@
 
 from __future__ import annotations
 
+import csv
 import os
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from claimgrid import sinks
-from claimgrid.operators import curate
 from claimgrid.operators.aggregate import compiled, counts_from_lists
-from claimgrid.operators.curate import Curation
+from claimgrid.operators.curate import Curation, direct
 from claimgrid.operators.filters import NoResults, required, select_claims
-from claimgrid.schema import ATTRIBUTES, CONTROL_ID, ECODES, LEVELS, MODES, SEXES, SPECIES, TECHNOLOGIES, AGE_GROUPS
+from claimgrid.schema import ATTRIBUTES, CONTROL_ID, ECODES, LEVELS, MODES, NEGATIVE, SEXES, SPECIES, TECHNOLOGIES, AGE_GROUPS
+from claimgrid.sources.readers import parquet_if_there
 
 
 @dataclass(frozen=True)
@@ -28,10 +29,11 @@ class Database:
     licences: dict[str, str] | None = None
 
     @staticmethod
-    def load(spark: SparkSession, root: str, level: str = "sample") -> Database:
-        """Tables claims (partitioned by level and attribute), entries, technologies, closure under a folder."""
+    def load(spark: SparkSession, root: str, level: str = "sample", licences: dict[str, str] | None = None) -> Database:
+        """The tables that a build writes under a folder, of one level."""
         at = lambda name: spark.read.parquet(f"{root}/{name}")
-        return Database(at("claims").where(F.col("level") == level), at("entries").where(F.col("level") == level), at("technologies"), at("closure"))
+        descriptions = parquet_if_there(spark, f"{root}/descriptions/level={level}")
+        return Database(at(f"claims/level={level}"), at(f"entries/level={level}"), at("technologies"), at("closure"), descriptions, licences)
 
 
 @dataclass(frozen=True)
@@ -46,6 +48,8 @@ class Request:
     licence: str = "any"
     metadata: list[str] = field(default_factory=list)
     fmt: str = "parquet"
+    #: Whether a series of several organisms or platforms matches none of them, as it does by default.
+    strict: bool = True
 
     def __post_init__(self):
         for name, value, allowed in (
@@ -70,12 +74,18 @@ def parse_filters(text: str) -> dict[str, str]:
 
 
 def parse_terms(text: str, attribute: str) -> str | list[str]:
-    """all, a list joined by commas, or a file with a term on each line; sexes become M and F."""
+    """all, a list joined by commas, a CSV file with a column ``term`` (or ``id``, or its first), or another file with a term on
+    each line; sexes become M and F."""
     if text == "all":
         return text
     if os.path.isfile(text):
-        with open(text) as f:
-            names = [x.strip() for x in f if x.strip()]
+        with open(text, encoding="utf-8-sig", newline="") as f:
+            if text.endswith(".csv"):
+                rows = csv.DictReader(f)
+                column = next((c for c in rows.fieldnames or [] if c.lower() in ("term", "term_id", "id")), (rows.fieldnames or [""])[0])
+                names = [x.strip() for r in rows if (x := r.get(column)) and x.strip()]
+            else:
+                names = [x.strip() for x in f if x.strip()]
     else:
         names = [x.strip() for x in text.split(",") if x.strip()]
     if attribute == "sex":
@@ -95,50 +105,54 @@ class Result:
 
 
 def retrieve(db: Database, request: Request) -> Result:
-    """The curation that a request asks for. Collected: only the list of target terms, which the caller named or the closure has."""
-    chosen = select_claims(db.claims, db.entries, request.attribute, SPECIES[request.species], request.ecode, request.licence, db.technologies, request.technology, **({"registry": db.licences} if db.licences else {}))
+    """The curation that a request asks for. Collected: only the names of target terms, which the caller named or the ontology
+    has; joins take them as a frame."""
+    spark = db.claims.sparkSession
+    chosen = select_claims(db.claims, db.entries, request.attribute, SPECIES[request.species], request.ecode, request.licence, db.technologies, request.technology, strict=request.strict, **({"registry": db.licences} if db.licences else {}))
     columns = [c for c in db.entries.columns if c in ("entry", "sample", "series", "platform", "srx", "srs", "srp")]
     long = compiled(chosen, db.entries.select(*columns))
     entries = long.drop("id", "value")
     cells = chosen.select("entry", F.col("term_id").alias("term")).distinct()
-    curation = Curation(cells, entries)
-    if request.mode == "direct":
-        known = curation.cells if request.terms == "all" else cells.where(F.col("term").isin(*request.terms))
-        targets = sorted(r["term"] for r in known.select("term").distinct().collect()) if request.terms == "all" else list(request.terms)
-        have = {r["term"] for r in known.select("term").distinct().collect()}
-        targets, missing = [t for t in targets if t in have], [t for t in targets if t not in have]
-        if not targets:
-            raise NoResults("none of the terms occurs")
-        return Result(curation.having(*targets).select(*targets), targets, missing, False, entries)
-    have = db.closure.select(F.col("ancestor").alias("term")).distinct()
-    if request.terms == "all":
-        targets, missing = sorted(r["term"] for r in have.collect()), []
-    else:
-        found = {r["term"] for r in have.where(F.col("term").isin(*request.terms)).collect()}
-        targets, missing = [t for t in request.terms if t in found], [t for t in request.terms if t not in found]
+    curation = Curation(cells, entries, collapsed=request.level == "series")  # series have no controls of their own
+    asked = None if request.terms == "all" else spark.createDataFrame([(t,) for t in request.terms], "term string")
+    have = cells if request.mode == "direct" else db.closure.select(F.col("ancestor").alias("term"))
+    have = have.select("term").distinct()
+    found = {r["term"] for r in (have if asked is None else have.join(F.broadcast(asked), "term", "left_semi")).collect()}
+    targets = sorted(found) if asked is None else [t for t in request.terms if t in found]
+    missing = [] if asked is None else [t for t in request.terms if t not in found]
     if not targets:
-        raise NoResults("the ontology has none of the terms")
+        raise NoResults("none of the terms occurs" if request.mode == "direct" else "the ontology has none of the terms")
+    wanted = have if asked is None else asked
+    if request.mode == "direct":
+        own = curation if asked is None else replace(curation, cells=direct(cells, asked))
+        return Result(own, targets, missing, False, entries)
     if request.mode == "annotate":
-        return Result(curation.propagate(db.closure, targets), targets, missing, False, entries)
-    return Result(curation.labels(db.closure, targets, CONTROL_ID), targets, missing, True, entries)
+        return Result(curation.propagate(db.closure, wanted), targets, missing, False, entries)
+    return Result(curation.labels(db.closure, wanted, CONTROL_ID), targets, missing, True, entries)
+
 
+def export(result: Result, db: Database, request: Request, path: str, credits: dict[str, dict[str, str]] | None = None, today: str | None = None) -> str:
+    """Writes a result, and returns what to cite for it; raises NoResults if it is empty.
 
-def export(result: Result, db: Database, request: Request, path: str) -> None:
-    """Writes a result; raises NoResults if it is empty."""
+    credits: what is known of each source. JSON is written as rows (term, entry, metadata), sorted by term.
+    """
     c = result.curation
     required(c.cells)
     index = "sample" if request.level == "sample" else "series"
     metadata, _ = sinks.metadata_columns(request.metadata, request.level, index)
-    entries = sinks.described(c.entries, db.descriptions) if "description" in metadata and db.descriptions is not None else c.entries
-    if result.labelled:
-        if request.fmt == "json":
-            sinks.write(sinks.label_json(curate.dense(c.cells, entries, result.targets), entries, metadata), path, "json")
-        else:
-            sinks.write(sinks.wide_labels(c.cells, entries, result.targets, metadata), path, request.fmt, sort_by="entry")
-    elif request.fmt == "json":
-        sinks.write(sinks.nested_json(c.cells, entries, metadata), path, "json")
+    have = c.cells.select("entry").distinct()
+    entries = c.entries if result.labelled else c.entries.join(have, "entry", "left_semi")
+    entries = sinks.described(entries, db.descriptions) if "description" in metadata and db.descriptions is not None else entries
+    if request.fmt == "json":
+        targets = c.cells.sparkSession.createDataFrame([(t,) for t in result.targets], "term string")
+        rows = sinks.label_rows(c.cells, entries, targets, metadata) if result.labelled else sinks.json_rows(c.cells, entries, metadata)
+        sinks.write(rows, path, "json", sort_by=["term", "entry"])
+    elif result.labelled:
+        sinks.save_wide(c.cells, entries, result.targets, metadata, path, request.fmt, absent=NEGATIVE, sort_by=["series", "entry"] if "series" in entries.columns and "series" in metadata else "entry")
     else:
         sinks.save_wide(c.cells, entries, result.targets, metadata, path, request.fmt)
+    asked = {"attribute": request.attribute, "terms": request.terms if isinstance(request.terms, str) else ", ".join(request.terms), "level": request.level, "species": request.species, "ecode": request.ecode, "tech": request.technology, "mode": request.mode, "license": request.licence}
+    return sinks.citation(source_counts(result), credits or {}, **({"date": today} if today else {}), **asked)
 
 
 def source_counts(result: Result) -> DataFrame:

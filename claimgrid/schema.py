@@ -40,10 +40,10 @@ ORGANISMS = ("homo sapiens", "mus musculus", "caenorhabditis elegans", "rattus n
 SEXES = {"male": "M", "female": "F"}
 # Closed age intervals in years; the first that holds an age counts.
 AGE_GROUPS = (("fetus", -1, 0), ("infant", 0, 2), ("child", 2, 10), ("adolescent", 10, 20), ("adult", 20, 50), ("older_adult", 50, 80), ("elderly_adult", 80, 150))
-# Licence category of each source.
+# Licence category of each public source. Others are named by a registry that the user passes.
 LICENCES = {
     "ALE": "permissive", "BGee": "permissive", "Cello": "permissive", "CREEDS": "permissive", "DiSignAtlas": "nc", "Gemma": "nc",
-    "Golightly_2018": "permissive", "Gu_2023": "permissive", "Johnson_2023": "permissive", "KrishnanLab": "permissive",
+    "Golightly_2018": "permissive", "Gu_2023": "permissive", "Johnson_2023": "permissive",
     "Sirota_2011": "nc", "URSA": "nc", "URSA_HD": "nc",
 }
 # Kind of term by prefix of its id.

@@ -5,12 +5,15 @@ from __future__ import annotations
 import hashlib
 import json
 import os
+import shutil
 import textwrap
 from collections.abc import Iterable
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from claimgrid.operators.curate import dense
 from claimgrid.operators.reshape import one_hot
 from claimgrid.schema import CONTROL, NA, NEGATIVE, POSITIVE, SAMPLE_METADATA, SERIES_METADATA
 
@@ -33,22 +36,57 @@ def described(entries: DataFrame, descriptions: DataFrame) -> DataFrame:
     return entries.join(own, "entry", "left").withColumn("description", F.coalesce("description", F.lit(NA)))
 
 
+def _ids(entries: DataFrame, metadata: list[str]) -> list[str]:
+    return ["entry", *(c for c in [*metadata, "sources"] if c in entries.columns and c != "entry")]
+
+
 def wide(cells: DataFrame, entries: DataFrame, terms: list[str], metadata: list[str]) -> DataFrame:
     """Metadata, sources and a 0/1 column for each term, of the entries that cells has."""
-    own = [c for c in [*metadata, "sources"] if c in entries.columns and c != "entry"]
-    return entries.select("entry", *own).join(one_hot(cells, terms), "entry")
+    return entries.select(*_ids(entries, metadata)).join(one_hot(cells, terms), "entry")
+
+
+def gathered(labels: DataFrame, entries: DataFrame, metadata: list[str]) -> DataFrame:
+    """Ids and ``given``, a map from term to value, of each entry: what wide tables of any number of terms are cut from."""
+    value = F.col("value") if "value" in labels.columns else F.lit(1)
+    given = labels.groupBy("entry", "term").agg(F.max(value).alias("value")).groupBy("entry").agg(F.map_from_entries(F.collect_list(F.struct("term", "value"))).alias("given"))
+    return entries.select(*_ids(entries, metadata)).join(given, "entry", "left")
+
+
+def cut(rows: DataFrame, terms: list[str], absent: int) -> DataFrame:
+    """A column for each term from gathered rows."""
+    return rows.select(*(c for c in rows.columns if c != "given"), *(F.coalesce(F.try_element_at("given", F.lit(t)), F.lit(absent)).cast("int").alias(t) for t in terms))
 
 
 def wide_labels(labels: DataFrame, entries: DataFrame, terms: list[str], metadata: list[str]) -> DataFrame:
     """The same with label values; -1 where none is given."""
-    pivot = labels.groupBy("entry").pivot("term", terms).agg(F.max("value"))
-    own = [c for c in [*metadata, "sources"] if c in entries.columns and c != "entry"]
-    joined = entries.select("entry", *own).join(pivot, "entry", "left")
-    return joined.select("entry", *own, *(F.coalesce(F.col(f"`{t}`"), F.lit(NEGATIVE)).cast("int").alias(t) for t in terms))
+    return cut(gathered(labels, entries, metadata), terms, NEGATIVE)
+
+
+def json_rows(cells: DataFrame, entries: DataFrame, metadata: list[str]) -> DataFrame:
+    """(term, entry, metadata), a row for each cell; with ``value`` if cells have one. Written sorted by term, a term's rows lie
+    together however many they are; ``nested_json`` assembles one object for a term where that is wanted."""
+    own = F.struct(*(F.col(c) for c in metadata if c in entries.columns and c != "entry")) if metadata else F.struct()
+    value = ["value"] if "value" in cells.columns else []
+    return cells.join(entries, "entry").select("term", *value, "entry", own.alias("metadata"))
+
+
+LABELS = {POSITIVE: "positive", NEGATIVE: "negative", CONTROL: "control"}
+
+
+def label_rows(labels: DataFrame, entries: DataFrame, targets: DataFrame, metadata: list[str]) -> DataFrame:
+    """(term, label, entry, metadata) of positive, control and negative pairs of an entry and a target (a column ``term``).
+
+    Negatives are what an entry has no label for: they are spelled out from its own row, without a join of all pairs.
+    Controls are of disease terms only; unknown pairs are left out.
+    """
+    rows = json_rows(dense(labels, entries, targets), entries, metadata)
+    names = F.create_map(*(F.lit(x) for kv in LABELS.items() for x in kv))
+    rows = rows.withColumn("label", F.try_element_at(names, F.col("value"))).where("label is not null")
+    return rows.where(f"value <> {CONTROL} or term like 'MONDO%'").select("term", "label", "entry", "metadata")
 
 
 def nested_json(cells: DataFrame, entries: DataFrame, metadata: list[str]) -> DataFrame:
-    """(term, json): for each term an object entry -> metadata. One row a term, so no task holds more than a term's entries."""
+    """(term, json): for each term an object entry -> metadata, in one row, so for terms of a bounded number of entries."""
     own = F.struct(*(F.col(c) for c in metadata if c in entries.columns and c != "entry"))
     rows = cells.join(entries, "entry").select("term", "entry", own.alias("meta"))
     return rows.groupBy("term").agg(F.to_json(F.map_from_entries(F.array_sort(F.collect_list(F.struct("entry", "meta"))))).alias("json"))
@@ -74,12 +112,13 @@ def label_json(labels: DataFrame, entries: DataFrame, metadata: list[str]) -> Da
     return lists.select("term", text.alias("json"))
 
 
-def write(df: DataFrame, path: str, fmt: str = "parquet", sort_by: str | None = None) -> None:
-    """Writes a frame; labels are sorted by their index, by ranges and not in one task."""
+def write(df: DataFrame, path: str, fmt: str = "parquet", sort_by: str | list[str] | None = None) -> None:
+    """Writes a frame, sorted by ranges and not in one task."""
     if fmt not in FORMATS:
         raise ValueError(f"format {fmt!r} is none of {', '.join(FORMATS)}")
     if sort_by:
-        df = df.repartitionByRange(sort_by).sortWithinPartitions(sort_by)
+        keys = [sort_by] if isinstance(sort_by, str) else sort_by
+        df = df.repartitionByRange(*keys).sortWithinPartitions(*keys)
     out = df.write.mode("overwrite")
     if fmt == "parquet":
         out.parquet(path)
@@ -89,46 +128,24 @@ def write(df: DataFrame, path: str, fmt: str = "parquet", sort_by: str | None =
         out.csv(path, sep="," if fmt == "csv" else "\t", header=True)
 
 
-def save_wide(cells: DataFrame, entries: DataFrame, terms: list[str], metadata: list[str], path: str, fmt: str = "parquet") -> list[str]:
-    """Writes the wide form, in as many tables as its number of terms needs; their paths."""
+def save_wide(cells: DataFrame, entries: DataFrame, terms: list[str], metadata: list[str], path: str, fmt: str = "parquet", absent: int = 0, sort_by: str | list[str] | None = None) -> list[str]:
+    """Writes the wide form, in as many tables as its number of terms needs; their paths.
+
+    absent: what a cell that isn't there says; entries without any cell are left out where it is 0. The cells are computed
+    and gathered once for all tables.
+    """
     parts = [terms[i : i + PIVOT_COLUMNS] for i in range(0, max(1, len(terms)), PIVOT_COLUMNS)]
     paths = [path] if len(parts) == 1 else [f"{path}/part={i}" for i in range(len(parts))]
+    rows = gathered(cells, entries, metadata)
+    rows = (rows.where("given is not null") if absent == 0 else rows).persist(StorageLevel.DISK_ONLY)
     for some, p in zip(parts, paths, strict=True):
-        write(wide(cells, entries, some, metadata), p, fmt)
+        write(cut(rows, some, absent), p, fmt, sort_by)
+    rows.unpersist()
     return paths
 
 
-# The layout of a citation file.
-CITATION = """{line}
-Export
-{line}
-
-Date: {date}
-Database Version: {version}
-
-{line}
-Query parameters
-{line}
-
-Attribute: {attribute}
-Terms: {terms}
-Level: {level}
-Species: {species}
-Ecode: {ecode}
-Technology: {tech}
-Mode: {mode}
-License: {license}
-
-{line}
-Data sources included in this export
-{line}
-
-This export contains annotations from the following sources:
-
-{references}
-
-Please cite these sources.
-"""
+#: What a citation file says about a request, in this order.
+CITED = ("attribute", "terms", "level", "species", "ecode", "tech", "mode", "license")
 
 
 def reference(name: str, n: int, info: dict[str, str], width: int = 80) -> str:
@@ -141,13 +158,19 @@ def reference(name: str, n: int, info: dict[str, str], width: int = 80) -> str:
 
 
 def citation(counts: DataFrame, registry: dict[str, dict[str, str]], **query: str) -> str:
-    """The citation text of a result; counts: (source, n), one row for each source, the only rows collected."""
+    """What was asked for and whom to credit, as text; counts: (source, n), one row for each source, the only rows collected.
+
+    query: date, version and the fields of CITED; absent ones are left out.
+    """
     by_lower = {k.lower(): (k, v) for k, v in registry.items()}
     parts = []
     for r in counts.orderBy(F.desc("n"), "source").collect():
         name, info = by_lower.get(r["source"].lower(), (r["source"], {}))
         parts.append(reference(name, r["n"], info))
-    return CITATION.format(line="=" * 36, references="\n\n".join(parts), **query)
+    head = [f"claimgrid export of {query['date']}" if "date" in query else "claimgrid export"]
+    head += [f"  {name}: {query[name]}" for name in ("version", *CITED) if query.get(name)]
+    credit = f"These {len(parts)} sources contributed; credit each of them:" if len(parts) != 1 else "One source contributed; credit it:"
+    return "\n".join([*head, "", credit if parts else "No source contributed.", "", "\n\n".join(parts)]).rstrip() + "\n"
 
 
 def md5(path: str) -> str:
@@ -166,16 +189,29 @@ def manifest(folder: str) -> list[str]:
     return [f"{md5(p)}  {os.path.relpath(p, folder)}" for p in sorted(found)]
 
 
-def package(folder: str, overwrite: bool = False) -> str:
-    """Writes the manifest of a folder; refuses to replace one unless told to."""
+def package(folder: str, overwrite: bool = False, sources: Iterable[str] = ()) -> str:
+    """Copies files and folders into a local folder and writes its manifest; refuses to replace one unless told to."""
     path = os.path.join(folder, "MANIFEST.md5")
     if os.path.exists(path) and not overwrite:
         raise FileExistsError(path)
+    for s in sources:
+        at = os.path.join(folder, os.path.basename(s.rstrip("/")))
+        shutil.copytree(s, at, dirs_exist_ok=True) if os.path.isdir(s) else shutil.copy2(s, at)
     with open(path, "w") as f:
         f.write("\n".join(manifest(folder)) + "\n")
     return path
 
 
+def save_badges(badges: DataFrame, folder: str) -> list[str]:
+    """A small JSON file for each source and level (source, level, message), as badge services read them; their names."""
+    os.makedirs(folder, exist_ok=True)
+    names = []
+    for r in badges.orderBy("source", "level").collect():  # a row for each source and level
+        names.append(f"{r['source']}__{r['level']}.json")
+        save_json({"schemaVersion": 1, "label": r["source"], "message": r["message"], "color": "blue"}, os.path.join(folder, names[-1]))
+    return names
+
+
 def changed(folder: str) -> list[str]:
     """Files of a package that are missing or differ from its manifest."""
     out = []

@@ -10,7 +10,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from claimgrid.functions.scalar import age_group, any_of, extract, get, months_to_years, range_mean, replaced, split_multi, uri_tail
+from claimgrid.functions.scalar import age_group, any_of, extract, first_case, get, months_to_years, range_mean, replaced, split_multi, uri_tail
 from claimgrid.operators.aggregate import first_by
 from claimgrid.operators.ontology import PSEUDO_CONTROLS
 from claimgrid.operators.reshape import exploded, split_fields
@@ -156,13 +156,25 @@ def gemma(ctx: Context, raw: DataFrame, stages: DataFrame) -> DataFrame:
 
 @source("Golightly_2018")
 def golightly(ctx: Context, raw: DataFrame) -> DataFrame:
-    """raw: accession, tissue, tissue_name, age, sex of all files, by a table of what each file is about."""
+    """raw: accession, tissue, tissue_name, age, sex of all files, by a table of what each file is about (``golightly_rows``).
+    A file's tissue counts if it is a descendant of the systems; its ages and sexes count anyway."""
     age = F.when(F.col("age").contains("-"), range_mean(F.col("age"))).otherwise(F.col("age").try_cast("double"))
     return together(
-        claims(raw, "accession", "tissue", F.col("tissue"), F.col("tissue_name")), sexes(raw, "accession", F.col("sex")), ages(raw, "accession", age)
+        claims(inside(raw, "tissue", ctx.tissues), "accession", "tissue", F.col("tissue"), F.col("tissue_name")), sexes(raw, "accession", F.col("sex")), ages(raw, "accession", age)
     ).distinct()
 
 
+def golightly_rows(members: DataFrame, files: DataFrame) -> DataFrame:
+    """accession, tissue, tissue_name, age, sex from rows of a ZIP's tables (file, row: a map of its fields).
+
+    files: file, tissue, tissue_name, age_column, sex_column (empty or null: none). Unlisted files and rows without a sample
+    id are left out.
+    """
+    field = lambda name: F.try_element_at("row", F.coalesce(F.nullif(F.col(name), F.lit("")), F.lit("\0"))).alias(name.removesuffix("_column"))
+    own = members.join(files, "file").select(F.try_element_at("row", F.lit("SampleID")).alias("accession"), "tissue", "tissue_name", field("age_column"), field("sex_column"))
+    return own.where("accession is not null")
+
+
 @source("Gu_2023")
 def gu(ctx: Context, raw: DataFrame, diseases: DataFrame, tissues: DataFrame) -> DataFrame:
     """raw: Sample ID, Manual annotation, Sample info #manual annotation. diseases: disease_name, mondo_id. tissues: tissue_name, uberon_id."""
@@ -186,7 +198,7 @@ def _johnson_tissue(ctx: Context, own: DataFrame, ids: str) -> DataFrame:
     return claims(each, "accession", "tissue", F.col(ids), F.col("name"))
 
 
-@source("Johnson_2023_microarray")
+@source("Johnson_2023_microarray", of="Johnson_2023")
 def johnson_microarray(ctx: Context, raw: DataFrame, diseases: DataFrame, tissues: DataFrame) -> DataFrame:
     """raw: gsm, disease, tissue (MESH:Name items), sex, age_group. diseases: mesh_id, mondo_id, mondo_name. tissues: mesh_id, uber_id."""
     own = raw.withColumnRenamed("gsm", "accession")
@@ -200,7 +212,7 @@ def johnson_microarray(ctx: Context, raw: DataFrame, diseases: DataFrame, tissue
     )
 
 
-@source("Johnson_2023_rnaseq")
+@source("Johnson_2023_rnaseq", of="Johnson_2023")
 def johnson_rnaseq(ctx: Context, raw: DataFrame, diseases: DataFrame, tissues: DataFrame, normal_control: DataFrame | None = None) -> DataFrame:
     """raw: run, disease, tissue, sex, age_group. diseases: original_label, mondo_id, mondo_name. tissues: original_label, uber_id.
 
@@ -212,8 +224,8 @@ def johnson_rnaseq(ctx: Context, raw: DataFrame, diseases: DataFrame, tissues: D
     return together(claims(sick, "accession", "disease", F.col("term"), F.col("name")), _johnson_tissue(ctx, where, "term").where("term_name is not null"), _johnson_common(own))
 
 
-@source("KrishnanLab")
-def krishnanlab(ctx: Context, raw: DataFrame) -> DataFrame:
+@source("Curated_GSM")
+def curated_gsm(ctx: Context, raw: DataFrame) -> DataFrame:
     """raw: GSM, ID, ID_name, task. Diseases that can't be mapped are dropped."""
     where = inside(raw.where("task = 'tissue'"), "ID", ctx.tissues)
     sick = inside(mapped_disease(raw.where("task = 'disease'"), F.col("ID"), ctx.to_disease["DOID"]), "mondo", ctx.diseases)
@@ -254,9 +266,7 @@ SEX_LAYOUTS = (r"sex:\s*(.*?)\|", r"sex=\s*(.*?)\|", r"gender:\s*(female|male|f\
 def described_age(description: Column) -> Column:
     """Years from a description: the first layout that occurs counts; months are divided by 12."""
     text = F.concat(F.lower(description), F.lit("|"))
-    raw = F
-    for pattern, unit in AGE_LAYOUTS:
-        raw = raw.when(text.rlike(pattern.replace("(.*?)\\|", "")), F.concat(F.trim(F.regexp_extract(text, pattern, 1)), F.lit(unit)))
+    raw = first_case([(text.rlike(pattern.replace("(.*?)\\|", "")), F.concat(F.trim(F.regexp_extract(text, pattern, 1)), F.lit(unit))) for pattern, unit in AGE_LAYOUTS])
     number = extract(raw, r"(\d+\.?\d*)").try_cast("double")
     return F.when(raw.contains("months"), months_to_years(number)).otherwise(number)
 
@@ -264,11 +274,10 @@ def described_age(description: Column) -> Column:
 def described_sex(description: Column) -> Column:
     """male or female from a description: by layout, else by a word."""
     text = F.concat(F.lower(description), F.lit("|"))
-    raw = F
-    for pattern, probe in zip(SEX_LAYOUTS, ("sex:", "sex=", SEX_LAYOUTS[2]), strict=True):
-        raw = raw.when(text.rlike(probe), F.regexp_extract(text, pattern, 1))
-    raw = raw.when(any_of(text.contains("|female|"), *(text.contains(w) for w in FEMALE_WORDS)), "female")
-    return raw.when(any_of(text.contains("|male|"), *(text.contains(w) for w in MALE_WORDS)), "male")
+    layouts = [(text.rlike(probe), F.regexp_extract(text, pattern, 1)) for pattern, probe in zip(SEX_LAYOUTS, ("sex:", "sex=", SEX_LAYOUTS[2]), strict=True)]
+    female = any_of(text.contains("|female|"), *(text.contains(w) for w in FEMALE_WORDS))
+    male = any_of(text.contains("|male|"), *(text.contains(w) for w in MALE_WORDS))
+    return first_case([*layouts, (female, F.lit("female")), (male, F.lit("male"))])
 
 
 @source("URSA_HD")

@@ -2,6 +2,13 @@
 
 from __future__ import annotations
 
+import csv
+import io
+import warnings
+import zipfile
+from collections.abc import Iterator
+
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -9,12 +16,14 @@ from pyspark.sql import functions as F
 def delimited(spark: SparkSession, path: str, columns: list[str] | None = None, sep: str = ",", nulls: tuple[str, ...] = ("",), encoding: str = "UTF-8", names: list[str] | None = None, skip: int = 0) -> DataFrame:
     """CSV or TSV as strings, with several spellings of null.
 
-    columns: which to read, by header. names: the columns of a file whose header is absent or is among the ``skip`` lines
-    left out at its start (of one file, read as one text).
+    columns: which to read, by header. names: the columns of files without a header, or whose header is among the ``skip``
+    lines left out at the start (of each file, which is then read as one text, so for small files).
     """
     if names is None and not skip:
         df = spark.read.csv(path, sep=sep, header=True, encoding=encoding, quote='"', escape='"')
         df = df.toDF(*(c.lstrip("﻿") for c in df.columns))
+    elif not skip:
+        df = spark.read.schema(_ddl(names)).csv(path, sep=sep, encoding=encoding, quote='"', escape='"')
     else:
         lines = spark.read.text(path, wholetext=True).select(F.posexplode(F.split("value", r"\r?\n")).alias("pos", "line")).where((F.col("pos") >= skip) & (F.col("line") != ""))
         header = names or [c.strip('"').lstrip("﻿") for c in lines.orderBy("pos").first()["line"].split(sep)]
@@ -61,18 +70,55 @@ def name_lists(spark: SparkSession, path: str) -> DataFrame:
     return rows.select("term_id", "v.name", F.coalesce("v.synonyms", F.array().cast("array<struct<text:string,scope:string>>")).alias("synonyms"))
 
 
-def claim_tables(spark: SparkSession, root: str, sources: list[str]) -> dict[str, DataFrame]:
-    """Processed claims of each source under root/source=<name>; a source that isn't there is left out."""
+def parquet_if_there(spark: SparkSession, path: str) -> DataFrame | None:
     from pyspark.errors import AnalysisException
 
-    out = {}
-    for s in sources:
-        try:
-            out[s] = spark.read.parquet(f"{root}/source={s}")
-        except AnalysisException as e:
-            if e.getCondition() != "PATH_NOT_FOUND":
-                raise
-    return out
+    try:
+        return spark.read.parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+    return None
+
+
+def claim_tables(spark: SparkSession, root: str, sources: list[str]) -> dict[str, DataFrame]:
+    """Processed claims of each source under root/source=<name>; a source that isn't there is left out, with a warning."""
+    found = {s: parquet_if_there(spark, f"{root}/source={s}") for s in sources}
+    if absent := [s for s, df in found.items() if df is None]:
+        warnings.warn(f"no claims of {', '.join(absent)} under {root}", stacklevel=2)
+    return {s: df for s, df in found.items() if df is not None}
+
+
+def batches(spark: SparkSession, path: str) -> DataFrame:
+    """(accession, characteristics: array of category, valueUri, value) of each study in a JSON map of batches, each a list of
+    studies. What isn't a list, and studies without an accession, are left out."""
+    study = "struct<accession:string,characteristics:array<struct<category:string,valueUri:string,value:string>>>"
+    rows = json_map(spark, path, "string").select(F.explode(F.from_json("value", f"array<{study}>")).alias("s"))
+    none = F.array().cast("array<struct<category:string,valueUri:string,value:string>>")
+    return rows.where("s.accession <> ''").select("s.accession", F.coalesce("s.characteristics", none).alias("characteristics"))
+
+
+def zipped_tables(spark: SparkSession, path: str, sep: str = "\t", nulls: tuple[str, ...] = ("", "NA", "na", "N/A"), encoding: str = "utf-8-sig") -> DataFrame:
+    """(file, row): each data row of the delimited files in ZIP archives, as a map from header to value without nulls.
+
+    An archive is read by one task, which holds one of its files at a time.
+    """
+
+    def unzip(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for content in (x for part in parts for x in part["content"]):
+            with zipfile.ZipFile(io.BytesIO(content)) as archive:
+                for name in (n for n in archive.namelist() if not n.endswith("/")):
+                    lines = csv.DictReader(io.TextIOWrapper(archive.open(name), encoding, newline=""), delimiter=sep)
+                    rows = [{k: v for k, v in r.items() if k and isinstance(v, str) and v not in nulls} for r in lines]
+                    yield pd.DataFrame({"file": [name] * len(rows), "row": rows})
+
+    raw = spark.read.format("binaryFile").load(path).select("content")
+    return raw.mapInPandas(unzip, "file string, row map<string,string>")
+
+
+def term_column(spark: SparkSession, path: str, column: str = "term") -> list[str]:
+    """The values of a CSV's column, in order of their first place; a request's terms, so few."""
+    return list(dict.fromkeys(r[0] for r in delimited(spark, path, [column]).where(F.col(column).isNotNull()).collect()))
 
 
 def tables(spark: SparkSession, database: str | None = None) -> list[str]:

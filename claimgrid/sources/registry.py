@@ -30,13 +30,15 @@ class Context:
 
 
 _PROCESSORS: dict[str, Callable[..., DataFrame]] = {}
+_SOURCES: dict[str, str] = {}
 
 
-def source(name: str):
-    """Registers a processor under a source's name."""
+def source(name: str, of: str | None = None):
+    """Registers a processor under a name; its claims are of the source ``of``, by default of that name."""
 
     def add(f: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
         _PROCESSORS[name] = f
+        _SOURCES[name] = of or name
         return f
 
     return add
@@ -46,6 +48,11 @@ def names() -> list[str]:
     return sorted(_PROCESSORS)
 
 
+def sources() -> dict[str, str]:
+    """The source of each processor: two processors may serve one source."""
+    return dict(_SOURCES)
+
+
 def validated(df: DataFrame) -> DataFrame:
     missing = [f.name for f in PROCESSED if f.name not in df.columns]
     if missing:

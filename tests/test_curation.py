@@ -89,6 +89,8 @@ def test_sparse_equals_dense_on_random_graphs(spark):
         cells = spark.createDataFrame([(e, t) for e, ts in owned.items() for t in ts], "entry string, term string")
         want = [(e, t, 1 if ts & below[t] else 0 if any(t in below[x] for x in ts) else -1) for e, ts in owned.items() for t in targets]
         assert pairs(curate.dense(curate.label(cells, closed, targets), cells, targets)) == sorted(want)
+        frame = spark.createDataFrame([(t,) for t in targets], "term string")
+        assert pairs(curate.dense(curate.label(cells, closed, frame), cells, frame)) == sorted(want)
         assert pairs(curate.annotate(cells, closed, targets)) == sorted((e, t) for e, t, v in want if v == 1)
 
 
@@ -114,6 +116,16 @@ def test_curation(spark):
     assert "description" in c.add_ids(more).entries.columns
     with pytest.raises(ValueError):
         c.add_ids(more.limit(3))
+    with pytest.raises(ValueError):  # one id doubled, another missing
+        c.add_ids(more.where("entry <> '5'").union(more.where("entry = '4'")))
+
+
+def test_curation_of_a_wide_frame(spark):
+    wide = spark.createDataFrame([("a", "s1", 1, 0), ("b", "s1", 0, 1), ("c", "s2", 0, 0)], "entry string, series string, z int, y int")
+    c = curate.Curation.of_wide(wide, ["entry", "series"])
+    assert pairs(c.cells) == [("a", "z", 1), ("b", "y", 1)] and c.ids.columns == ["entry", "series"]
+    assert c.wide().columns == ["entry", "series", "y", "z"] and c.wide(descending=True).columns == ["entry", "series", "z", "y"]
+    assert pairs(c.wide(["z", "y"])) == pairs(wide)
 
 
 @pytest.fixture(scope="module")
@@ -129,6 +141,9 @@ def test_requests(spark, database, tmp_path):
     assert pairs(done.curation.cells) == [("g1", "B")] and done.missing == ["nowhere"]
     labels = retrieve(database, Request("disease", ["B", "C"], mode="label"))
     assert pairs(labels.curation.cells) == [("g1", "B", 1), ("g2", "B", 2), ("g2", "C", 2)]
+    idle = retrieve(database, Request("disease", ["D"], mode="label"))  # D is in the control's series, C is not asked for
+    assert pairs(idle.curation.cells) == [("g1", "D", 1), ("g2", "D", 2)]
+    assert pairs(retrieve(database, Request("disease", ["C"], mode="label")).curation.entries.select("entry")) == [("g1",), ("g2",)]
     assert pairs(retrieve(database, Request("disease", "all", mode="direct", technology="microarray")).curation.cells) == [("g3", "B")]
     assert pairs(retrieve(database, Request("sex", ["M"])).curation.cells) == [("g1", "M")]
     assert retrieve(database, Request("disease", ["B"], licence="nc")).curation.cells.count() == 0

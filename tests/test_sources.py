@@ -144,9 +144,9 @@ def test_johnson(spark, ctx):
     assert got == [("SRR1", "age", "adult", "adult"), ("SRR1", "disease", "MONDO:000000", "control"), ("SRR1", "sex", "M", "male"), ("SRR1", "tissue", "UBERON:2", "lung")]
 
 
-def test_krishnanlab_and_ursa(spark, ctx, tmp_path):
+def test_curated_and_ursa(spark, ctx, tmp_path):
     raw = frame(spark, ["GSM", "ID", "ID_name", "task"], ("GSM1", "CL:1", "cell", "tissue"), ("GSM2", "DOID:8", "flu", "disease"), ("GSM3", "DOID:404", "?", "disease"))
-    assert run("KrishnanLab", ctx, raw=raw) == [("GSM1", "tissue", "CL:1", "cell"), ("GSM2", "disease", "MONDO:2", "flu")]
+    assert run("Curated_GSM", ctx, raw=raw) == [("GSM1", "tissue", "CL:1", "cell"), ("GSM2", "disease", "MONDO:2", "flu")]
     (tmp_path / "u.csv").write_text("GSM1,GSE1,CL:1\nGSM2,GSE1,CL:404\n")
     raw = readers.delimited(spark, str(tmp_path / "u.csv"), names=["accession", "study_id", "term_id"])
     assert run("URSA", ctx, raw=raw) == [("GSM1", "tissue", "CL:1", "lung cell")]
@@ -231,7 +231,7 @@ def test_exports(spark, tmp_path):
     assert got == {"MONDO:2": {"positive": [{"g1": {"series": "s1"}}], "negative": [], "control": [{"g2": {"series": "s1"}}]}, "X:1": {"positive": [], "negative": [{"g1": {"series": "s1"}}]}}
     assert sinks.metadata_columns("series, color,srx", "sample", "sample") == (["series", "srx", "sample"], ["color"])
     text = sinks.citation(spark.createDataFrame([("ale", 8), ("Gemma", 1025)], "source string, n long"), {"ALE": {"doi": "10/1", "rights": "CC0"}}, date="d", version="1", attribute="disease", terms="all", level="sample", species="human", ecode="expert", tech="rnaseq", mode="label", license="any")
-    assert text.index("Gemma (1,025") < text.index("ALE (8") and "DOI: 10/1" in text
+    assert text.index("Gemma (1,025") < text.index("ALE (8") and "DOI: 10/1" in text and "attribute: disease" in text
     assert len(sinks.save_wide(cells, entries, ["MONDO:2"], ["series"], f"{tmp_path}/w", "csv")) == 1
     with pytest.raises(ValueError):
         sinks.write(cells, "x", "xls")
@@ -260,22 +260,115 @@ def test_package_and_pipeline(tmp_path, capsys):
     assert pipeline.next_folder(str(tmp_path / "p")) == str(tmp_path / "p_1")
 
 
-def test_build_and_command_line(spark, ctx, tmp_path, capsys):
-    (tmp_path / "o.obo").write_text(OBO)
+def built(spark, tmp_path, obo=OBO):
+    """A small build from processed claims of four sources, two of them of one source, one on archive ids."""
+    (tmp_path / "o.obo").write_text(obo)
     (tmp_path / "n.json").write_text(json.dumps({"MONDO:2": {"name": "flu", "synonyms": []}}))
-    raw = frame(spark, ["accession", "attribute", "term_id", "term_name", "ecode"], ("GSM1", "tissue", "CL:1", "lung cell", "expert-curated"), ("GSM1", "tissue", "UBERON:2", "lung", "expert-curated"), ("GSM2", "disease", "MONDO:2", "flu", "expert-curated"), ("GSM2", "developmental_stage", "S:1", "x", "expert-curated"))
-    registry.save(raw, f"{tmp_path}/claims", "ALE")
-    frame(spark, ["entry", "series", "platform", "srp", "organism"], ("GSM1", "GSE1", "GPL1", "NA", "homo sapiens"), ("GSM2", "GSE1|GSE2", "GPL2", "NA", "homo sapiens"), ("GSM3", "GSE3", "GPL2", "NA", "martian")).write.parquet(f"{tmp_path}/entries")
-    root = f"{tmp_path}/db"
-    (tmp_path / "db").mkdir()
-    p = build.stages(spark, root, {"obo": f"{tmp_path}/o.obo", "names": f"{tmp_path}/n.json", "claims": f"{tmp_path}/claims", "systems": "MONDO:1,UBERON:1", "entries": f"{tmp_path}/entries"})
-    assert p.run() == p.names()
-    got = sorted((r.entry, r.term_id) for r in spark.read.parquet(f"{root}/sample_claims").collect())
-    assert got == [("GSM1", "CL:1"), ("GSM2", "MONDO:2")]
-    got = sorted((r.entry, r.term_id) for r in spark.read.parquet(f"{root}/series_claims").collect())
-    assert got == [("GSE1", "CL:1"), ("GSE1", "MONDO:2"), ("GSE2", "MONDO:2")]
-    assert {r.entry: r.platform for r in spark.read.parquet(f"{root}/series_entries").collect()} == {"GSE1": "GPL1|GPL2", "GSE2": "GPL2"}
-    assert sorted(readers.claim_tables(spark, f"{tmp_path}/claims", ["ALE", "Gemma"])) == ["ALE"]
+    (tmp_path / "deleted.txt").write_text("GSM9\nGSE9\n")
+    columns, expert, crowd = ["accession", "attribute", "term_id", "term_name", "ecode"], "expert-curated", "crowd-sourced"
+    rows = {
+        "ALE": [("GSM1", "tissue", "CL:1", "lung cell", expert), ("GSM1", "tissue", "UBERON:2", "lung", expert), ("GSM9", "sex", "M", "male", expert)],
+        "CREEDS": [("GSM2", "disease", "MONDO:2", "flu", crowd), ("GSM2", "developmental_stage", "S:1", "x", crowd), ("GSM6", "disease", "MONDO:0000000", "control", expert)],
+        "Johnson_2023_microarray": [("GSM2", "disease", "MONDO:2", "flu", expert), ("GSM5", "tissue", "UBERON:2", "lung", expert)],
+        "Johnson_2023_rnaseq": [("SRR1", "tissue", "CL:1", "lung cell", expert), ("SRX4", "sex", "F", "female", expert), ("SRP1", "sex", "M", "male", expert), ("SRR404", "sex", "M", "male", expert)],
+    }
+    for name, own in rows.items():
+        registry.save(frame(spark, columns, *own), f"{tmp_path}/claims", name)
+    frame(spark, ["accession", "platform_id", "sra_experiment"], ("GSM1", "GPL1", None), ("GSM2", "GPL1", None), ("GSM4", "GPL1", '"SRX4"'), ("GSM5", "GPL1", None), ("GSM6", "GPL1", None), ("GSM9", "GPL1", None)).write.parquet(f"{tmp_path}/samples")
+    spark.createDataFrame([("GSE1", ["GSM1", "GSM2", "GSM6"]), ("GSE2", ["GSM1"]), ("GSE4", ["GSM4", "GSM5", "GSM9"])], "accession string, sample_id array<string>").write.parquet(f"{tmp_path}/series")
+    frame(spark, ["accession", "sample_accession", "study_accession"], ("SRX4", "SRS4", "SRP4")).write.parquet(f"{tmp_path}/experiments")
+    frame(spark, ["accession", "organism"], *[(f"GSM{i}", "Martian" if i == 5 else "Homo sapiens") for i in (1, 2, 4, 5, 6, 9)]).write.parquet(f"{tmp_path}/channels")
+    frame(spark, ["accession", "experiment_accession"], ("SRR1", "SRX4")).write.parquet(f"{tmp_path}/runs")
+    frame(spark, ["id", "technology"], ("GPL1", "rnaseq")).write.parquet(f"{tmp_path}/tech")
+    frame(spark, ["entry", "level", "description"], ("GSM4", "sample", "a lung"), ("GSE4", "series", "lungs")).write.parquet(f"{tmp_path}/descriptions")
+    inputs = {"root": f"{tmp_path}/db", "obo": f"{tmp_path}/o.obo", "names": f"{tmp_path}/n.json", "claims": f"{tmp_path}/claims", "systems": "MONDO:1,UBERON:1", "technologies": f"{tmp_path}/tech", "deleted": f"{tmp_path}/deleted.txt", "descriptions": f"{tmp_path}/descriptions"}
+    return inputs | {k: f"{tmp_path}/{k}" for k in ("samples", "series", "experiments", "channels", "runs")}
+
+
+def test_build(spark, tmp_path):
+    inputs = built(spark, tmp_path)
+    root = inputs["root"]
+    p = build.stages(spark, root, inputs)
+    with pytest.warns(UserWarning, match="no claims of"):
+        assert p.run() == p.names()
+    assert build.stages(spark, root, inputs).run() == [] and {x["stage"] for x in p.checkpoints.done} == set(p.names())
+    claims = spark.read.parquet(f"{root}/claims")
+    got = sorted((r.entry, r.source, r.term_id) for r in claims.where("level = 'sample'").collect())
+    assert got == [("GSM1", "ALE", "CL:1"), ("GSM2", "CREEDS", "MONDO:2"), ("GSM2", "Johnson_2023", "MONDO:2"), ("GSM4", "Johnson_2023", "CL:1"), ("GSM4", "Johnson_2023", "F"), ("GSM6", "CREEDS", "MONDO:0000000")]
+    got = sorted((r.entry, r.source, r.term_id, r.term_name, r.ecode) for r in claims.where("level = 'series' and attribute <> 'sex'").collect())
+    e, c = "expert-curated", "crowd-sourced"
+    assert got == [("GSE1", "ALE", "CL:1", "lung cell", e), ("GSE1", "CREEDS", "MONDO:2", "flu", c), ("GSE1", "Johnson_2023", "MONDO:2", "flu", e), ("GSE2", "ALE", "CL:1", "lung cell", e), ("GSE4", "Johnson_2023", "CL:1", "lung cell", e)]
+    entry = spark.read.parquet(f"{root}/entries/level=sample").where("entry = 'GSM4'").first()
+    assert (entry.series, entry.srx, entry.srs, entry.srp, entry.organism) == ("GSE4", "SRX4", "SRS4", "SRP4", "homo sapiens")
+    p.checkpoints.clear()
+    assert not p.checkpoints.has("geo") and p.run("geo", "geo") == ["geo"]
+    with pytest.raises(ValueError, match="lacks obo"):
+        build.stages(spark, root, {"systems": "x", "claims": "y", "technologies": "z"})
+
+
+def test_build_then_retrieve_by_the_command_line(spark, tmp_path, capsys):
+    """Both levels, all modes and formats, on what the build command wrote."""
+    inputs = built(spark, tmp_path)
+    (tmp_path / "c.yaml").write_text("\n".join(f"{k}: '{v}'" for k, v in inputs.items()))
+    assert cli.main(["build", "--config", str(tmp_path / "c.yaml")]) == 0
+    assert cli.main(["combine", "sra", "--config", str(tmp_path / "c.yaml")]) == 0
+    (tmp_path / "registry.csv").write_text("source,license,doi\nALE,permissive,10/ale\nJohnson_2023,nc,10/j\n")
+    (tmp_path / "terms.csv").write_text("name,term\nlung,UBERON:2\nnone,X:1\n")
+
+    def ask(attribute, name, *more):
+        assert cli.main(["retrieve", attribute, "--data", inputs["root"], "--output", str(tmp_path / name), *more]) == 0
+        return spark.read.parquet(str(tmp_path / name)) if "--fmt" not in more else None
+
+    rows = ask("tissues", "a", "--terms", str(tmp_path / "terms.csv"), "--metadata", "sample,series,srp,description", "--registry", str(tmp_path / "registry.csv")).collect()
+    assert sorted((r.entry, r.series, r.srp, r.description, r["UBERON:2"]) for r in rows) == [("GSM1", "GSE1|GSE2", "NA", "NA", 1), ("GSM4", "GSE4", "SRP4", "a lung", 1)]
+    out = capsys.readouterr()
+    assert "X:1" in out.err and "DOI: 10/ale" in out.out and (tmp_path / "a.citation.txt").read_text() in out.out
+    assert [r.entry for r in ask("tissues", "permissive", "--license", "permissive", "--registry", str(tmp_path / "registry.csv")).collect()] == ["GSM1"]
+    assert sorted(r.entry for r in ask("tissues", "series", "--level", "series", "--metadata", "series,description").collect()) == ["GSE1", "GSE2", "GSE4"]
+    labels = {r.entry: r["MONDO:2"] for r in ask("diseases", "l", "--mode", "label", "--metadata", "series").collect()}
+    assert labels == {"GSM2": 1, "GSM6": 2}
+    assert {r.entry: r["MONDO:2"] for r in ask("diseases", "ls", "--mode", "label", "--level", "series").collect()} == {"GSE1": 1}
+    assert [(r.entry, r["F"]) for r in ask("sex", "s", "--terms", "female").collect()] == [("GSM4", 1)]
+    assert [r.entry for r in ask("tissues", "d", "--direct", "--terms", "CL:1").orderBy("entry").collect()] == ["GSM1", "GSM4"]
+    ask("diseases", "j", "--mode", "label", "--terms", "MONDO:2,MONDO:1", "--fmt", "json")
+    got = sorted((r.term, r.label, r.entry) for r in spark.read.json(str(tmp_path / "j")).collect())
+    assert got == [("MONDO:1", "control", "GSM6"), ("MONDO:1", "positive", "GSM2"), ("MONDO:2", "control", "GSM6"), ("MONDO:2", "positive", "GSM2")]
+    for fmt in ("csv", "tsv", "json"):
+        ask("tissues", fmt, "--fmt", fmt)
+    assert cli.main(["shields", "--data", inputs["root"], "--output", str(tmp_path / "badges")]) == 0
+    assert json.loads((tmp_path / "badges" / "Johnson_2023__sample.json").read_text())["message"] == "3"
+    assert cli.main(["search", "--data", inputs["root"], "--query", "flu"]) == 0 and "MONDO:2" in capsys.readouterr().out
+    (tmp_path / "pack").mkdir()
+    assert cli.main(["package", str(tmp_path / "pack"), "--from", inputs["root"], "--from", str(tmp_path / "n.json")]) == 0
+    assert (tmp_path / "pack" / "n.json").exists() and (tmp_path / "pack" / "db" / "closure").is_dir() and cli.main(["validate", str(tmp_path / "pack")]) == 0
+
+
+def test_zipped_tables_and_batches(spark, ctx, tmp_path):
+    import zipfile
+
+    with zipfile.ZipFile(tmp_path / "g.zip", "w") as z:
+        z.writestr("a.txt", 'SampleID\tAge\tSex\nGSM1\t40-50\tFemale\nGSM2\tNA\tMale\n\t3\tMale\n')
+        z.writestr("b.txt", 'SampleID\tYears\nGSM3\t"30"\n')
+        z.writestr("c.txt", "x\ty\n1\t2\n")
+    rows = readers.zipped_tables(spark, str(tmp_path / "g.zip"))
+    assert rows.count() == 5 and rows.where("file = 'a.txt'").first()["row"]["SampleID"] == "GSM1"
+    files = frame(spark, ["file", "tissue", "tissue_name", "age_column", "sex_column"], ("a.txt", "UBERON:2", "lung", "Age", "Sex"), ("b.txt", "UBERON:404", "moon", "Years", ""))
+    assert run("Golightly_2018", ctx, raw=processors.golightly_rows(rows, files)) == [
+        ("GSM1", "age", "adult", "adult"), ("GSM1", "sex", "F", "female"), ("GSM1", "tissue", "UBERON:2", "lung"), ("GSM2", "sex", "M", "male"), ("GSM2", "tissue", "UBERON:2", "lung"), ("GSM3", "age", "adult", "adult"),
+    ]
+    one = {"category": "organism part", "valueUri": "http://x/UBERON_2", "value": "Lung"}
+    (tmp_path / "b.json").write_text(json.dumps({"0": [{"accession": "GSE1", "characteristics": [one]}, {"accession": "", "characteristics": [one]}, {"accession": "GSE2"}], "100": [{"accession": "GSE3", "characteristics": [one, one]}], "error": "none"}))
+    raw = readers.batches(spark, str(tmp_path / "b.json"))
+    assert sorted((r.accession, len(r.characteristics)) for r in raw.collect()) == [("GSE1", 1), ("GSE2", 0), ("GSE3", 2)]
+    got = run("Gemma", ctx, raw=raw, stages=frame(spark, ["term_id", "age_group"], ("S:1", "adult")))
+    assert got == [("GSE1", "tissue", "UBERON:2", "lung"), ("GSE3", "tissue", "UBERON:2", "lung")]
+
+
+def test_readers_without_header_and_columns_of_terms(spark, tmp_path):
+    (tmp_path / "n.csv").write_text('a,"b,c"\nd,NA\n')
+    assert sorted(map(tuple, readers.delimited(spark, str(tmp_path / "n.csv"), names=["x", "y"], nulls=("NA",)).collect())) == [("a", "b,c"), ("d", None)]
+    (tmp_path / "t.csv").write_text("id,term\n1,A\n2,B\n3,A\n")
+    assert readers.term_column(spark, str(tmp_path / "t.csv")) == ["A", "B"]
     assert aggregate.counts_from_lists(frame(spark, ["sources"], ("a|b",), ("b",))).collect()[0]["source"] == "b"
 
 
