@@ -63,11 +63,13 @@ def wide_labels(labels: DataFrame, entries: DataFrame, terms: list[str], metadat
 
 
 def json_rows(cells: DataFrame, entries: DataFrame, metadata: list[str]) -> DataFrame:
-    """(term, entry, metadata), a row for each cell; with ``value`` if cells have one. Written sorted by term, a term's rows lie
-    together however many they are; ``nested_json`` assembles one object for a term where that is wanted."""
-    own = F.struct(*(F.col(c) for c in metadata if c in entries.columns and c != "entry")) if metadata else F.struct()
+    """(term, entry, metadata), a row for each cell; with ``value`` if cells have one, without metadata if entries have none.
+    Written sorted by term, a term's rows lie together however many they are; ``nested_json`` assembles one object for a
+    term where that is wanted."""
+    fields = [c for c in metadata if c in entries.columns and c != "entry"]
+    own = [F.struct(*fields).alias("metadata")] if fields else []
     value = ["value"] if "value" in cells.columns else []
-    return cells.join(entries, "entry").select("term", *value, "entry", own.alias("metadata"))
+    return cells.join(entries, "entry").select("term", *value, "entry", *own)
 
 
 LABELS = {POSITIVE: "positive", NEGATIVE: "negative", CONTROL: "control"}
@@ -82,7 +84,7 @@ def label_rows(labels: DataFrame, entries: DataFrame, targets: DataFrame, metada
     rows = json_rows(dense(labels, entries, targets), entries, metadata)
     names = F.create_map(*(F.lit(x) for kv in LABELS.items() for x in kv))
     rows = rows.withColumn("label", F.try_element_at(names, F.col("value"))).where("label is not null")
-    return rows.where(f"value <> {CONTROL} or term like 'MONDO%'").select("term", "label", "entry", "metadata")
+    return rows.where(f"value <> {CONTROL} or term like 'MONDO%'").select("term", "label", "entry", *(c for c in rows.columns if c == "metadata"))
 
 
 def nested_json(cells: DataFrame, entries: DataFrame, metadata: list[str]) -> DataFrame:

@@ -324,7 +324,7 @@ def test_build_then_retrieve_by_the_command_line(spark, tmp_path, capsys):
     out = capsys.readouterr()
     assert "X:1" in out.err and "DOI: 10/ale" in out.out and (tmp_path / "a.citation.txt").read_text() in out.out
     assert [r.entry for r in ask("tissues", "permissive", "--license", "permissive", "--registry", str(tmp_path / "registry.csv")).collect()] == ["GSM1"]
-    assert sorted(r.entry for r in ask("tissues", "series", "--level", "series", "--metadata", "series,description").collect()) == ["GSE1", "GSE2", "GSE4"]
+    assert sorted(r.entry for r in ask("tissues", "by_series", "--level", "series", "--metadata", "series,description").collect()) == ["GSE1", "GSE2", "GSE4"]
     labels = {r.entry: r["MONDO:2"] for r in ask("diseases", "l", "--mode", "label", "--metadata", "series").collect()}
     assert labels == {"GSM2": 1, "GSM6": 2}
     assert {r.entry: r["MONDO:2"] for r in ask("diseases", "ls", "--mode", "label", "--level", "series").collect()} == {"GSE1": 1}
