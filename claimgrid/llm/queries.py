@@ -65,7 +65,60 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.digests(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_decontaminate, op2_quality_rules, op3_mix_sources, op4_secret_scan, op5_toxicity, op6_token_output, op7_simhash, op8_sharding, op9_pseudonyms, op10_substring_dedup)}
+def quality_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What op2_quality_rules counts, before any model."""
+    return quality_rules.counted(table(spark, sf_dir, "documents")).select("doc_id", *quality_rules.COUNTS)
+
+
+def mix_targets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What op3_mix_sources aims at."""
+    return op3_mix_sources(spark, sf_dir).select("doc_id", "size", "source_size", F.round("target", 4).alias("target"))
+
+
+def secret_base_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The base kinds of op4_secret_scan."""
+    return op4_secret_scan(spark, sf_dir).select("doc_id", "n_assign", "n_access", "n_hex")
+
+
+def shard_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of each shard of op8_sharding; bytes of all."""
+    out = op8_sharding(spark, sf_dir).groupBy("shard").agg(F.count("*").alias("n"), F.countDistinct("slot").alias("slots"), F.max("slot").alias("last"))
+    return out.withColumn("shard", F.col("shard").cast("long"))
+
+
+OPERATORS = (op1_decontaminate, op2_quality_rules, op3_mix_sources, op4_secret_scan, op5_toxicity, op6_token_output, op7_simhash, op8_sharding, op9_pseudonyms, op10_substring_dedup)
+QUERIES = {f.__name__: f for f in (*OPERATORS, quality_counts, mix_targets, secret_base_counts, shard_counts)}
+
+_WORDS = "regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')"
+
+
+def _counts_sql() -> str:
+    """op2's counts: words in windows of three that occur twice are told by place."""
+    return f"""WITH w AS (SELECT doc_id, coalesce(text, '') AS t, {_WORDS} AS ws FROM documents),
+ grams AS (SELECT doc_id, p, ws[p : p + 2] AS g FROM (SELECT doc_id, ws, unnest(range(1, len(ws) - 1)) AS p FROM w)),
+ twice AS (SELECT doc_id, p FROM (SELECT doc_id, p, count(*) OVER (PARTITION BY doc_id, g) AS n FROM grams) WHERE n > 1),
+ covered AS (SELECT doc_id, count(DISTINCT i) AS n FROM (SELECT doc_id, unnest(range(p, p + 3)) AS i FROM twice) GROUP BY doc_id),
+ lines AS (SELECT doc_id, list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\\x20\\x09-\\x0D]')) AS l FROM w)
+ SELECT doc_id, len(ws)::BIGINT AS n_words, length(array_to_string(ws, ''))::BIGINT AS word_chars, length(regexp_replace(t, '[^#*$%&|<>]', '', 'g'))::BIGINT AS n_symbols, (len(l) - len(list_distinct(l)))::BIGINT AS n_dup_lines, coalesce(n, 0)::BIGINT AS n_repeat_words
+ FROM w JOIN lines USING (doc_id) LEFT JOIN covered USING (doc_id)"""
+
+
+def _targets_sql(rounds: int = 6) -> str:
+    """op3's targets: ``rounds`` rounds of capping and sharing anew, which is as many as sources that one after another overflow."""
+    most, weights = mixing.PASSES, mixing.WEIGHTS
+    steps = ["s0 AS (SELECT *, false AS capped FROM s)"]
+    for i in range(1, rounds + 1):
+        left, weight = f"(SELECT sum(size) - coalesce(sum({most} * size) FILTER (WHERE capped), 0) FROM s{i - 1})", f"(SELECT sum(w) FILTER (WHERE NOT capped) FROM s{i - 1})"
+        steps.append(f"s{i} AS (SELECT k, size, w, capped OR {left} * w / {weight} > {most} * size AS capped FROM s{i - 1})")
+    left, weight = f"(SELECT sum(size) - coalesce(sum({most} * size) FILTER (WHERE capped), 0) FROM s{rounds})", f"(SELECT sum(w) FILTER (WHERE NOT capped) FROM s{rounds})"
+    return f"""WITH d AS (SELECT doc_id, source, len({_WORDS})::BIGINT AS size FROM documents),
+ s AS (SELECT source AS k, sum(size)::BIGINT AS size, [{", ".join(map(str, weights))}][((row_number() OVER (ORDER BY source NULLS LAST) - 1) % {len(weights)}) + 1] AS w FROM d GROUP BY source), {", ".join(steps)}
+ SELECT doc_id, d.size, s.size AS source_size, round(CASE WHEN capped THEN {most} * s.size ELSE {left} * w / {weight} END::DOUBLE, 4) AS target FROM d JOIN s{rounds} s ON source IS NOT DISTINCT FROM k"""
+
+
+_SECRETS_SQL = """SELECT doc_id, len(list_filter(regexp_extract_all(coalesce(text, ''), '(?i:password|passwd|secret|token|api_?key)["'']?\\x20*[:=]\\x20*["'']?([A-Za-z0-9+/_.=-]+)', 1), lambda x: length(x) >= 6))::BIGINT AS n_assign,
+ len(list_filter(regexp_extract_all(coalesce(text, ''), 'AKIA[A-Z0-9]+'), lambda x: length(x) >= 20))::BIGINT AS n_access, len(list_filter(regexp_extract_all(coalesce(text, ''), '[0-9a-f]+'), lambda x: length(x) >= 24))::BIGINT AS n_hex FROM documents"""
+_SHARDS_SQL = f"WITH n AS (SELECT count(*) AS n FROM documents) SELECT i AS shard, n // {sharding.SHARDS} + (i < n % {sharding.SHARDS})::INT AS n, n // {sharding.SHARDS} + (i < n % {sharding.SHARDS})::INT AS slots, n // {sharding.SHARDS} + (i < n % {sharding.SHARDS})::INT - 1 AS last FROM n, (SELECT unnest(range({sharding.SHARDS})) AS i) WHERE i < n"
 
 
 def _leak_sql() -> str:
@@ -91,4 +144,6 @@ def _substring_sql(window: int = substring_dedup.WINDOW) -> str:
  SELECT w.doc_id, len(ws)::BIGINT AS n_words, (len(ws) - coalesce(n, 0))::BIGINT AS n_removed, sha256(coalesce(text, '')) AS kept_sha256 FROM w LEFT JOIN kept USING (doc_id)"""
 
 
-ORACLE_SQL: dict[str, str] = {"op1_decontaminate": _leak_sql(), "op10_substring_dedup": _substring_sql()}
+ORACLE_SQL: dict[str, str] = {
+    "op1_decontaminate": _leak_sql(), "op10_substring_dedup": _substring_sql(), "quality_counts": _counts_sql(), "mix_targets": _targets_sql(), "secret_base_counts": _SECRETS_SQL, "shard_counts": _SHARDS_SQL,
+}
