@@ -4,14 +4,23 @@ from __future__ import annotations
 
 import csv
 import io
+import json
+import struct
 import warnings
 import zipfile
 from collections.abc import Iterator
+from functools import reduce
+from itertools import islice
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from claimgrid.schema import ATTRIBUTES
+
+#: Accessions that a database keeps of an entry.
+SAMPLE_ACCESSIONS = ("sample", "series", "platform", "srx", "srs", "srp")
+
 
 def delimited(spark: SparkSession, path: str, columns: list[str] | None = None, sep: str = ",", nulls: tuple[str, ...] = ("",), encoding: str = "UTF-8", names: list[str] | None = None, skip: int = 0) -> DataFrame:
     """CSV or TSV as strings, with several spellings of null.
@@ -116,6 +125,65 @@ def zipped_tables(spark: SparkSession, path: str, sep: str = "\t", nulls: tuple[
     return raw.mapInPandas(unzip, "file string, row map<string,string>")
 
 
+def _bson_value(kind: int, raw: bytes, at: int) -> tuple[object, int]:
+    """A value of a BSON element and where it ends; the types that an annotation database holds."""
+    if kind in (0x02, 0x03, 0x04):
+        size = struct.unpack_from("<i", raw, at)[0]
+        if kind == 0x02:
+            return raw[at + 4 : at + 3 + size].decode(), at + 4 + size
+        fields = dict(_bson_elements(raw, at))
+        return (fields if kind == 0x03 else list(fields.values())), at + size
+    if kind == 0x0A:
+        return None, at
+    if kind == 0x08:
+        return raw[at] == 1, at + 1
+    form, size = {0x01: ("<d", 8), 0x10: ("<i", 4), 0x12: ("<q", 8), 0x09: ("<q", 8)}[kind]
+    return struct.unpack_from(form, raw, at)[0], at + size
+
+
+def _bson_elements(raw: bytes, at: int = 0) -> Iterator[tuple[str, object]]:
+    """Names and values of the BSON document that begins at a place, one at a time."""
+    at += 4
+    while raw[at]:
+        end = raw.index(0, at + 1)
+        value, after = _bson_value(raw[at], raw, end + 1)
+        yield raw[at + 1 : end].decode(), value
+        at = after
+
+
+def bson_map(spark: SparkSession, path: str) -> DataFrame:
+    """(key, json): the top-level fields of BSON files, each one document; a file is read by one task, field by field."""
+
+    def parse(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for content in (x for part in parts for x in part["content"]):
+            rows = _bson_elements(content)
+            while some := list(islice(rows, 10_000)):
+                yield pd.DataFrame([(k, json.dumps(v)) for k, v in some], columns=["key", "json"])
+
+    return spark.read.format("binaryFile").load(path).select("content").mapInPandas(parse, "key string, json string")
+
+
+def database_claims(rows: DataFrame) -> DataFrame:
+    """Claims from an annotation database as (key, json) of its entries: attribute -> source -> id, value, ecode. Of an id
+    that names several terms each is a claim, with its name where there are as many."""
+    out = []
+    for a in ATTRIBUTES:
+        of = F.from_json(F.get_json_object("json", f"$.{a}"), "map<string,struct<id:string,value:string,ecode:string>>")
+        each = rows.select(F.col("key").alias("entry"), F.explode(of).alias("source", "v"))
+        ids, names = F.split("v.id", "[|]"), F.split("v.value", "[|]")
+        named = F.when(F.size(ids) == F.size(names), names).otherwise(F.transform(ids, lambda _: F.col("v.value")))
+        each = each.select("entry", "source", "v.ecode", F.explode(F.arrays_zip(ids.alias("term_id"), named.alias("term_name"))).alias("t"))
+        out.append(each.select("entry", F.lit(a).alias("attribute"), "source", "t.term_id", "t.term_name", "ecode"))
+    return reduce(DataFrame.union, out).where("term_id is not null")
+
+
+def database_entries(rows: DataFrame) -> DataFrame:
+    """Entries of an annotation database: accessions and organism."""
+    ids = F.from_json(F.get_json_object("json", "$.accession_ids"), ", ".join(f"{c} string" for c in SAMPLE_ACCESSIONS))
+    own = rows.select(F.col("key").alias("entry"), ids.alias("i"), F.get_json_object("json", "$.organism").alias("organism"))
+    return own.select("entry", *(f"i.{c}" for c in SAMPLE_ACCESSIONS), "organism")
+
+
 def term_column(spark: SparkSession, path: str, column: str = "term") -> list[str]:
     """The values of a CSV's column, in order of their first place; a request's terms, so few."""
     return list(dict.fromkeys(r[0] for r in delimited(spark, path, [column]).where(F.col(column).isNotNull()).collect()))

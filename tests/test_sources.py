@@ -364,6 +364,31 @@ def test_zipped_tables_and_batches(spark, ctx, tmp_path):
     assert got == [("GSE1", "tissue", "UBERON:2", "lung"), ("GSE3", "tissue", "UBERON:2", "lung")]
 
 
+def bson(value):
+    """A test's own writer."""
+    import struct
+
+    def element(name, v):
+        kind, body = {str: lambda: (2, struct.pack("<i", len(v.encode()) + 1) + v.encode() + b"\0"), dict: lambda: (3, bson(v)), list: lambda: (4, bson({str(i): x for i, x in enumerate(v)})), float: lambda: (1, struct.pack("<d", v)), int: lambda: (18, struct.pack("<q", v)), bool: lambda: (8, bytes([v])), type(None): lambda: (10, b"")}[type(v)]()
+        return bytes([kind]) + name.encode() + b"\0" + body
+
+    body = b"".join(element(k, v) for k, v in value.items())
+    return struct.pack("<i", len(body) + 5) + body + b"\0"
+
+
+def test_annotation_database(spark, tmp_path):
+    entries = {
+        "GSM1": {"organism": "homo sapiens", "tissue": {"ALE": {"id": "UBERON:1|UBERON:2", "value": "a|é", "ecode": "x"}}, "disease": {}, "accession_ids": {"series": "GSE1", "platform": "GPL1"}},
+        "GSM2": {"sex": {"Gemma": {"id": "M", "value": "male", "ecode": "y"}, "ALE": {"id": "F|M", "value": "female", "ecode": "y"}}, "odd": [1, 2.5, True, None], "accession_ids": {}},
+    }
+    (tmp_path / "d.bson").write_bytes(bson(entries))
+    rows = readers.bson_map(spark, str(tmp_path / "d.bson"))
+    assert {r.key: json.loads(r.json) for r in rows.collect()} == entries
+    got = sorted(tuple(r) for r in readers.database_claims(rows).collect())
+    assert got == [("GSM1", "tissue", "ALE", "UBERON:1", "a", "x"), ("GSM1", "tissue", "ALE", "UBERON:2", "é", "x"), ("GSM2", "sex", "ALE", "F", "female", "y"), ("GSM2", "sex", "ALE", "M", "female", "y"), ("GSM2", "sex", "Gemma", "M", "male", "y")]
+    assert sorted((r.entry, r.series, r.platform, r.organism) for r in readers.database_entries(rows).collect()) == [("GSM1", "GSE1", "GPL1", "homo sapiens"), ("GSM2", None, None, None)]
+
+
 def test_readers_without_header_and_columns_of_terms(spark, tmp_path):
     (tmp_path / "n.csv").write_text('a,"b,c"\nd,NA\n')
     assert sorted(map(tuple, readers.delimited(spark, str(tmp_path / "n.csv"), names=["x", "y"], nulls=("NA",)).collect())) == [("a", "b,c"), ("d", None)]
