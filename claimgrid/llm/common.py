@@ -3,14 +3,16 @@
 from __future__ import annotations
 
 import sys
-import tempfile
-import uuid
 
 from pyspark.cloudpickle import register_pickle_by_value
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from claimgrid.storage import shared_path, shared_root, written
+
+__all__ = ["bounded_sample", "connected_components", "packed", "shared_path", "shared_root", "small_side", "split_words", "table", "unpacked", "written"]
+
 # Executors need no copy of this package: functions travel with the tasks. Broadcast values are pickled by reference,
 # so they are plain arrays, tuples and dictionaries.
 register_pickle_by_value(sys.modules[__package__])
@@ -28,41 +30,6 @@ def split_words(raw: bytes | None) -> list[bytes]:
     return raw.split() if raw else []
 
 
-def shared_root(spark: SparkSession) -> str:
-    """The folder that driver and executors share, as the session names it; a local one is made only in local mode."""
-    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not root:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
-        root = "file://" + tempfile.mkdtemp(prefix="claimgrid-")
-    if not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(root)
-    return root
-
-
-def shared_path(spark: SparkSession, name: str) -> str:
-    """A new URI in the shared folder, in one folder for each application, which goes when the application ends.
-
-    A root without a scheme lies in the cluster's default file system.
-    """
-    files = spark.sparkContext._jvm.org.apache.hadoop.fs
-    folder = files.Path(f"{shared_root(spark).rstrip('/')}/claimgrid-{spark.sparkContext.applicationId}")
-    store = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    folder = store.makeQualified(folder)
-    if not store.exists(folder):
-        store.mkdirs(folder)
-        store.deleteOnExit(folder)
-    uri = str(folder.toUri())
-    return f"{uri if '://' in uri else uri.replace(':/', ':///', 1)}/{name}-{uuid.uuid4().hex}"
-
-
-def written(df: DataFrame, name: str) -> DataFrame:
-    """df as a table in the shared folder: computed once, safe from lost executors, without its lineage."""
-    path = shared_path(df.sparkSession, name)
-    df.write.option("compression", "zstd").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def _bytes(name: str, kind: T.DataType) -> Column:
     """About how many bytes a column's value takes."""
     c = F.col(f"`{name}`")

@@ -86,3 +86,27 @@ def test_stages(spark, planted, tmp_path):
             start += len(ids[i])
     assert rows == want
     assert sorted(map(tuple, P.run(spark, planted).collect()), key=lambda r: r[1]) == want
+
+
+def test_pipeline_of_nothing_and_of_little(spark, sf_dir, tmp_path):
+    """Empty tables give empty results; without labels and items nothing is dropped but copies; clashing names stay."""
+    def tables(root, docs, labels, bench):
+        docs.write.parquet(f"{root}/documents.parquet")
+        labels.write.parquet(f"{root}/labels.parquet")
+        bench.write.parquet(f"{root}/benchmark.parquet")
+        return str(root)
+
+    docs = S.table(spark, [S.long_text("a", 80), S.long_text("b", 70), None, "", S.long_text("a", 80)], ids=[1, 2, 3, None, 5], sources=["x", None, "x", "y", "x"])
+    docs = docs.withColumnsRenamed({"extra": "_h", "h": "_score", "key": "_copies", "fp": "_n", "place": "_size"})
+    labels, bench = table(spark, sf_dir, "labels").limit(0), table(spark, sf_dir, "benchmark").limit(0)
+    none = tables(tmp_path / "none", docs.limit(0), labels, bench)
+    assert P.run(spark, none).count() == 0
+    little = tables(tmp_path / "little", docs, labels, bench)
+    now = table(spark, little, "documents")
+    for i, (name, stage) in enumerate(P.STAGES[:-1]):
+        stage(spark, now, little).write.parquet(f"{tmp_path}/{name}")
+        now = spark.read.parquet(f"{tmp_path}/{name}")
+        assert now.columns == docs.columns
+        if i < 3:
+            assert now.count() == (5 if i == 0 else 3)  # the copy, and the second of the texts without words
+    assert P.run(spark, little).count() == now.count() > 0
