@@ -1,6 +1,8 @@
 """The corpus pipeline: documents without toxic ones, near copies and benchmark leaks, mixed and written as token ids.
 
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame; it is written as Parquet and read again as the next one's docs.
+All stages keep extra columns, whatever their names; an empty table stays empty; rows with null ids or sources are rows
+like others.
 """
 
 from __future__ import annotations
@@ -13,27 +15,32 @@ from claimgrid.llm.queries import tokenizer_path
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts that score 0.5 or more go. The labelled rows among docs train the model."""
+    """Texts that score 0.5 or more go. The labelled rows among docs train the model; without both kinds of them all stay. A null
+    or empty text scores the intercept alone; repeated rows stay or go together."""
     return toxicity.clean(docs, table(spark, sf_dir, "labels"))
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of linked fingerprints one document stays."""
+    """Of each group of linked fingerprints one document stays, the one with the least (doc_id, text hash), null ids last. Texts
+    without words are linked to one another; of wholly equal rows one stays."""
     return simhash.one_of_each(docs)
 
 
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold a passage of a benchmark item go."""
+    """Documents that hold a passage of a benchmark item go, equal texts alike. Null texts, texts under 9 words and items under 9
+    words hold none; an empty benchmark leaves all."""
     return decontaminate.decontaminate(docs, table(spark, sf_dir, "benchmark"))
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Each document as often as the mix takes it."""
+    """Each document as often as the mix takes it, up to 3 times. Null sources are one source, the last; texts without words are
+    taken by their place in their source's order, like others."""
     return mixing.expand(mixing.mix(docs, mixing.words_of()), docs.columns)
 
 
 def write_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """doc_id, start, n_tokens, ids_crc32 of each row, read back from the token files."""
+    """doc_id, start, n_tokens, ids_crc32 of each row, read back from the token files, null ids first. A null text has the end id
+    alone."""
     return token_output.tokenized(docs, tokenizer_path())
 
 
