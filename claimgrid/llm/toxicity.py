@@ -66,7 +66,8 @@ def _mix(a: np.ndarray, b: np.ndarray, k: int) -> np.ndarray:
 def train(rows: list[np.ndarray], labels: np.ndarray, seed: int = 0, passes: int = PASSES) -> tuple[np.ndarray, np.ndarray, float]:
     """FTRL-proximal over rows of distinct features; (hashes, weights, intercept) of the weights that aren't 0."""
     sizes = np.array([len(r) for r in rows])
-    names, flat = np.unique(np.concatenate([*rows, np.empty(0, np.uint32)]), return_inverse=True)
+    names = np.unique(np.concatenate([*rows, np.empty(0, np.uint32)]))
+    flat = np.concatenate([*(np.searchsorted(names, r).astype(np.int32) for r in rows), np.empty(0, np.int32)])
     cuts = np.r_[0, np.cumsum(sizes)]
     z, n = np.zeros(len(names) + 1), np.zeros(len(names) + 1)  # the last is the intercept, without L1
     last = len(names)
