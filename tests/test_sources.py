@@ -285,13 +285,21 @@ def built(spark, tmp_path, obo=OBO):
     return inputs | {k: f"{tmp_path}/{k}" for k in ("samples", "series", "experiments", "channels", "runs")}
 
 
-def test_build(spark, tmp_path):
-    inputs = built(spark, tmp_path)
-    root = inputs["root"]
+@pytest.fixture(scope="module")
+def database(spark, tmp_path_factory):
+    """What the build command wrote, and the inputs it read."""
+    folder = tmp_path_factory.mktemp("build")
+    inputs = built(spark, folder)
+    (folder / "c.yaml").write_text("\n".join(f"{k}: '{v}'" for k, v in inputs.items()))
+    with pytest.warns(UserWarning, match="no claims of BGee"):
+        assert cli.main(["build", "--config", str(folder / "c.yaml")]) == 0
+    return inputs | {"config": str(folder / "c.yaml")}
+
+
+def test_build(spark, database):
+    inputs, root = database, database["root"]
     p = build.stages(spark, root, inputs)
-    with pytest.warns(UserWarning, match="no claims of"):
-        assert p.run() == p.names()
-    assert build.stages(spark, root, inputs).run() == [] and {x["stage"] for x in p.checkpoints.done} == set(p.names())
+    assert p.run() == [] and {x["stage"] for x in p.checkpoints.done} == set(p.names())
     claims = spark.read.parquet(f"{root}/claims")
     got = sorted((r.entry, r.source, r.term_id) for r in claims.where("level = 'sample'").collect())
     assert got == [("GSM1", "ALE", "CL:1"), ("GSM2", "CREEDS", "MONDO:2"), ("GSM2", "Johnson_2023", "MONDO:2"), ("GSM4", "Johnson_2023", "CL:1"), ("GSM4", "Johnson_2023", "F"), ("GSM6", "CREEDS", "MONDO:0000000")]
@@ -306,12 +314,10 @@ def test_build(spark, tmp_path):
         build.stages(spark, root, {"systems": "x", "claims": "y", "technologies": "z"})
 
 
-def test_build_then_retrieve_by_the_command_line(spark, tmp_path, capsys):
+def test_build_then_retrieve_by_the_command_line(spark, database, tmp_path, capsys):
     """Both levels, all modes and formats, on what the build command wrote."""
-    inputs = built(spark, tmp_path)
-    (tmp_path / "c.yaml").write_text("\n".join(f"{k}: '{v}'" for k, v in inputs.items()))
-    assert cli.main(["build", "--config", str(tmp_path / "c.yaml")]) == 0
-    assert cli.main(["combine", "sra", "--config", str(tmp_path / "c.yaml")]) == 0
+    inputs = database
+    assert cli.main(["combine", "sra", "--config", inputs["config"]]) == 0
     (tmp_path / "registry.csv").write_text("source,license,doi\nALE,permissive,10/ale\nJohnson_2023,nc,10/j\n")
     (tmp_path / "terms.csv").write_text("name,term\nlung,UBERON:2\nnone,X:1\n")
 
@@ -339,7 +345,7 @@ def test_build_then_retrieve_by_the_command_line(spark, tmp_path, capsys):
     assert json.loads((tmp_path / "badges" / "Johnson_2023__sample.json").read_text())["message"] == "3"
     assert cli.main(["search", "--data", inputs["root"], "--query", "flu"]) == 0 and "MONDO:2" in capsys.readouterr().out
     (tmp_path / "pack").mkdir()
-    assert cli.main(["package", str(tmp_path / "pack"), "--from", inputs["root"], "--from", str(tmp_path / "n.json")]) == 0
+    assert cli.main(["package", str(tmp_path / "pack"), "--from", inputs["root"], "--from", inputs["names"]]) == 0
     assert (tmp_path / "pack" / "n.json").exists() and (tmp_path / "pack" / "db" / "closure").is_dir() and cli.main(["validate", str(tmp_path / "pack")]) == 0
 
 
