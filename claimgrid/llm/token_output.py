@@ -2,9 +2,9 @@
 
 Documents are range-partitioned and sorted by doc_id. A task encodes its texts, appends the end id and packs the ids into
 rows of ``length`` tokens; it writes them as an Arrow IPC file whose batches hold two fixed-size lists: ``ids`` and ``mask``
-(a byte each: 1, and 0 on the padding that fills a file's last row). Batches have equal row counts, so row r lies in batch
-r // rows at r % rows, and a memory map gives its ids and mask without a copy. A second file has each document's id, start
-and length. File names carry the attempt; only files named in the manifest, which finished tasks return, belong to the
+(a byte each: 1, and 0 on the padding that fills a file's last row). Masks are a dictionary, written once a file: entry k has k
+ones. Batches have equal row counts, so row r lies in batch r // rows at r % rows, and a memory map gives its ids and mask
+without a copy. A second file has each document's id, start and length. File names carry the attempt; only files named in the manifest, which finished tasks return, belong to the
 output, so repeated or lost tasks do no harm, and files of other attempts are removed in the end.
 
 Where the tokenizer's own file says that it lower-cases, drops white space and closes words by a suffix, words between ASCII
@@ -149,13 +149,18 @@ class Encoder:
             yield b"".join([known[w] for w in words])
 
 
+def _masks(length: int) -> pa.Array:
+    """For each number of real tokens, from 0 to length, the mask of a row."""
+    return pa.FixedSizeListArray.from_arrays(pa.array(np.tri(length + 1, length, -1, np.uint8).ravel()), length)
+
+
 def _schema(dtype: np.dtype, length: int) -> pa.Schema:
-    return pa.schema([("ids", pa.list_(pa.from_numpy_dtype(dtype), length)), ("mask", pa.list_(pa.uint8(), length))])
+    return pa.schema([("ids", pa.list_(pa.from_numpy_dtype(dtype), length)), ("mask", pa.dictionary(pa.int32(), pa.list_(pa.uint8(), length)))])
 
 
-def _pack(flat: np.ndarray, real: int, length: int, schema: pa.Schema) -> pa.RecordBatch:
-    mask = (np.arange(len(flat)) < real).view(np.uint8)
-    lists = [pa.FixedSizeListArray.from_arrays(pa.array(flat), length), pa.FixedSizeListArray.from_arrays(pa.array(mask), length)]
+def _pack(flat: np.ndarray, real: int, length: int, schema: pa.Schema, masks: pa.Array) -> pa.RecordBatch:
+    own = np.clip(real - np.arange(0, len(flat), length), 0, length).astype(np.int32)
+    lists = [pa.FixedSizeListArray.from_arrays(pa.array(flat), length), pa.DictionaryArray.from_arrays(pa.array(own), masks)]
     return pa.RecordBatch.from_arrays(lists, schema=schema)
 
 
@@ -171,7 +176,7 @@ def write(docs: DataFrame, out: str, tokenizer: str, end_id: int = END_ID, lengt
         encoder = Encoder(tokenizer, known)
         fs, base = pa.fs.FileSystem.from_uri(out)
         name = f"part-{TaskContext.get().partitionId():06d}-{uuid.uuid4().hex}"
-        schema, index_schema, end = _schema(encoder.dtype, length), _index(kind), np.array([end_id], encoder.dtype).tobytes()
+        schema, masks, index_schema, end = _schema(encoder.dtype, length), _masks(length), _index(kind), np.array([end_id], encoder.dtype).tobytes()
         step, place, held = length * rows * encoder.dtype.itemsize, 0, bytearray()
         fs.create_dir(base, recursive=True)
         with fs.open_output_stream(f"{base}/{name}.arrow") as sink, fs.open_output_stream(f"{base}/{name}.index.arrow") as index_sink, pa.ipc.new_file(sink, schema) as writer, pa.ipc.new_file(index_sink, index_schema) as index:
@@ -182,14 +187,14 @@ def write(docs: DataFrame, out: str, tokenizer: str, end_id: int = END_ID, lengt
                     held += end
                     sizes.append(len(ids) // encoder.dtype.itemsize + 1)
                     while len(held) >= step:
-                        writer.write_batch(_pack(np.frombuffer(bytes(held[:step]), encoder.dtype), length * rows, length, schema))
+                        writer.write_batch(_pack(np.frombuffer(bytes(held[:step]), encoder.dtype), length * rows, length, schema, masks))
                         del held[:step]
                 ends = place + np.cumsum(np.array(sizes, np.int64))
                 index.write_batch(pa.RecordBatch.from_arrays([b.column(0).cast(kind), pa.array(ends - sizes), pa.array(sizes, pa.int64())], schema=index_schema))
                 place = int(ends[-1]) if sizes else place
             if held:
                 flat = np.frombuffer(bytes(held), encoder.dtype)
-                writer.write_batch(_pack(np.concatenate([flat, np.zeros(-len(flat) % length, encoder.dtype)]), len(flat), length, schema))
+                writer.write_batch(_pack(np.concatenate([flat, np.zeros(-len(flat) % length, encoder.dtype)]), len(flat), length, schema, masks))
         yield pa.RecordBatch.from_arrays([pa.array([TaskContext.get().partitionId()], pa.int32()), pa.array([name]), pa.array([place], pa.int64())], names=["part", "name", "tokens"])
 
     some = docs.select("doc_id", F.col("text").cast("binary").alias("raw"))
@@ -223,7 +228,7 @@ def sequence(reader: pa.ipc.RecordBatchFileReader, row: int, rows: int = ROWS) -
     batch = reader.get_batch(row // rows)
     ids, mask = batch.column(0), batch.column(1)
     n, at = ids.type.list_size, row % rows
-    return ids.flatten().slice(at * n, n).to_numpy(), mask.flatten().slice(at * n, n).to_numpy()
+    return ids.flatten().slice(at * n, n).to_numpy(), mask.dictionary.flatten().slice(mask.indices[at].as_py() * n, n).to_numpy()
 
 
 class Stream:
