@@ -469,16 +469,12 @@ def merge_geo_sra(spark, sf_dir):
     return integrate.merged_entries(own.where("platform < '4'"), second)
 
 
-@query("sra_to_gsm", """WITH samples AS (SELECT 'GSM' || c_custkey AS accession, 'SRX' || (c_custkey % 100) AS x FROM customer WHERE c_custkey % 3 = 0), runs AS (SELECT 'SRR' || s_suppkey AS accession, 'SRX' || (s_suppkey % 100) AS x FROM supplier)
- SELECT r.accession AS archive_id, s.accession AS entry FROM runs r JOIN samples s USING (x) UNION ALL SELECT x, accession FROM samples""")
-def sra_to_gsm(spark, sf_dir):
-    samples = table(spark, sf_dir, "customer").where("c_custkey % 3 = 0").select(F.concat(F.lit("GSM"), F.col("c_custkey")).alias("accession"), F.concat(F.lit('"SRX'), F.col("c_custkey") % 100, F.lit('"')).alias("sra_experiment"))
-    runs = table(spark, sf_dir, "supplier").select(F.concat(F.lit("SRR"), F.col("s_suppkey")).alias("accession"), F.concat(F.lit("SRX"), F.col("s_suppkey") % 100).alias("experiment_accession"))
-    return integrate.archive_to_sample(runs, samples)
+_ARCHIVE_SQL = """WITH samples AS (SELECT 'GSM' || c_custkey AS accession, CASE WHEN c_custkey % 10 <> 0 THEN 'SRX' || (c_custkey // 4) END AS x FROM customer), runs AS (SELECT 'SRR' || s_suppkey AS accession, 'SRX' || (s_suppkey // 2) AS x FROM supplier)
+ SELECT r.accession AS archive_id, s.accession AS entry FROM runs r JOIN samples s USING (x) UNION ALL SELECT x, accession FROM samples WHERE x IS NOT NULL"""
 
 
-@query("sra_to_gsm_all", """WITH samples AS (SELECT 'GSM' || c_custkey AS accession, CASE WHEN c_custkey % 10 <> 0 THEN 'SRX' || (c_custkey // 4) END AS x FROM customer), runs AS (SELECT 'SRR' || s_suppkey AS accession, 'SRX' || (s_suppkey // 2) AS x FROM supplier)
- SELECT r.accession AS archive_id, s.accession AS entry FROM runs r JOIN samples s USING (x) UNION ALL SELECT x, accession FROM samples WHERE x IS NOT NULL""")
+@query("sra_to_gsm", _ARCHIVE_SQL)
+@query("sra_to_gsm_all", _ARCHIVE_SQL)
 def sra_to_gsm_all(spark, sf_dir):
     """All customers, a tenth without an experiment; at most four samples and two runs share one."""
     named = F.when(F.col("c_custkey") % 10 != 0, F.concat(F.lit('"SRX'), F.expr("c_custkey div 4"), F.lit('"')))
@@ -592,12 +588,7 @@ def _corpus(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
 _CORPUS_SQL = """fields AS (SELECT p_partkey::VARCHAR AS term_id, p_type AS type, p_name AS name, unnest([p_name, p_brand, p_type || ' ' || p_name, 'part of stock']) AS text, unnest([10, 8, 3, 1]) AS w FROM part)"""
 
 
-@query("search_documents", _BM25_SQL)
-def search_documents(spark, sf_dir):
-    docs = table(spark, sf_dir, "documents").where("lang = 'en'").select(F.col("doc_id").cast("string").alias("term_id"), "text", F.lit(1).alias("weight"))
-    return search.bm25plus(docs, _QUERY).withColumn("score", F.round("score", 6))
-
-
+@query("search_documents", _BM25_SQL.replace(" WHERE lang = 'en'", ""))
 @query("search_documents_all", _BM25_SQL.replace(" WHERE lang = 'en'", ""))
 def search_documents_all(spark, sf_dir):
     """Documents of every language are scored and counted."""
@@ -680,13 +671,6 @@ def quality_check(spark, sf_dir):
     return report.missing_accessions(own, "series", "platform")
 
 
-@query("contract_violations", "SELECT 'O:' || l_orderkey AS entry, CASE WHEN l_returnflag = 'R' THEN 'ecode' ELSE 'sex' END AS rule, l_linestatus AS value FROM lineitem WHERE l_returnflag = 'R' OR l_linestatus = 'O'")
-def contract_violations(spark, sf_dir):
-    items = table(spark, sf_dir, "lineitem")
-    own = items.select(F.concat(F.lit("O:"), F.col("l_orderkey")).alias("entry"), F.lit("sex").alias("attribute"), F.concat_ws("-", F.col("l_suppkey").cast("string"), F.col("l_linenumber").cast("string"), F.col("l_partkey").cast("string")).alias("source"), F.col("l_linestatus").alias("term_id"), F.when(F.col("l_returnflag") == "R", "guess").otherwise(EXPERT).alias("ecode"))
-    return report.violations(own, own.select("entry", F.lit("homo sapiens").alias("organism")).limit(0), level="series")
-
-
 # Claims of all attributes, some with another evidence code or age group, so that every rule is broken somewhere.
 _CONTRACT_SQL = f"""WITH {_claims_sql()}, {_ENTRIES_SQL}, own AS (SELECT entry, attribute, source, CASE WHEN source = 'S7' THEN 'guess' ELSE ecode END AS ecode, CASE WHEN attribute = 'age' AND source = 'S5' THEN 'elder' ELSE term_id END AS term FROM claims),
  ruled AS (SELECT entry, term AS value, CASE WHEN ecode NOT IN ('expert-curated', 'crowd-sourced') THEN 'ecode' WHEN attribute = 'tissue' AND split_part(term, ':', 1) NOT IN ('UBERON', 'CL') THEN 'tissue ontology' WHEN attribute = 'disease' AND split_part(term, ':', 1) <> 'MONDO' THEN 'disease ontology' WHEN attribute = 'sex' AND term NOT IN ('M', 'F') THEN 'sex' WHEN attribute = 'age' AND term NOT IN {_in([g for g, _, _ in AGE_GROUPS])} THEN 'age group' END AS rule FROM own WHERE term IS NOT NULL),
@@ -695,6 +679,7 @@ _CONTRACT_SQL = f"""WITH {_claims_sql()}, {_ENTRIES_SQL}, own AS (SELECT entry,
  SELECT 'sample' AS level, * FROM once UNION ALL SELECT 'sample', entry, rule, n::VARCHAR FROM many UNION ALL SELECT 'series', * FROM once"""
 
 
+@query("contract_violations", _CONTRACT_SQL)
 @query("contract_violations_all", _CONTRACT_SQL)
 def contract_violations_all(spark, sf_dir):
     """Every rule, at both levels, over the claims of all attributes and all entries."""
