@@ -168,7 +168,7 @@ def mix(docs: DataFrame, size: Column, weights: tuple[float, ...] = WEIGHTS, pas
     goal = targets(sizes, {s: weights[i % len(weights)] for i, s in enumerate(names)}, passes)
     flow = route(words, cells, goal, passes)
     # A cell is taken in whole documents. What its rounding leaves over is made good in its source's largest cell, its last.
-    last = {s: max((p for p, t in cells if t == s), key=lambda p, s=s: (cells[p, s], p)) for s in sizes}
+    last = {s: p for n, p, s in sorted(((n, p, s) for (p, s), n in cells.items()), key=lambda x: x[:2])}
     first = [c for c in cells if last[c[1]] != c[0]]
     if first:
         rounded = _placed(narrow, binned, _plan(spark, {c: flow[c] for c in first}, cells, sizes, goal, passes))
