@@ -63,11 +63,22 @@ def _mix(a: np.ndarray, b: np.ndarray, k: int) -> np.ndarray:
     return (x >> np.uint64(32)).astype(np.uint32)
 
 
+def numbered(every: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct hashes in order, and the number of each hash among them: by one sort of (hash, place) in a word each."""
+    keys = every.astype(np.uint64) << np.uint64(32) | np.arange(len(every), dtype=np.uint64)
+    keys.sort()
+    sorted_ = (keys >> np.uint64(32)).astype(np.uint32)
+    new = np.ones(len(every), bool)
+    new[1:] = sorted_[1:] != sorted_[:-1]
+    flat = np.empty(len(every), np.int32)
+    flat[keys & np.uint64(0xFFFFFFFF)] = np.cumsum(new, dtype=np.int32) - 1
+    return sorted_[new], flat
+
+
 def train(rows: list[np.ndarray], labels: np.ndarray, seed: int = 0, passes: int = PASSES) -> tuple[np.ndarray, np.ndarray, float]:
     """FTRL-proximal over rows of distinct features; (hashes, weights, intercept) of the weights that aren't 0."""
     sizes = np.array([len(r) for r in rows])
-    names = np.unique(np.concatenate([*rows, np.empty(0, np.uint32)]))
-    flat = np.concatenate([*(np.searchsorted(names, r).astype(np.int32) for r in rows), np.empty(0, np.int32)])
+    names, flat = numbered(np.concatenate([*rows, np.empty(0, np.uint32)]))
     cuts = np.r_[0, np.cumsum(sizes)]
     z, n = np.zeros(len(names) + 1), np.zeros(len(names) + 1)  # the last is the intercept, without L1
     last = len(names)
@@ -84,7 +95,7 @@ def train(rows: list[np.ndarray], labels: np.ndarray, seed: int = 0, passes: int
     order = np.random.default_rng(seed)
     for _ in range(passes):
         for i in order.permutation(len(rows)):
-            at = flat[cuts[i] : cuts[i + 1]]
+            at = flat[cuts[i] : cuts[i + 1]].astype(np.intp)
             w, w0 = weights(at), intercept()
             g = 1 / (1 + np.exp(-np.clip(w.sum() + w0, -30, 30))) - labels[i]
             before = np.sqrt(n[at])
