@@ -138,15 +138,23 @@ class Encoder:
         yield from self._some(split)
 
     def _some(self, split: list[list[bytes]]) -> Iterator[bytes]:
-        known, every = self.known, set().union(*split)
-        new = [w for w in every if w not in known]
-        if len(known) + len(new) > REMEMBER:
-            known.clear()
-            new = list(every)
-        if new:
+        """Texts whose words are all known need nothing more; of the others the new words are learned together."""
+        known, out, open_ = self.known, [b""] * len(split), []
+        for i, words in enumerate(split):
+            try:
+                out[i] = b"".join(map(known.__getitem__, words))
+            except KeyError:
+                open_.append(i)
+        if open_:
+            every = set().union(*(split[i] for i in open_))
+            new = [w for w in every if w not in known]
+            if len(known) + len(new) > REMEMBER:
+                known.clear()
+                new = list(every)
             self.learn(new)
-        for words in split:
-            yield b"".join([known[w] for w in words])
+            for i in open_:
+                out[i] = b"".join(map(known.__getitem__, split[i]))
+        yield from out
 
 
 def _masks(length: int) -> pa.Array:
