@@ -7,7 +7,7 @@ import math
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, mixing, pii, quality_rules, secret_scan, sharding, simhash, substring_dedup, token_output, toxicity
+from . import conversation_trie, decontaminate, line_dedup, merkle, mixing, pii, quality_rules, secret_scan, sharding, simhash, substring_dedup, token_output, toxicity
 from .common import table, written
 
 TOKENIZER = "word_bpe_49k.json"
@@ -65,6 +65,19 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.digests(table(spark, sf_dir, "documents"))
 
 
+def op11_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.digests(table(spark, sf_dir, "documents")).select("doc_id", "n_lines", "n_dropped", "kept_sha256")
+
+
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.manifest(table(spark, sf_dir, "documents"), tamper=merkle.TAMPER).drop("proof")
+
+
+def op13_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    own = conversation_trie.turns(table(spark, sf_dir, "conversations"))
+    return conversation_trie.trie(*conversation_trie.rebuilt(own))
+
+
 def quality_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What op2_quality_rules counts, before any model."""
     return quality_rules.counted(table(spark, sf_dir, "documents")).select("doc_id", *quality_rules.COUNTS)
@@ -86,7 +99,7 @@ def shard_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.withColumn("shard", F.col("shard").cast("long"))
 
 
-OPERATORS = (op1_decontaminate, op2_quality_rules, op3_mix_sources, op4_secret_scan, op5_toxicity, op6_token_output, op7_simhash, op8_sharding, op9_pseudonyms, op10_substring_dedup)
+OPERATORS = (op1_decontaminate, op2_quality_rules, op3_mix_sources, op4_secret_scan, op5_toxicity, op6_token_output, op7_simhash, op8_sharding, op9_pseudonyms, op10_substring_dedup, op11_line_dedup, op12_merkle_manifest, op13_conversation_trie)
 QUERIES = {f.__name__: f for f in (*OPERATORS, quality_counts, mix_targets, secret_base_counts, shard_counts)}
 
 _WORDS = "regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')"
@@ -144,6 +157,65 @@ def _substring_sql(window: int = substring_dedup.WINDOW) -> str:
  SELECT w.doc_id, len(ws)::BIGINT AS n_words, (len(ws) - coalesce(n, 0))::BIGINT AS n_removed, sha256(coalesce(text, '')) AS kept_sha256 FROM w LEFT JOIN kept USING (doc_id)"""
 
 
+_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+_LINES_SQL = f"""WITH w AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS ls FROM documents),
+ l AS (SELECT doc_id, unnest(ls) AS line, unnest(range(len(ls))) AS p FROM w),
+ k AS (SELECT *, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)), '{_UPPER}', '{_LOWER}') AS k FROM l),
+ gone AS (SELECT k FROM k WHERE length(k) >= {line_dedup.MIN_CHARS} GROUP BY k HAVING count(DISTINCT doc_id) >= {line_dedup.MIN_DOCS}),
+ m AS (SELECT k.*, gone.k IS NOT NULL AS goes FROM k LEFT JOIN gone USING (k))
+ SELECT doc_id, count(*)::BIGINT AS n_lines, count(*) FILTER (WHERE goes)::BIGINT AS n_dropped, sha256(coalesce(string_agg(line, chr(10) ORDER BY p) FILTER (WHERE NOT goes), '')) AS kept_sha256 FROM m GROUP BY doc_id"""
+
+
+def _crc_sql(x: str) -> str:
+    """Unsigned crc32 of a number's decimal digits, bit by bit."""
+    bits = f"flatten(list_transform(string_split(({x})::VARCHAR, ''), lambda ch: [ord(ch)::BIGINT, -1, -1, -1, -1, -1, -1, -1, -1]))"
+    return f"xor(list_reduce(list_prepend(4294967295::BIGINT, {bits}), lambda a, b: CASE WHEN b >= 0 THEN xor(a, b) ELSE xor(a >> 1, (a & 1) * 3988292384) END), 4294967295)"
+
+
+def _merkle_sql(levels: int = 6, top: int = 5, fan: int = merkle.FAN) -> str:
+    """The trees level by level, then each leaf's way up; for sources of at most fan ** levels rows."""
+    field = lambda v: f"CASE WHEN {v} IS NULL THEN '-' ELSE strlen(({v})::VARCHAR) || ':' || ({v})::VARCHAR END"
+    leaf = lambda *v: f"sha256({' || '.join(map(field, v))})"
+    lower = f"translate(text, '{_UPPER}', '{_LOWER}')"
+    steps = [
+        f"l AS (SELECT doc_id, source, {leaf(*merkle.FIELDS)} AS leaf, CASE WHEN {_crc_sql('doc_id')} % {merkle.TAMPER} = 0 THEN {leaf(*merkle.FIELDS[:-1], lower)} ELSE {leaf(*merkle.FIELDS)} END AS fold FROM documents)",
+        "p AS (SELECT *, dense_rank() OVER (ORDER BY source NULLS FIRST) - 1 AS s, row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS i, count(*) OVER (PARTITION BY source) AS n FROM l)",
+        "t0 AS (SELECT s, i, leaf AS v, n FROM p)",
+    ]
+    runs = lambda t, k: f"r{t}{k} AS (SELECT s, i // {fan} AS run, list(v ORDER BY i) AS vs, any_value(n) AS n FROM {t}{k} GROUP BY ALL)"
+    above = lambda t, k: f"{t}{k + 1} AS (SELECT s, run AS i, CASE WHEN n = 1 THEN vs[1] ELSE sha256(array_to_string(vs, '')) END AS v, (n + {fan - 1}) // {fan} AS n FROM r{t}{k})"
+    for k in range(levels):
+        steps += [runs("t", k), above("t", k)]
+    steps.append(f"u0 AS (SELECT 0 AS s, s AS i, v, count(*) OVER () AS n FROM t{levels})")
+    for k in range(top):
+        steps += [runs("u", k), above("u", k)]
+    now, at = "p", 0
+    steps.append("f0 AS (SELECT doc_id, leaf, s, i, fold, '' AS path FROM p)")
+    for t, n, i, tree in (("t", levels, "i", "s"), ("u", top, "s", "0")):
+        for k in range(n):
+            j = f"({i} // {fan**k} % {fan})"
+            one = "array_to_string(list_concat(vs[1:{0}], {1}vs[{0} + 2:]), '')"
+            alone, with_own = one.format(j, ""), f"array_to_string(list_concat(list_concat(vs[1:{j}], [fold]), vs[{j} + 2:]), '')"
+            steps.append(f"f{at + 1} AS (SELECT doc_id, leaf, f.s, f.i, CASE WHEN r.n = 1 THEN fold ELSE sha256({with_own}) END AS fold, path || CASE WHEN r.n = 1 THEN '' ELSE {alone} END AS path FROM f{at} f JOIN r{t}{k} r ON r.s = {'f.' + tree if tree == 's' else tree} AND r.run = f.{i} // {fan ** (k + 1)})")
+            at += 1
+    return f"""WITH {", ".join(steps).replace("(i // ", "(f.i // ").replace("(s // ", "(f.s // ")}
+ SELECT doc_id, leaf, t{levels}.v AS subroot, u{top}.v AS root, sha256(path) AS proof_sha256, fold AS folded_root, fold = u{top}.v AS verified FROM f{at} JOIN t{levels} USING (s), u{top}"""
+
+
+_TRIE_SQL = f"""WITH own AS (SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS p, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL),
+ convs AS (SELECT DISTINCT conv_id, {_crc_sql("conv_id")} % {conversation_trie.HEADS} AS h, conv_id - conv_id % {conversation_trie.EVERY} AS base FROM own),
+ again AS (SELECT c.conv_id, 0 AS part, p, role, text FROM convs c JOIN own o ON o.conv_id = base AND p <= h UNION ALL SELECT conv_id, 1, p, role, text FROM own JOIN convs USING (conv_id) WHERE p > h),
+ seqs AS (SELECT conv_id, list({{'role': role, 'text': text}} ORDER BY part, p) FILTER (WHERE p IS NOT NULL) AS seq FROM convs LEFT JOIN again USING (conv_id) GROUP BY conv_id),
+ whole AS (SELECT conv_id, coalesce(seq, []) AS seq FROM seqs),
+ prefixes AS (SELECT conv_id, d, len(seq) AS n, seq[1:d] AS node FROM (SELECT conv_id, seq, unnest(range(len(seq) + 1)) AS d FROM whole)),
+ nodes AS (SELECT node, d, min(conv_id) AS conv_id, count(*) AS n_convs, sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (WHERE n = d), '')) AS ends_sha256 FROM prefixes GROUP BY node, d),
+ children AS (SELECT node[1:d - 1] AS node, count(*) AS n_children FROM nodes WHERE d > 0 GROUP BY ALL),
+ full_nodes AS (SELECT nodes.*, coalesce(n_children, 0) AS n_children FROM nodes LEFT JOIN children USING (node)),
+ sums AS (SELECT node, sum(leaf)::BIGINT AS n_leaves, sum(saved)::BIGINT AS saved_tokens FROM (SELECT node[1:e] AS node, (n_children = 0)::INT AS leaf, saved FROM (SELECT *, CASE WHEN d = 0 THEN 0 ELSE (n_convs - 1) * length(node[d].text) END AS saved, unnest(range(d + 1)) AS e FROM full_nodes)) GROUP BY node)
+ SELECT n.conv_id, n.d::BIGINT AS depth, u.conv_id AS parent_conv_id, n.n_convs, n.n_children, n_leaves, saved_tokens, n.ends_sha256 FROM full_nodes n JOIN sums ON sums.node = n.node LEFT JOIN nodes u ON n.d > 0 AND u.node = n.node[1:n.d - 1]"""
+
+
 ORACLE_SQL: dict[str, str] = {
     "op1_decontaminate": _leak_sql(), "op10_substring_dedup": _substring_sql(), "quality_counts": _counts_sql(), "mix_targets": _targets_sql(), "secret_base_counts": _SECRETS_SQL, "shard_counts": _SHARDS_SQL,
+    "op11_line_dedup": _LINES_SQL, "op12_merkle_manifest": _merkle_sql(), "op13_conversation_trie": _TRIE_SQL,
 }

@@ -18,7 +18,7 @@ def test_entry_lists_all():
     import __spark_entry__ as entry
 
     known = entry.queries()
-    assert [n for n in range(1, 11) if sum(q.startswith(f"op{n}_") for q in known) == 1] == list(range(1, 11)) and "pipeline" in known
+    assert [n for n in range(1, 14) if sum(q.startswith(f"op{n}_") for q in known) == 1] == list(range(1, 14)) and "pipeline" in known
     assert set(entry.oracle_sql()) <= set(known)
 
 
