@@ -140,11 +140,12 @@ def _local(a: argparse.Namespace) -> int | None:
 def _process(spark, a: argparse.Namespace) -> None:
     from claimgrid.operators import ontology
     from claimgrid.sources import processors, registry  # noqa: F401  registers the sources
+    from claimgrid.storage import written
 
     terms = ontology.stanzas(spark, a.obo)
-    closed = ontology.closure(ontology.edges(terms))
+    closed = ontology.closure(ontology.checked(written(ontology.edges(terms), "edges")))
     inside = lambda ids: ontology.system_descendants(closed, spark.createDataFrame([(t,) for t in ids.split(",")], "term string"))
-    foreign = {p: ontology.reverse_xrefs(ontology.xrefs(terms, p)) for p in ("DOID", "MESH", "UMLS")}
+    foreign = {p: ontology.reverse_xrefs(ontology.placed_xrefs(terms, p)) for p in ("DOID", "MESH", "UMLS")}
     ctx = registry.Context(inside(a.tissue_systems), inside(a.disease_systems), ontology.term_names(terms), foreign)
     raw = {name: spark.read.parquet(path) for name, _, path in (x.partition("=") for x in a.raw)}
     registry.save(registry.process(a.source, ctx, **raw), a.output, a.source)

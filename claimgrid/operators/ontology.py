@@ -1,4 +1,4 @@
-"""Ontology graphs: parsing, reflexive closure, relations of terms, depth, systems and the most-specific filter."""
+"""Ontology graphs: parsing, cycles, reflexive closure, relations of terms, depth, systems and the most-specific filter."""
 
 from __future__ import annotations
 
@@ -7,16 +7,23 @@ from pyspark.sql import functions as F
 
 from claimgrid.functions.scalar import extract
 from claimgrid.schema import CONTROL_ID, NA
-from claimgrid.storage import shared_root
+from claimgrid.storage import shared_root, written
 
-# Pseudo ids that stand for a control, by ontology; and the one edge that closes a cycle (child, parent).
+# Pseudo ids that stand for a control, by ontology; and the one edge (parent, child) that closes a cycle in the
+# published ontologies.
 PSEUDO_CONTROLS = ("DOID:0000000", "MESH:D000000", "UMLS:C0000000")
+CLOSES_CYCLE = (("UBERON:0002354", "UBERON:8000009"),)
 MAPPINGS = {("DOID", "MONDO"), ("MESH", "MONDO"), ("UMLS", "MONDO"), ("MONDO", "MESH")}
 
 
+class CyclicOntology(ValueError):
+    """Terms that are each other's ancestors."""
+
+
 def stanzas(spark: SparkSession, path: str) -> DataFrame:
-    """(pos, text): [Term] stanzas of an OBO file, plain or gz, without obsolete terms."""
-    raw = spark.read.text(path, lineSep="\n\n").select(F.monotonically_increasing_id().alias("pos"), F.trim("value").alias("text"))
+    """(pos, text): [Term] stanzas of OBO files, plain or gz, without obsolete terms; pos orders them by file and place."""
+    place = F.struct("_metadata.file_path", "_metadata.file_block_start", F.monotonically_increasing_id().alias("n"))
+    raw = spark.read.text(path, lineSep="\n\n").select(place.alias("pos"), F.trim("value").alias("text"))
     return raw.where(F.col("text").startswith("[Term]") & ~F.col("text").rlike(r"(?m)^is_obsolete:\s*true"))
 
 
@@ -28,14 +35,20 @@ def term_names(terms: DataFrame) -> DataFrame:
 
 def xrefs(terms: DataFrame, prefix: str) -> DataFrame:
     """(id, xref): the first cross-reference with a prefix of each term."""
+    return placed_xrefs(terms, prefix).select("id", "xref")
+
+
+def placed_xrefs(terms: DataFrame, prefix: str) -> DataFrame:
+    """The same with ``pos``, where the id's first reference stands."""
     rows = terms.select("pos", extract(F.col("text"), r"(?m)^id:\s*(\S+)").alias("id"), F.posexplode(F.regexp_extract_all("text", F.lit(r"(?m)^xref:\s*(\S+)"), F.lit(1))).alias("n", "xref"))
     rows = rows.where(F.col("xref").startswith(prefix + ":"))
-    return rows.groupBy("id").agg(F.min(F.struct("pos", "n", "xref"))["xref"].alias("xref"))
+    first = rows.groupBy("id").agg(F.min(F.struct("pos", "n", "xref")).alias("first"))
+    return first.select("id", "first.xref", "first.pos")
 
 
 def reverse_xrefs(mapping: DataFrame) -> DataFrame:
-    """(xref, id): of ids that share a reference the last stays."""
-    return mapping.groupBy("xref").agg(F.max("id").alias("id"))
+    """(xref, id) from (id, xref, pos): of ids that share a reference the last in the file stays, whatever its number."""
+    return mapping.groupBy("xref").agg(F.max(F.struct("pos", "id"))["id"].alias("id"))
 
 
 def map_terms(df: DataFrame, column: str, mapping: DataFrame, source: str, target: str, out: str = "mapped") -> DataFrame:
@@ -48,8 +61,9 @@ def map_terms(df: DataFrame, column: str, mapping: DataFrame, source: str, targe
     return joined.withColumn(out, value).drop("_k", "_v")
 
 
-def edges(terms: DataFrame, prefixes: tuple[str, ...] = ("UBERON", "CL", "MONDO"), without: tuple[tuple[str, str], ...] = ()) -> DataFrame:
-    """(parent, child) by is_a and part_of, for terms of the given ontologies. without: edges (parent, child) to leave out."""
+def edges(terms: DataFrame, prefixes: tuple[str, ...] = ("UBERON", "CL", "MONDO"), without: tuple[tuple[str, str], ...] = CLOSES_CYCLE) -> DataFrame:
+    """(parent, child) by is_a and part_of, for terms of the given ontologies. without: edges (parent, child) to leave out,
+    by default the one that is known to close a cycle."""
     own = terms.select(extract(F.col("text"), r"(?m)^id:\s*(\S+)").alias("child"), F.explode(F.array_union(
         F.regexp_extract_all("text", F.lit(r"(?m)^is_a:\s*(\S+)"), F.lit(1)),
         F.regexp_extract_all("text", F.lit(r"(?m)^relationship:\s*part_of\s+(\S+)"), F.lit(1)),
@@ -65,6 +79,85 @@ def nodes(edges: DataFrame) -> DataFrame:
     return edges.select(F.col("parent").alias("term")).union(edges.select("child")).distinct()
 
 
+def _trimmed(edges: DataFrame, at_once: int = 4) -> DataFrame:
+    """Edges left when terms without parents and terms without children have gone, again and again: those of cycles and of ways
+    from one cycle to another. Of a graph without cycles nothing is left."""
+    now = written(edges.where("parent is not null and child is not null").select("parent", "child").distinct(), "trimmed")
+    n = now.count()
+    while n:
+        some = now
+        for _ in range(at_once):
+            below, above = some.select(F.col("child").alias("parent")).distinct(), some.select(F.col("parent").alias("child")).distinct()
+            some = some.join(below, "parent", "left_semi").join(above, "child", "left_semi").select("parent", "child")
+        now, before = written(some, "trimmed"), n
+        n = now.count()
+        if n == before:
+            break
+    return now
+
+
+def _coloured(edges: DataFrame) -> DataFrame:
+    """(term, colour): the greatest term from which each can be reached, itself included."""
+    now = written(nodes(edges).select("term", F.col("term").alias("colour")), "colours")
+    while True:
+        sent = now.join(edges, F.col("term") == F.col("parent")).select(F.col("child").alias("term"), "colour")
+        after = now.select("term", "colour", F.col("colour").alias("had")).union(sent.select("term", "colour", F.lit(None).cast("string")))
+        now = written(after.groupBy("term").agg(F.max("colour").alias("colour"), F.max("had").alias("had")), "colours")
+        done = now.where("colour <> had").isEmpty()
+        now = now.select("term", "colour")
+        if done:
+            return now
+
+
+def cycles(edges: DataFrame) -> DataFrame:
+    """(component, term): the strongly connected components that hold a cycle, named by their least term.
+
+    After trimming, every term takes the greatest colour that reaches it (forward); what reaches a colour's own term within
+    the colour (backward) is its component, which leaves. Frames stay in proportion to terms and edges, whatever the
+    size of a component; rounds grow with the length of its ways.
+    """
+    left, found = _trimmed(edges), edges.sparkSession.createDataFrame([], "root string, term string")
+    loops = edges.where("parent = child").select(F.col("parent").alias("root"), F.col("child").alias("term")).distinct()
+    while not left.isEmpty():
+        colours = _coloured(left)
+        at = lambda side: colours.select(F.col("term").alias(side), F.col("colour").alias(f"of_{side}"))  # noqa: B023, E731
+        within = written(left.join(at("parent"), "parent").join(at("child"), "child").where("of_parent = of_child").select("parent", "child"), "within")
+        front = written(colours.where("term = colour").select(F.col("colour").alias("root"), "term"), "reached")
+        reached = front
+        while not front.isEmpty():
+            back = front.join(within, F.col("term") == F.col("child")).select("root", F.col("parent").alias("term")).distinct()
+            front = written(back.join(reached, ["root", "term"], "left_anti"), "reached")
+            reached = reached.union(front)
+        found, gone = found.union(reached), reached.select("term")
+        left = left.join(gone.withColumnRenamed("term", "parent"), "parent", "left_anti").join(gone.withColumnRenamed("term", "child"), "child", "left_anti")
+        left = _trimmed(left)
+    named = found.groupBy("root").agg(F.min("term").alias("component"), F.count("*").alias("n"))
+    kept = found.join(named, "root").where("n > 1").select("component", "term")
+    return kept.union(loops.join(kept, "term", "left_anti").select("root", "term"))
+
+
+def without_cycles(edges: DataFrame) -> DataFrame:
+    """edges without those that lead, within a component, to its least term, and so on until there is no cycle."""
+    while not (found := written(cycles(edges), "cycles")).isEmpty():
+        above = found.select("component", F.col("term").alias("parent"))
+        closing = above.join(found.select("component", F.col("term").alias("child")), "component").where("child = component").select("parent", "child")
+        edges = written(edges.join(closing, ["parent", "child"], "left_anti"), "edges")
+    return edges
+
+
+def checked(edges: DataFrame, named: int = 20) -> DataFrame:
+    """edges if they have no cycle; else an error that names the first terms of cycles, by component."""
+    found = written(cycles(edges), "cycles")
+    if found.isEmpty():
+        return edges
+    some = found.orderBy("component", "term").limit(named).collect()
+    by: dict[str, list[str]] = {}
+    for r in some:
+        by.setdefault(r["component"], []).append(r["term"])
+    more = "" if len(some) < named else ", and more"
+    raise CyclicOntology("; ".join(", ".join(terms) for terms in by.values()) + more)
+
+
 def closure(edges: DataFrame) -> DataFrame:
     """(ancestor, descendant) with every term its own: paths double in length each round until no pair is new.
 

@@ -17,6 +17,7 @@ from claimgrid.plans.pipeline import Pipeline, StageTable
 from claimgrid.schema import LEVELS
 from claimgrid.sources import processors, registry  # noqa: F401  registers the sources
 from claimgrid.sources.readers import claim_tables, id_list, name_lists
+from claimgrid.storage import written
 
 #: What a build needs; with ``runs`` and ``samples`` it also brings archive ids to samples, and makes entries if there are none.
 NEEDED = ("obo", "systems", "claims", "technologies")
@@ -33,7 +34,8 @@ def stages(spark: SparkSession, root: str, inputs: dict[str, str]) -> Pipeline:
 
     inputs: obo, systems (comma-separated ids), claims (folder of processed claims), technologies (Parquet: id, technology);
     entries (Parquet), or samples, series, experiments and channels (Parquet) to make them from; optional: names (JSON),
-    runs and overrides (Parquet) of the archive, deleted (text), descriptions (Parquet: entry, level, description).
+    runs and overrides (Parquet) of the archive, deleted (text), descriptions (Parquet: entry, level, description), cycles
+    (break: edges that close a cycle are left out; otherwise a cycle is an error that names its terms).
     """
     if missing := [k for k in NEEDED if not inputs.get(k)]:
         raise ValueError("the build lacks " + ", ".join(missing))
@@ -43,7 +45,8 @@ def stages(spark: SparkSession, root: str, inputs: dict[str, str]) -> Pipeline:
     deleted = id_list(spark, inputs["deleted"]) if "deleted" in inputs else None
 
     def relations() -> None:
-        save(ontology.closure(ontology.edges(ontology.stanzas(spark, inputs["obo"]))), at("closure"))
+        edges = written(ontology.edges(ontology.stanzas(spark, inputs["obo"])), "edges")
+        save(ontology.closure(ontology.without_cycles(edges) if inputs.get("cycles") == "break" else ontology.checked(edges)), at("closure"))
         save(given("technologies"), at("technologies"))
         if "descriptions" in inputs:
             save(given("descriptions"), at("descriptions"), "level")

@@ -332,6 +332,22 @@ def closure_recursive(spark, sf_dir):
     return ontology.closure_sql(edges(spark, sf_dir))
 
 
+# A tree of parts in which some parts are also above their own ancestors.
+_LOOPED_SQL = f"{_EDGES_SQL.replace('edges AS', 'forward AS')}, edges AS (SELECT * FROM forward UNION SELECT 'P:' || p_partkey, 'P:' || (p_partkey // CASE p_size WHEN 7 THEN 10 WHEN 8 THEN 100 ELSE 1 END) FROM part WHERE p_size IN (7, 8, 9) AND p_partkey > 100)"
+_MUTUAL_SQL = "walk AS (SELECT parent AS a, child AS b FROM edges UNION SELECT w.a, e.child FROM walk w JOIN edges e ON w.b = e.parent)"
+
+
+def looped_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    up = F.when(F.col("p_size") == 7, 10).when(F.col("p_size") == 8, 100).otherwise(1)
+    back = table(spark, sf_dir, "part").where("p_size in (7, 8, 9) and p_partkey > 100").select(F.concat(F.lit("P:"), "p_partkey").alias("parent"), F.concat(F.lit("P:"), F.floor(F.col("p_partkey") / up)).alias("child"))
+    return edges(spark, sf_dir).union(back).distinct()
+
+
+@query("ontology_cycles", f"WITH RECURSIVE {_LOOPED_SQL}, {_MUTUAL_SQL} SELECT min(y.a) AS component, x.a AS term FROM walk x JOIN walk y ON x.a = y.b AND x.b = y.a GROUP BY x.a")
+def ontology_cycles(spark, sf_dir):
+    return ontology.cycles(looped_edges(spark, sf_dir))
+
+
 @query("ancestors_of", f"WITH RECURSIVE {_CLOSURE_SQL} SELECT descendant AS term, string_agg(ancestor, '|' ORDER BY ancestor) AS ancestors FROM closure WHERE descendant IN ('P:77', 'P:140', 'P:1533', 'P:9') GROUP BY descendant")
 def ancestors_of(spark, sf_dir):
     out = ontology.ancestors(closure(spark, sf_dir), named(spark, "term", ["P:77", "P:140", "P:1533", "P:9", "P:none"]))

@@ -115,14 +115,14 @@ def source_creeds(spark, sf_dir):
 
 
 @query("source_disign_atlas", _claims_sql(
-    _claim(_GSM, "disease", "'MONDO:' || n", "lower(p_type)", f"k % 4 <> 0 AND n <= {KNOWN}"), _claim("'GSM9' || k", "disease", f"'{CONTROL_ID}'", "'control'", "k % 4 <> 0"),
+    _claim(_GSM, "disease", "'MONDO:' || n", "lower(p_type)", f"k % 4 <> 0 AND n <= {KNOWN}"), _claim("'GSMC' || k", "disease", f"'{CONTROL_ID}'", "'control'", "k % 4 <> 0"),
     _claim(_GSM, "tissue", "CASE WHEN k % 10 = 1 THEN 'CL:1' WHEN n % 2 = 0 THEN 'UBERON:' || n ELSE 'na' END", "CASE WHEN k % 10 = 1 THEN 'cell' WHEN n % 2 = 0 THEN 'tissue ' || n ELSE lower(p_name) END", f"k % 4 <> 0 AND n <= {KNOWN} AND n % 5 <> 0"),
-    _claim("'GSM9' || k", "tissue", "CASE WHEN n % 2 = 0 THEN 'UBERON:' || n ELSE 'na' END", "CASE WHEN n % 2 = 0 THEN 'tissue ' || n ELSE lower(p_name) END", "k % 4 <> 0 AND n % 5 <> 0"),
+    _claim("'GSMC' || k", "tissue", "CASE WHEN n % 2 = 0 THEN 'UBERON:' || n ELSE 'na' END", "CASE WHEN n % 2 = 0 THEN 'tissue ' || n ELSE lower(p_name) END", "k % 4 <> 0 AND n % 5 <> 0"),
 ))
 def source_disign_atlas(spark, sf_dir):
     """Of the lines, every fourth has a field too few."""
     tissue = F.when(N() % 5 == 0, F.lit("None")).when(N() % 2 == 0, text("Tissue ", N())).otherwise(F.col("p_name"))
-    line = F.concat_ws("|", F.lit("GSE1"), text("GSM9", K(), ";X1"), text("GSM", K()), F.lit("GPL1"), F.lit("x"), F.col("p_type"), text("C", N()), tissue, F.lit("d"), F.lit("s"), F.when(K() % 4 != 0, "human"))
+    line = F.concat_ws("|", F.lit("GSE1"), text("GSMC", K(), ";X1"), text("GSM", K()), F.lit("GPL1"), F.lit("x"), F.col("p_type"), text("C", N()), tissue, F.lit("d"), F.lit("s"), F.when(K() % 4 != 0, "human"))
     raw = parts(spark, sf_dir).select(text("sig", K()).alias("name"), line.alias("description"))
     corrections = parts(spark, sf_dir).where(K() % 10 == 1).select(text("GSM", K()).alias("sample"), F.lit("CL:1").alias("term"), F.lit("cell").alias("name"))
     tissues = crosswalk(spark, "tissue ", ("id", "UBERON:")).withColumnRenamed("key", "name").unionByName(spark.range(NAMED + 1, 51).select(text("tissue ", F.col("id")).alias("name"), text("UBERON:", F.col("id")).alias("id")))
@@ -228,7 +228,8 @@ def stanzas(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     again = F.when(K() % 5 == 0, text("\n\n[Term]\nid: UBERON:", K(), "\nname: Again\n\n[Typedef]\nid: part_of"))
     path = shared_path(spark, "obo")
-    parts(spark, sf_dir).select(F.concat(lines, F.coalesce(again, F.lit("")))).write.option("lineSep", "\n\n").text(path)
+    ordered = parts(spark, sf_dir).repartitionByRange("k").sortWithinPartitions("k")
+    ordered.select(F.concat(lines, F.coalesce(again, F.lit("")))).write.option("lineSep", "\n\n").text(path)
     return ontology.stanzas(spark, path)
 
 
@@ -242,9 +243,10 @@ def obo_xrefs(spark, sf_dir):
     return ontology.xrefs(stanzas(spark, sf_dir), "DOID")
 
 
-@query("obo_xrefs_reversed", f"WITH {_PARTS_SQL} SELECT 'MESH:D' || n AS xref, max('UBERON:' || k) AS id FROM r WHERE k % 11 <> 0 GROUP BY n")
+@query("obo_xrefs_reversed", f"WITH {_PARTS_SQL} SELECT 'MESH:D' || n AS xref, arg_max('UBERON:' || k, k) AS id FROM r WHERE k % 11 <> 0 GROUP BY n")
 def obo_xrefs_reversed(spark, sf_dir):
-    return ontology.reverse_xrefs(ontology.xrefs(stanzas(spark, sf_dir), "MESH"))
+    """Ids in the order of numbers, so that the last isn't the greatest as text."""
+    return ontology.reverse_xrefs(ontology.placed_xrefs(stanzas(spark, sf_dir), "MESH"))
 
 
 @query("obo_edges", f"WITH {_PARTS_SQL} SELECT 'UBERON:' || (k // 10) AS parent, 'UBERON:' || k AS child FROM r WHERE k % 11 <> 0 AND k <> 5 UNION ALL SELECT 'CL:' || n, 'UBERON:' || k FROM r WHERE k % 11 <> 0 AND n % 2 = 0")

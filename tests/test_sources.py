@@ -64,7 +64,7 @@ def terms(spark, tmp_path_factory):
 def ctx(spark, terms):
     closed = ontology.closure(ontology.edges(terms))
     system = lambda t: ontology.system_descendants(closed, spark.createDataFrame([(t,)], "term string")).cache()
-    to = {p: ontology.reverse_xrefs(ontology.xrefs(terms, p)).select("xref", "id") for p in ("DOID", "MESH", "UMLS")}
+    to = {p: ontology.reverse_xrefs(ontology.placed_xrefs(terms, p)).select("xref", "id") for p in ("DOID", "MESH", "UMLS")}
     return registry.Context(system("UBERON:1"), system("MONDO:1"), ontology.term_names(terms), to)
 
 
