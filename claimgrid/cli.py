@@ -26,6 +26,8 @@ def parser() -> argparse.ArgumentParser:
     s.add_argument("--data", required=True)
     s.add_argument("--query", required=True)
     s.add_argument("--type", choices=sorted(set(schema.TERM_TYPES.values())))
+    s.add_argument("--by-field", action="store_true", help="weighted scores of names and synonyms from the stored index")
+    s.add_argument("--conjunctive", action="store_true", help="by field, where it has all words")
     s.add_argument("--ontology", choices=sorted(schema.TERM_TYPES))
     s.add_argument("-k", type=int, default=20)
     r = sub.add_parser("retrieve", help="annotations or labels of entries")
@@ -179,8 +181,12 @@ def main(argv: list[str] | None = None) -> int:
 
     spark = SparkSession.builder.appName("claimgrid").getOrCreate()
     if a.command == "search":
+        from claimgrid.operators import search_index
         from claimgrid.operators.search import search
 
+        if a.by_field or a.conjunctive:
+            search_index.search(spark, f"{a.data}/search_index", a.query, a.k, a.type, a.ontology, conjunctive=a.conjunctive).show(a.k, truncate=80)
+            return 0
         search(spark.read.parquet(f"{a.data}/terms"), spark.read.parquet(f"{a.data}/synonyms"), a.query, a.k, a.type, a.ontology).show(a.k, truncate=80)
         return 0
     if a.command == "process":

@@ -1,7 +1,7 @@
 """The stages of a build, from processed claims to the tables that requests read.
 
 Under the root lie ``claims/level=<level>/attribute=<attribute>``, ``entries/level=<level>``, ``technologies``, ``closure``,
-``terms`` and ``synonyms``; badges and overlaps in folders of their own; what stages hand on in ``geo_claims`` and
+``terms``, ``synonyms`` and ``search_index``; badges and overlaps in folders of their own; what stages hand on in ``geo_claims`` and
 ``archive_claims``.
 """
 
@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from claimgrid.functions.scalar import level_of
-from claimgrid.operators import aggregate, integrate, ontology, report, search
+from claimgrid.operators import aggregate, integrate, ontology, report, search, search_index
 from claimgrid.operators.filters import excluded, valid_series
 from claimgrid.plans.pipeline import Pipeline, StageTable
 from claimgrid.schema import LEVELS
@@ -56,6 +56,7 @@ def stages(spark: SparkSession, root: str, inputs: dict[str, str]) -> Pipeline:
             terms, synonyms = search.term_tables(name_lists(spark, inputs["names"]))
             save(terms, at("terms"))
             save(synonyms, at("synonyms"))
+            search_index.build(read("terms"), read("synonyms"), at("search_index"))
 
     def all_claims() -> DataFrame:
         return integrate.combined(claim_tables(spark, inputs["claims"], registry.names()), registry.sources())

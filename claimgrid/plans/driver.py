@@ -13,11 +13,11 @@ from pyspark.sql import functions as F
 
 from claimgrid import sinks
 from claimgrid.functions import scalar as S
-from claimgrid.operators import aggregate, curate, filters, integrate, ontology, report, reshape, search
+from claimgrid.operators import aggregate, curate, filters, integrate, ontology, report, reshape, search, search_index
 from claimgrid.plans.catalog import ORACLE_SQL, QUERIES, query, table  # noqa: F401
 from claimgrid.schema import AGE_GROUPS, CONTROL_ID, CROWD, EXPERT, ORGANISMS
 from claimgrid.sources.processors import described_age, described_sex
-from claimgrid.storage import written
+from claimgrid.storage import shared_path, written
 
 TARGETS = ["P:1", "P:12", "P:15", "P:17", "TYPE:SMALL", "TYPE:LARGE"]
 SYSTEMS = ["TYPE:SMALL", "TYPE:PROMO", "P:3"]
@@ -641,6 +641,55 @@ def search_fields(spark, sf_dir):
     return search.search_fields(terms, synonyms, "blue ring", 20).select("term_id", "name", F.round("score", 6).alias("score"))
 
 
+_INDEXES: dict[tuple[str, str], str] = {}
+
+
+def _index(spark: SparkSession, sf_dir: str) -> str:
+    """The folder of the parts' search index, built once for an application, as a build does once for all searches."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _INDEXES:
+        _INDEXES[key] = shared_path(spark, "index")
+        search_index.build(*_corpus(spark, sf_dir), _INDEXES[key])
+    return _INDEXES[key]
+
+
+def _fields_sql(words: list[str], name_weight: int = 10, every: bool = False, where: str = "true", k: int = 20) -> str:
+    """Weighted Okapi BM25 by field, from whole names and synonyms."""
+    return f"""WITH f AS (SELECT p_partkey::VARCHAR AS term_id, 'name' AS field, {name_weight} AS w, p_name AS text FROM part UNION ALL SELECT p_partkey::VARCHAR, 'exact', 8, p_brand FROM part UNION ALL SELECT p_partkey::VARCHAR, 'broad', 3, p_type || ' ' || p_name FROM part UNION ALL SELECT p_partkey::VARCHAR, 'related', 1, 'part of stock' FROM part),
+ t AS (SELECT term_id, field, w, regexp_extract_all(lower(text), '[A-Za-z0-9]+') AS t FROM f), st AS (SELECT field, count(*) AS n, avg(len(t)) AS avgdl FROM t GROUP BY field),
+ h AS (SELECT term_id, field, w, len(t) AS dl, q.q, len(list_filter(t, lambda x: x = q.q)) AS tf FROM t CROSS JOIN (SELECT unnest({words}) AS q) q), df AS (SELECT field, q, count(*) FILTER (WHERE tf > 0) AS df FROM h GROUP BY ALL),
+ o AS (SELECT term_id, field, w * sum(ln((n - df + 0.5) / (df + 0.5) + 1) * tf * 2.2 / (tf + 1.2 * (0.2 + 0.8 * dl / avgdl))) AS score, count(*) AS n FROM h JOIN st USING (field) JOIN df USING (field, q) WHERE tf > 0 GROUP BY term_id, field, w),
+ s AS (SELECT term_id, sum(score) AS score FROM o {f"WHERE n = {len(words)}" if every else ""} GROUP BY term_id)
+ SELECT term_id, p_name AS name, p_brand || ' | ' || p_type || ' ' || p_name || ' | part of stock' AS synonyms, round(score, 6) AS score FROM s JOIN part ON p_partkey::VARCHAR = term_id WHERE {where} ORDER BY round(score, 9) DESC, term_id LIMIT {k}"""
+
+
+@query("search_index", "WITH f AS (SELECT 'name' AS field, p_name AS text FROM part UNION ALL SELECT 'exact', p_brand FROM part UNION ALL SELECT 'broad', p_type || ' ' || p_name FROM part UNION ALL SELECT 'related', 'part of stock' FROM part), t AS (SELECT field, unnest(list_distinct(regexp_extract_all(lower(text), '[A-Za-z0-9]+'))) AS token FROM f) SELECT field, token, count(*) AS df FROM t GROUP BY ALL")
+def search_index_query(spark, sf_dir):
+    """The document frequencies of the stored index, made anew."""
+    folder = shared_path(spark, "index")
+    search_index.build(*_corpus(spark, sf_dir), folder)
+    return spark.read.parquet(f"{folder}/frequencies").select("field", "token", "df")
+
+
+@query("search_indexed", _fields_sql(["blue", "ring"]))
+def search_indexed(spark, sf_dir):
+    out = search_index.search(spark, _index(spark, sf_dir), "Blue ring, blue", 20)
+    return out.select("term_id", "name", "synonyms", F.round("score", 6).alias("score"))
+
+
+@query("search_conjunctive", _fields_sql(["blue", "small"], every=True))
+def search_conjunctive(spark, sf_dir):
+    """Only fields with all tokens count."""
+    out = search_index.search(spark, _index(spark, sf_dir), "small blue", 20, conjunctive=True)
+    return out.select("term_id", "name", "synonyms", F.round("score", 6).alias("score"))
+
+
+@query("search_table_function", _fields_sql(["blue", "ring"], name_weight=5, where="p_type = 'SMALL'", k=15))
+def search_table_function(spark, sf_dir):
+    search_index.create_function(spark, _index(spark, sf_dir))
+    return spark.sql("SELECT term_id, name, synonyms, round(score, 6) AS score FROM ont_search('Blue ring, blue', 15, type_filter => 'SMALL', w_name => 5)")
+
+
 @query("corpus_statistics", f"WITH {_CORPUS_SQL}, tok AS (SELECT term_id, w, unnest(regexp_extract_all(lower(text), '[A-Za-z0-9]+')) AS token FROM fields), tf AS (SELECT term_id, token, sum(w) AS tf FROM tok GROUP BY ALL) SELECT token, count(*) AS df, sum(tf)::BIGINT AS tf FROM tf GROUP BY token")
 def corpus_statistics(spark, sf_dir):
     own = search.postings(search.fields(*_corpus(spark, sf_dir)))
