@@ -1,19 +1,25 @@
 """Benchmark decontamination by spaced-seed hashing, in DataFrame functions alone.
 
-Texts become arrays of 64-bit hashes of lower-cased words of letters and digits. A mask of SPAN places cares for some of them
-and ignores the others; every window of a text has a hash of the cared-for words for each mask. Hashes of test items are
-joined with those of training windows; a hit names an item and a diagonal (where in the document the item would begin). Each
-hit is verified word by word along its diagonal: some VERIFY consecutive places (all, in shorter items) must agree in
-at least ``agree`` of them. The masks hit within every run of places that this accepts, for items of any length (an enumeration
-in the tests proves it), so the seeds decide nothing. Substituted words are so tolerated, insertions split a passage into two diagonals.
-
-Items are dealt to blocks of about BLOCK seeds, as many blocks as the counted seeds need. A block's seeds and words are
-broadcast, and windows are generated, joined and verified within one stage: no shuffle carries the corpus, however many items
-there are; more items mean more scans. Only verified diagonals are grouped.
-
-Defined cases: a null text has no words; documents and items of fewer than SPAN words match nothing, being too short to tell
-from chance; repeated rows and items give one row for each (doc_id, item_id); null doc_ids are reported together under null;
-an empty table on either side gives an empty result; other columns are not looked at.
+Texts become arrays of 64-bit hashes of lower-cased words of letters and digits; in scripts that are written without spaces
+(UNSPACED) each letter is a word. A mask of SPAN places cares for some of them and ignores the others; every window of a text
+has a hash of the cared-for words for each mask. Hashes of test items are joined with those of training windows; a hit names
+an item and a diagonal (where in the document the item would begin). Each hit is verified word by word along its
+diagonal: some VERIFY consecutive places (all, in shorter items) must agree in at least ``agree`` of them. The masks hit
+within every run of places that this accepts, for items of any length (an enumeration in the tests proves it), so the
+seeds decide nothing. Substituted words are so tolerated, insertions split a passage into two diagonals. Items of fewer
+than SPAN words have no mask: their seed is the hash of all their words, which must stand in the document one after
+another.
+
+Items longer than PIECE words are cut into pieces that share VERIFY - 1 words, so no item makes a broadcast large. Pieces are
+dealt to blocks of about BLOCK seeds, as many blocks as the counted seeds need. A block's seeds and words are broadcast, and
+windows are generated, joined and verified within one stage: no shuffle carries the corpus, however many items there are;
+more items mean more scans. Only verified diagonals are grouped.
+
+Defined cases: a null text has no words, and a text or an item without words matches nothing; ``leaks`` reports items of
+any length from one word, ``decontaminate`` removes documents for items of at least LEAST words, as shorter ones stand in
+clean documents by chance; items with a null item_id are found and reported under null, items of equal id each by its own
+text; repeated rows and items give one row for each (doc_id, item_id); null doc_ids are reported together under null; an
+empty table on either side gives an empty result; other columns are not looked at.
 """
 
 from __future__ import annotations
@@ -31,62 +37,85 @@ SPAN = len(MASKS[0])
 #: With these, every placing of substitutions that VERIFY and AGREE accept leaves some mask a window whose places that count agree.
 ALL_MASKS = (*MASKS, "110011101", "111110001", "010111110", "001110111", "101111100")
 VERIFY, AGREE = 16, 0.8
-#: Seeds of a block on average; a block has more where one item has, for an item isn't split.
-BLOCK = 2_000_000
+#: Seeds of a block on average; words of a piece.
+BLOCK, PIECE = 2_000_000, 4096
+#: Words that an item must have for documents to be removed for it.
+LEAST = 4
+#: Scripts that are written without spaces between words.
+UNSPACED = ("Han", "Hiragana", "Katakana", "Thai", "Lao", "Khmer", "Myanmar")
 
 
 def word_hashes(text: Column) -> Column:
-    words = F.filter(F.split(F.lower(F.coalesce(text, F.lit(""))), r"[^\p{L}\p{N}]+"), lambda w: w != "")
+    letters = "".join(rf"\p{{Is{x}}}" for x in UNSPACED)
+    apart = F.regexp_replace(F.lower(F.coalesce(text, F.lit(""))), f"([{letters}])", " $1 ")
+    words = F.filter(F.split(apart, r"[^\p{L}\p{N}]+"), lambda w: w != "")
     return F.transform(words, lambda w: F.xxhash64(w))
 
 
-def _seeds(words: DataFrame, keep: list[str], masks: tuple[str, ...]) -> DataFrame:
-    """keep columns, the array ``h``, place, seed: for each window of h and each mask."""
-    span = len(masks[0])
-    placed = words.where(F.size("h") >= span).select(*keep, "h", F.explode(F.sequence(F.lit(0), F.size("h") - span)).alias("place"))
-    seed = lambda m, mask: F.xxhash64(F.lit(m), *(F.get("h", F.col("place") + i) for i, c in enumerate(mask) if c == "1"))
-    return placed.select(*keep, "h", "place", F.explode(F.array(*(seed(m, mask) for m, mask in enumerate(masks)))).alias("seed"))
+def _seeds(words: DataFrame, keep: list[str], masks: tuple[str, ...], short: list[int]) -> DataFrame:
+    """keep columns, the array ``h``, place, seed: for each window of h and each mask; and for windows of the short lengths. The
+    seed is null where the text ends before. All of it is compiled code (no filter of arrays), so that rows with h are
+    never buffered."""
+    placed = words.where(F.size("h") > 0).select(*keep, "h", F.explode(F.sequence(F.lit(0), F.size("h") - 1)).alias("place"))
+    word = lambda i: F.get("h", F.col("place") + i)
+    within = lambda n, seed: F.when(F.col("place") + n <= F.size("h"), seed)
+    seeds = [within(len(m), F.xxhash64(F.lit(k), *(word(i) for i, c in enumerate(m) if c == "1"))) for k, m in enumerate(masks)]
+    seeds += [within(n, F.xxhash64(F.lit(-n), *(word(i) for i in range(n)))) for n in short]
+    return placed.select(*keep, "h", "place", F.explode(F.array(*seeds)).alias("seed"))
+
 
+def _pieces(items: DataFrame, span: int, verify: int, piece: int) -> DataFrame:
+    """item_id, size (words of the item), at (where the piece begins), h (its words), key (which piece it is)."""
+    whole = items.select("item_id", word_hashes(F.col("text")).alias("h")).where(F.size("h") > 0).distinct()
+    size = F.size("h")
+    starts = F.sequence(F.lit(0), F.greatest(size - verify, F.lit(0)), F.lit(piece - verify + 1))
+    cut = whole.select("item_id", "h", size.alias("size"), F.explode(starts).alias("at"))
+    return cut.select("item_id", "size", "at", F.slice("h", F.col("at") + 1, F.lit(piece)).alias("h"), F.struct("item_id", F.xxhash64("h").alias("x"), "at").alias("key"))
 
-def leaks(docs: DataFrame, items: DataFrame, keep: tuple[str, ...] = ("doc_id",), masks: tuple[str, ...] = ALL_MASKS, verify: int = VERIFY, agree: float = AGREE, block: int = BLOCK) -> DataFrame:
-    """keep columns, item_id, agreeing (most agreeing places of a window), doc_place (where the item would begin)."""
+
+def leaks(docs: DataFrame, items: DataFrame, keep: tuple[str, ...] = ("doc_id",), masks: tuple[str, ...] = ALL_MASKS, verify: int = VERIFY, agree: float = AGREE, block: int = BLOCK, piece: int = PIECE, least: int = 1) -> DataFrame:
+    """keep columns, item_id, agreeing (most agreeing places of a window), doc_place (where the item would begin), of items of
+    ``least`` words or more."""
     span = len(masks[0])
-    test = items.select("item_id", word_hashes(F.col("text")).alias("h")).where(F.col("item_id").isNotNull() & (F.size("h") >= span)).distinct()
-    test = written(test, "decontaminate-items")
-    seeds = test.agg(F.coalesce(F.sum(F.size("h") - (span - 1)), F.lit(0))).first()[0] * len(masks)
-    blocks = max(1, -(-seeds // block))
-    part = lambda i: test if blocks == 1 else test.where(F.pmod(F.xxhash64("item_id", "h"), F.lit(blocks)) == i)
+    test = written(_pieces(items, span, verify, piece).where(F.col("size") >= least), "decontaminate-items")
+    seeds, short = test.agg(F.coalesce(F.sum(F.size("h")), F.lit(0)), F.collect_set(F.when(F.col("size") < span, F.col("size")))).first()
+    blocks = max(1, -(-seeds * len(masks) // block))
+    part = lambda i: test if blocks == 1 else test.where(F.pmod(F.xxhash64("key"), F.lit(blocks)) == i)
     train = docs.select(*keep, word_hashes(F.col("text")).alias("h"))
-    found = reduce(DataFrame.union, (_verified(train, part(i), keep, masks, verify, agree) for i in range(blocks)))
+    found = reduce(DataFrame.union, (_verified(train, part(i), keep, masks, sorted(short), verify, agree) for i in range(blocks)))
     best = F.max(F.struct("agreeing", (-F.col("diagonal")).alias("d"))).alias("b")
     found = found.groupBy(*keep, "item_id").agg(best)
     return found.select(*keep, "item_id", F.col("b.agreeing").alias("agreeing"), (-F.col("b.d")).alias("doc_place"))
 
 
-def _verified(train: DataFrame, test: DataFrame, keep: tuple[str, ...], masks: tuple[str, ...], verify: int, agree: float) -> DataFrame:
-    """keep columns, item_id, diagonal, agreeing of each accepted hit, for a block of items.
+def _verified(train: DataFrame, test: DataFrame, keep: tuple[str, ...], masks: tuple[str, ...], short: list[int], verify: int, agree: float) -> DataFrame:
+    """keep columns, item_id, diagonal, agreeing of each accepted hit, for a block of pieces.
 
     An accepted run of places has a hit inside, so it is enough to look at the runs around each hit: the work for a hit
     doesn't grow with the text or the item.
     """
-    seeds = _seeds(test, ["item_id"], masks).select("seed", "item_id", F.col("place").alias("item_place")).distinct()
-    hits = _seeds(train, [*keep], masks).join(F.broadcast(seeds), "seed")  # a block's seeds
-    hits = hits.join(F.broadcast(test.select(F.col("item_id").alias("_i"), F.col("h").alias("item"))), F.col("item_id") == F.col("_i"))  # a block's words
-    lead = F.least("place", "item_place", F.lit(verify - len(masks[0])))
+    span = len(masks[0])
+    seeds = _seeds(test, ["key", "size"], masks, short).where(F.col("seed").isNotNull() & ((F.col("size") >= span) | (F.col("place") == 0)))
+    seeds = seeds.select("seed", "key", F.col("place").alias("item_place")).distinct()
+    hits = _seeds(train, [*keep], masks, short).join(F.broadcast(seeds), "seed")  # a block's seeds
+    words = test.select(F.col("key").alias("_k"), "item_id", "size", "at", F.col("h").alias("item"))
+    hits = hits.join(F.broadcast(words), F.col("key").eqNullSafe(F.col("_k")))  # a block's words
+    lead = F.least("place", "item_place", F.lit(verify - span))
     most = lead + F.least(F.lit(verify), F.size("h") - F.col("place"), F.size("item") - F.col("item_place"))
     same = F.zip_with(F.slice("h", F.col("place") - lead + 1, most), F.slice("item", F.col("item_place") - lead + 1, most), lambda a, b: (a == b).cast("int"))
-    found = hits.select(*keep, "item_id", (F.col("place") - F.col("item_place")).alias("diagonal"), F.least(F.lit(verify), F.size("item")).alias("wide"), same.alias("same"))
+    found = hits.select(*keep, "item_id", (F.col("place") - F.col("item_place") - F.col("at")).alias("diagonal"), F.least(F.lit(verify), "size").alias("wide"), same.alias("same"))
     at = F.when(F.size("same") >= F.col("wide"), F.sequence(F.lit(1), F.size("same") - F.col("wide") + 1)).otherwise(F.array().cast("array<int>"))
     sums = F.transform(at, lambda p: F.aggregate(F.slice("same", p, F.col("wide")), F.lit(0), lambda s, x: s + x))
-    found = found.withColumn("agreeing", F.array_max(sums)).where(F.col("agreeing") >= F.ceil(F.col("wide") * agree))
+    needed = F.when(F.col("wide") < span, F.col("wide")).otherwise(F.ceil(F.col("wide") * agree))
+    found = found.withColumn("agreeing", F.array_max(sums)).where(F.col("agreeing") >= needed)
     return found.select(*keep, "item_id", "diagonal", "agreeing")
 
 
-def decontaminate(docs: DataFrame, items: DataFrame, **how) -> DataFrame:
-    """docs without the rows whose text shares a passage with an item.
+def decontaminate(docs: DataFrame, items: DataFrame, least: int = LEAST, **how) -> DataFrame:
+    """docs without the rows whose text shares a passage with an item of LEAST words or more.
 
     Rows are told apart by the text's hash and length, for equal texts leak alike.
     """
     keyed = packed(docs, text=F.col("text"), _h=F.xxhash64("text"), _n=F.coalesce(F.length("text"), F.lit(-1)))
-    found = written(leaks(keyed, items, keep=("_h", "_n"), **how).select("_h", "_n").distinct(), "leaks")
+    found = written(leaks(keyed, items, keep=("_h", "_n"), least=least, **how).select("_h", "_n").distinct(), "leaks")
     return unpacked(keyed.join(small_side(found), ["_h", "_n"], "left_anti"), docs.columns)

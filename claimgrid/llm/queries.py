@@ -136,15 +136,16 @@ _SHARDS_SQL = f"WITH n AS (SELECT count(*) AS n FROM documents) SELECT i AS shar
 
 def _leak_sql() -> str:
     """Verification of every diagonal that shares enough words, without any seeds."""
-    words = "list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[^\\p{L}\\p{N}]+'), lambda w: w <> '')"
+    alone = "".join(f"\\p{{{x}}}" for x in decontaminate.UNSPACED)
+    words = f"list_filter(regexp_split_to_array(regexp_replace(lower(coalesce(text, '')), '([{alone}])', ' \\1 ', 'g'), '[^\\p{{L}}\\p{{N}}]+'), lambda w: w <> '')"
     verify, agree, span = decontaminate.VERIFY, decontaminate.AGREE, decontaminate.SPAN
     return f"""WITH d AS (SELECT doc_id, {words} AS h FROM documents), b AS (SELECT DISTINCT item_id, {words} AS h FROM benchmark),
- dw AS (SELECT doc_id, unnest(h) AS w, unnest(range(len(h))) AS p FROM d), bw AS (SELECT item_id, unnest(h) AS w, unnest(range(len(h))) AS p FROM b WHERE len(h) >= {span}),
- near AS (SELECT doc_id, item_id, dw.p - bw.p AS diagonal FROM dw JOIN bw USING (w) GROUP BY ALL HAVING count(*) >= {math.ceil(span * agree)}),
+ dw AS (SELECT doc_id, unnest(h) AS w, unnest(range(len(h))) AS p FROM d), bw AS (SELECT item_id, unnest(h) AS w, unnest(range(len(h))) AS p FROM b),
+ near AS (SELECT doc_id, item_id, dw.p - bw.p AS diagonal FROM dw JOIN bw USING (w) JOIN b USING (item_id) GROUP BY ALL HAVING count(*) >= least(any_value(len(b.h)), {math.ceil(span * agree)})),
  beside AS (SELECT near.*, greatest(-diagonal, 0) AS f, d.h AS dh, b.h AS bh FROM near JOIN d USING (doc_id) JOIN b USING (item_id)),
  same AS (SELECT doc_id, item_id, diagonal, least({verify}, len(bh)) AS wide, list_transform(range(f, least(len(bh), len(dh) - diagonal)), lambda j: (dh[diagonal + j + 1] = bh[j + 1])::INT) AS s FROM beside),
  best AS (SELECT doc_id, item_id, diagonal, wide, list_max(list_transform(range(1, len(s) - wide + 2), lambda p: list_sum(s[p : p + wide - 1]))) AS agreeing FROM same)
- SELECT doc_id, item_id, max(agreeing)::BIGINT AS agreeing, arg_max(diagonal, (agreeing, -diagonal))::BIGINT AS doc_place FROM best WHERE agreeing >= ceil(wide * {agree}) GROUP BY doc_id, item_id"""
+ SELECT doc_id, item_id, max(agreeing)::BIGINT AS agreeing, arg_max(diagonal, (agreeing, -diagonal))::BIGINT AS doc_place FROM best WHERE agreeing >= CASE WHEN wide < {span} THEN wide ELSE ceil(wide * {agree}) END GROUP BY doc_id, item_id"""
 
 
 def _substring_sql(window: int = substring_dedup.WINDOW) -> str:

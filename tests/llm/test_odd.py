@@ -44,7 +44,7 @@ def counts(df):
 
 def test_decontaminate(odd, none, items):
     got = sorted((r.doc_id, r.item_id) for r in decontaminate.leaks(odd, items).collect())
-    assert got == [(5, 5), (6, 1)]
+    assert got == [(3, 4), (5, 5), (6, 1)]
     kept = decontaminate.decontaminate(odd, items)
     assert kept.columns == odd.columns
     assert counts(kept) == counts(odd.where("doc_id is null or doc_id not in (5, 6)"))
@@ -100,6 +100,30 @@ def test_leaks_against_brute_force(spark):
         assert {(r.doc_id, r.item_id): (r.agreeing, -r.doc_place) for r in found} == want and len(want) > 100
 
 
+def test_passages_of_any_script_and_length(spark):
+    """Letters of scripts without spaces are words; short items match whole and exactly; null item_ids are items."""
+    chinese = "".join(chr(0x4E00 + (i * i * 7 + i) % 900) for i in range(93))
+    thai = "".join(chr(0x0E01 + S.crc(str(i)) % 40) for i in range(60))
+    question = "Who wrote the play Hamlet in London then"
+    words = S.long_text("null", 40)
+    items = [(1, chinese), (2, thai), (3, question), (None, words), (None, S.long_text("other", 40)), (4, "one"), (5, "red, green?"), (6, "..."), (7, None)]
+    docs = [chinese, f"x {chinese[20:60]} y", chinese[:10], "ก" + thai, f"well: {question.upper()}!", question.replace("Hamlet", "Macbeth"), words, "One more", "green red", "a red green", S.long_text("other", 40).replace(" ", "\n")]
+    frame = spark.createDataFrame(items, "item_id long, text string")
+    found = {(r.doc_id, r.item_id): (r.agreeing, r.doc_place) for r in decontaminate.leaks(S.table(spark, docs), frame).collect()}
+    assert found == {(0, 1): (16, 0), (1, 1): (16, -19), (3, 2): (16, 1), (4, 3): (8, 1), (6, None): (16, 0), (7, 4): (1, 0), (9, 5): (2, 1), (10, None): (16, 0)}
+    kept = {r.doc_id for r in decontaminate.decontaminate(S.table(spark, docs), frame).collect()}
+    assert kept == {2, 5, 7, 8, 9}
+
+
+def test_long_items_in_pieces(spark):
+    """Passages anywhere in an item, also where its pieces meet, are found as in the whole item."""
+    item = S.long_text("item", 300).split()
+    docs = S.table(spark, [" ".join(["lead"] * 3 + item[i : i + 18]) for i in range(0, 283, 3)])
+    frame = spark.createDataFrame([(1, " ".join(item))], "item_id long, text string")
+    rows = [{(r.doc_id, r.agreeing, r.doc_place) for r in decontaminate.leaks(docs, frame, piece=n, block=b).collect()} for n, b in ((4096, 2_000_000), (40, 2_000_000), (40, 700))]
+    assert rows[0] == rows[1] == rows[2] == {(k, 16, 3 - 3 * k) for k in range(95)}
+
+
 def test_substituted_passage(spark):
     item = S.long_text("item", 30).split()
     changed = [w if i % 9 != 4 else "other" for i, w in enumerate(item)]
