@@ -28,7 +28,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-KEY_SETTING, ROUNDS = "spark.claimgrid.pii.key", 8
+#: Spark hides the values of settings with such a name.
+KEY_SETTING, ROUNDS = "spark.claimgrid.pii.secret", 8
 DAYS = range(datetime.date(1900, 1, 1).toordinal(), datetime.date(2100, 1, 1).toordinal())
 EVERY_DAY = range(1, datetime.date.max.toordinal() + 1)
 KINDS = ("email", "iban", "card", "ssn", "date", "ip", "phone")

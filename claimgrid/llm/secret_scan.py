@@ -40,8 +40,9 @@ _ASSIGN_WORDS = ("password", "passwd", "secret", "token", "apikey", "api_key")
 
 #: Most ranked words that are broadcast.
 MAX_WORDS = 1_000_000
-#: Least cost of a secret, and of letters alone without a sign, in the case of a word.
-MIN_COST, PROSE_COST = 10.0, 15.0
+#: Least cost of a secret (above eight signs of all classes it is some 10.5), and of letters alone without a sign, in the case of
+#: a word (11 letters at random).
+MIN_COST, PROSE_COST = 10.0, 15.5
 # Frequent words of passwords, in order of rank. A longer ranked list can follow (``ranked``).
 WORDS = """password love iloveyou monkey dragon master hello freedom whatever trust shadow sunshine princess welcome login admin
 letmein football baseball superman batman starwars michael jordan jennifer hunter soccer killer pepper ginger summer winter spring
@@ -53,7 +54,9 @@ LONGEST_WORD, LONGEST_PIECE = 24, 32
 # The rows of a keyboard from the top, each a little further right than the one above; and the alphabet.
 KEYBOARD = ("1234567890", "qwertyuiop", "asdfghjkl", "zxcvbnm")
 ALPHABET = "abcdefghijklmnopqrstuvwxyz"
-DATE = re.compile(r"(?:19|20)\d\d[-/._]?(?:0[1-9]|1[0-2])[-/._]?(?:0[1-9]|[12]\d|3[01])|(?:0?[1-9]|[12]\d|3[01])[-/._]?(?:0?[1-9]|1[0-2])[-/._]?(?:19|20)\d\d|(?:19|20)\d\d")
+_YEAR, _MONTH, _DAY, _GAP = r"(?:19|20)\d\d", r"(?:0[1-9]|1[0-2])", r"(?:0[1-9]|[12]\d|3[01])", r"[-/._]?"
+#: A year, year month day, and day month year with or without leading zeros: each has one end for a start.
+DATES = [re.compile(x) for x in (_YEAR, _YEAR + _GAP + _MONTH + _GAP + _DAY, *(d + _GAP + m + _GAP + _YEAR for d in (_DAY, "[1-9]") for m in (_MONTH, "[1-9]")))]
 # Signs that stand for letters.
 LEET = str.maketrans("@431!05$7", "aaeiiosst")
 
@@ -95,9 +98,15 @@ def ranked_of_vocabulary(path: str, end: str = "</w>") -> dict[str, int]:
 RANKS = ranked(())
 
 
+# log10 of how many digits, letters of a case and other signs there are.
+DIGIT, LETTER, SIGN = 1.0, math.log10(26), math.log10(33)
+
+
 def brute(ch: str) -> float:
-    """log10 of the guesses for one character of a brute-force span."""
-    return 1.0 if ch.isdigit() else 1.15 if ch.islower() else 1.3 if ch.isupper() else 1.5
+    """log10 of the guesses for one character of a brute-force span: of its class, and of letters beyond A-Z more."""
+    if ch.isdigit():
+        return DIGIT
+    return LETTER if ch.isascii() and ch.isalpha() else SIGN
 
 
 def word_cost(piece: str, rank: int, swapped: bool) -> float:
@@ -122,25 +131,29 @@ def walk_cost(n: int, turns: int) -> float:
 
 def pieces(value: str, ranks: dict[str, int] = RANKS) -> Iterator[tuple[int, int, float]]:
     """(start, end, cost) of all pieces that a segmentation may use, by start. Those from one start are bounded in number:
-    repeats and walks end after at most LONGEST_PIECE characters or with their run."""
+    repeats and walks end after at most LONGEST_PIECE characters or with their run; dates at each of their layouts' ends."""
     n, low = len(value), value.lower()
     if len(low) != n:  # a letter whose small form has two characters
         low = "".join(c if len(c.lower()) != 1 else c.lower() for c in value)
     plain = low.translate(LEET)
     runs = [[0] * (n + 1) for _ in range(5)]  # how far characters are equal to those k places on
-    walk = [1] * (n + 1)
+    walk, bends = [1] * (n + 1), [0] * (n + 1)  # how far a walk goes on, and its turns on that way
     for i in range(n - 1, -1, -1):
         for k in range(1, 5):
             runs[k][i] = runs[k][i + 1] + 1 if i + k < n and value[i] == value[i + k] else 0
-        walk[i] = walk[i + 1] + 1 if i + 1 < n and (low[i], low[i + 1]) in STEPS else 1
+        if i + 1 < n and (way := STEPS.get((low[i], low[i + 1]))) is not None:
+            walk[i] = walk[i + 1] + 1
+            bends[i] = bends[i + 1] + (walk[i + 1] > 1 and STEPS[low[i + 1], low[i + 2]] != way)
     for i in range(n):
         yield i, i + 1, brute(value[i])
         for k in range(3, min(LONGEST_WORD, n - i) + 1):
             for text, swapped in ((low[i : i + k], False), (plain[i : i + k], True)):
                 if text in ranks:
                     yield i, i + k, word_cost(value[i : i + k], ranks[text], swapped)
-        if value[i].isdigit() and (m := DATE.match(value, i)):
-            yield i, m.end(), date_cost(m[0])
+        if "0" <= value[i] <= "9":
+            for layout in DATES:
+                if m := layout.match(value, i):
+                    yield i, m.end(), date_cost(m[0])
         for k in range(1, 5):
             most, least = runs[k][i] // k + 1, 3 if k == 1 else 2
             for times in {*range(least, min(most, LONGEST_PIECE // k) + 1), most}:
@@ -152,6 +165,8 @@ def pieces(value: str, ranks: dict[str, int] = RANKS) -> Iterator[tuple[int, int
             turns, way = turns + (way is not None and step != way), step
             if m >= 3:
                 yield i, i + m, walk_cost(m, turns)
+        if walk[i] > LONGEST_PIECE:
+            yield i, i + walk[i], walk_cost(walk[i], bends[i])
 
 
 def guess_cost(value: str, ranks: dict[str, int] = RANKS) -> float:
@@ -244,9 +259,14 @@ def digests(docs: DataFrame, words: dict[str, int] | None = None) -> DataFrame:
 
 def redacted(text: str | None, ranks: dict[str, int] = RANKS, mask: str = "*") -> str | None:
     """The text with as many mask characters for every span; spans may overlap."""
+    if text is None:
+        return None
+    out, at = [], 0
     for s, _, _, e in spans(text, ranks):
-        text = text[:s] + mask * (e - s) + text[e:]
-    return text
+        if e > at:
+            out += [text[at : max(s, at)], mask * (e - max(s, at))]
+            at = e
+    return "".join(out) + text[at:]
 
 
 def redact(docs: DataFrame, mask: str = "*", words: dict[str, int] | None = None) -> DataFrame:

@@ -305,6 +305,19 @@ def test_secrets_in_all_contexts():
     assert len(guesses("0123456789abcdef01234567 pwd=x7Kp2mQ9vR " * 20_000)) == 20_000
 
 
+def test_random_passwords_and_long_walks():
+    """Of random passwords of eight characters nearly all are found, longer ones all; one long walk is one piece."""
+    rng = np.random.default_rng(4)
+    signs = list("ABCDEFGHJKLMNPQRSTUVWXYZabcdefghjkmnpqrstuvwxyz23456789#$%&*+!?@^")
+    for n, share in ((8, 0.9), (9, 0.98), (12, 1.0)):
+        found = [bool(secret_scan.spans(f"DB_PASS = {v}", RANKS)) for v in ("".join(rng.choice(signs, n)) for _ in range(300))]
+        assert np.mean(found) >= share, (n, np.mean(found))
+    assert all(secret_scan.spans(t) for t in ("DB_PASS=Qz7#kP2w", "pwd: xK9$mQ2v"))
+    there = "qwertyuiopoiuytrewq" * 4
+    keys = "".join(c for c, d in zip(there, there[1:] + " ", strict=True) if c != d)
+    assert math.isclose(secret_scan.guess_cost(keys, {}), 1.6 + math.log10(len(keys)) + 0.7 * 7, rel_tol=1e-9)
+
+
 RANKS = secret_scan.ranked_of_vocabulary(tokenizer_path())
 
 
@@ -336,6 +349,9 @@ def test_guess_cost_against_all_segmentations():
                 found.append(0.3 + math.log10(ranks[form] + 1) + more + (0 if not up else 0.3 if up in (1, len(t)) else 0.3 * min(up, len(t) - up) + 0.3))
         if re.fullmatch(r"(19|20)\d\d", t):
             found.append(math.log10(120))
+        year, month, day = r"(19|20)\d\d", r"(0?[1-9]|1[0-2])", r"(0?[1-9]|[12]\d|3[01])"
+        if re.fullmatch(rf"{year}[-/._]?(0[1-9]|1[0-2])[-/._]?(0[1-9]|[12]\d|3[01])|{day}[-/._]?{month}[-/._]?{year}", t):
+            found.append(math.log10(120 * 365) + 0.3)
         for k in range(1, 5):
             if len(t) % k == 0 and len(t) // k >= (3 if k == 1 else 2) and t == t[:k] * (len(t) // k):
                 found.append(sum(map(secret_scan.brute, t[:k])) + math.log10(len(t) // k) + 0.3)
@@ -345,8 +361,10 @@ def test_guess_cost_against_all_segmentations():
         return min(found)
 
     rng = np.random.default_rng(2)
-    for _ in range(150):
-        value = "".join(rng.choice(list("aabcpPsS$1920qwe"), int(rng.integers(1, 9))))
+    values = ["".join(rng.choice(list("aabcpPsS$1920qwe"), int(rng.integers(1, 9)))) for _ in range(150)]
+    values += ["20011111", "19991111", "1122001", "3112-1999", "2001/1/1", "31121999a", "aa2012012"] + ["".join(rng.choice(list("0129-"), 9)) for _ in range(60)]
+    values += [f"{d}{m}{y}x"[: int(rng.integers(6, 10))] for d, m, y in zip(rng.integers(1, 32, 60), rng.integers(1, 13, 60), rng.integers(1900, 2100, 60), strict=True)]
+    for value in values:
         least = math.inf
         for cuts in product((False, True), repeat=len(value) - 1):
             parts = [value[i:j] for i, j in zip([0, *(k + 1 for k, c in enumerate(cuts) if c)], [*(k + 1 for k, c in enumerate(cuts) if c), len(value)], strict=True)]
