@@ -47,18 +47,23 @@ UNSPACED = ("Han", "Hiragana", "Katakana", "Thai", "Lao", "Khmer", "Myanmar")
 
 def word_hashes(text: Column) -> Column:
     letters = "".join(rf"\p{{Is{x}}}" for x in UNSPACED)
-    apart = F.regexp_replace(F.lower(F.coalesce(text, F.lit(""))), f"([{letters}])", " $1 ")
+    late = r"[\x{E00}-\x{10FFFF}]"  # all of these scripts; told before the scripts, which are slow to look up
+    apart = F.regexp_replace(F.lower(F.coalesce(text, F.lit(""))), f"([{late}&&[{letters}]])", " $1 ")
     words = F.filter(F.split(apart, r"[^\p{L}\p{N}]+"), lambda w: w != "")
     return F.transform(words, lambda w: F.xxhash64(w))
 
 
-def _seeds(words: DataFrame, keep: list[str], masks: tuple[str, ...], short: list[int]) -> DataFrame:
-    """keep columns, the array ``h``, place, seed: for each window of h and each mask; and for windows of the short lengths. The
-    seed is null where the text ends before. All of it is compiled code (no filter of arrays), so that rows with h are
-    never buffered."""
-    placed = words.where(F.size("h") > 0).select(*keep, "h", F.explode(F.sequence(F.lit(0), F.size("h") - 1)).alias("place"))
+def _seeds(words: DataFrame, keep: list[str], masks: tuple[str, ...], short: list[int], guarded: bool) -> DataFrame:
+    """keep columns, the array ``h``, place, seed: for each window of h and each mask; and for windows of the short lengths.
+
+    guarded: seeds are null where h ends before the window does. Without that, such a window is hashed without the words it
+    lacks, and what it hits isn't verified; all masks then share their reading of the array. All of it is compiled code (no
+    filter of arrays), so that rows with h are never buffered.
+    """
+    least = min([len(masks[0]), *short])
+    placed = words.where(F.size("h") >= least).select(*keep, "h", F.explode(F.sequence(F.lit(0), F.size("h") - least)).alias("place"))
     word = lambda i: F.get("h", F.col("place") + i)
-    within = lambda n, seed: F.when(F.col("place") + n <= F.size("h"), seed)
+    within = lambda n, seed: F.when(F.col("place") + n <= F.size("h"), seed) if guarded else seed
     seeds = [within(len(m), F.xxhash64(F.lit(k), *(word(i) for i, c in enumerate(m) if c == "1"))) for k, m in enumerate(masks)]
     seeds += [within(n, F.xxhash64(F.lit(-n), *(word(i) for i in range(n)))) for n in short]
     return placed.select(*keep, "h", "place", F.explode(F.array(*seeds)).alias("seed"))
@@ -95,9 +100,9 @@ def _verified(train: DataFrame, test: DataFrame, keep: tuple[str, ...], masks: t
     doesn't grow with the text or the item.
     """
     span = len(masks[0])
-    seeds = _seeds(test, ["key", "size"], masks, short).where(F.col("seed").isNotNull() & ((F.col("size") >= span) | (F.col("place") == 0)))
+    seeds = _seeds(test, ["key", "size"], masks, short, True).where(F.col("seed").isNotNull() & ((F.col("size") >= span) | (F.col("place") == 0)))
     seeds = seeds.select("seed", "key", F.col("place").alias("item_place")).distinct()
-    hits = _seeds(train, [*keep], masks, short).join(F.broadcast(seeds), "seed")  # a block's seeds
+    hits = _seeds(train, [*keep], masks, short, False).join(F.broadcast(seeds), "seed")  # a block's seeds
     words = test.select(F.col("key").alias("_k"), "item_id", "size", "at", F.col("h").alias("item"))
     hits = hits.join(F.broadcast(words), F.col("key").eqNullSafe(F.col("_k")))  # a block's words
     lead = F.least("place", "item_place", F.lit(verify - span))
