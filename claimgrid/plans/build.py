@@ -15,6 +15,7 @@ from claimgrid.operators import aggregate, integrate, ontology, report, search,
 from claimgrid.operators.filters import excluded, valid_series
 from claimgrid.plans.pipeline import Pipeline, StageTable
 from claimgrid.schema import LEVELS
+from claimgrid.sinks import database_rows, save_bson
 from claimgrid.sources import processors, registry  # noqa: F401  registers the sources
 from claimgrid.sources.readers import claim_tables, id_list, name_lists
 from claimgrid.storage import written
@@ -35,7 +36,7 @@ def stages(spark: SparkSession, root: str, inputs: dict[str, str]) -> Pipeline:
     inputs: obo, systems (comma-separated ids), claims (folder of processed claims), technologies (Parquet: id, technology);
     entries (Parquet), or samples, series, experiments and channels (Parquet) to make them from; optional: names (JSON),
     runs and overrides (Parquet) of the archive, deleted (text), descriptions (Parquet: entry, level, description), cycles
-    (break: edges that close a cycle are left out; otherwise a cycle is an error that names its terms).
+    (break: edges that close a cycle are left out; otherwise a cycle is an error that names its terms), bson (any value: also write databases in BSON).
     """
     if missing := [k for k in NEEDED if not inputs.get(k)]:
         raise ValueError("the build lacks " + ", ".join(missing))
@@ -95,6 +96,12 @@ def stages(spark: SparkSession, root: str, inputs: dict[str, str]) -> Pipeline:
         save(rolled, at("claims/level=series"), "attribute")
         save(own, at("entries/level=series"))
 
+    def databases() -> None:
+        """The same claims as annotation databases in BSON, where the store is mounted."""
+        for level in LEVELS:
+            rows = database_rows(spark.read.parquet(at(f"claims/level={level}")), spark.read.parquet(at(f"entries/level={level}")))
+            save_bson(rows, at(f"bson/level={level}"))
+
     def reports() -> None:
         for level in LEVELS:
             claims = spark.read.parquet(at(f"claims/level={level}"))
@@ -102,4 +109,4 @@ def stages(spark: SparkSession, root: str, inputs: dict[str, str]) -> Pipeline:
             save(aggregate.overlap(claims), at(f"overlap/level={level}"))
 
     done = StageTable(spark, at("stages"))
-    return Pipeline([("relations", relations), ("search", search_tables), ("geo", geo), ("archive", archive), ("sample", sample), ("series", series), ("report", reports)], done)
+    return Pipeline([("relations", relations), ("search", search_tables), ("geo", geo), ("archive", archive), ("sample", sample), ("series", series), ("report", reports), *([("bson", databases)] if inputs.get("bson") else [])], done)

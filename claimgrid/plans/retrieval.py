@@ -14,7 +14,8 @@ from claimgrid.operators.aggregate import compiled, counts_from_lists
 from claimgrid.operators.curate import Curation, direct
 from claimgrid.operators.filters import NoResults, required, select_claims
 from claimgrid.schema import ATTRIBUTES, CONTROL_ID, ECODES, LEVELS, MODES, NEGATIVE, SEXES, SPECIES, TECHNOLOGIES, AGE_GROUPS
-from claimgrid.sources.readers import parquet_if_there
+from claimgrid.sources.readers import SAMPLE_ACCESSIONS, bson_map, database_claims, database_entries, parquet_if_there
+from claimgrid.storage import written
 
 
 @dataclass(frozen=True)
@@ -35,6 +36,15 @@ class Database:
         descriptions = parquet_if_there(spark, f"{root}/descriptions/level={level}")
         return Database(at(f"claims/level={level}"), at(f"entries/level={level}"), at("technologies"), at("closure"), descriptions, licences)
 
+    @staticmethod
+    def of_bson(spark: SparkSession, path: str, technologies: DataFrame, closure: DataFrame | None = None, descriptions: DataFrame | None = None, licences: dict[str, str] | None = None) -> Database:
+        """An annotation database in BSON, of one level, beside the technologies and the closure that it is asked with. It is
+        parsed once, to a table in the shared folder."""
+        rows = written(bson_map(spark, path), "database")
+        entries = database_entries(rows)
+        kept = [c for c in entries.columns if c in ("entry", "organism") or c in SAMPLE_ACCESSIONS]
+        return Database(database_claims(rows), entries.select(*kept), technologies, closure, descriptions, licences)
+
 
 @dataclass(frozen=True)
 class Request:

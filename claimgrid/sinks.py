@@ -15,7 +15,9 @@ from pyspark.sql import functions as F
 
 from claimgrid.operators.curate import dense
 from claimgrid.operators.reshape import one_hot
-from claimgrid.schema import CONTROL, NA, NEGATIVE, POSITIVE, SAMPLE_METADATA, SERIES_METADATA
+from claimgrid.schema import ATTRIBUTES, CONTROL, NA, NEGATIVE, POSITIVE, SAMPLE_METADATA, SERIES_METADATA
+from claimgrid.sources import bson
+from claimgrid.sources.readers import SAMPLE_ACCESSIONS
 
 FORMATS = ("parquet", "csv", "tsv", "json")
 #: Columns of one pivot; more terms are written in several files.
@@ -146,6 +148,27 @@ def save_wide(cells: DataFrame, entries: DataFrame, terms: list[str], metadata:
     return paths
 
 
+def database_rows(claims: DataFrame, entries: DataFrame, attributes: Iterable[str] = ATTRIBUTES) -> DataFrame:
+    """(key, json) of an annotation database: for each entry its accessions and organism, and for each attribute a map
+    source -> id, value, ecode, where several terms are joined by pipes."""
+    by = claims.groupBy("entry", "attribute", "source").agg(F.array_sort(F.collect_set(F.struct("term_id", "term_name"))).alias("t"), F.min(F.struct("term_id", "ecode"))["ecode"].alias("ecode"))
+    joined = lambda name: F.array_join(F.transform("t", lambda x: F.coalesce(x[name], F.lit(""))), "|").alias("id" if name == "term_id" else "value")
+    by = by.select("entry", "attribute", F.struct("source", F.struct(joined("term_id"), joined("term_name"), "ecode").alias("v")).alias("s"))
+    maps = [F.map_from_entries(F.collect_list(F.when(F.col("attribute") == a, F.col("s")))).alias(a) for a in attributes]
+    own = by.groupBy("entry").agg(*maps)
+    accessions = [c for c in SAMPLE_ACCESSIONS if c in entries.columns]
+    both = entries.select("entry", F.struct(*accessions).alias("accession_ids"), "organism").join(own, "entry")
+    filled = [F.when(F.size(a) > 0, F.col(a)).alias(a) for a in attributes]
+    return both.select(F.col("entry").alias("key"), F.to_json(F.struct("accession_ids", "organism", *filled)).alias("json"))
+
+
+def save_bson(rows: DataFrame, path: str, file_bytes: int = 1 << 30) -> None:
+    """Writes (key, json) as BSON files, sorted by key over all files and within values, in place of those that are there."""
+    bson.register(rows.sparkSession)
+    ordered = rows.select("key", "json").repartitionByRange("key").sortWithinPartitions("key")
+    ordered.write.format("bson").option("fileBytes", file_bytes).mode("overwrite").save(path)
+
+
 #: What a citation file says about a request, in this order.
 CITED = ("attribute", "terms", "level", "species", "ecode", "tech", "mode", "license")
 

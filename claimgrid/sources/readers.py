@@ -5,7 +5,6 @@ from __future__ import annotations
 import csv
 import io
 import json
-import struct
 import warnings
 import zipfile
 from collections.abc import Iterator
@@ -17,6 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from claimgrid.schema import ATTRIBUTES
+from claimgrid.sources import bson
 
 #: Accessions that a database keeps of an entry.
 SAMPLE_ACCESSIONS = ("sample", "series", "platform", "srx", "srs", "srp")
@@ -125,40 +125,19 @@ def zipped_tables(spark: SparkSession, path: str, sep: str = "\t", nulls: tuple[
     return raw.mapInPandas(unzip, "file string, row map<string,string>")
 
 
-def _bson_value(kind: int, raw: bytes, at: int) -> tuple[object, int]:
-    """A value of a BSON element and where it ends; the types that an annotation database holds."""
-    if kind in (0x02, 0x03, 0x04):
-        size = struct.unpack_from("<i", raw, at)[0]
-        if kind == 0x02:
-            return raw[at + 4 : at + 3 + size].decode(), at + 4 + size
-        fields = dict(_bson_elements(raw, at))
-        return (fields if kind == 0x03 else list(fields.values())), at + size
-    if kind == 0x0A:
-        return None, at
-    if kind == 0x08:
-        return raw[at] == 1, at + 1
-    form, size = {0x01: ("<d", 8), 0x10: ("<i", 4), 0x12: ("<q", 8), 0x09: ("<q", 8)}[kind]
-    return struct.unpack_from(form, raw, at)[0], at + size
-
-
-def _bson_elements(raw: bytes, at: int = 0) -> Iterator[tuple[str, object]]:
-    """Names and values of the BSON document that begins at a place, one at a time."""
-    at += 4
-    while raw[at]:
-        end = raw.index(0, at + 1)
-        value, after = _bson_value(raw[at], raw, end + 1)
-        yield raw[at + 1 : end].decode(), value
-        at = after
-
-
-def bson_map(spark: SparkSession, path: str) -> DataFrame:
-    """(key, json): the top-level fields of BSON files, each one document; a file is read by one task, field by field."""
+def bson_map(spark: SparkSession, path: str, partition_bytes: int = 64 << 20) -> DataFrame:
+    """(key, json): the top-level fields of BSON files, each one document. On a mounted file system a file of any size is read
+    by a task for every ``partition_bytes``; in other stores by one task a file, up to 2 GB."""
+    scheme = path.partition(":")[0] if ":" in path.partition("/")[0] else "file"
+    if scheme == "file":
+        bson.register(spark)
+        return spark.read.format("bson").option("partitionBytes", partition_bytes).load(path)
 
     def parse(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for content in (x for part in parts for x in part["content"]):
-            rows = _bson_elements(content)
-            while some := list(islice(rows, 10_000)):
-                yield pd.DataFrame([(k, json.dumps(v)) for k, v in some], columns=["key", "json"])
+            rows = bson.fields(content)
+            while some := list(islice(rows, bson.ROWS)):
+                yield pd.DataFrame([(k, json.dumps(v, ensure_ascii=False)) for k, v in some], columns=["key", "json"])
 
     return spark.read.format("binaryFile").load(path).select("content").mapInPandas(parse, "key string, json string")
 
