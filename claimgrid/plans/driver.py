@@ -434,6 +434,23 @@ def label_all(spark, sf_dir):
     return curate.label(cells(spark, sf_dir), closed, closed.select(F.col("ancestor").alias("term")))
 
 
+@query("labels_wide_all", f"""WITH RECURSIVE {_CELLS_SQL}, {_CLOSURE_SQL}, {_EVERY_LABEL_SQL}, ranks AS (SELECT term, row_number() OVER (ORDER BY term) AS r FROM nodes), given AS (SELECT entry, value, r FROM labels JOIN ranks USING (term))
+ SELECT entry, (SELECT count(*) FROM ranks)::INT AS n_terms, count(*) FILTER (WHERE value = 1)::BIGINT AS positive, count(*) FILTER (WHERE value = 0)::BIGINT AS unknown, ((SELECT sum(r) FROM ranks) + coalesce(sum(r * (value + 1)), 0))::BIGINT AS places FROM (SELECT DISTINCT entry FROM cells) LEFT JOIN given USING (entry) GROUP BY entry""")
+def labels_wide_all(spark, sf_dir):
+    """The mass request: one wide Parquet table of labels with a column for each term of the ontology, summed up by entry.
+    ``places`` adds, for each column, its place times (value + 2)."""
+    own, closed = cells(spark, sf_dir), closure(spark, sf_dir)
+    terms = sorted(r["term"] for r in ontology.nodes(edges(spark, sf_dir)).collect())  # the columns' names
+    path = shared_path(spark, "labels-wide")
+    labels = curate.label(own, closed, closed.select(F.col("ancestor").alias("term")).distinct())
+    sinks.save_wide(labels, own.select("entry").distinct(), terms, [], path, absent=-1, sort_by="entry")
+    table_ = spark.read.parquet(path)
+    values = table_.select("entry", F.array(*(F.col(f"`{t}`") for t in terms)).alias("v"))
+    counted = lambda value: F.size(F.filter("v", lambda x: x == value)).cast("long")
+    places = F.aggregate(F.transform("v", lambda x, i: (i + 1).cast("long") * (x + 2)), F.lit(0).cast("long"), lambda s, x: s + x)
+    return values.select("entry", F.lit(len(table_.columns) - 1).alias("n_terms"), counted(1).alias("positive"), counted(0).alias("unknown"), places.alias("places"))
+
+
 _CONTROL_SQL = f"""WITH RECURSIVE {_claims_sql('disease')}, {_ENTRIES_SQL}, {_CLOSURE_SQL}, cells AS (SELECT DISTINCT entry, term_id AS term FROM claims),
  brands AS (SELECT DISTINCT 'B:' || p_brand AS term FROM part), labels AS (SELECT DISTINCT entry, term, 1 AS value FROM cells WHERE term IN ('B:Brand#1', 'B:Brand#2', 'B:Brand#3')),
  controls AS (SELECT DISTINCT entry FROM cells WHERE term = '{CONTROL_ID}'), pos AS (SELECT DISTINCT series, term FROM labels JOIN entries USING (entry))
@@ -490,8 +507,7 @@ _ARCHIVE_SQL = """WITH samples AS (SELECT 'GSM' || c_custkey AS accession, CASE
 
 
 @query("sra_to_gsm", _ARCHIVE_SQL)
-@query("sra_to_gsm_all", _ARCHIVE_SQL)
-def sra_to_gsm_all(spark, sf_dir):
+def sra_to_gsm(spark, sf_dir):
     """All customers, a tenth without an experiment; at most four samples and two runs share one."""
     named = F.when(F.col("c_custkey") % 10 != 0, F.concat(F.lit('"SRX'), F.expr("c_custkey div 4"), F.lit('"')))
     samples = table(spark, sf_dir, "customer").select(F.concat(F.lit("GSM"), F.col("c_custkey")).alias("accession"), named.alias("sra_experiment"))
@@ -605,8 +621,7 @@ _CORPUS_SQL = """fields AS (SELECT p_partkey::VARCHAR AS term_id, p_type AS type
 
 
 @query("search_documents", _BM25_SQL.replace(" WHERE lang = 'en'", ""))
-@query("search_documents_all", _BM25_SQL.replace(" WHERE lang = 'en'", ""))
-def search_documents_all(spark, sf_dir):
+def search_documents(spark, sf_dir):
     """Documents of every language are scored and counted."""
     docs = table(spark, sf_dir, "documents").select(F.col("doc_id").cast("string").alias("term_id"), "text", F.lit(1).alias("weight"))
     return search.bm25plus(docs, _QUERY).withColumn("score", F.round("score", 6))
@@ -745,8 +760,7 @@ _CONTRACT_SQL = f"""WITH {_claims_sql()}, {_ENTRIES_SQL}, own AS (SELECT entry,
 
 
 @query("contract_violations", _CONTRACT_SQL)
-@query("contract_violations_all", _CONTRACT_SQL)
-def contract_violations_all(spark, sf_dir):
+def contract_violations(spark, sf_dir):
     """Every rule, at both levels, over the claims of all attributes and all entries."""
     own = claims(spark, sf_dir).withColumns({"ecode": F.when(F.col("source") == "S7", "guess").otherwise(F.col("ecode")), "term_id": F.when((F.col("attribute") == "age") & (F.col("source") == "S5"), "elder").otherwise(F.col("term_id"))})
     of = lambda level: report.violations(own, entries(spark, sf_dir), level=level).select(F.lit(level).alias("level"), "entry", "rule", "value")

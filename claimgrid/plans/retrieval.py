@@ -158,7 +158,7 @@ def export(result: Result, db: Database, request: Request, path: str, credits: d
         rows = sinks.label_rows(c.cells, entries, targets, metadata) if result.labelled else sinks.json_rows(c.cells, entries, metadata)
         sinks.write(rows, path, "json", sort_by=["term", "entry"])
     elif result.labelled:
-        sinks.save_wide(c.cells, entries, result.targets, metadata, path, request.fmt, absent=NEGATIVE, sort_by=["series", "entry"] if "series" in entries.columns and "series" in metadata else "entry")
+        sinks.save_wide(c.cells, entries, result.targets, metadata, path, request.fmt, absent=NEGATIVE, sort_by=["series", "entry"] if "series" in entries.columns else "entry")
     else:
         sinks.save_wide(c.cells, entries, result.targets, metadata, path, request.fmt)
     asked = {"attribute": request.attribute, "terms": request.terms if isinstance(request.terms, str) else ", ".join(request.terms), "level": request.level, "species": request.species, "ecode": request.ecode, "tech": request.technology, "mode": request.mode, "license": request.licence}

@@ -9,7 +9,6 @@ import shutil
 import textwrap
 from collections.abc import Iterable
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -20,8 +19,6 @@ from claimgrid.sources import bson
 from claimgrid.sources.readers import SAMPLE_ACCESSIONS
 
 FORMATS = ("parquet", "csv", "tsv", "json")
-#: Columns of one pivot; more terms are written in several files.
-PIVOT_COLUMNS = 10_000
 
 
 def metadata_columns(requested: str | Iterable[str], level: str, index: str) -> tuple[list[str], list[str]]:
@@ -47,21 +44,32 @@ def wide(cells: DataFrame, entries: DataFrame, terms: list[str], metadata: list[
     return entries.select(*_ids(entries, metadata)).join(one_hot(cells, terms), "entry")
 
 
-def gathered(labels: DataFrame, entries: DataFrame, metadata: list[str]) -> DataFrame:
-    """Ids and ``given``, a map from term to value, of each entry: what wide tables of any number of terms are cut from."""
-    value = F.col("value") if "value" in labels.columns else F.lit(1)
-    given = labels.groupBy("entry", "term").agg(F.max(value).alias("value")).groupBy("entry").agg(F.map_from_entries(F.collect_list(F.struct("term", "value"))).alias("given"))
-    return entries.select(*_ids(entries, metadata)).join(given, "entry", "left")
+def gathered(labels: DataFrame, entries: DataFrame, terms: list[str], metadata: list[str]) -> DataFrame:
+    """Ids and ``given`` of each entry: (place, value) of its labels, by the place of their term among ``terms``; null without
+    any. What wide tables of any number of terms are cut from; of several values of a term the greatest counts."""
+    value = (F.col("value") if "value" in labels.columns else F.lit(1)).cast("byte").alias("value")
+    places = labels.sparkSession.createDataFrame([(t, i) for i, t in enumerate(terms)], "term string, place int")
+    own = labels.select("entry", "term", value).join(F.broadcast(places), "term")  # as many rows as the table has columns
+    pairs = own.groupBy("entry").agg(F.array_sort(F.collect_set(F.struct("place", "value"))).alias("p"))
+    last = F.filter("p", lambda x, i: (i == F.size("p") - 1) | (F.get("p", i + 1)["place"] != x["place"]))
+    return entries.select(*_ids(entries, metadata)).join(pairs.select("entry", last.alias("given")), "entry", "left")
 
 
 def cut(rows: DataFrame, terms: list[str], absent: int) -> DataFrame:
-    """A column for each term from gathered rows."""
-    return rows.select(*(c for c in rows.columns if c != "given"), *(F.coalesce(F.try_element_at("given", F.lit(t)), F.lit(absent)).cast("int").alias(t) for t in terms))
+    """A column for each term from gathered rows: the labels are laid out once as an array of all places, gaps filled, and each
+    column takes its place of it."""
+    fill = lambda n: F.array_repeat(F.lit(absent).cast("byte"), n)
+    before = lambda i: F.when(i == 0, F.lit(-1)).otherwise(F.get("given", i - 1)["place"])
+    parts = F.transform("given", lambda x, i: F.concat(fill(x["place"] - before(i) - 1), F.array(x["value"])))
+    tail = fill(F.lit(len(terms) - 1) - F.element_at("given", -1)["place"])
+    row = F.coalesce(F.when(F.size("given") > 0, F.concat(F.flatten(parts), tail)), fill(F.lit(len(terms))))
+    names = [c for c in rows.columns if c != "given"]
+    return rows.select(*names, row.alias("_row")).select(*names, *(F.get("_row", F.lit(i)).cast("int").alias(t) for i, t in enumerate(terms)))
 
 
 def wide_labels(labels: DataFrame, entries: DataFrame, terms: list[str], metadata: list[str]) -> DataFrame:
     """The same with label values; -1 where none is given."""
-    return cut(gathered(labels, entries, metadata), terms, NEGATIVE)
+    return cut(gathered(labels, entries, terms, metadata), terms, NEGATIVE)
 
 
 def json_rows(cells: DataFrame, entries: DataFrame, metadata: list[str]) -> DataFrame:
@@ -132,20 +140,19 @@ def write(df: DataFrame, path: str, fmt: str = "parquet", sort_by: str | list[st
         out.csv(path, sep="," if fmt == "csv" else "\t", header=True)
 
 
-def save_wide(cells: DataFrame, entries: DataFrame, terms: list[str], metadata: list[str], path: str, fmt: str = "parquet", absent: int = 0, sort_by: str | list[str] | None = None) -> list[str]:
-    """Writes the wide form, in as many tables as its number of terms needs; their paths.
+def save_wide(cells: DataFrame, entries: DataFrame, terms: list[str], metadata: list[str], path: str, fmt: str = "parquet", absent: int = 0, sort_by: str | list[str] | None = None) -> None:
+    """Writes the wide form as one table, however many terms it has.
 
-    absent: what a cell that isn't there says; entries without any cell are left out where it is 0. The cells are computed
-    and gathered once for all tables.
+    absent: what a cell that isn't there says; entries without any cell are left out where it is 0. sort_by: columns of
+    entries, whether they are among the metadata or not. Rows are dealt and sorted before they become wide.
     """
-    parts = [terms[i : i + PIVOT_COLUMNS] for i in range(0, max(1, len(terms)), PIVOT_COLUMNS)]
-    paths = [path] if len(parts) == 1 else [f"{path}/part={i}" for i in range(len(parts))]
-    rows = gathered(cells, entries, metadata)
-    rows = (rows.where("given is not null") if absent == 0 else rows).persist(StorageLevel.DISK_ONLY)
-    for some, p in zip(parts, paths, strict=True):
-        write(cut(rows, some, absent), p, fmt, sort_by)
-    rows.unpersist()
-    return paths
+    keys = [] if sort_by is None else [sort_by] if isinstance(sort_by, str) else list(sort_by)
+    extra = [k for k in keys if k != "entry" and k not in metadata]
+    rows = gathered(cells, entries, terms, [*metadata, *extra])
+    rows = rows.where("given is not null") if absent == 0 else rows
+    if keys:
+        rows = rows.repartitionByRange(*keys).sortWithinPartitions(*keys)
+    write(cut(rows.drop(*extra), terms, absent), path, fmt)
 
 
 def database_rows(claims: DataFrame, entries: DataFrame, attributes: Iterable[str] = ATTRIBUTES) -> DataFrame:

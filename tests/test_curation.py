@@ -168,3 +168,20 @@ def test_parsing(tmp_path):
     assert parse_terms(str(tmp_path / "terms"), "tissue") == ["X:1", "X:2"]
     with pytest.raises(ValueError):
         Request("disease", species="martian")
+
+
+def test_wide_table_of_many_terms(spark, tmp_path):
+    """Over 10,000 columns in one table, sorted by a column that isn't written; the greatest of several values counts."""
+    from claimgrid import sinks
+
+    terms = [f"MONDO:{i:05}" for i in range(10_050)]
+    labels = spark.createDataFrame([("e1", terms[0], 1), ("e1", terms[0], 0), ("e1", terms[10_049], 0), ("e2", terms[7], 2), ("e2", "other", 1)], "entry string, term string, value int")
+    entries = spark.createDataFrame([("e1", "b"), ("e2", "a"), ("e3", "c")], "entry string, series string")
+    sinks.save_wide(labels, entries, terms, [], f"{tmp_path}/w", absent=-1, sort_by=["series", "entry"])
+    out = spark.read.parquet(f"{tmp_path}/w")
+    assert out.columns == ["entry", *terms]
+    rows = {r[0]: r[1:] for r in out.collect()}
+    want = {"e1": {0: 1, 10_049: 0}, "e2": {7: 2}, "e3": {}}
+    assert rows == {e: tuple(own.get(i, -1) for i in range(len(terms))) for e, own in want.items()}
+    sinks.save_wide(labels.where("value <> 0"), entries, terms[:9], ["series"], f"{tmp_path}/a")
+    assert sorted((r.entry, r.series, r[terms[0]], r[terms[7]]) for r in spark.read.parquet(f"{tmp_path}/a").collect()) == [("e1", "b", 1, 0), ("e2", "a", 0, 2)]

@@ -4,19 +4,19 @@ from claimgrid.plans import driver
 
 
 def test_every_customer_with_an_experiment_is_mapped(spark, sf_dir):
-    out = driver.QUERIES["sra_to_gsm_all"](spark, sf_dir)
+    out = driver.QUERIES["sra_to_gsm"](spark, sf_dir)
     want = {f"GSM{r.c_custkey}" for r in driver.table(spark, sf_dir, "customer").collect() if r.c_custkey % 10}
     assert {r.entry for r in out.where("archive_id like 'SRX%'").collect()} == want
     assert out.where("archive_id like 'SRR%'").count()
 
 
 def test_documents_of_every_language_are_scored(spark, sf_dir):
-    assert driver.QUERIES["search_documents_all"](spark, sf_dir).count() == driver.table(spark, sf_dir, "documents").count()
+    assert driver.QUERIES["search_documents"](spark, sf_dir).count() == driver.table(spark, sf_dir, "documents").count()
     assert driver.QUERIES["search_documents_typed"](spark, sf_dir).count() == 20
 
 
 def test_every_rule_of_the_contract_is_broken(spark, sf_dir):
-    found = {(r.level, r.rule) for r in driver.QUERIES["contract_violations_all"](spark, sf_dir).select("level", "rule").distinct().collect()}
+    found = {(r.level, r.rule) for r in driver.QUERIES["contract_violations"](spark, sf_dir).select("level", "rule").distinct().collect()}
     both = {"ecode", "tissue ontology", "disease ontology", "sex", "age group", "organism"}
     assert found == {(x, r) for x in ("sample", "series") for r in both} | {("sample", f"several values of {a}") for a in ("sex", "age")}
 
