@@ -445,7 +445,7 @@ def labels_wide_all(spark, sf_dir):
     labels = curate.label(own, closed, closed.select(F.col("ancestor").alias("term")).distinct())
     sinks.save_wide(labels, own.select("entry").distinct(), terms, [], path, absent=-1, sort_by="entry")
     table_ = spark.read.parquet(path)
-    values = table_.select("entry", F.array(*(F.col(f"`{t}`") for t in terms)).alias("v"))
+    values = table_.select("entry", F.expr(f"array({', '.join(f'`{t}`' for t in terms)})").alias("v"))
     counted = lambda value: F.size(F.filter("v", lambda x: x == value)).cast("long")
     places = F.aggregate(F.transform("v", lambda x, i: (i + 1).cast("long") * (x + 2)), F.lit(0).cast("long"), lambda s, x: s + x)
     return values.select("entry", F.lit(len(table_.columns) - 1).alias("n_terms"), counted(1).alias("positive"), counted(0).alias("unknown"), places.alias("places"))

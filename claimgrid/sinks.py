@@ -64,7 +64,8 @@ def cut(rows: DataFrame, terms: list[str], absent: int) -> DataFrame:
     tail = fill(F.lit(len(terms) - 1) - F.element_at("given", -1)["place"])
     row = F.coalesce(F.when(F.size("given") > 0, F.concat(F.flatten(parts), tail)), fill(F.lit(len(terms))))
     names = [c for c in rows.columns if c != "given"]
-    return rows.select(*names, row.alias("_row")).select(*names, *(F.get("_row", F.lit(i)).cast("int").alias(t) for i, t in enumerate(terms)))
+    quoted = lambda c: f"`{c.replace('`', '``')}`"  # noqa: E731  text, as thousands of columns are slow to build one by one
+    return rows.select(*names, row.alias("_row")).selectExpr(*map(quoted, names), *(f"CAST(get(_row, {i}) AS INT) AS {quoted(t)}" for i, t in enumerate(terms)))
 
 
 def wide_labels(labels: DataFrame, entries: DataFrame, terms: list[str], metadata: list[str]) -> DataFrame:
