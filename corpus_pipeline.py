@@ -27,8 +27,9 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold a passage of a benchmark item go, equal texts alike. Null texts, texts under 9 words and items under 9
-    words hold none; an empty benchmark leaves all."""
+    """Documents that hold a passage of a benchmark item go, equal texts alike. A null text holds none; items under 9 words must
+    stand in a text whole, and those under 4 words are passed over; items with a null item_id count; an empty benchmark
+    leaves all."""
     return decontaminate.decontaminate(docs, table(spark, sf_dir, "benchmark"))
 
 
