@@ -55,9 +55,12 @@ def parser() -> argparse.ArgumentParser:
         one.add_argument("--config", default=CONFIG)
         if name == "setup":
             one.add_argument("--data", required=True)
-    one = sub.add_parser("process", help="claims of a source from tables of its raw frames")
+    one = sub.add_parser("process", help="claims of a source from its raw files, or from tables of its raw frames")
     one.add_argument("source")
-    one.add_argument("--raw", action="append", required=True, metavar="NAME=PATH", help="a Parquet table for each raw frame")
+    one.add_argument("--raw", action="append", default=[], metavar="NAME=PATH", help="a Parquet table for each raw frame")
+    one.add_argument("--raw-files", action="append", default=[], metavar="NAME=PATH[,PATH]", help="files of each raw frame as the source gives them")
+    one.add_argument("--layouts", help="JSON or YAML: frame -> what differs from the source's usual layout")
+    one.add_argument("--rejects", help="folder of the rows that can't be read; by default OUTPUT-rejects")
     one.add_argument("--obo", required=True)
     one.add_argument("--tissue-systems", required=True)
     one.add_argument("--disease-systems", required=True)
@@ -141,15 +144,23 @@ def _local(a: argparse.Namespace) -> int | None:
 
 def _process(spark, a: argparse.Namespace) -> None:
     from claimgrid.operators import ontology
-    from claimgrid.sources import processors, registry  # noqa: F401  registers the sources
+    from claimgrid.sources import ingest, processors, registry  # noqa: F401  registers the sources
     from claimgrid.storage import written
 
+    if bool(a.raw) == bool(a.raw_files):
+        raise ValueError("either --raw or --raw-files")
     terms = ontology.stanzas(spark, a.obo)
     closed = ontology.closure(ontology.checked(written(ontology.edges(terms), "edges")))
     inside = lambda ids: ontology.system_descendants(closed, spark.createDataFrame([(t,) for t in ids.split(",")], "term string"))
     foreign = {p: ontology.reverse_xrefs(ontology.placed_xrefs(terms, p)) for p in ("DOID", "MESH", "UMLS")}
     ctx = registry.Context(inside(a.tissue_systems), inside(a.disease_systems), ontology.term_names(terms), foreign)
-    raw = {name: spark.read.parquet(path) for name, _, path in (x.partition("=") for x in a.raw)}
+    pairs = lambda given: dict(x.split("=", 1) for x in given)
+    if a.raw_files:
+        own = ingest.ingest(spark, a.source, pairs(a.raw_files), read_config(a.layouts) if a.layouts else None)
+        ingest.save_rejects(own.rejects, a.rejects or f"{a.output.rstrip('/')}-rejects", a.source)
+        raw = own.frames
+    else:
+        raw = {name: spark.read.parquet(path) for name, path in pairs(a.raw).items()}
     registry.save(registry.process(a.source, ctx, **raw), a.output, a.source)
 
 

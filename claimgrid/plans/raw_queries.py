@@ -6,6 +6,10 @@ within the systems and those up to 40 have a name.
 
 from __future__ import annotations
 
+import os
+from functools import reduce
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -16,7 +20,7 @@ from claimgrid.plans import build, driver
 from claimgrid.plans.catalog import query, table
 from claimgrid.plans.retrieval import Database, Request, retrieve
 from claimgrid.schema import AGE_GROUPS, CONTROL_ID
-from claimgrid.sources import processors, readers, registry
+from claimgrid.sources import ingest, processors, readers, registry
 from claimgrid.storage import shared_path
 
 KNOWN, NAMED = 30, 40
@@ -313,6 +317,81 @@ def read_batches(spark, sf_dir):
     return readers.batches(spark, path).select("accession", F.explode("characteristics").alias("c")).select("accession", "c.value")
 
 
+@query("read_zip", "SELECT 'nation' || c_nationkey || '.txt' AS file, 'GSM' || c_custkey AS sample, CASE WHEN c_mktsegment <> 'BUILDING' THEN c_mktsegment END AS segment FROM customer")
+def read_zip(spark, sf_dir):
+    """Archives with a file for each nation, written by the tasks that have its rows."""
+    path = shared_path(spark, "archives")
+    own = table(spark, sf_dir, "customer").select(text("nation", F.col("c_nationkey"), ".txt").alias("file"), text("GSM", F.col("c_custkey"), "\t", F.when(F.col("c_mktsegment") == "BUILDING", "NA").otherwise(F.col("c_mktsegment"))).alias("line"))
+    _write_archives(own.repartition(4, "file").sortWithinPartitions("file"), path, "SampleID\tsegment")
+    row = lambda name: F.try_element_at("row", F.lit(name))
+    return readers.zipped_tables(spark, path).select("file", row("SampleID").alias("sample"), row("segment").alias("segment"))
+
+
+def _write_archives(lines: DataFrame, path: str, header: str) -> None:
+    """A ZIP archive for each partition of (file, line), whose files lie together; on a mounted file system."""
+    folder = readers.mounted_path(path)
+
+    def write(parts):
+        import os
+        import uuid
+        import zipfile
+
+        os.makedirs(folder, exist_ok=True)
+        new, name, member = os.path.join(folder, f"{uuid.uuid4().hex}.new"), None, None
+        with zipfile.ZipFile(new, "w", zipfile.ZIP_DEFLATED) as archive:
+            for file, line in ((f, x) for part in parts for f, x in zip(part["file"], part["line"], strict=True)):
+                if file != name:
+                    if member:
+                        member.close()
+                    name, member = file, archive.open(file, "w", force_zip64=True)
+                    member.write(f"{header}\n".encode())
+                member.write(f"{line}\n".encode())
+            if member:
+                member.close()
+        yield pd.DataFrame({"path": [new]})
+
+    for r in lines.mapInPandas(write, "path string").collect():  # an archive for each partition; those of lost attempts stay .new
+        os.replace(r["path"], r["path"].removesuffix("new") + "zip")
+
+
+_INGEST_SQL = f"""WITH {_PARTS_SQL},
+ ursa AS (SELECT 'URSA' AS source, CASE WHEN k % 7 = 0 THEN 'number of fields' WHEN k % 11 = 0 THEN 'no accession' END AS reason, CASE WHEN k % 7 = 0 THEN 'GSM' || k || ',GSE1' ELSE '{{"study_id":"GSE1","term_id":"UBERON:' || n || '"}}' END AS record FROM r),
+ gu AS (SELECT 'Gu_2023' AS source, CASE WHEN k % 5 = 0 THEN 'number of fields' WHEN k % 13 = 0 THEN 'no Sample ID' END AS reason, CASE WHEN k % 5 = 0 THEN 'GSM' || k || ',"' || p_name || ', x",y,z' ELSE '{{"Manual annotation":"' || p_name || ', x"}}' END AS record FROM r),
+ atlas AS (SELECT 'DiSignAtlas' AS source, CASE WHEN k % 3 = 0 THEN 'number of fields' END AS reason, p_name AS record FROM r)
+ SELECT source, 'raw' AS frame, reason, record FROM (FROM ursa UNION ALL FROM gu UNION ALL FROM atlas) WHERE reason IS NOT NULL"""
+
+
+def _raw_files(spark, sf_dir) -> dict[str, dict[str, str]]:
+    """Files of three sources, some lines of which can't be read; those of Gu_2023 have a title line."""
+    top = shared_path(spark, "raw")
+    own = parts(spark, sf_dir)
+    own.select(F.when(K() % 7 == 0, text("GSM", K(), ",GSE1")).otherwise(text(F.when(K() % 11 == 0, "").otherwise(text("GSM", K())), ",GSE1,UBERON:", N()))).write.text(f"{top}/ursa")
+    line = F.when(K() % 5 == 0, text("GSM", K(), ',"', F.col("p_name"), ', x",y,z')).otherwise(text(F.when(K() % 13 == 0, "").otherwise(text("GSM", K())), ',"', F.col("p_name"), ', x",NA'))
+    first = F.monotonically_increasing_id() % (1 << 33) == 0  # of its file
+    own.select(F.when(first, text("a title,,\nSample ID,Manual annotation,Sample info #manual annotation\n", line)).otherwise(line)).write.text(f"{top}/gu")
+    own.select(F.when(K() % 3 == 0, F.col("p_name")).otherwise(text("s", K(), "\t", F.col("p_name"), "\tgene"))).write.text(f"{top}/atlas")
+    maps = {"diseases": ("disease_name", "mondo_id"), "tissues": ("tissue_name", "uberon_id"), "atlas": ("name", "id"), "corrections": ("sample", "term", "name")}
+    for name, columns in maps.items():
+        own.select(*(text(F.col("p_name")).alias(c) for c in columns)).distinct().write.csv(f"{top}/{name}_map", header=True)
+    at = lambda name: f"{top}/{name}"
+    return {"URSA": {"raw": at("ursa")}, "Gu_2023": {"raw": at("gu"), "diseases": at("diseases_map"), "tissues": at("tissues_map")}, "DiSignAtlas": {"raw": at("atlas"), "tissues": at("atlas_map"), "corrections": at("corrections_map")}}
+
+
+@query("ingest_rejects", _INGEST_SQL)
+def ingest_rejects(spark, sf_dir):
+    own = [ingest.ingest(spark, source, paths).rejects for source, paths in _raw_files(spark, sf_dir).items()]
+    return reduce(DataFrame.unionByName, own).select("source", "frame", "reason", "record")
+
+
+@query("ingest_rows", f"WITH {_PARTS_SQL} SELECT 'URSA' AS source, 'GSM' || k AS entry, 'UBERON:' || n AS value FROM r WHERE k % 7 <> 0 AND k % 11 <> 0 UNION ALL SELECT 'Gu_2023', 'GSM' || k, p_name || ', x' FROM r WHERE k % 5 <> 0 AND k % 13 <> 0 UNION ALL SELECT 'DiSignAtlas', 's' || k, p_name FROM r WHERE k % 3 <> 0")
+def ingest_rows(spark, sf_dir):
+    """What the same files give beside their rejects."""
+    paths = _raw_files(spark, sf_dir)
+    own = {"URSA": ("accession", "term_id"), "Gu_2023": ("Sample ID", "Manual annotation"), "DiSignAtlas": ("name", "description")}
+    each = [ingest.ingest(spark, s, paths[s]).frames["raw"].select(F.lit(s).alias("source"), F.col(f"`{e}`").alias("entry"), F.col(f"`{v}`").alias("value")) for s, (e, v) in own.items()]
+    return reduce(DataFrame.unionByName, each)
+
+
 @query("bson_database", f"WITH {driver._claims_sql('tissue', 'sex')}, {driver._ENTRIES_SQL}, d AS (SELECT entry, attribute, source, term_id, first(ecode ORDER BY ecode) AS e, min(ecode) AS low FROM claims GROUP BY ALL), g AS (SELECT entry, attribute, source, arg_min(low, term_id) AS ecode FROM d GROUP BY ALL) SELECT d.entry, attribute, source, term_id, g.ecode, series, platform, organism FROM d JOIN g USING (entry, attribute, source) JOIN entries USING (entry)")
 def bson_database(spark, sf_dir):
     """Claims and entries written as BSON databases and read back."""
@@ -437,7 +516,7 @@ def archive_claims(spark, sf_dir):
     """Claims on runs and projects: runs by way of their experiment, projects left out."""
     keys = table(spark, sf_dir, "supplier").select("s_suppkey", F.explode(F.array(F.lit("SRR"), F.lit("SRP"))).alias("kind"))
     own = keys.select(F.concat("kind", F.col("s_suppkey").cast("string")).alias("entry"), F.lit("sex").alias("attribute"), F.lit("S").alias("source"), F.when(F.col("s_suppkey") % 2 == 0, "M").otherwise("F").alias("term_id"), F.lit(None).cast("string").alias("term_name"), F.lit("expert-curated").alias("ecode"))
-    return integrate.archive_claims(own, driver.sra_to_gsm_all(spark, sf_dir)).select("entry", "term_id")
+    return integrate.archive_claims(own, driver.sra_to_gsm(spark, sf_dir)).select("entry", "term_id")
 
 
 _SAMPLE_SQL = "SELECT 'GSM' || c_custkey AS entry, coalesce(s.series, 'NA') AS series, 'GPL' || c_nationkey AS platform, CASE WHEN c_custkey % 10 <> 0 THEN 'SRX' || c_custkey ELSE 'NA' END AS srx, CASE WHEN c_custkey % 10 <> 0 AND c_custkey % 2 = 0 THEN 'SRS' || c_custkey ELSE 'NA' END AS srs, CASE WHEN c_custkey % 10 <> 0 AND c_custkey % 2 = 0 THEN 'SRP1' ELSE 'NA' END AS srp, lower(c_mktsegment) AS organism FROM customer LEFT JOIN (SELECT o_custkey, string_agg(DISTINCT 'GSE' || (o_orderkey % 100), '|' ORDER BY 'GSE' || (o_orderkey % 100)) AS series FROM orders GROUP BY o_custkey) s ON o_custkey = c_custkey"

@@ -3,8 +3,11 @@
 from __future__ import annotations
 
 import csv
+import glob
 import io
 import json
+import os
+import re
 import warnings
 import zipfile
 from collections.abc import Iterator
@@ -18,6 +21,8 @@ from pyspark.sql import functions as F
 from claimgrid.schema import ATTRIBUTES
 from claimgrid.sources import bson
 
+#: Rows of an archive's file that a task holds at once.
+ROWS = 4096
 #: Accessions that a database keeps of an entry.
 SAMPLE_ACCESSIONS = ("sample", "series", "platform", "srx", "srs", "srp")
 
@@ -110,26 +115,62 @@ def batches(spark: SparkSession, path: str) -> DataFrame:
 def zipped_tables(spark: SparkSession, path: str, sep: str = "\t", nulls: tuple[str, ...] = ("", "NA", "na", "N/A"), encoding: str = "utf-8-sig") -> DataFrame:
     """(file, row): each data row of the delimited files in ZIP archives, as a map from header to value without nulls.
 
-    An archive is read by one task, which holds one of its files at a time.
+    On a mounted file system the driver reads the archives' directories, and each of their files is streamed by a task of its
+    own. In other stores an archive is read by one task, up to 2 GB. No task holds more than ``ROWS`` rows.
     """
 
+    def rows(archive: zipfile.ZipFile, name: str) -> Iterator[pd.DataFrame]:
+        with archive.open(name) as member:
+            lines = csv.DictReader(io.TextIOWrapper(member, encoding, newline=""), delimiter=sep)
+            while some := list(islice(lines, ROWS)):
+                yield pd.DataFrame({"file": [name] * len(some), "row": [{k: v for k, v in r.items() if k and isinstance(v, str) and v not in nulls} for r in some]})
+
     def unzip(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for content in (x for part in parts for x in part["content"]):
             with zipfile.ZipFile(io.BytesIO(content)) as archive:
-                for name in (n for n in archive.namelist() if not n.endswith("/")):
-                    lines = csv.DictReader(io.TextIOWrapper(archive.open(name), encoding, newline=""), delimiter=sep)
-                    rows = [{k: v for k, v in r.items() if k and isinstance(v, str) and v not in nulls} for r in lines]
-                    yield pd.DataFrame({"file": [name] * len(rows), "row": rows})
+                for name in _members(archive):
+                    yield from rows(archive, name)
+
+    def unzip_member(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for at, name in (x for part in parts for x in zip(part["archive"], part["member"], strict=True)):
+            with zipfile.ZipFile(at) as archive:
+                yield from rows(archive, name)
+
+    schema = "file string, row map<string,string>"
+    if (mounted := mounted_path(path)) is None:
+        return spark.read.format("binaryFile").load(path).select("content").mapInPandas(unzip, schema)
+    found = [(at, name) for at in _archives(mounted) for name in _archive_members(at)]
+    one_each = spark.sparkContext.parallelize(found, max(len(found), 1))
+    return spark.createDataFrame(one_each, "archive string, member string").mapInPandas(unzip_member, schema)
+
+
+def _members(archive: zipfile.ZipFile) -> list[str]:
+    return [n for n in archive.namelist() if not n.endswith("/")]
+
 
-    raw = spark.read.format("binaryFile").load(path).select("content")
-    return raw.mapInPandas(unzip, "file string, row map<string,string>")
+def _archive_members(path: str) -> list[str]:
+    with zipfile.ZipFile(path) as archive:
+        return _members(archive)
+
+
+def _archives(path: str) -> list[str]:
+    """The archives of a folder or a glob, or the one named."""
+    found = sorted(glob.glob(os.path.join(path, "*.zip") if os.path.isdir(path) else path))
+    if not found:
+        raise FileNotFoundError(path)
+    return found
+
+
+def mounted_path(path: str) -> str | None:
+    """The path in the mounted file system, without a scheme; None if it is of another store."""
+    scheme = path.partition(":")[0] if ":" in path.partition("/")[0] else "file"
+    return None if scheme != "file" else re.sub("^file:(?://)?(?=/)", "", path)
 
 
 def bson_map(spark: SparkSession, path: str, partition_bytes: int = 64 << 20) -> DataFrame:
     """(key, json): the top-level fields of BSON files, each one document. On a mounted file system a file of any size is read
     by a task for every ``partition_bytes``; in other stores by one task a file, up to 2 GB."""
-    scheme = path.partition(":")[0] if ":" in path.partition("/")[0] else "file"
-    if scheme == "file":
+    if mounted_path(path) is not None:
         bson.register(spark)
         return spark.read.format("bson").option("partitionBytes", partition_bytes).load(path)
 
