@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import re
+from dataclasses import dataclass
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from claimgrid.functions.scalar import ontology_of, split_multi
+from claimgrid.functions.scalar import split_multi
 from claimgrid.schema import AGE_GROUPS, CROWD, EXPERT, LICENCES, ORGANISMS
 
 
@@ -22,25 +25,83 @@ def missing_accessions(entries: DataFrame, *columns: str) -> DataFrame:
     return entries.select("entry", F.explode(lacks).alias("column"))
 
 
-def violations(claims: DataFrame, entries: DataFrame, level: str = "sample") -> DataFrame:
-    """(entry, rule, value) for each broken rule of the database's contract."""
+@dataclass(frozen=True)
+class Rule:
+    """What a value of a column must be.
+
+    table: claims or entries. pattern: a regular expression that must match from the start of a value to its end. attribute:
+    of which claims alone. required: null breaks the rule too. levels: where it holds. many: values are joined by |, each must match.
+    """
+
+    name: str
+    table: str
+    column: str
+    pattern: str
+    attribute: str | None = None
+    required: bool = False
+    levels: tuple[str, ...] = ("sample", "series")
+    many: tuple[str, ...] = ()
+    severity: str = "error"
+
+
+def _one_of(values) -> str:
+    return "|".join(re.escape(v) for v in values)
+
+
+# The contract of an integrated database, on values and on accessions. Entries may have several series, platforms
+# and projects, those of series several organisms.
+_ARCHIVE = "[SED]R"
+VALUES = (
+    Rule("ecode", "claims", "ecode", _one_of((EXPERT, CROWD))),
+    Rule("tissue ontology", "claims", "term", "(?:UBERON|CL)(?::.*)?", "tissue"),
+    Rule("disease ontology", "claims", "term", "MONDO(?::.*)?", "disease"),
+    Rule("sex", "claims", "term", "M|F", "sex"),
+    Rule("age group", "claims", "term", _one_of(g for g, _, _ in AGE_GROUPS), "age"),
+    Rule("organism", "entries", "organism", _one_of(sorted(ORGANISMS)), required=True, many=("series",)),
+)
+ACCESSIONS = (
+    Rule("sample accession", "entries", "entry", "GSM.*", required=True, levels=("sample",)),
+    Rule("series accession", "entries", "series", "GSE.*", required=True, levels=("sample",), many=("sample",)),
+    Rule("series accession", "entries", "entry", "GSE.*", required=True, levels=("series",)),
+    Rule("platform accession", "entries", "platform", "GPL.*", required=True, many=("sample", "series")),
+    Rule("experiment accession", "entries", "srx", f"{_ARCHIVE}X.*", levels=("sample",), many=("sample",)),
+    Rule("archive sample accession", "entries", "srs", f"{_ARCHIVE}S.*", levels=("sample",), many=("sample",)),
+    Rule("project accession", "entries", "srp", f"{_ARCHIVE}P.*", many=("sample", "series")),
+)
+CONTRACT = VALUES + ACCESSIONS
+
+
+def _hits(rule: Rule, level: str, shown: str | None) -> Column:
+    """The values of a rule's column that break it, as an array of (rule, value, severity)."""
+    column = F.col(rule.column)
+    absent = F.array(F.lit(None).cast("string")) if rule.required else F.array().cast("array<string>")
+    values = F.when(column.isNull(), absent).otherwise(split_multi(rule.column) if level in rule.many else F.array(column))
+    wrong = F.filter(values, lambda v: v.isNull() | ~v.rlike(f"(?s)^(?:{rule.pattern})\\z"))
+    return F.transform(wrong, lambda v: F.struct(F.lit(rule.name).alias("rule"), (F.col(shown) if shown else v).alias("value"), F.lit(rule.severity).alias("severity")))
+
+
+def broken(df: DataFrame, table: str, level: str, rules: tuple[Rule, ...] = CONTRACT, shown: str | None = None) -> DataFrame:
+    """(entry, rule, value, severity) for each value that breaks a rule of a table at a level: one scan, whatever the number of
+    rules. Of a claim's rules the first that it breaks counts. Rules on columns that df doesn't have are left out. shown: the
+    column whose value is given, by default the one that breaks the rule."""
+    own = [r for r in rules if r.table == table and level in r.levels and r.column in df.columns]
+    none = F.array().cast("array<struct<rule:string,value:string,severity:string>>")
+    found = [_hits(r, level, shown) for r in own]
+    found = [F.when(F.col("attribute") == r.attribute, hits).otherwise(none) if r.attribute else hits for r, hits in zip(own, found, strict=True)]
+    every = F.flatten(F.array(*found)) if found else none
+    each = df.select("entry", F.explode(F.slice(every, 1, 1) if table == "claims" else every).alias("b"))
+    return each.select("entry", "b.rule", "b.value", "b.severity")
+
+
+def violations(claims: DataFrame, entries: DataFrame, level: str = "sample", rules: tuple[Rule, ...] = VALUES) -> DataFrame:
+    """(entry, rule, value, severity) for each broken rule, by default of those on values; ``CONTRACT`` also has those on
+    accessions. A claim's violation gives its term."""
     each = claims.select("entry", "attribute", "source", "ecode", F.explode(split_multi("term_id")).alias("term"))
-    groups = [g for g, _, _ in AGE_GROUPS]
-    rule = (
-        F.when(~F.col("ecode").isin(EXPERT, CROWD), "ecode")
-        .when((F.col("attribute") == "tissue") & ~ontology_of(F.col("term")).isin("UBERON", "CL"), "tissue ontology")
-        .when((F.col("attribute") == "disease") & (ontology_of(F.col("term")) != "MONDO"), "disease ontology")
-        .when((F.col("attribute") == "sex") & ~F.col("term").isin("M", "F"), "sex")
-        .when((F.col("attribute") == "age") & ~F.col("term").isin(*groups), "age group")
-    )
-    out = each.select("entry", rule.alias("rule"), F.col("term").alias("value")).where("rule is not null")
+    out = broken(each, "claims", level, rules, shown="term")
     if level == "sample":
         many = each.where("attribute in ('sex', 'age')").groupBy("entry", "attribute", "source").agg(F.countDistinct("term").alias("n")).where("n > 1")
-        out = out.unionByName(many.select("entry", F.concat(F.lit("several values of "), "attribute").alias("rule"), F.col("n").cast("string").alias("value")))
-        organisms = entries.where(~F.coalesce(F.col("organism").isin(*ORGANISMS), F.lit(False)))
-    else:
-        organisms = entries.select("entry", F.explode(split_multi("organism")).alias("organism")).where(~F.col("organism").isin(*ORGANISMS))
-    return out.unionByName(organisms.select("entry", F.lit("organism").alias("rule"), F.col("organism").alias("value")))
+        out = out.unionByName(many.select("entry", F.concat(F.lit("several values of "), "attribute").alias("rule"), F.col("n").cast("string").alias("value"), F.lit("error").alias("severity")))
+    return out.unionByName(broken(entries, "entries", level, rules))
 
 
 def totals(claims: DataFrame) -> DataFrame:

@@ -767,6 +767,32 @@ def contract_violations(spark, sf_dir):
     return of("sample").unionByName(of("series"))
 
 
+_ACCESSIONS = {"sample": "GSM", "series": "GSE", "platform": "GPL", "srx": "ERX", "srs": "DRS", "srp": "SRP"}
+
+
+def _accessions_sql() -> str:
+    """The sample's rules, then the series': a key divisible by the column's number has a wrong prefix; the last three may be absent."""
+    made = "SELECT " + ", ".join(f"CASE WHEN o_orderkey % {n} = 0 THEN 'X' ELSE '{p}' END || o_orderkey{' || ' + chr(39) + '|' + p + '9' + chr(39) if c in ('series', 'srp') else ''} AS {c}" if c not in ("srx", "srs") else f"CASE WHEN o_orderkey % 2 = 0 THEN CASE WHEN o_orderkey % {n} = 0 THEN 'X' ELSE '{p}' END || o_orderkey END AS {c}" for n, (c, p) in enumerate(_ACCESSIONS.items(), 5)) + " FROM orders"
+    one = lambda level, entry, c, rule, many: f"SELECT '{level}' AS level, {entry} AS entry, '{rule}' AS rule, v AS value FROM (SELECT sample, series, {'unnest(string_split(' + c + ', ' + chr(39) + '|' + chr(39) + '))' if many else c} AS v FROM own) WHERE NOT regexp_matches(v, '^({_PREFIXES[rule]})')"
+    sample = [one("sample", "sample", c, r, c != "sample") for c, r in _RULES.items()]
+    series = [one("series", "series", c, _RULES[c], c != "series") for c in ("series", "platform", "srp")]
+    return f"WITH own AS ({made}) " + " UNION ALL ".join(sample + series)
+
+
+_RULES = {"sample": "sample accession", "series": "series accession", "platform": "platform accession", "srx": "experiment accession", "srs": "archive sample accession", "srp": "project accession"}
+_PREFIXES = {"sample accession": "GSM", "series accession": "GSE", "platform accession": "GPL", "experiment accession": "SRX|ERX|DRX", "archive sample accession": "SRS|ERS|DRS", "project accession": "SRP|ERP|DRP"}
+
+
+@query("contract_accessions", _accessions_sql())
+def contract_accessions(spark, sf_dir):
+    """The contract's rules on accessions, at both levels, over entries some of which break each."""
+    key = F.col("o_orderkey")
+    made = {c: F.concat(F.when(key % n == 0, "X").otherwise(p), key.cast("string"), F.lit(f"|{p}9" if c in ("series", "srp") else "")) for n, (c, p) in enumerate(_ACCESSIONS.items(), 5)}
+    own = table(spark, sf_dir, "orders").select(*((F.when(key % 2 == 0, x) if c in ("srx", "srs") else x).alias(c) for c, x in made.items()))
+    of = lambda level, df: report.broken(df, "entries", level).select(F.lit(level).alias("level"), "entry", "rule", "value")
+    return of("sample", own.withColumnRenamed("sample", "entry")).unionByName(of("series", own.drop("sample").withColumnRenamed("series", "entry")))
+
+
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Annotations of the targets, wide."""
     return annotate_wide(spark, sf_dir)

@@ -221,6 +221,14 @@ def test_violations(spark):
     assert got == [("a", "disease ontology"), ("b", "age group"), ("b", "ecode"), ("b", "ecode"), ("b", "organism"), ("b", "several values of sex")]
 
 
+def test_accessions_of_the_contract(spark):
+    entries = frame(spark, ["entry", "series", "platform", "srx", "srs", "srp", "organism"], ("GSM1", "GSE1|GSE2", "GPL1", "ERX1", None, "DRP1", "homo sapiens"), ("SRX2", "GSE1|E2", None, "SRS2", "SRX2", "SRP1|X", "homo sapiens"), ("GSM3\n", "GSE", "GPL1\nx", None, None, None, None))
+    got = sorted((r.entry, r.rule, r.value) for r in report.broken(entries, "entries", "sample").collect())
+    assert got == sorted([("GSM3\n", "organism", None), ("SRX2", "archive sample accession", "SRX2"), ("SRX2", "experiment accession", "SRS2"), ("SRX2", "platform accession", None), ("SRX2", "project accession", "X"), ("SRX2", "sample accession", "SRX2"), ("SRX2", "series accession", "E2")])
+    own = report.Rule("even", "entries", "n", "[0-9]*[02468]", severity="warning")
+    assert [tuple(r) for r in report.broken(frame(spark, ["entry", "n"], ("a", "12"), ("b", "13"), ("c", None)), "entries", "sample", (own,)).collect()] == [("b", "even", "13", "warning")]
+
+
 def test_exports(spark, tmp_path):
     cells = frame(spark, ["entry", "term"], ("g1", "MONDO:2"), ("g2", "MONDO:2"))
     entries = frame(spark, ["entry", "series"], ("g1", "s1"), ("g2", "s1"))
