@@ -70,6 +70,7 @@ def parser() -> argparse.ArgumentParser:
     one.add_argument("--start")
     one.add_argument("--end")
     one.add_argument("--skip", default="")
+    one.add_argument("--again", metavar="STAGE", help="this stage and all that follow it run again")
     one = sub.add_parser("combine", help="one step of a build")
     one.add_argument("step", choices=["geo", "sra", "sample", "series"])
     one.add_argument("--config", required=True)
@@ -207,7 +208,10 @@ def main(argv: list[str] | None = None) -> int:
         from claimgrid.plans.build import stages
 
         inputs = config(a.config)
-        print("\n".join(stages(spark, inputs["root"], inputs).run(a.start, a.end, tuple(filter(None, a.skip.split(","))))))
+        plan = stages(spark, inputs["root"], inputs)
+        if a.again:
+            plan.clear(a.again)
+        print("\n".join(plan.run(a.start, a.end, tuple(filter(None, a.skip.split(","))))))
         return 0
     if a.command in ("combine", "ontology"):
         from claimgrid.plans.build import stages

@@ -7,13 +7,15 @@ Under the root lie ``claims/level=<level>/attribute=<attribute>``, ``entries/lev
 
 from __future__ import annotations
 
+from functools import partial
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from claimgrid.functions.scalar import level_of
 from claimgrid.operators import aggregate, integrate, ontology, report, search, search_index
 from claimgrid.operators.filters import excluded, valid_series
-from claimgrid.plans.pipeline import Pipeline, StageTable
+from claimgrid.plans.pipeline import Pipeline, StageTable, fingerprint
 from claimgrid.schema import LEVELS
 from claimgrid.sinks import database_rows, save_bson
 from claimgrid.sources import processors, registry  # noqa: F401  registers the sources
@@ -22,6 +24,17 @@ from claimgrid.storage import written
 
 #: What a build needs; with ``runs`` and ``samples`` it also brings archive ids to samples, and makes entries if there are none.
 NEEDED = ("obo", "systems", "claims", "technologies")
+#: What each stage reads: files and parameters by their names among the inputs, and the stages before it.
+READS = {
+    "relations": (("obo", "technologies", "descriptions"), ("cycles",), ()),
+    "search": (("names",), (), ()),
+    "geo": (("claims",), (), ()),
+    "archive": (("claims", "runs", "samples", "overrides"), (), ()),
+    "sample": (("entries", "samples", "series", "experiments", "channels", "deleted"), ("systems",), ("relations", "geo", "archive")),
+    "series": (("deleted",), (), ("relations", "sample")),
+    "report": ((), (), ("sample", "series")),
+    "bson": ((), (), ("sample", "series")),
+}
 #: Raw catalogue tables from which entries are made.
 CATALOGUE = ("samples", "series", "experiments", "channels")
 
@@ -108,5 +121,9 @@ def stages(spark: SparkSession, root: str, inputs: dict[str, str]) -> Pipeline:
             save(report.badges(aggregate.claims_by_source(claims), level, sorted(set(registry.sources().values()))), at(f"badges/level={level}"))
             save(aggregate.overlap(claims), at(f"overlap/level={level}"))
 
-    done = StageTable(spark, at("stages"))
-    return Pipeline([("relations", relations), ("search", search_tables), ("geo", geo), ("archive", archive), ("sample", sample), ("series", series), ("report", reports), *([("bson", databases)] if inputs.get("bson") else [])], done)
+    def inputs_of(stage: str) -> str:
+        files, parameters, _ = READS[stage]
+        return fingerprint(spark, [inputs[f] for f in files if f in inputs], {p: inputs.get(p) for p in parameters} | {"files": [f for f in files if f in inputs]})
+
+    every = [("relations", relations), ("search", search_tables), ("geo", geo), ("archive", archive), ("sample", sample), ("series", series), ("report", reports), *([("bson", databases)] if inputs.get("bson") else [])]
+    return Pipeline(every, StageTable(spark, at("stages")), {n: partial(inputs_of, n) for n, _ in every}, {n: READS[n][2] for n, _ in every})
