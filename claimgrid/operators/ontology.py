@@ -227,17 +227,32 @@ def leaves(edges: DataFrame) -> DataFrame:
     return nodes(edges).join(edges.select(F.col("parent").alias("term")).distinct(), "term", "left_anti")
 
 
+def _numbered(roots: DataFrame) -> DataFrame:
+    """(term, word, bit): each root's place in the sets of ``depths``, 64 to a word; roots of near ids share words."""
+    rows = roots.repartitionByRange("term").sortWithinPartitions("term").withColumn("n", F.monotonically_increasing_id())
+    return written(rows.select("term", F.shiftright("n", 6).alias("word"), F.expr("shiftleft(1L, cast(n % 64 AS INT))").alias("bit")), "roots")
+
+
 def depths(edges: DataFrame) -> DataFrame:
-    """(term, depth): the greatest, over the roots, of the shortest distance from a root."""
-    shared_root(edges.sparkSession)
-    front = roots(edges).select(F.col("term").alias("root"), "term", F.lit(0).alias("d")).checkpoint()
-    seen, step = front, 0
-    while not front.isEmpty():
+    """(term, depth): the greatest, over the roots, of the shortest distance from a root; terms that no root reaches have no row.
+
+    A row is a term and 64 roots as the bits of a number, so a round sends at most that many rows along each edge, whatever
+    the number of roots: bits that a term hasn't seen are its front of the next round. A term's depth is the last round in
+    which it saw a new root, as each root's first visit is by a shortest way.
+    """
+    own = written(edges.where("parent is not null and child is not null").select("parent", "child").distinct(), "edges")
+    seen = _numbered(roots(own)).select("term", "word", F.col("bit").alias("seen"), F.col("bit").alias("new"), F.lit(0).alias("depth"))
+    step = 0
+    while not seen.where("new <> 0").isEmpty():
         step += 1
-        reached = front.join(edges, F.col("term") == F.col("parent")).select("root", F.col("child").alias("term")).distinct()
-        front = reached.join(seen.select("root", "term"), ["root", "term"], "left_anti").withColumn("d", F.lit(step)).checkpoint()
-        seen = seen.union(front)
-    return seen.groupBy("term").agg(F.max("d").alias("depth"))
+        sent = seen.where("new <> 0").join(own, F.col("term") == F.col("parent"))
+        sent = sent.select(F.col("child").alias("term"), "word", F.lit(0).cast("long").alias("seen"), "new", F.lit(0).alias("depth"))
+        both = seen.select("term", "word", "seen", F.lit(0).cast("long").alias("new"), "depth").union(sent)
+        merged = both.groupBy("term", "word").agg(F.bit_or("seen").alias("had"), F.bit_or("new").alias("got"), F.max("depth").alias("depth"))
+        new = F.col("got").bitwiseAND(F.bitwise_not("had"))
+        after = merged.select("term", "word", F.col("had").bitwiseOR(F.col("got")).alias("seen"), new.alias("new"), F.when(new != 0, F.lit(step)).otherwise(F.col("depth")).alias("depth"))
+        seen = written(after, "depths")
+    return seen.groupBy("term").agg(F.max("depth").alias("depth"))
 
 
 def deepest(edges: DataFrame, of: DataFrame) -> DataFrame:

@@ -56,6 +56,31 @@ def test_depth_is_the_longest_of_the_shortest_ways(spark):
     assert dict(pairs(ontology.depths(edges))) == {"R": 0, "S": 0, "Y": 1, "X": 2}
 
 
+def test_depths_of_many_roots(spark):
+    """10,000 roots over three levels, some of which skip one, against a walk from every root."""
+    rng = random.Random(5)
+    ways = [(f"R{i}", f"A{rng.randrange(60)}") for i in range(10_000)] + [(f"R{i}", f"B{rng.randrange(25)}") for i in range(0, 10_000, 7)]
+    ways += [(f"A{i}", f"B{rng.randrange(25)}") for i in range(60) for _ in range(2)] + [(f"B{i}", f"C{i % 4}") for i in range(25)] + [("R1", "C0"), ("lone", "B1"), ("R2", "A1"), ("R2", "A1")]
+    below = {}
+    for parent, child in ways:
+        below.setdefault(parent, set()).add(child)
+    expected = {}
+    for root in {p for p, _ in ways} - {c for _, c in ways}:
+        front, seen, d = {root}, {root}, 0
+        while front:
+            expected.update({t: max(expected.get(t, 0), d) for t in front})
+            front = {c for t in front for c in below.get(t, ())} - seen
+            seen, d = seen | front, d + 1
+    edges = spark.createDataFrame(ways, "parent string, child string")
+    assert dict(pairs(ontology.depths(edges))) == expected
+
+
+def test_depths_of_odd_graphs(spark):
+    loop = spark.createDataFrame([("A", "B"), ("B", "A"), ("R", "X"), (None, "X"), ("X", None)], "parent string, child string")
+    assert dict(pairs(ontology.depths(loop))) == {"R": 0, "X": 1}
+    assert ontology.depths(loop.limit(0)).count() == 0
+
+
 def test_annotate_and_label(spark, closed):
     cells = spark.createDataFrame([("d", "D"), ("b", "B"), ("a", "A"), ("c", "C")], "entry string, term string")
     assert pairs(curate.annotate(cells, closed, ["B"])) == [("b", "B"), ("d", "B")]
