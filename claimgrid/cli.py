@@ -14,7 +14,7 @@ import shutil
 import sys
 from datetime import date
 
-from claimgrid import schema, sinks
+from claimgrid import packages, schema, sinks
 from claimgrid.plans.pipeline import Checkpoints, environment, merged_config, next_folder, read_config
 from claimgrid.plans.retrieval import Database, Request, export, parse_filters, parse_terms, retrieve
 
@@ -44,7 +44,7 @@ def parser() -> argparse.ArgumentParser:
     r.add_argument("--output", required=True)
     r.add_argument("--registry", help="CSV of source, license and whatever is to be cited: citation, doi, url, rights, notes")
     sub.add_parser("supported", help="values that requests take")
-    v = sub.add_parser("validate", help="files of a package that have changed")
+    v = sub.add_parser("validate", help="files of a package that are missing or have changed")
     v.add_argument("folder")
     sub.add_parser("sources", help="sources that can be processed")
     t = sub.add_parser("status", help="stages of a build that are done")
@@ -128,8 +128,6 @@ def _local(a: argparse.Namespace) -> int | None:
             return 1
         shutil.rmtree(data)
         os.remove(a.config)
-    elif a.command == "package":
-        print(sinks.package(a.folder, a.overwrite, a.sources))
     elif a.command == "init-config":
         sinks.save_json(dict.fromkeys(INPUTS, ""), a.path)
     elif a.command == "validate-config":
@@ -172,10 +170,6 @@ def main(argv: list[str] | None = None) -> int:
             print(f"{name.lower()}: {', '.join(getattr(schema, name))}")
         print(f"species: {', '.join(schema.SPECIES)}\necodes: {', '.join(schema.ECODES)}\nages: {', '.join(g for g, _, _ in schema.AGE_GROUPS)}")
         return 0
-    if a.command == "validate":
-        bad = sinks.changed(a.folder)
-        print("\n".join(bad) or "all files are as packaged")
-        return 1 if bad else 0
     if a.command == "sources":
         from claimgrid.sources import processors, registry  # noqa: F401  registers the sources
 
@@ -192,6 +186,17 @@ def main(argv: list[str] | None = None) -> int:
     from pyspark.sql import SparkSession
 
     spark = SparkSession.builder.appName("claimgrid").getOrCreate()
+    if a.command == "package":
+        print(packages.package(spark, a.folder, a.overwrite, a.sources))
+        return 0
+    if a.command == "validate":
+        bad = 0
+        for r in packages.changed(spark, a.folder).orderBy("name").toLocalIterator():
+            print(f"{r['name']}  {r['state']}")
+            bad = 1
+        if not bad:
+            print("all files are as packaged")
+        return bad
     if a.command == "search":
         from claimgrid.operators import search_index
         from claimgrid.operators.search import search

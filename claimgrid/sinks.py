@@ -1,11 +1,9 @@
-"""Exports: wide Parquet/CSV/TSV, nested JSON, citations, manifests. The only place where frames become wide."""
+"""Exports: wide Parquet/CSV/TSV, nested JSON, citations. The only place where frames become wide."""
 
 from __future__ import annotations
 
-import hashlib
 import json
 import os
-import shutil
 import textwrap
 from collections.abc import Iterable
 
@@ -206,35 +204,6 @@ def citation(counts: DataFrame, registry: dict[str, dict[str, str]], **query: st
     return "\n".join([*head, "", credit if parts else "No source contributed.", "", "\n\n".join(parts)]).rstrip() + "\n"
 
 
-def md5(path: str) -> str:
-    h = hashlib.md5()
-    with open(path, "rb") as f:
-        while chunk := f.read(1 << 20):
-            h.update(chunk)
-    return h.hexdigest()
-
-
-def manifest(folder: str) -> list[str]:
-    """Lines ``md5  relative path`` of all files in a local folder, sorted by path."""
-    found = []
-    for top, _, names in os.walk(folder):
-        found += [os.path.join(top, n) for n in names if n != "MANIFEST.md5"]
-    return [f"{md5(p)}  {os.path.relpath(p, folder)}" for p in sorted(found)]
-
-
-def package(folder: str, overwrite: bool = False, sources: Iterable[str] = ()) -> str:
-    """Copies files and folders into a local folder and writes its manifest; refuses to replace one unless told to."""
-    path = os.path.join(folder, "MANIFEST.md5")
-    if os.path.exists(path) and not overwrite:
-        raise FileExistsError(path)
-    for s in sources:
-        at = os.path.join(folder, os.path.basename(s.rstrip("/")))
-        shutil.copytree(s, at, dirs_exist_ok=True) if os.path.isdir(s) else shutil.copy2(s, at)
-    with open(path, "w") as f:
-        f.write("\n".join(manifest(folder)) + "\n")
-    return path
-
-
 def save_badges(badges: DataFrame, folder: str) -> list[str]:
     """A small JSON file for each source and level (source, level, message), as badge services read them; their names."""
     os.makedirs(folder, exist_ok=True)
@@ -245,18 +214,6 @@ def save_badges(badges: DataFrame, folder: str) -> list[str]:
     return names
 
 
-def changed(folder: str) -> list[str]:
-    """Files of a package that are missing or differ from its manifest."""
-    out = []
-    with open(os.path.join(folder, "MANIFEST.md5")) as f:
-        for line in f.read().splitlines():
-            digest, _, name = line.partition("  ")
-            p = os.path.join(folder, name)
-            if not os.path.exists(p) or md5(p) != digest:
-                out.append(name)
-    return out
-
-
 def save_json(obj: object, path: str) -> None:
     with open(path, "w") as f:
         json.dump(obj, f, indent=2, sort_keys=True)

@@ -5,7 +5,7 @@ import json
 
 import pytest
 
-from claimgrid import cli, sinks
+from claimgrid import cli, packages, sinks
 from claimgrid.functions import scalar as S
 from claimgrid.operators import aggregate, filters, integrate, ontology, report
 from claimgrid.plans import build, pipeline
@@ -245,12 +245,12 @@ def test_exports(spark, tmp_path):
         sinks.write(cells, "x", "xls")
 
 
-def test_package_and_pipeline(tmp_path, capsys):
+def test_package_and_pipeline(spark, tmp_path, capsys):
     (tmp_path / "p").mkdir()
     (tmp_path / "p" / "a.txt").write_text("a")
-    sinks.package(str(tmp_path / "p"))
+    packages.package(spark, str(tmp_path / "p"))
     with pytest.raises(FileExistsError):
-        sinks.package(str(tmp_path / "p"))
+        packages.package(spark, str(tmp_path / "p"))
     assert cli.main(["validate", str(tmp_path / "p")]) == 0
     (tmp_path / "p" / "a.txt").write_text("b")
     assert cli.main(["validate", str(tmp_path / "p")]) == 1
