@@ -232,9 +232,9 @@ def pmi(spark, sf_dir):
     return aggregate.cooccurrence(shared).select("a", "b", "n", *(F.round(c, 6).alias(c) for c in ("pmi", "ppmi", "npmi")))
 
 
-@query("attribute_sets", "WITH own AS (SELECT DISTINCT user_id, event_type FROM events WHERE value > 30), sets AS (SELECT user_id, string_agg(event_type, '|' ORDER BY event_type) AS attributes FROM own GROUP BY user_id) SELECT attributes, count(*) AS n FROM sets GROUP BY attributes")
+@query("attribute_sets", "WITH own AS (SELECT DISTINCT user_id, event_type FROM events), sets AS (SELECT user_id, string_agg(event_type, '|' ORDER BY event_type) AS attributes FROM own GROUP BY user_id) SELECT attributes, count(*) AS n FROM sets GROUP BY attributes")
 def attribute_sets(spark, sf_dir):
-    own = table(spark, sf_dir, "events").where("value > 30").select(F.col("user_id").alias("entry"), F.col("event_type").alias("attribute"))
+    own = table(spark, sf_dir, "events").select(F.col("user_id").alias("entry"), F.col("event_type").alias("attribute"))
     return aggregate.attribute_sets(own)
 
 
@@ -278,13 +278,13 @@ def attribute_totals(spark, sf_dir):
 # ---- reshape ----
 
 
-@query("onehot_pivot", "SELECT user_id AS entry, " + ", ".join(f"max(CASE WHEN event_type = '{e}' AND value > 30 THEN 1 ELSE 0 END)::INT AS {e}" for e in EVENTS) + " FROM events WHERE value > 30 GROUP BY user_id")
+@query("onehot_pivot", "SELECT user_id AS entry, " + ", ".join(f"max(CASE WHEN event_type = '{e}' THEN 1 ELSE 0 END)::INT AS {e}" for e in EVENTS) + " FROM events GROUP BY user_id")
 def onehot_pivot(spark, sf_dir):
-    own = table(spark, sf_dir, "events").where("value > 30").select(F.col("user_id").alias("entry"), F.col("event_type").alias("term")).distinct()
+    own = table(spark, sf_dir, "events").select(F.col("user_id").alias("entry"), F.col("event_type").alias("term")).distinct()
     return reshape.one_hot(own, EVENTS)
 
 
-@query("unpivot_cells", "SELECT DISTINCT user_id AS entry, event_type AS term, 1 AS value FROM events WHERE value > 30")
+@query("unpivot_cells", "SELECT DISTINCT user_id AS entry, event_type AS term, 1 AS value FROM events")
 def unpivot_cells(spark, sf_dir):
     return reshape.unpivoted(onehot_pivot(spark, sf_dir), "entry")
 
@@ -374,6 +374,28 @@ def depths(spark, sf_dir):
     return ontology.depths(edges(spark, sf_dir))
 
 
+_SUPPLY_EDGES_SQL = """own AS (SELECT o_custkey, o_orderkey, l_partkey, l_suppkey FROM orders JOIN lineitem ON l_orderkey = o_orderkey),
+ edges AS (SELECT DISTINCT 'C:' || o_custkey AS parent, 'O:' || o_orderkey AS child FROM own UNION SELECT 'O:' || o_orderkey, 'P:' || l_partkey FROM own
+ UNION SELECT 'P:' || l_partkey, 'S:' || l_suppkey FROM own UNION SELECT 'S:' || s_suppkey, 'N:' || s_nationkey FROM supplier
+ UNION SELECT 'C:' || c_custkey, 'N:' || c_nationkey FROM customer UNION SELECT 'N:' || n_nationkey, 'R:' || n_regionkey FROM nation)"""
+
+
+def supply_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(parent, child): customers, their orders, parts, suppliers, nations and regions; customers also stand above their own
+    nation, so a nation's distance differs from customer to customer."""
+    own = table(spark, sf_dir, "orders").join(table(spark, sf_dir, "lineitem"), F.col("o_orderkey") == F.col("l_orderkey"))
+    named = lambda df, a, x, b, y: df.select(F.concat(F.lit(a), x).alias("parent"), F.concat(F.lit(b), y).alias("child"))
+    rows = named(own, "C:", "o_custkey", "O:", "o_orderkey").union(named(own, "O:", "o_orderkey", "P:", "l_partkey"))
+    rows = rows.union(named(own, "P:", "l_partkey", "S:", "l_suppkey")).union(named(table(spark, sf_dir, "supplier"), "S:", "s_suppkey", "N:", "s_nationkey"))
+    rows = rows.union(named(table(spark, sf_dir, "customer"), "C:", "c_custkey", "N:", "c_nationkey"))
+    return rows.union(named(table(spark, sf_dir, "nation"), "N:", "n_nationkey", "R:", "n_regionkey")).distinct()
+
+
+@query("depths_many_roots", f"WITH RECURSIVE {_DEPTH_SQL.replace(_EDGES_SQL, _SUPPLY_EDGES_SQL)} SELECT term, depth FROM depths")
+def depths_many_roots(spark, sf_dir):
+    return ontology.depths(supply_edges(spark, sf_dir))
+
+
 @query("deepest_node", f"WITH RECURSIVE {_DEPTH_SQL} SELECT term, depth FROM depths WHERE term IN ('P:77', 'P:140', 'P:1533', 'P:9') ORDER BY depth DESC, term LIMIT 1")
 def deepest_node(spark, sf_dir):
     own = ontology.deepest(edges(spark, sf_dir), named(spark, "term", ["P:77", "P:140", "P:1533", "P:9"]))

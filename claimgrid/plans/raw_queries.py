@@ -13,7 +13,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from claimgrid import sinks
+from claimgrid import packages, sinks
 from claimgrid.functions import scalar as S
 from claimgrid.operators import aggregate, curate, filters, integrate, metadata, ontology, reshape, search
 from claimgrid.plans import build, driver
@@ -290,33 +290,51 @@ def read_id_list(spark, sf_dir):
     return readers.id_list(spark, path)
 
 
-@query("read_json_map", "SELECT r_name AS key, n_name AS term FROM region JOIN nation ON n_regionkey = r_regionkey")
+def _one_file_each(rows: DataFrame, path: str) -> None:
+    """Each row of text as a file of its own."""
+    rows.write.option("maxRecordsPerFile", 1).text(path)
+
+
+@query("read_json_map", "SELECT o_custkey::VARCHAR AS key, o_orderkey::VARCHAR AS term FROM orders")
 def read_json_map(spark, sf_dir):
-    """One JSON object of lists, as one file."""
+    """JSON objects of lists, a file for every 200 customers."""
     path = shared_path(spark, "map")
-    lists = table(spark, sf_dir, "nation").join(table(spark, sf_dir, "region"), F.col("n_regionkey") == F.col("r_regionkey")).groupBy("r_name").agg(F.collect_list("n_name").alias("v"))
-    lists.agg(F.to_json(F.map_from_entries(F.collect_list(F.struct("r_name", "v"))))).coalesce(1).write.text(path)
+    lists = table(spark, sf_dir, "orders").groupBy("o_custkey").agg(F.collect_list(text(F.col("o_orderkey"))).alias("v"))
+    of = F.map_from_entries(F.collect_list(F.struct(text(F.col("o_custkey")), "v")))
+    _one_file_each(lists.groupBy(F.floor(F.col("o_custkey") / 200)).agg(F.to_json(of).alias("value")).select("value"), path)
     return readers.json_map(spark, path, "array<string>").select("key", F.explode("value").alias("term"))
 
 
-@query("read_json_array", "SELECT s_suppkey, s_name FROM supplier")
+@query("read_json_array", "SELECT c_custkey, c_name FROM customer")
 def read_json_array(spark, sf_dir):
-    """One JSON array of objects, as one file."""
+    """JSON arrays of objects, a file for every 200 customers."""
     path = shared_path(spark, "array")
-    table(spark, sf_dir, "supplier").agg(F.to_json(F.collect_list(F.struct("s_suppkey", "s_name")))).coalesce(1).write.text(path)
-    return readers.json_array(spark, path, "s_suppkey long, s_name string")
+    arrays = table(spark, sf_dir, "customer").groupBy(F.floor(F.col("c_custkey") / 200)).agg(F.to_json(F.collect_list(F.struct("c_custkey", "c_name"))).alias("value"))
+    _one_file_each(arrays.select("value"), path)
+    return readers.json_array(spark, path, "c_custkey long, c_name string")
 
 
-@query("read_batches", "SELECT 'GSE' || s_suppkey AS accession, s_name AS value FROM supplier")
+@query("read_batches", "SELECT 'GSE' || c_custkey AS accession, c_name AS value FROM customer")
 def read_batches(spark, sf_dir):
-    """A JSON map of batches, each a list of studies, as one file."""
+    """JSON maps of batches, each a list of studies, a file for every 300 customers."""
     path = shared_path(spark, "batches")
-    one = F.struct(text("GSE", F.col("s_suppkey")).alias("accession"), F.array(F.struct(F.lit("c").alias("category"), F.lit("u").alias("valueUri"), F.col("s_name").alias("value"))).alias("characteristics"))
-    lists = table(spark, sf_dir, "supplier").groupBy((F.col("s_suppkey") % 3).cast("string").alias("b")).agg(F.collect_list(one).alias("v"))
-    lists.agg(F.to_json(F.map_from_entries(F.collect_list(F.struct("b", "v"))))).coalesce(1).write.text(path)
+    one = F.struct(text("GSE", F.col("c_custkey")).alias("accession"), F.array(F.struct(F.lit("c").alias("category"), F.lit("u").alias("valueUri"), F.col("c_name").alias("value"))).alias("characteristics"))
+    lists = table(spark, sf_dir, "customer").groupBy(F.floor(F.col("c_custkey") / 300).alias("n"), (F.col("c_custkey") % 3).cast("string").alias("b")).agg(F.collect_list(one).alias("v"))
+    _one_file_each(lists.groupBy("n").agg(F.to_json(F.map_from_entries(F.collect_list(F.struct("b", "v")))).alias("value")).select("value"), path)
     return readers.batches(spark, path).select("accession", F.explode("characteristics").alias("c")).select("accession", "c.value")
 
 
+@query("package_states", "SELECT DISTINCT 'bucket=' || o_orderkey % 20 AS folder, unnest(CASE WHEN o_orderkey % 20 = 3 THEN ['missing', 'new'] ELSE ['same'] END) AS state FROM orders")
+def package_states(spark, sf_dir):
+    """The orders as a package of text files, one folder of which is written again after it was packed."""
+    path = shared_path(spark, "package")
+    own = table(spark, sf_dir, "orders").select((F.col("o_orderkey") % 20).alias("bucket"), text(F.col("o_orderkey"), "|", F.col("o_custkey")).alias("line"))
+    own.write.partitionBy("bucket").text(path)
+    packages.package(spark, path)
+    own.where("bucket = 3").select("line").write.mode("overwrite").text(f"{path}/bucket=3")
+    return packages.states(spark, path).select(F.substring_index("name", "/", 1).alias("folder"), "state").distinct()
+
+
 @query("read_zip", "SELECT 'nation' || c_nationkey || '.txt' AS file, 'GSM' || c_custkey AS sample, CASE WHEN c_mktsegment <> 'BUILDING' THEN c_mktsegment END AS segment FROM customer")
 def read_zip(spark, sf_dir):
     """Archives with a file for each nation, written by the tasks that have its rows."""
@@ -428,14 +446,14 @@ def staged_series(spark, sf_dir):
 
 
 def curation(spark: SparkSession, sf_dir: str) -> curate.Curation:
-    """Users of large events as entries, with the kinds of these events as terms."""
-    own = table(spark, sf_dir, "events").where("value > 30")
+    """Users as entries, with the kinds of their events as terms."""
+    own = table(spark, sf_dir, "events")
     cells = own.select(text("U:", F.col("user_id")).alias("entry"), F.col("event_type").alias("term")).distinct()
     users = own.groupBy("user_id").agg(F.count("*").alias("n"))
     return curate.Curation(cells, users.select(text("U:", F.col("user_id")).alias("entry"), text("G:", F.col("user_id") % 10).alias("series"), text("P:", F.col("n") % 3).alias("platform")))
 
 
-_CURATION_SQL = "own AS (SELECT * FROM events WHERE value > 30), cells AS (SELECT DISTINCT 'U:' || user_id AS entry, event_type AS term FROM own), ids AS (SELECT 'U:' || user_id AS entry, 'G:' || (user_id % 10) AS series, 'P:' || (count(*) % 3) AS platform FROM own GROUP BY user_id)"
+_CURATION_SQL = "own AS (SELECT * FROM events), cells AS (SELECT DISTINCT 'U:' || user_id AS entry, event_type AS term FROM own), ids AS (SELECT 'U:' || user_id AS entry, 'G:' || (user_id % 10) AS series, 'P:' || (count(*) % 3) AS platform FROM own GROUP BY user_id)"
 
 
 @query("curation_filter", f"WITH {_CURATION_SQL} SELECT entry, term FROM cells JOIN ids USING (entry) WHERE series < 'G:4'")
