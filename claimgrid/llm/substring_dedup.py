@@ -232,7 +232,8 @@ def _compare_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         yield repeated(pa.Table.from_batches(held))
 
 
-def _kept_rows(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[pa.RecordBatch]:
+def _kept_rows(batches: Iterator[pa.RecordBatch], window: int, text: bool) -> Iterator[pa.RecordBatch]:
+    """What stays of each text: the text itself, or its sha256 alone."""
     for b in batches:
         removed, kept = [], []
         for raw, places in zip(b.column(2).to_pylist(), b.column(3).to_pylist(), strict=True):
@@ -243,7 +244,8 @@ def _kept_rows(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[pa.Re
             depth[at + window] -= 1
             out = np.cumsum(depth)[:-1] > 0
             removed.append(int(out.sum()))
-            kept.append(b" ".join([w for w, gone in zip(words, out.tolist(), strict=True) if not gone]).decode())
+            left = b" ".join([w for w, gone in zip(words, out.tolist(), strict=True) if not gone])
+            kept.append(left.decode() if text else hashlib.sha256(left).hexdigest())
         yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(removed, pa.int64()), pa.array(kept, pa.string())], names=["doc_id", "mark", "n_removed", "kept"])
 
 
@@ -268,11 +270,12 @@ def _survivors(found: DataFrame, most: int) -> tuple[DataFrame, DataFrame]:
     return written(alive, "substring-alive"), twice
 
 
-def cleaned(docs: DataFrame, window: int = WINDOW, most: int = HOT, shortest: int = SHORTEST, report: list[tuple[int, int, int]] | None = None) -> tuple[DataFrame, DataFrame]:
+def cleaned(docs: DataFrame, window: int = WINDOW, most: int = HOT, shortest: int = SHORTEST, report: list[tuple[int, int, int]] | None = None, text: bool = True) -> tuple[DataFrame, DataFrame]:
     """What every document is, and the documents that lose words.
 
     The first: doc_id, mark, n_words, sha256 of all words, one row for each row of docs. The second: doc_id, mark,
-    n_removed, kept (the kept words, joined by a space), one row for each (doc_id, mark) with a repeated window.
+    n_removed, kept (the kept words, joined by a space; without ``text`` their sha256, so that no text leaves its task), one row
+    for each (doc_id, mark) with a repeated window.
     Halves with over ``most`` occurrences are dealt as hot, which is of no effect on the result. report takes, for each
     level below whole windows, its length, the different windows that survive it and how often they occur.
     """
@@ -296,14 +299,14 @@ def cleaned(docs: DataFrame, window: int = WINDOW, most: int = HOT, shortest: in
     dealt = whole.withColumn("half", deal).repartition("half").sortWithinPartitions("half")
     gone = dealt.mapInArrow(_compare_rows, f"{known}, place array<int>")
     gone = gone.groupBy("doc_id", "mark").agg(F.collect_set("place").alias("places"))
-    lost = some.join(gone, ["doc_id", "mark"]).mapInArrow(lambda x: _kept_rows(x, window), f"{known}, n_removed long, kept string")
+    lost = some.join(gone, ["doc_id", "mark"]).mapInArrow(lambda x: _kept_rows(x, window, text), f"{known}, n_removed long, kept string")
     return summary, lost.dropDuplicates(["doc_id", "mark"])
 
 
 def digests(docs: DataFrame, window: int = WINDOW, most: int = HOT, shortest: int = SHORTEST) -> DataFrame:
     """doc_id, n_words, n_removed, kept_sha256 of every row of docs."""
-    whole, lost = cleaned(docs, window, most, shortest)
-    lost = lost.select("doc_id", "mark", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+    whole, lost = cleaned(docs, window, most, shortest, text=False)
+    lost = lost.withColumnRenamed("kept", "kept_sha256")
     out = whole.join(lost, ["doc_id", "mark"], "left")
     return out.select("doc_id", "n_words", F.coalesce("n_removed", F.lit(0).cast("long")).alias("n_removed"), F.coalesce("kept_sha256", "sha256").alias("kept_sha256"))
 
