@@ -168,9 +168,11 @@ def _gmt(spark: SparkSession, path: str, lay: Layout) -> tuple[DataFrame, DataFr
 
 
 def _zip(spark: SparkSession, path: str, lay: Layout) -> tuple[DataFrame, DataFrame]:
-    rows = readers.zipped_tables(spark, path, lay.sep, lay.nulls).withColumn("_file", F.concat(F.lit(path + "!"), "file"))
-    reason = F.when(F.try_element_at("row", F.lit(lay.key)).isNull(), f"no {lay.key}")
-    return rows.where(reason.isNull()).drop("_file"), _rejects(rows, reason, F.to_json("row"))
+    """Rows with too many fields are rejected with them; those with too few lack the last ones."""
+    rows = readers.zipped_rows(spark, path, lay.sep, lay.nulls).withColumn("_file", F.concat(F.lit(path + "!"), "file"))
+    reason = F.when(F.col("surplus").isNotNull(), "number of fields").when(F.try_element_at("row", F.lit(lay.key)).isNull(), f"no {lay.key}")
+    record = F.when(F.col("surplus").isNull(), F.to_json("row")).otherwise(F.to_json(F.struct("row", "surplus")))
+    return rows.where(reason.isNull()).select("file", "row"), _rejects(rows, reason, record)
 
 
 _KINDS = {"delimited": _rows, "array": _array, "map": _entries, "batches": _batches, "gmt": _gmt, "zip": _zip}

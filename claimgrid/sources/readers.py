@@ -113,7 +113,13 @@ def batches(spark: SparkSession, path: str) -> DataFrame:
 
 
 def zipped_tables(spark: SparkSession, path: str, sep: str = "\t", nulls: tuple[str, ...] = ("", "NA", "na", "N/A"), encoding: str = "utf-8-sig") -> DataFrame:
-    """(file, row): each data row of the delimited files in ZIP archives, as a map from header to value without nulls.
+    """(file, row): each data row of the delimited files in ZIP archives, as a map from header to value without nulls. Fields
+    beyond the header are left out."""
+    return zipped_rows(spark, path, sep, nulls, encoding).select("file", "row")
+
+
+def zipped_rows(spark: SparkSession, path: str, sep: str = "\t", nulls: tuple[str, ...] = ("", "NA", "na", "N/A"), encoding: str = "utf-8-sig") -> DataFrame:
+    """The same with ``surplus``: a row's fields beyond the header, null if there are none.
 
     On a mounted file system the driver reads the archives' directories, and each of their files is streamed by a task of its
     own. In other stores an archive is read by one task, up to 2 GB. No task holds more than ``ROWS`` rows.
@@ -123,7 +129,7 @@ def zipped_tables(spark: SparkSession, path: str, sep: str = "\t", nulls: tuple[
         with archive.open(name) as member:
             lines = csv.DictReader(io.TextIOWrapper(member, encoding, newline=""), delimiter=sep)
             while some := list(islice(lines, ROWS)):
-                yield pd.DataFrame({"file": [name] * len(some), "row": [{k: v for k, v in r.items() if k and isinstance(v, str) and v not in nulls} for r in some]})
+                yield pd.DataFrame({"file": [name] * len(some), "row": [{k: v for k, v in r.items() if k and isinstance(v, str) and v not in nulls} for r in some], "surplus": [r.get(None) for r in some]})
 
     def unzip(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for content in (x for part in parts for x in part["content"]):
@@ -136,7 +142,7 @@ def zipped_tables(spark: SparkSession, path: str, sep: str = "\t", nulls: tuple[
             with zipfile.ZipFile(at) as archive:
                 yield from rows(archive, name)
 
-    schema = "file string, row map<string,string>"
+    schema = "file string, row map<string,string>, surplus array<string>"
     if (mounted := mounted_path(path)) is None:
         return spark.read.format("binaryFile").load(path).select("content").mapInPandas(unzip, schema)
     found = [(at, name) for at in _archives(mounted) for name in _archive_members(at)]

@@ -128,3 +128,19 @@ def test_an_archive_is_read_by_a_task_for_each_file(spark, tmp_path):
     assert readers.zipped_tables(spark, f"file://{tmp_path}").count() == 44 * 43 // 2
     with pytest.raises(FileNotFoundError):
         readers.zipped_tables(spark, str(tmp_path / "none.zip"))
+
+
+def test_archived_rows_with_too_many_fields_are_rejected_whole(spark, tmp_path):
+    with zipfile.ZipFile(tmp_path / "odd.zip", "w") as z:
+        z.writestr("a.txt", "SampleID\tAge\nGSM1\t3\nGSM2\t4\tmore\tNA\nGSM3\n\t5\t6\n")
+        z.writestr("b.txt", "SampleID\tAge\nGSM4\t7\n")
+        z.writestr("none.txt", "SampleID\tAge\n")
+    layout = ingest.layouts("Golightly_2018")["raw"]
+    rows, rejects = ingest.read(spark, str(tmp_path / "odd.zip"), layout)
+    assert rows.columns == ["file", "row"]
+    assert sorted((r.file, sorted(r.row.items())) for r in rows.collect()) == [("a.txt", [("Age", "3"), ("SampleID", "GSM1")]), ("a.txt", [("SampleID", "GSM3")]), ("b.txt", [("Age", "7"), ("SampleID", "GSM4")])]
+    bad = sorted((r.file.rsplit("/")[-1], r.reason, json.dumps(json.loads(r.record), sort_keys=True)) for r in rejects.collect())
+    assert bad == [
+        ("odd.zip!a.txt", "number of fields", '{"row": {"Age": "4", "SampleID": "GSM2"}, "surplus": ["more", "NA"]}'),
+        ("odd.zip!a.txt", "number of fields", '{"row": {"Age": "5"}, "surplus": ["6"]}'),
+    ]
