@@ -30,6 +30,11 @@ def _child(spark: SparkSession, folder, name: str):
     return spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder, name)
 
 
+def _plain(path: str) -> str:
+    """A path in which Spark finds no pattern."""
+    return re.sub(r"([*?\[\]{}\\])", r"\\\1", path)
+
+
 def packed(spark: SparkSession, folder: str) -> bool:
     store, at = _place(spark, folder)
     return store.exists(_child(spark, at, MANIFEST))
@@ -39,7 +44,7 @@ def _files(spark: SparkSession, folder: str) -> tuple[str, DataFrame, DataFrame]
     """The folder's whole path, its files as Spark lists them, and the (path, name) of those that hold nothing, which a scan
     leaves out. Names that begin with a dot or an underscore are hidden, as are folders with such names."""
     root = _place(spark, folder)[1].toString().rstrip("/")
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root)
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(_plain(root))
     every = [(re.sub("^file:/+", "file:/", unquote(u)),) for u in files.inputFiles()]  # as many as the index has listed
     name = F.expr(f"substring(path, {len(root) + 2})")
     empty = spark.createDataFrame(every, "path string").join(files.select("path"), "path", "left_anti").withColumn("name", name)
@@ -72,7 +77,7 @@ def digests(spark: SparkSession, folder: str, stream: bool = True) -> DataFrame:
 
 def listed(spark: SparkSession, folder: str) -> DataFrame:
     """(name, md5) of a folder's manifest."""
-    lines = spark.read.text(_child(spark, _place(spark, folder)[1], MANIFEST).toString())
+    lines = spark.read.text(_plain(_child(spark, _place(spark, folder)[1], MANIFEST).toString()))
     return lines.where("value <> ''").select(F.expr("substring(value, 35)").alias("name"), F.expr("left(value, 32)").alias("md5"))
 
 

@@ -9,8 +9,8 @@ from claimgrid import packages
 
 @pytest.fixture
 def folder(tmp_path):
-    top = tmp_path / "pack é"
-    for name, content in {"a.txt": b"a", "empty": b"", "deep/er/b c.bin": bytes(range(256)) * 20_000, "deep/é.txt": "é".encode(), "key=1/x": b"x", "_SUCCESS": b"", ".hidden": b"h"}.items():
+    top = tmp_path / "pack é [1]{2}*?"
+    for name, content in {"a.txt": b"a", "empty": b"", "deep/er/b c.bin": bytes(range(256)) * 20_000, "deep/é.txt": "é".encode(), "key=1/x": b"x", "deep/100%20+.txt": b"%", "_SUCCESS": b"", ".hidden": b"h"}.items():
         (top / name).parent.mkdir(parents=True, exist_ok=True)
         (top / name).write_bytes(content)
     return top
@@ -29,7 +29,7 @@ def test_manifest_is_that_of_files_read_one_by_one(spark, folder, scheme):
     assert not packages.packed(spark, uri)
     packages.package(spark, uri)
     assert packages.packed(spark, uri)
-    assert (folder / packages.MANIFEST).read_text().splitlines() == plain(folder) and len(plain(folder)) == 5
+    assert (folder / packages.MANIFEST).read_text().splitlines() == plain(folder) and len(plain(folder)) == 6
     assert packages.changed(spark, uri).count() == 0
     assert sorted(packages.digests(spark, uri, stream=False).collect()) == sorted(packages.digests(spark, uri).collect())
     with pytest.raises(FileExistsError):
@@ -44,7 +44,7 @@ def test_states(spark, folder):
     (folder / "new").write_text("n")
     for stream in (True, False):
         found = {r["name"]: r["state"] for r in packages.states(spark, str(folder), stream).collect()}
-        assert found == {"a.txt": "changed", "empty": "missing", "new": "new", "deep/er/b c.bin": "same", "deep/é.txt": "same", "key=1/x": "same"}
+        assert found == {"a.txt": "changed", "empty": "missing", "new": "new", "deep/er/b c.bin": "same", "deep/é.txt": "same", "key=1/x": "same", "deep/100%20+.txt": "same"}
     assert {r["name"] for r in packages.changed(spark, str(folder)).collect()} == {"a.txt", "empty"}
     packages.package(spark, str(folder), overwrite=True)
     assert packages.changed(spark, str(folder)).count() == 0 and (folder / packages.MANIFEST).read_text().splitlines() == plain(folder)
