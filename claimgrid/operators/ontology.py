@@ -233,28 +233,82 @@ def _numbered(roots: DataFrame) -> DataFrame:
     return written(rows.select("term", F.shiftright("n", 6).alias("word"), F.expr("shiftleft(1L, cast(n % 64 AS INT))").alias("bit")), "roots")
 
 
-def depths(edges: DataFrame) -> DataFrame:
-    """(term, depth): the greatest, over the roots, of the shortest distance from a root; terms that no root reaches have no row.
+def _rounds(edges: DataFrame, numbered: DataFrame):
+    """Yields (step, seen) for each round of a walk from all numbered terms at once, until no term sees a new one.
 
-    A row is a term and 64 roots as the bits of a number, so a round sends at most that many rows along each edge, whatever
-    the number of roots: bits that a term hasn't seen are its front of the next round. A term's depth is the last round in
-    which it saw a new root, as each root's first visit is by a shortest way.
+    seen: (term, word, seen, new, depth), the numbered terms as 64 bits of a word; depth is the last step at which the term
+    saw a new one of the word. A round sends only new bits, so at most a row for each edge and word.
     """
-    own = written(edges.where("parent is not null and child is not null").select("parent", "child").distinct(), "edges")
-    seen = _numbered(roots(own)).select("term", "word", F.col("bit").alias("seen"), F.col("bit").alias("new"), F.lit(0).alias("depth"))
+    seen = numbered.select("term", "word", F.col("bit").alias("seen"), F.col("bit").alias("new"), F.lit(0).alias("depth"))
     step = 0
-    while not seen.where("new <> 0").isEmpty():
+    while not (front := written(seen.where("new <> 0").select("term", "word", "new"), "front")).isEmpty():
         step += 1
-        sent = seen.where("new <> 0").join(own, F.col("term") == F.col("parent"))
+        sent = front.join(edges, F.col("term") == F.col("parent"))
         sent = sent.select(F.col("child").alias("term"), "word", F.lit(0).cast("long").alias("seen"), "new", F.lit(0).alias("depth"))
         both = seen.select("term", "word", "seen", F.lit(0).cast("long").alias("new"), "depth").union(sent)
         merged = both.groupBy("term", "word").agg(F.bit_or("seen").alias("had"), F.bit_or("new").alias("got"), F.max("depth").alias("depth"))
         new = F.col("got").bitwiseAND(F.bitwise_not("had"))
         after = merged.select("term", "word", F.col("had").bitwiseOR(F.col("got")).alias("seen"), new.alias("new"), F.when(new != 0, F.lit(step)).otherwise(F.col("depth")).alias("depth"))
         seen = written(after, "depths")
+        yield step, seen
+
+
+def _levels(edges: DataFrame, roots: DataFrame) -> DataFrame:
+    """(term, level, several): the shortest distance from any root, and whether a root's walk of another length arrives too.
+
+    A term is sent on twice at most: when it is first reached, and when it is found to have several lengths.
+    """
+    state = roots.select("term", F.lit(0).alias("level"), F.lit(False).alias("several"), F.lit(1).alias("news"))
+    step = 0
+    while not (front := written(state.where("news > 0").select("term", "news"), "front")).isEmpty():
+        step += 1
+        sent = front.join(edges, F.col("term") == F.col("parent")).select(F.col("child").alias("term"), F.lit(None).cast("int").alias("level"), F.lit(False).alias("several"), F.lit(True).alias("got"))
+        both = state.select("term", "level", "several", F.lit(False).alias("got")).union(sent)
+        merged = both.groupBy("term").agg(F.max("level").alias("level"), F.max("several").alias("had"), F.max("got").alias("got"))
+        first = F.col("level").isNull()
+        turned = ~first & F.col("got") & ~F.col("had")
+        state = written(merged.select("term", F.coalesce("level", F.lit(step)).alias("level"), (F.col("had") | turned).alias("several"), F.when(first, 1).when(turned, 2).otherwise(0).alias("news")), "levels")
+    return state.select("term", "level", "several")
+
+
+def depths(edges: DataFrame) -> DataFrame:
+    """(term, depth): the greatest, over the roots, of the shortest distance from a root; terms that no root reaches have no row.
+
+    Roots are the bits of numbers, 64 to a row of a term. With more roots than that, the terms that walks of one length only
+    reach are settled first, as every root is at that distance. For the others, if there are fewer of them than roots, they
+    are the bits, and the walk goes up from them: their depth is the last step at which a root sees them for the first time.
+    Otherwise the walk goes down from the roots, where it is the last step at which they see a new root.
+    """
+    own = written(edges.where("parent is not null and child is not null").select("parent", "child").distinct(), "edges")
+    top = written(roots(own), "tops")
+    n = top.count()
+    if n > 64:
+        levels = _levels(own, top)
+        left = written(levels.where("several").select("term"), "several")
+        if left.count() < n:
+            return levels.where("not several").select("term", F.col("level").alias("depth")).union(_depths_upwards(own, top, left))
+    numbered = _numbered(top)
+    seen = numbered.select("term", F.lit(0).alias("depth"))
+    for _, seen in _rounds(own, numbered):  # noqa: B007  the last one counts
+        pass
     return seen.groupBy("term").agg(F.max("depth").alias("depth"))
 
 
+def _depths_upwards(edges: DataFrame, roots: DataFrame, terms: DataFrame) -> DataFrame:
+    """depths of some terms that aren't roots, by a walk from them to the roots."""
+    numbered = _numbered(terms)
+    up = edges.select(F.col("child").alias("parent"), F.col("parent").alias("child"))
+    hits = None
+    for step, seen in _rounds(up, numbered):
+        met = seen.where("new <> 0").join(roots, "term", "left_semi").groupBy("word").agg(F.bit_or("new").alias("bits"))
+        met = written(met.withColumn("step", F.lit(step)), "met")
+        hits = met if hits is None else hits.union(met)
+    if hits is None:
+        return terms.select("term", F.lit(0).alias("depth"))
+    found = numbered.join(hits, "word").where(F.col("bits").bitwiseAND(F.col("bit")) != 0)
+    return found.groupBy("term").agg(F.max("step").alias("depth"))
+
+
 def deepest(edges: DataFrame, of: DataFrame) -> DataFrame:
     """The deepest of some terms; of equal depth the least id."""
     return depths(edges).join(of.select("term").distinct(), "term", "left_semi").orderBy(F.desc("depth"), "term").limit(1)

@@ -75,6 +75,35 @@ def test_depths_of_many_roots(spark):
     assert dict(pairs(ontology.depths(edges))) == expected
 
 
+def test_depths_keep_no_row_for_each_root_of_a_term(spark, monkeypatch):
+    """Where nearly every term lies at one distance from all its roots, no frame outgrows the graph; cycles end too."""
+    rng = random.Random(3)
+    ways = [(f"R{i}", f"A{rng.randrange(300)}") for i in range(900)] + [(f"A{i}", f"B{rng.randrange(40)}") for i in range(300) for _ in range(6)]
+    ways += [(f"B{i}", f"C{i % 3}") for i in range(40)] + [(f"R{i}", f"C{i % 3}") for i in range(0, 900, 2)] + [("C0", "D"), ("D", "C0"), ("R5", "D")]
+    below = {}
+    for parent, child in ways:
+        below.setdefault(parent, set()).add(child)
+    expected = {}
+    for root in {p for p, _ in ways} - {c for _, c in ways}:
+        front, seen, d = {root}, {root}, 0
+        while front:
+            expected.update({t: max(expected.get(t, 0), d) for t in front})
+            front = {c for t in front for c in below.get(t, ())} - seen
+            seen, d = seen | front, d + 1
+    sizes, plain = [], ontology.written
+
+    def counted(df, name):
+        out = plain(df, name)
+        if name != "edges":
+            sizes.append(out.count())
+        return out
+
+    monkeypatch.setattr(ontology, "written", counted)
+    edges = spark.createDataFrame(ways, "parent string, child string")
+    assert dict(pairs(ontology.depths(edges))) == expected
+    assert max(sizes) <= len({t for way in ways for t in way})
+
+
 def test_depths_of_odd_graphs(spark):
     loop = spark.createDataFrame([("A", "B"), ("B", "A"), ("R", "X"), (None, "X"), ("X", None)], "parent string, child string")
     assert dict(pairs(ontology.depths(loop))) == {"R": 0, "X": 1}
