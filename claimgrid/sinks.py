@@ -7,7 +7,7 @@ import os
 import textwrap
 from collections.abc import Iterable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from claimgrid.operators.curate import dense
@@ -15,6 +15,7 @@ from claimgrid.operators.reshape import one_hot
 from claimgrid.schema import ATTRIBUTES, CONTROL, NA, NEGATIVE, POSITIVE, SAMPLE_METADATA, SERIES_METADATA
 from claimgrid.sources import bson
 from claimgrid.sources.readers import SAMPLE_ACCESSIONS
+from claimgrid.storage import written
 
 FORMATS = ("parquet", "csv", "tsv", "json")
 
@@ -49,18 +50,27 @@ def gathered(labels: DataFrame, entries: DataFrame, terms: list[str], metadata:
     places = labels.sparkSession.createDataFrame([(t, i) for i, t in enumerate(terms)], "term string, place int")
     own = labels.select("entry", "term", value).join(F.broadcast(places), "term")  # as many rows as the table has columns
     pairs = own.groupBy("entry").agg(F.array_sort(F.collect_set(F.struct("place", "value"))).alias("p"))
-    last = F.filter("p", lambda x, i: (i == F.size("p") - 1) | (F.get("p", i + 1)["place"] != x["place"]))
-    return entries.select(*_ids(entries, metadata)).join(pairs.select("entry", last.alias("given")), "entry", "left")
+    return entries.select(*_ids(entries, metadata)).join(pairs.select("entry", _once("p").alias("given")), "entry", "left")
+
+
+def _row(n: Column, absent: int) -> Column:
+    """An array of n values from ``given``, (place, value) by place; gaps are filled."""
+    fill = lambda k: F.array_repeat(F.lit(absent).cast("byte"), k)
+    before = lambda i: F.when(i == 0, F.lit(-1)).otherwise(F.get("given", i - 1)["place"])
+    parts = F.transform("given", lambda x, i: F.concat(fill(x["place"] - before(i) - 1), F.array(x["value"])))
+    tail = fill(n - 1 - F.element_at("given", -1)["place"])
+    return F.coalesce(F.when(F.size("given") > 0, F.concat(F.flatten(parts), tail)), fill(n))
+
+
+def _once(pairs: str) -> Column:
+    """Of sorted (place, value) pairs the last of each place."""
+    return F.filter(pairs, lambda x, i: (i == F.size(pairs) - 1) | (F.get(pairs, i + 1)["place"] != x["place"]))
 
 
 def cut(rows: DataFrame, terms: list[str], absent: int) -> DataFrame:
     """A column for each term from gathered rows: the labels are laid out once as an array of all places, gaps filled, and each
     column takes its place of it."""
-    fill = lambda n: F.array_repeat(F.lit(absent).cast("byte"), n)
-    before = lambda i: F.when(i == 0, F.lit(-1)).otherwise(F.get("given", i - 1)["place"])
-    parts = F.transform("given", lambda x, i: F.concat(fill(x["place"] - before(i) - 1), F.array(x["value"])))
-    tail = fill(F.lit(len(terms) - 1) - F.element_at("given", -1)["place"])
-    row = F.coalesce(F.when(F.size("given") > 0, F.concat(F.flatten(parts), tail)), fill(F.lit(len(terms))))
+    row = _row(F.lit(len(terms)), absent)
     names = [c for c in rows.columns if c != "given"]
     quoted = lambda c: f"`{c.replace('`', '``')}`"  # noqa: E731  text, as thousands of columns are slow to build one by one
     return rows.select(*names, row.alias("_row")).selectExpr(*map(quoted, names), *(f"CAST(get(_row, {i}) AS INT) AS {quoted(t)}" for i, t in enumerate(terms)))
@@ -154,6 +164,34 @@ def save_wide(cells: DataFrame, entries: DataFrame, terms: list[str], metadata:
     write(cut(rows.drop(*extra), terms, absent), path, fmt)
 
 
+BLOCK = 256
+
+
+def placed(terms: DataFrame) -> DataFrame:
+    """(term, place): the distinct terms' places, from 0, in their order; a range sort and a count for each partition."""
+    ordered = terms.where("term is not null").select("term").distinct().repartitionByRange("term").sortWithinPartitions("term")
+    rows = written(ordered.withColumn("n", F.monotonically_increasing_id()), "ordered")
+    part, within = F.shiftright("n", 33), F.col("n").bitwiseAND((1 << 33) - 1)
+    counts = rows.groupBy(part.alias("part")).agg(F.count("*").alias("own"))  # a row for each partition
+    before = counts.select("part", (F.sum("own").over(Window.orderBy("part")) - F.col("own")).alias("before"))
+    return rows.withColumn("part", part).join(F.broadcast(before), "part").select("term", (F.col("before") + within).alias("place"))
+
+
+def blocks(labels: DataFrame, entries: DataFrame, places: DataFrame, absent: int, width: int = BLOCK) -> DataFrame:
+    """(entry, block, first, values): the wide table cut into blocks of ``width`` columns, whose values are spelled out in the
+    order of ``places`` from the column ``first`` on; all of an entry's values in other blocks are ``absent``. An entry
+    without labels has one row without a block. Of several values of a term the greatest counts.
+
+    For ontologies that grow with the entries: rows and their size follow the labels, not entries times terms.
+    """
+    n = places.agg(F.count("*").alias("n"))
+    own = labels.join(places, "term").select("entry", F.floor(F.col("place") / width).alias("block"), (F.col("place") % width).cast("int").alias("place"), F.col("value").cast("byte").alias("value"))
+    given = own.groupBy("entry", "block").agg(F.array_sort(F.collect_set(F.struct("place", "value"))).alias("p")).select("entry", "block", _once("p").alias("given"))
+    columns = F.least(F.lit(width), F.col("n") - F.col("block") * width).cast("int")
+    rows = given.crossJoin(F.broadcast(n)).select("entry", "block", (F.col("block") * width).alias("first"), _row(columns, absent).alias("values"))
+    return entries.select("entry").distinct().join(rows, "entry", "left")
+
+
 def database_rows(claims: DataFrame, entries: DataFrame, attributes: Iterable[str] = ATTRIBUTES) -> DataFrame:
     """(key, json) of an annotation database: for each entry its accessions and organism, and for each attribute a map
     source -> id, value, ecode, where several terms are joined by pipes."""

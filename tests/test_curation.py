@@ -239,3 +239,18 @@ def test_wide_table_of_many_terms(spark, tmp_path):
     assert rows == {e: tuple(own.get(i, -1) for i in range(len(terms))) for e, own in want.items()}
     sinks.save_wide(labels.where("value <> 0"), entries, terms[:9], ["series"], f"{tmp_path}/a")
     assert sorted((r.entry, r.series, r[terms[0]], r[terms[7]]) for r in spark.read.parquet(f"{tmp_path}/a").collect()) == [("e1", "b", 1, 0), ("e2", "a", 0, 2)]
+
+
+def test_wide_table_in_blocks(spark):
+    """Blocks spell out what the table of named columns says; those that an entry has no label in are left out."""
+    from claimgrid import sinks
+
+    terms = [f"T:{i:04}" for i in range(1_003)]
+    places = sinks.placed(spark.createDataFrame([(t,) for t in [*reversed(terms), terms[3], None]], "term string").repartition(7))
+    assert pairs(places) == [(t, i) for i, t in enumerate(terms)]
+    labels = spark.createDataFrame([("e1", terms[0], 0), ("e1", terms[0], 1), ("e1", terms[1_002], 0), ("e2", terms[256], 2), ("e2", "other", 1)], "entry string, term string, value int")
+    entries = spark.createDataFrame([("e1",), ("e2",), ("e3",)], "entry string")
+    rows = {(r.entry, r.block): (r.first, r["values"]) for r in sinks.blocks(labels, entries, places, -1).collect()}
+    assert sorted(rows, key=str) == [("e1", 0), ("e1", 3), ("e2", 1), ("e3", None)] and rows["e3", None] == (None, None)
+    assert rows["e1", 0] == (0, [1] + [-1] * 255) and rows["e2", 1] == (256, [2] + [-1] * 255)
+    assert rows["e1", 3] == (768, [-1] * 234 + [0])
