@@ -214,6 +214,19 @@ def test_most_specific(spark):
     assert sorted((r.entry, r.term_id) for r in inside.collect()) == [("e", "C"), ("f", "MONDO:0000000")]
 
 
+def test_most_specific_holds_no_set_of_ancestors(spark):
+    closed = frame(spark, ["ancestor", "descendant"], ("A", "A"), ("A", "B"), ("B", "B"))
+    claims = frame(spark, ["entry", "attribute", "source", "term_id"], ("e", "tissue", "1", "A"), ("e", "tissue", "1", "B"))
+    plan = ontology.most_specific(claims, closed)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Aggregate [") == 1  # the distinct terms of entries
+
+
+def test_most_specific_has_a_control_below_a_system_once(spark):
+    closed = frame(spark, ["ancestor", "descendant"], ("A", "A"), ("A", "MONDO:0000000"), ("MONDO:0000000", "MONDO:0000000"))
+    claims = frame(spark, ["entry", "attribute", "source", "term_id"], ("f", "disease", "1", "MONDO:0000000"), ("f", "disease", "1", "other"))
+    assert [r.term_id for r in ontology.most_specific(claims, closed, frame(spark, ["term"], ("A",))).collect()] == ["MONDO:0000000"]
+
+
 def test_violations(spark):
     claims = frame(spark, ["entry", "attribute", "source", "term_id", "ecode"], ("a", "tissue", "s", "UBERON:1|CL:1", "expert-curated"), ("a", "disease", "s", "DOID:1", "expert-curated"), ("b", "sex", "s", "M|F", "guess"), ("b", "age", "s", "old", "expert-curated"))
     entries = frame(spark, ["entry", "organism"], ("a", "homo sapiens"), ("b", "martian"))
