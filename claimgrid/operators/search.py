@@ -42,10 +42,18 @@ def fields(terms: DataFrame, synonyms: DataFrame) -> DataFrame:
     return terms.select("term_id", F.col("name").alias("text"), F.lit(NAME_WEIGHT).alias("weight")).union(own.select("term_id", "synonym", weight))
 
 
+def term_frequencies(fields: DataFrame) -> DataFrame:
+    """(term_id, token, tf): weighted counts. Texts are dealt by term before they are split into tokens, in as many tasks as
+    a shuffle has, since a small file of texts is one task's and has many tokens."""
+    spark = fields.sparkSession
+    dealt = fields.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "term_id")
+    each = dealt.select("term_id", "weight", F.explode(tokens(F.col("text"))).alias("token"))
+    return each.groupBy("term_id", "token").agg(F.sum("weight").alias("tf"))
+
+
 def postings(fields: DataFrame) -> DataFrame:
     """(term_id, token, tf, dl): weighted counts, and the weighted length of the whole document."""
-    each = fields.select("term_id", "weight", F.explode(tokens(F.col("text"))).alias("token"))
-    tf = each.groupBy("term_id", "token").agg(F.sum("weight").alias("tf"))
+    tf = term_frequencies(fields)
     return tf.join(tf.groupBy("term_id").agg(F.sum("tf").alias("dl")), "term_id")
 
 

@@ -82,3 +82,12 @@ def test_fields(tables):
     assert {"UBERON:1", "MONDO:1", "MONDO:3"} <= {r.term_id for r in rows} and all(r.score > 0 for r in rows)
     both = search.search_fields(terms, synonyms, "heart attack", 10, conjunctive=True).collect()
     assert [r.term_id for r in both] == ["MONDO:1"] and both[0].synonyms == "heart attack | MI"
+
+
+def test_token_counts_are_dealt_before_texts_are_split(spark):
+    """A single partition of texts is counted by as many tasks as a shuffle has, without another shuffle."""
+    texts = spark.createDataFrame([(f"t{i}", "a b a", 2) for i in range(40)], "term_id string, text string, weight int").coalesce(1)
+    own = search.term_frequencies(texts)
+    plan = own._jdf.queryExecution().executedPlan().toString()
+    assert {(r.token, r.tf) for r in own.collect()} == {("a", 4), ("b", 2)} and own.count() == 80
+    assert own.rdd.getNumPartitions() == int(spark.conf.get("spark.sql.shuffle.partitions")) and plan.count("Exchange ") == 1
