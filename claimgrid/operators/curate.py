@@ -32,10 +32,10 @@ def label(cells: DataFrame, closure: DataFrame, targets: list[str] | DataFrame)
 
     -1 is implied for all other pairs of an entry and a target; ``dense`` spells it out.
     """
-    up = annotate(cells, closure, targets).withColumn("value", F.lit(POSITIVE))
-    down = _targets(closure.where("ancestor <> descendant"), targets, "descendant")
-    weak = cells.join(down, cells["term"] == down["ancestor"]).select("entry", F.col("descendant").alias("term"), F.lit(UNKNOWN).alias("value"))
-    return up.union(weak).groupBy("entry", "term").agg(F.max("value").alias("value"))
+    up = _targets(closure, targets, "ancestor").select(F.col("descendant").alias("term"), F.col("ancestor").alias("target"), F.lit(POSITIVE).alias("value"))
+    down = _targets(closure.where("ancestor <> descendant"), targets, "descendant").select(F.col("ancestor").alias("term"), F.col("descendant").alias("target"), F.lit(UNKNOWN).alias("value"))
+    every = cells.select("entry", "term").join(up.union(down), "term")
+    return every.groupBy("entry", F.col("target").alias("term")).agg(F.max("value").alias("value"))
 
 
 def dense(labels: DataFrame, entries: DataFrame, targets: list[str] | DataFrame) -> DataFrame:

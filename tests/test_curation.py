@@ -254,3 +254,11 @@ def test_wide_table_in_blocks(spark):
     assert sorted(rows, key=str) == [("e1", 0), ("e1", 3), ("e2", 1), ("e3", None)] and rows["e3", None] == (None, None)
     assert rows["e1", 0] == (0, [1] + [-1] * 255) and rows["e2", 1] == (256, [2] + [-1] * 255)
     assert rows["e1", 3] == (768, [-1] * 234 + [0])
+
+
+def test_labels_are_made_by_one_join_and_one_sum(spark, closed):
+    cells = spark.createDataFrame([("e", "B"), ("e", "D"), ("e", "D"), ("f", "A")], "entry string, term string")
+    own = curate.label(cells, closed, ["A", "B", "D"])
+    assert pairs(own) == [("e", "A", 1), ("e", "B", 1), ("e", "D", 1), ("f", "A", 1), ("f", "B", 0), ("f", "D", 0)]
+    plan = own._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Join ") == 1 and plan.count("Aggregate [") == 1
