@@ -109,7 +109,9 @@ def sample_database(claims: DataFrame, entries: DataFrame, closure: DataFrame |
 
 
 def nested(claims: DataFrame) -> DataFrame:
-    """One row for each entry with a map source -> (id, ecode) for each attribute."""
+    """One row for each entry with a map source -> (id, ecode) for each attribute. Claims are dealt by entry once, for both
+    groupings, as they are: sets of terms in the making are larger than the rows."""
+    claims = claims.select("entry", "attribute", "source", "term_id", "ecode").repartition("entry")
     by = claims.groupBy("entry", "attribute", "source").agg(F.array_join(F.array_sort(F.collect_set("term_id")), "|").alias("id"), F.min(F.struct("term_id", "ecode"))["ecode"].alias("ecode"))
     maps = [F.map_from_entries(F.array_sort(F.collect_list(F.when(F.col("attribute") == a, F.struct("source", F.struct("id", "ecode")))))).alias(a) for a in ("tissue", "disease", "sex", "age")]
     return by.groupBy("entry").agg(*maps)
