@@ -11,9 +11,9 @@ from claimgrid.schema import CONTROL_ID, DELIMITER
 
 def grouped(claims: DataFrame, *by: str) -> DataFrame:
     """One row for each entry and attribute (and ``by``): its distinct term ids sorted and joined, and the evidence code
-    of the first term."""
+    of the first term. Claims are dealt as they are: sets of terms in the making are larger than the rows."""
     keys = ["entry", "attribute", *by]
-    return claims.groupBy(*keys).agg(
+    return claims.select(*keys, "term_id", "ecode").repartition(*keys).groupBy(*keys).agg(
         F.array_join(F.array_sort(F.collect_set("term_id")), DELIMITER).alias("id"),
         F.min(F.struct("term_id", "ecode"))["ecode"].alias("ecode"),
     )

@@ -262,3 +262,14 @@ def test_labels_are_made_by_one_join_and_one_sum(spark, closed):
     assert pairs(own) == [("e", "A", 1), ("e", "B", 1), ("e", "D", 1), ("f", "A", 1), ("f", "B", 0), ("f", "D", 0)]
     plan = own._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("Join ") == 1 and plan.count("Aggregate [") == 1
+
+
+def test_claims_are_grouped_by_one_shuffle(spark):
+    from claimgrid.operators import aggregate, integrate
+
+    claims = spark.createDataFrame([("e", "tissue", "s", t, "x") for t in "bab"] + [("e", "sex", "s", "M", "y")], "entry string, attribute string, source string, term_id string, ecode string")
+    nested, grouped = integrate.nested(claims), aggregate.grouped(claims, "source")
+    for own in (nested, grouped):
+        plan = own._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("Exchange ") == 1 and "REPARTITION" in plan
+    assert nested.first().tissue["s"]["id"] == "a|b" and pairs(grouped) == [("e", "sex", "s", "M", "y"), ("e", "tissue", "s", "a|b", "x")]
