@@ -84,24 +84,39 @@ def broken(df: DataFrame, table: str, level: str, rules: tuple[Rule, ...] = CONT
     """(entry, rule, value, severity) for each value that breaks a rule of a table at a level: one scan, whatever the number of
     rules. Of a claim's rules the first that it breaks counts. Rules on columns that df doesn't have are left out. shown: the
     column whose value is given, by default the one that breaks the rule."""
+    each = df.select("entry", F.explode(_breaks(df, table, level, rules, shown)).alias("b"))
+    return each.select("entry", "b.rule", "b.value", "b.severity")
+
+
+def _breaks(df: DataFrame, table: str, level: str, rules: tuple[Rule, ...], shown: str | None) -> Column:
     own = [r for r in rules if r.table == table and level in r.levels and r.column in df.columns]
     none = F.array().cast("array<struct<rule:string,value:string,severity:string>>")
     found = [_hits(r, level, shown) for r in own]
     found = [F.when(F.col("attribute") == r.attribute, hits).otherwise(none) if r.attribute else hits for r, hits in zip(own, found, strict=True)]
     every = F.flatten(F.array(*found)) if found else none
-    each = df.select("entry", F.explode(F.slice(every, 1, 1) if table == "claims" else every).alias("b"))
-    return each.select("entry", "b.rule", "b.value", "b.severity")
+    return F.slice(every, 1, 1) if table == "claims" else every
 
 
 def violations(claims: DataFrame, entries: DataFrame, level: str = "sample", rules: tuple[Rule, ...] = VALUES) -> DataFrame:
     """(entry, rule, value, severity) for each broken rule, by default of those on values; ``CONTRACT`` also has those on
     accessions. A claim's violation gives its term."""
+    return level_violations(claims, entries, (level,), rules).drop("level")
+
+
+def level_violations(claims: DataFrame, entries: DataFrame, levels: tuple[str, ...] = ("sample", "series"), rules: tuple[Rule, ...] = VALUES) -> DataFrame:
+    """(level, entry, rule, value, severity): violations at several levels, by one scan of the claims, and another for several
+    values of an attribute, and one of the entries."""
+
+    def at(df: DataFrame, table: str, shown: str | None) -> DataFrame:
+        marked = [F.transform(_breaks(df, table, x, rules, shown), lambda b: F.struct(F.lit(x).alias("level"), b["rule"].alias("rule"), b["value"].alias("value"), b["severity"].alias("severity"))) for x in levels]  # noqa: B023
+        return df.select("entry", F.explode(F.concat(*marked)).alias("b")).select("b.level", "entry", "b.rule", "b.value", "b.severity")
+
     each = claims.select("entry", "attribute", "source", "ecode", F.explode(split_multi("term_id")).alias("term"))
-    out = broken(each, "claims", level, rules, shown="term")
-    if level == "sample":
+    out = at(each, "claims", "term")
+    if "sample" in levels:
         many = each.where("attribute in ('sex', 'age')").groupBy("entry", "attribute", "source").agg(F.countDistinct("term").alias("n")).where("n > 1")
-        out = out.unionByName(many.select("entry", F.concat(F.lit("several values of "), "attribute").alias("rule"), F.col("n").cast("string").alias("value"), F.lit("error").alias("severity")))
-    return out.unionByName(broken(entries, "entries", level, rules))
+        out = out.unionByName(many.select(F.lit("sample").alias("level"), "entry", F.concat(F.lit("several values of "), "attribute").alias("rule"), F.col("n").cast("string").alias("value"), F.lit("error").alias("severity")))
+    return out.unionByName(at(entries, "entries", None))
 
 
 def totals(claims: DataFrame) -> DataFrame:

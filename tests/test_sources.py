@@ -232,6 +232,11 @@ def test_violations(spark):
     entries = frame(spark, ["entry", "organism"], ("a", "homo sapiens"), ("b", "martian"))
     got = sorted((r.entry, r.rule) for r in report.violations(claims, entries).collect())
     assert got == [("a", "disease ontology"), ("b", "age group"), ("b", "ecode"), ("b", "ecode"), ("b", "organism"), ("b", "several values of sex")]
+    both = report.level_violations(claims, entries)
+    for level in ("sample", "series"):
+        own = report.violations(claims, entries, level=level)
+        assert sorted(map(tuple, both.where(f"level = '{level}'").drop("level").collect())) == sorted(map(tuple, own.collect()))
+    assert both._jdf.queryExecution().analyzed().toString().count("LogicalRDD") == 3  # the claims twice, the entries once
 
 
 def test_accessions_of_the_contract(spark):
