@@ -63,27 +63,37 @@ def _mix(a: np.ndarray, b: np.ndarray, k: int) -> np.ndarray:
     return (x >> np.uint64(32)).astype(np.uint32)
 
 
-def numbered(every: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The distinct hashes in order, and the number of each hash among them: by one sort of (hash, place) in a word each."""
-    keys = every.astype(np.uint64) << np.uint64(32) | np.arange(len(every), dtype=np.uint64)
+def numbered(every: np.ndarray, step: int = 1 << 20) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct hashes in order, and the number of each hash among them: by one sort of (hash, place) in a word each. The
+    numbers are written over the hashes, and all else goes in stretches, so 12 bytes for each hash are the most that is held."""
+    keys, flat, names, n = np.empty(len(every), np.uint64), every.view(np.int32), [], 0
+    for i in range(0, len(every), step):
+        some = every[i : i + step].astype(np.uint64)
+        keys[i : i + step] = some << np.uint64(32) | np.arange(i, i + len(some), dtype=np.uint64)
     keys.sort()
-    sorted_ = (keys >> np.uint64(32)).astype(np.uint32)
-    new = np.ones(len(every), bool)
-    new[1:] = sorted_[1:] != sorted_[:-1]
-    flat = np.empty(len(every), np.int32)
-    flat[keys & np.uint64(0xFFFFFFFF)] = np.cumsum(new, dtype=np.int32) - 1
-    return sorted_[new], flat
+    last = None
+    for i in range(0, len(keys), step):
+        hashes = (keys[i : i + step] >> np.uint64(32)).astype(np.uint32)
+        new = np.r_[hashes[0] != last if i else True, hashes[1:] != hashes[:-1]]
+        flat[keys[i : i + step] & np.uint64(0xFFFFFFFF)] = n - 1 + np.cumsum(new, dtype=np.int32)
+        names.append(hashes[new])
+        n, last = n + len(names[-1]), hashes[-1]
+    return np.concatenate([*names, np.empty(0, np.uint32)]), flat
 
 
 def train(rows: list[np.ndarray], labels: np.ndarray, seed: int = 0, passes: int = PASSES) -> tuple[np.ndarray, np.ndarray, float]:
     """FTRL-proximal over rows of distinct features; (hashes, weights, intercept) of the weights that aren't 0."""
-    sizes = np.array([len(r) for r in rows])
-    names, flat = numbered(np.concatenate([*rows, np.empty(0, np.uint32)]))
-    cuts = np.r_[0, np.cumsum(sizes)]
+    ends = np.cumsum([len(r) for r in rows], dtype=np.int64)
+    return train_flat(np.concatenate([*rows, np.empty(0, np.uint32)]), ends - [len(r) for r in rows], ends, labels, seed, passes)
+
+
+def train_flat(every: np.ndarray, starts: np.ndarray, ends: np.ndarray, labels: np.ndarray, seed: int = 0, passes: int = PASSES, step: int = 1 << 20) -> tuple[np.ndarray, np.ndarray, float]:
+    """The same for rows that are stretches of one array of hashes, which is written over."""
+    names, flat = numbered(every)
     z, n = np.zeros(len(names) + 1), np.zeros(len(names) + 1)  # the last is the intercept, without L1
     last = len(names)
 
-    def weights(at: np.ndarray) -> np.ndarray:
+    def weights(at: np.ndarray | slice) -> np.ndarray:
         zi = z[at]
         w = -(zi - np.sign(zi) * L1) / ((BETA + np.sqrt(n[at])) / ALPHA + L2)
         w[np.abs(zi) <= L1] = 0.0
@@ -94,8 +104,8 @@ def train(rows: list[np.ndarray], labels: np.ndarray, seed: int = 0, passes: int
 
     order = np.random.default_rng(seed)
     for _ in range(passes):
-        for i in order.permutation(len(rows)):
-            at = flat[cuts[i] : cuts[i + 1]].astype(np.intp)
+        for i in order.permutation(len(starts)):
+            at = flat[starts[i] : ends[i]].astype(np.intp)
             w, w0 = weights(at), intercept()
             g = 1 / (1 + np.exp(-np.clip(w.sum() + w0, -30, 30))) - labels[i]
             before = np.sqrt(n[at])
@@ -104,8 +114,9 @@ def train(rows: list[np.ndarray], labels: np.ndarray, seed: int = 0, passes: int
             before = np.sqrt(n[last])
             n[last] += g * g
             z[last] += g - (np.sqrt(n[last]) - before) / ALPHA * w0
-    w = weights(np.arange(last))
-    return names[w != 0], w[w != 0], float(intercept())
+    kept = [(names[i : i + step][w != 0], w[w != 0]) for i in range(0, last, step) for w in [weights(slice(i, min(i + step, last)))]]
+    hashes, own = zip(*kept, strict=True) if kept else ((), ())
+    return np.concatenate([*hashes, np.empty(0, np.uint32)]), np.concatenate([*own, np.empty(0)]), float(intercept())
 
 
 class Model:
@@ -151,11 +162,6 @@ def fit(docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN, max_feat
             found = [np.unique(make(t)).view(np.int32) for t in b.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(2), pa.array(found, pa.list_(pa.int32()))], names=["doc_id", "toxic", "f"])
 
-    def train_all(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.drop_duplicates("doc_id").sort_values("doc_id")  # a document counts once
-        hashes, weights, intercept = train([np.asarray(f, np.int32).view(np.uint32) for f in pdf["f"]], pdf["toxic"].to_numpy(float))
-        return pd.DataFrame({"hash": np.r_[hashes.astype(np.int64), -1], "weight": np.r_[weights, intercept]})
-
     rows = rows.select("doc_id", "text", F.col("toxic").cast("int").alias("toxic"))
     made = written(rows.mapInArrow(features, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, toxic int, f array<int>"), "toxicity-features")
     sizes = made.groupBy("doc_id").agg(F.max("toxic").alias("toxic"), F.sum(F.size("f")).alias("n")).orderBy(F.xxhash64("doc_id"), "doc_id").toPandas()  # max_train rows of numbers
@@ -166,7 +172,28 @@ def fit(docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN, max_feat
     if not fit_in.all():
         kept = docs.sparkSession.createDataFrame([(x,) for x in sizes["doc_id"][fit_in].tolist()], docs.select("doc_id").schema)
         some = made.join(F.broadcast(kept), "doc_id", "left_semi")  # max_train ids at most
-    trained = some.groupBy(F.lit(0).alias("all")).applyInPandas(train_all, "hash long, weight double").toPandas()  # sparse weights
+    total = int(sizes["n"][fit_in].sum())
+
+    def train_all(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Features are copied into one array as they come, so a batch is the most that is held twice."""
+        every, place, ids, toxic, ends = np.empty(total, np.uint32), 0, [], [], []
+        for b in batches:
+            f = b.column(2)
+            own = f.flatten().to_numpy().view(np.uint32)
+            every[place : place + len(own)] = own
+            ends.append(place + np.cumsum(f.value_lengths().to_numpy(), dtype=np.int64))
+            place += len(own)
+            ids.append(b.column(0))
+            toxic.append(b.column(1).to_numpy())
+        if not ids:
+            return
+        ends = np.concatenate(ends)
+        pdf = pd.DataFrame({"doc_id": pa.chunked_array(ids).to_pandas(), "toxic": np.concatenate(toxic), "start": np.r_[0, ends[:-1]], "end": ends})
+        pdf = pdf.drop_duplicates("doc_id").sort_values("doc_id")  # a document counts once
+        hashes, weights, intercept = train_flat(every, pdf["start"].to_numpy(), pdf["end"].to_numpy(), pdf["toxic"].to_numpy(float))
+        yield pa.RecordBatch.from_arrays([pa.array(np.r_[hashes.astype(np.int64), -1]), pa.array(np.r_[weights, intercept])], names=["hash", "weight"])
+
+    trained = some.coalesce(1).mapInArrow(train_all, "hash long, weight double").toPandas()  # sparse weights
     own = trained["hash"].to_numpy() >= 0
     return Model(trained["hash"].to_numpy()[own].astype(np.uint32), trained["weight"].to_numpy(float)[own], float(trained["weight"][~own].sum()))
 

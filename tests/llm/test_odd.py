@@ -680,3 +680,20 @@ def test_substring_hot_halves(spark):
         got = Counter((r.doc_id, r.n_words, r.n_removed, r.kept_sha256) for r in substring_dedup.digests(docs, most=most).collect())
         assert got == want
     assert sum(r[2] for r in want) > 1000
+
+
+def test_training_holds_features_once():
+    """The numbering of hashes takes 12 bytes for each at most, the hashes' own among them, and as much for any stretches."""
+    import tracemalloc
+
+    every = np.random.default_rng(3).integers(0, 1 << 20, 4_000_000, dtype=np.uint32)
+    want, at = np.unique(every, return_inverse=True)
+    tracemalloc.start()
+    names, flat = toxicity.numbered(every.copy(), 1 << 16)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert (names == want).all() and (flat == at).all()
+    assert peak < 4 * len(every) + 8 * len(every) + 3 * names.nbytes
+    names, flat = toxicity.numbered(np.array([7, 7, 3], np.uint32), 1)
+    assert names.tolist() == [3, 7] and flat.tolist() == [1, 1, 0]
+    assert [x.tolist() for x in toxicity.numbered(np.empty(0, np.uint32))] == [[], []]
