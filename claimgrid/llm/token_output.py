@@ -42,6 +42,14 @@ REMEMBER, WORDS_AT_ONCE = 600_000, 200_000
 _NORMALIZERS = ("NFC", "Replace", "Lowercase")
 _SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 
+#: ASCII characters that are neither letters nor numbers.
+_MARKS = b"!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
+
+
+def _ends_in_letter(word: bytes) -> bool:
+    """Whether a word's last character is a letter from A to z or a small one of Latin-1, which stays one in any normal form."""
+    return word[-1:].isalpha() or (word[-2:-1] == b"\xc3" and 0x9F <= word[-1] != 0xB7)
+
 
 def splits_at_spaces(config: dict) -> bool:
     """Whether a tokenizer's file says that it lower-cases, folds white space, drops it and closes each piece by a suffix."""
@@ -89,19 +97,17 @@ class Encoder:
         return [e.ids for e in self.batch(texts, add_special_tokens=False)]
 
     def learn(self, words: list[bytes]) -> None:
-        """Words of letters are encoded many at a time: each ends with the one token that closes a word. Of other words a
-        final comma or full stop after a letter is a token run of its own."""
+        """Words of letters are encoded many at a time: each ends with the one token that closes a word. Of other words the
+        marks after a last letter are a piece of their own, so they and what is before them are learned instead."""
         known, kind = self.known, self.dtype
-        stems, tails = [], []
+        tails, parts = [], []
         for w in words:
-            if w[-1] in b",." and w[-2:-1].isalpha():
-                tails.append(w)
-                if w[:-1] not in known:
-                    stems.append(w[:-1])
-        new = [w for w in dict.fromkeys([*words, *stems, b",", b"."]) if w not in known]
-        if tails:
-            ended = set(tails)
-            new = [w for w in new if w not in ended]
+            stem = w.rstrip(_MARKS)
+            if len(stem) < len(w) and _ends_in_letter(stem) and b"<|" not in w:
+                tails.append((w, stem, w[len(stem) :]))
+                parts += tails[-1][1:]
+        ended = {w for w, _, _ in tails}
+        new = [w for w in dict.fromkeys([*words, *parts]) if w not in known and w not in ended]
         plain, other = [], []
         for w, text in zip(new, b"\n".join(new).decode().split("\n"), strict=True):
             (plain if text.isalpha() else other).append(w)
@@ -118,8 +124,8 @@ class Encoder:
             some = other[i : i + 4096]
             for w, ids in zip(some, self._ids([w.decode() for w in some]), strict=True):
                 known[w] = np.array(ids, kind).tobytes()
-        for w in tails:
-            known[w] = known[w[:-1]] + known[w[-1:]]
+        for w, stem, tail in tails:
+            known[w] = known[stem] + known[tail]
 
     def many(self, raws: list[bytes | None]) -> Iterator[bytes]:
         """ids of each text, learning new words of many texts at once."""
@@ -138,23 +144,16 @@ class Encoder:
         yield from self._some(split)
 
     def _some(self, split: list[list[bytes]]) -> Iterator[bytes]:
-        """Texts whose words are all known need nothing more; of the others the new words are learned together."""
-        known, out, open_ = self.known, [b""] * len(split), []
-        for i, words in enumerate(split):
-            try:
-                out[i] = b"".join(map(known.__getitem__, words))
-            except KeyError:
-                open_.append(i)
-        if open_:
-            every = set().union(*(split[i] for i in open_))
-            new = [w for w in every if w not in known]
-            if len(known) + len(new) > REMEMBER:
-                known.clear()
-                new = list(every)
-            self.learn(new)
-            for i in open_:
-                out[i] = b"".join(map(known.__getitem__, split[i]))
-        yield from out
+        """The new words of some texts are learned together."""
+        known, every = self.known, set().union(*split)
+        new = every.difference(known)
+        if len(known) + len(new) > REMEMBER:
+            known.clear()
+            new = every
+        if new:
+            self.learn(list(new))
+        for words in split:
+            yield b"".join(map(known.__getitem__, words))
 
 
 def _masks(length: int) -> pa.Array:

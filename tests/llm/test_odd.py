@@ -697,3 +697,18 @@ def test_training_holds_features_once():
     names, flat = toxicity.numbered(np.array([7, 7, 3], np.uint32), 1)
     assert names.tolist() == [3, 7] and flat.tolist() == [1, 1, 0]
     assert [x.tolist() for x in toxicity.numbered(np.empty(0, np.uint32))] == [[], []]
+
+
+def test_words_with_marks_are_learned_in_parts():
+    """Words that end in marks have the ids of whole texts, and aren't encoded one by one."""
+    stems = ["reheenre", "verïäkeit", "été", "it's", "don't", "x1y", "a", "Ünï", "straße", "µ", "é", "İ", "3", "÷a", "ça÷", "a.b", "'s", "ÿ"]
+    marks = ["&&&", ",***", ".", "'", "''", "!!", "<|", "|>", "<|x|>", "]", "\\", "-", "_", "=", "`"]
+    texts = [a + m for a in stems for m in marks] + [m + a for a in stems for m in marks] + marks + stems
+    coder = token_output.Encoder(tokenizer_path())
+    whole = [np.array(coder._ids([t])[0], coder.dtype).tobytes() for t in texts]
+    assert list(coder.many([t.encode() for t in texts])) == whole
+    many, coder = [f"{a}{b}{c}" for a in "abcdefghij" for b in "klmnopqrst" for c in "uvwxyz"], token_output.Encoder(tokenizer_path())
+    asked, batch = [], coder.batch
+    coder.batch = lambda texts, **how: asked.extend(texts) or batch(texts, **how)
+    list(coder.many([" ".join(w + "&&&" for w in many).encode()]))
+    assert len(asked) <= 2
