@@ -98,14 +98,24 @@ def with_organism(entries: DataFrame, channels: DataFrame) -> DataFrame:
 def sample_database(claims: DataFrame, entries: DataFrame, closure: DataFrame | None = None, systems: DataFrame | None = None, deleted: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
     """Claims and entries of the sample level: valid organisms, no excluded ids, known attributes, and of tissues and diseases
     the most specific terms within the systems."""
+    entries = sample_catalogue(entries, deleted)
+    claims = sample_claims(claims, entries, closure, systems)
+    return claims, entries.join(claims.select("entry").distinct(), "entry", "left_semi")
+
+
+def sample_catalogue(entries: DataFrame, deleted: DataFrame | None = None) -> DataFrame:
+    """Entries of a valid organism without excluded ids."""
     entries = valid_samples(entries)
-    if deleted is not None:
-        entries = excluded(entries, deleted, "entry")
+    return entries if deleted is None else excluded(entries, deleted, "entry")
+
+
+def sample_claims(claims: DataFrame, entries: DataFrame, closure: DataFrame | None = None, systems: DataFrame | None = None) -> DataFrame:
+    """Claims of some entries: known attributes, and of tissues and diseases the most specific terms within the systems."""
     claims = cleaned(claims).join(entries.select("entry"), "entry", "left_semi")
     if closure is not None:
         of_ontology = F.col("attribute").isin("tissue", "disease")
         claims = most_specific(claims.where(of_ontology), closure, systems).unionByName(claims.where(~of_ontology))
-    return claims, entries.join(claims.select("entry").distinct(), "entry", "left_semi")
+    return claims
 
 
 def nested(claims: DataFrame) -> DataFrame:

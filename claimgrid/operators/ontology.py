@@ -332,15 +332,15 @@ def system_descendants(closure: DataFrame, systems: DataFrame) -> DataFrame:
 def most_specific(claims: DataFrame, closure: DataFrame, systems: DataFrame | None = None, control: str = CONTROL_ID) -> DataFrame:
     """Claims whose term has no strict descendant among the terms of the same entry and attribute, over all sources.
 
-    systems: first keep strict descendants of these only, and the control. The closure joins the distinct terms of an
-    entry once; the rows that go are then anti-joined, so nothing compares terms pair by pair, and no task has to hold the
-    ancestors of its claims as a set.
+    systems: first keep strict descendants of these only, and the control; these claims are written once, as they are read
+    several times. The closure joins the distinct terms of an entry once, without ancestors that no claim has; the rows that go
+    are then anti-joined, so nothing compares terms pair by pair, and no task has to hold the ancestors of its claims as a set.
     """
     if systems is not None:
         inside = system_descendants(closure, systems).join(systems.select("term"), "term", "left_anti")
         inside = written(inside.union(claims.sparkSession.createDataFrame([(control,)], "term string")), "inside")
-        claims = claims.join(inside.select(F.col("term").alias("term_id")), "term_id", "left_semi").select(*claims.columns)
+        claims = written(claims.join(inside.select(F.col("term").alias("term_id")), "term_id", "left_semi").select(*claims.columns), "claims-inside")
     have = claims.select("entry", "attribute", "term_id").distinct()
-    strict = closure.where("ancestor <> descendant")
+    strict = closure.where("ancestor <> descendant").join(claims.select(F.col("term_id").alias("ancestor")).distinct(), "ancestor", "left_semi")
     above = have.join(strict, have["term_id"] == strict["descendant"]).select("entry", "attribute", F.col("ancestor").alias("term_id"))
     return claims.join(above, ["entry", "attribute", "term_id"], "left_anti").select(*claims.columns)

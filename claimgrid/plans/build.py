@@ -80,8 +80,10 @@ def stages(spark: SparkSession, root: str, inputs: dict[str, str]) -> Pipeline:
         save(all_claims().where(level_of(F.col("entry")) == "sample"), at("geo_claims"))
 
     def archive() -> None:
-        """Claims on runs and experiments, brought to samples; none without the archive's tables."""
+        """Claims on runs and experiments, brought to samples; none without the archive's tables. Only overrides may name other
+        ids, so without them claims that are on samples already aren't dealt."""
         own = all_claims()
+        own = own if "overrides" in inputs else own.where(F.coalesce(level_of(F.col("entry")) != "sample", F.lit(True)))
         if "runs" in inputs and "samples" in inputs:
             mapping = integrate.archive_to_sample(given("runs"), given("samples"), given("overrides") if "overrides" in inputs else None)
             own = integrate.archive_claims(own, mapping)
@@ -97,15 +99,18 @@ def stages(spark: SparkSession, root: str, inputs: dict[str, str]) -> Pipeline:
     def sample() -> None:
         claims = integrate.merged(read("geo_claims"), read("archive_claims"))
         systems = spark.createDataFrame([(s.strip(),) for s in inputs["systems"].split(",")], "term string")
-        claims, entries = integrate.sample_database(claims, catalogue(), read("closure"), systems, deleted)
-        save(claims, at("claims/level=sample"), "attribute")
-        save(entries, at("entries/level=sample"))
+        entries = written(integrate.sample_catalogue(catalogue(), deleted), "catalogue")
+        save(integrate.sample_claims(claims, entries, read("closure"), systems), at("claims/level=sample"), "attribute")
+        own = spark.read.parquet(at("claims/level=sample")).select("entry").distinct()  # as written, not made again
+        save(entries.join(own, "entry", "left_semi"), at("entries/level=sample"))
 
     def series() -> None:
         rolled = aggregate.series_claims(spark.read.parquet(at("claims/level=sample")), spark.read.parquet(at("entries/level=sample")))
         own = valid_series(aggregate.series_entries(spark.read.parquet(at("entries/level=sample")))).withColumnRenamed("series", "entry")
         own = own if deleted is None else excluded(own, deleted, "entry")
-        rolled = ontology.most_specific(rolled.join(own.select("entry"), "entry", "left_semi"), read("closure"))
+        own = written(own, "series")
+        rolled = written(rolled.join(own.select("entry"), "entry", "left_semi"), "rolled")
+        rolled = ontology.most_specific(rolled, read("closure"))
         save(rolled, at("claims/level=series"), "attribute")
         save(own, at("entries/level=series"))
 

@@ -5,6 +5,7 @@ import json
 import pytest
 
 from claimgrid import cli
+from claimgrid.operators import ontology
 from claimgrid.plans import build, pipeline
 from claimgrid.sources import registry
 from tests.test_sources import built, frame
@@ -64,3 +65,28 @@ def test_fingerprints(spark, tmp_path):
     assert first == one(k=1) != one(k=2)
     (tmp_path / "a" / "y").write_text("2")
     assert one(k=1) != first
+
+
+def test_claims_of_samples_are_made_once(spark, tmp_path, monkeypatch):
+    """Entries of a level follow the claims as they were written, and no claim is made again for them."""
+    inputs, read, save = built(spark, tmp_path), {}, build.save
+
+    def noted(df, path, *partition):
+        read[path.removeprefix(inputs["root"] + "/")] = df.inputFiles()
+        save(df, path, *partition)
+
+    monkeypatch.setattr(build, "save", noted)
+    with pytest.warns(UserWarning):
+        build.stages(spark, inputs["root"], inputs).run(end="series")
+    own = read["entries/level=sample"]
+    assert any("/claims/level=sample/" in f for f in own) and not any("/geo_claims/" in f or "/archive_claims/" in f for f in own)
+    assert not any("/claims/level=sample/" in f for f in read["claims/level=series"])
+
+
+def test_only_claimed_ancestors_are_dealt(spark):
+    claims = frame(spark, ["entry", "attribute", "source", "term_id"], ("a", "tissue", "x", "T:3"), ("a", "tissue", "y", "T:2"), ("b", "tissue", "x", "T:2"))
+    closure = frame(spark, ["ancestor", "descendant"], *((f"T:{i}", f"T:{j}") for i in range(4) for j in range(i, 4)))
+    own = ontology.most_specific(claims, closure)
+    assert {(r.entry, r.term_id) for r in own.collect()} == {("a", "T:3"), ("b", "T:2")}
+    plan = own._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Join LeftSemi") == 1
