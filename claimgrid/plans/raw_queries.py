@@ -21,7 +21,7 @@ from claimgrid.plans.catalog import query, table
 from claimgrid.plans.retrieval import Database, Request, retrieve
 from claimgrid.schema import AGE_GROUPS, CONTROL_ID
 from claimgrid.sources import ingest, processors, readers, registry
-from claimgrid.storage import shared_path
+from claimgrid.storage import shared_path, written
 
 KNOWN, NAMED = 30, 40
 
@@ -416,7 +416,7 @@ def bson_database(spark, sf_dir):
     path = shared_path(spark, "bson")
     claims, own = driver.claims(spark, sf_dir, "tissue", "sex").drop("term_name").withColumn("term_name", F.lit(None).cast("string")), driver.entries(spark, sf_dir)
     sinks.save_bson(sinks.database_rows(claims, own), path)
-    rows = readers.bson_map(spark, path)
+    rows = written(readers.bson_map(spark, path), "database")  # parsed once
     found = readers.database_claims(rows).select("entry", "attribute", "source", "term_id", "ecode")
     return found.join(readers.database_entries(rows).select("entry", "series", "platform", "organism"), "entry").select("entry", "attribute", "source", "term_id", "ecode", "series", "platform", "organism")
 

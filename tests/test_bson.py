@@ -7,6 +7,7 @@ import struct
 import pytest
 
 from claimgrid import sinks
+from claimgrid.plans import driver, raw_queries  # noqa: F401  both register their queries
 from claimgrid.plans.retrieval import Database, Request, retrieve
 from claimgrid.sources import bson, readers
 
@@ -86,3 +87,9 @@ def test_retrieve_from_a_database_file(spark, tmp_path):
     assert {(r.entry, r.source, r.term_id, r.term_name) for r in db.claims.collect()} == {("GSM1", "ALE", "UBERON:2", "lung"), ("GSM1", "ALE", "UBERON:3", "lobe"), ("GSM2", "CREEDS", "UBERON:3", "")}
     found = retrieve(db, Request("tissue", ["UBERON:1", "UBERON:2"], metadata=["series"]))
     assert sorted(map(tuple, found.curation.cells.select("entry", "term").collect())) == [("GSM1", "UBERON:1"), ("GSM1", "UBERON:2"), ("GSM2", "UBERON:1")]
+
+
+def test_a_database_is_parsed_once(spark, sf_dir):
+    """What is asked of a database that was read back doesn't parse its files again."""
+    plan = driver.QUERIES["bson_database"](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
+    assert "BatchScan" not in plan and "FileScan" in plan
