@@ -8,8 +8,8 @@ without a copy. A second file has each document's id, start and length. File nam
 output, so repeated or lost tasks do no harm, and files of other attempts are removed in the end.
 
 Where the tokenizer's own file says that it lower-cases, drops white space and closes words by a suffix, words between ASCII
-white space are encoded once and remembered by each task, in small letters: none of its rules reach across white space, so
-a text's ids are those of its words in turn. With any other tokenizer whole texts are encoded.
+white space are encoded once and remembered by each Python worker, from task to task, in small letters: none of its rules
+reach across white space, so a text's ids are those of its words in turn. With any other tokenizer whole texts are encoded.
 
 Defined cases: a null text is empty and yields the end id alone; equal doc_ids are ordered by text hash; a null doc_id comes
 first; doc_id may be of any type that has an order; an empty table gives no rows; other columns are not looked at.
@@ -19,6 +19,9 @@ from __future__ import annotations
 
 import json
 import os
+import re
+import sys
+import types
 import uuid
 import zlib
 from collections.abc import Iterator
@@ -34,8 +37,10 @@ from pyspark.sql.pandas.types import to_arrow_type
 from .common import shared_path, split_words
 
 END_ID, LENGTH, ROWS = 2, 1024, 256
-#: Words whose ids a task remembers, and words of texts it looks at together.
+#: Words whose ids a Python worker remembers, and words of texts it looks at together.
 REMEMBER, WORDS_AT_ONCE = 600_000, 200_000
+#: The module that holds a worker's encoder between tasks.
+KEPT = "_claimgrid_token_output"
 
 
 # The normalizers and the split of a tokenizer whose words can be encoded one by one.
@@ -44,6 +49,8 @@ _SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 
 #: ASCII characters that are neither letters nor numbers.
 _MARKS = b"!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
+#: The first of some marks after a letter or digit of ASCII or a small letter of Latin-1: a new piece begins there.
+_FIRST_MARK = re.compile(rb"[!-/:-@\[-`{-~](?:(?<=[a-z0-9].)|(?<=\xc3[\x9f-\xb6\xb8-\xbf].))", re.S)
 
 
 def _ends_in_letter(word: bytes) -> bool:
@@ -92,6 +99,20 @@ class Encoder:
         self.dtype = np.dtype("<u2" if len(self.closes) <= 1 << 16 else "<u4")
         self.batch = getattr(self.tokenizer, "encode_batch_fast", self.tokenizer.encode_batch)
         self.known: dict[bytes, bytes] = {}
+        self.older: dict[bytes, bytes] = {}
+
+    @classmethod
+    def of_worker(cls, path: str, known: tuple[bool, np.ndarray]) -> Encoder:
+        """An encoder with what this Python worker's earlier tasks learned from the same file. It lies in a module of its own
+        name, as this package's own globals come anew with each task."""
+        kept = vars(sys.modules.setdefault(KEPT, types.ModuleType(KEPT)))
+        stat = os.stat(path)
+        file = (path, stat.st_ino, stat.st_mtime_ns, stat.st_size)
+        if kept.get("file") != file:
+            kept.update(file=file, encoder=cls(path, known))
+        encoder = kept["encoder"]
+        encoder.__class__ = cls
+        return encoder
 
     def _ids(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.batch(texts, add_special_tokens=False)]
@@ -135,8 +156,9 @@ class Encoder:
             return
         split, n = [], 0
         for raw in raws:
-            # Capitals and small letters have the same ids, but for the tokenizer's special strings.
-            split.append(split_words(raw if raw is None or b"<|" in raw else raw.lower()))
+            # Capitals and small letters have the same ids, but for the tokenizer's special strings, and so have marks after a
+            # letter that stand by themselves, as they are a piece of their own.
+            split.append(split_words(raw if raw is None or b"<|" in raw else _FIRST_MARK.sub(rb" \g<0>", raw.lower())))
             n += len(split[-1])
             if n > WORDS_AT_ONCE:
                 yield from self._some(split)
@@ -144,14 +166,17 @@ class Encoder:
         yield from self._some(split)
 
     def _some(self, split: list[list[bytes]]) -> Iterator[bytes]:
-        """The new words of some texts are learned together."""
-        known, every = self.known, set().union(*split)
-        new = every.difference(known)
-        if len(known) + len(new) > REMEMBER:
-            known.clear()
-            new = every
-        if new:
-            self.learn(list(new))
+        """The new words of some texts are learned together. Of two halves of what is remembered the older goes when the other
+        is full; its words that are met again before are taken over, so frequent ones stay."""
+        every = set().union(*split)
+        new = every.difference(self.known)
+        if len(self.known) + len(new) > REMEMBER // 2:
+            self.older, self.known, new = self.known, {}, every
+        known, older = self.known, self.older
+        again = older.keys() & new
+        known.update(zip(again, map(older.__getitem__, again), strict=True))
+        if len(again) < len(new):
+            self.learn(list(new.difference(again)))
         for words in split:
             yield b"".join(map(known.__getitem__, words))
 
@@ -180,7 +205,7 @@ def write(docs: DataFrame, out: str, tokenizer: str, end_id: int = END_ID, lengt
     kind, known = to_arrow_type(docs.schema["doc_id"].dataType), facts(tokenizer)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(tokenizer, known)
+        encoder = Encoder.of_worker(tokenizer, known)
         fs, base = pa.fs.FileSystem.from_uri(out)
         name = f"part-{TaskContext.get().partitionId():06d}-{uuid.uuid4().hex}"
         schema, masks, index_schema, end = _schema(encoder.dtype, length), _masks(length), _index(kind), np.array([end_id], encoder.dtype).tobytes()

@@ -2,6 +2,7 @@
 
 import datetime
 import math
+import sys
 from collections import Counter
 
 import numpy as np
@@ -712,3 +713,29 @@ def test_words_with_marks_are_learned_in_parts():
     coder.batch = lambda texts, **how: asked.extend(texts) or batch(texts, **how)
     list(coder.many([" ".join(w + "&&&" for w in many).encode()]))
     assert len(asked) <= 2
+
+
+def test_words_stay_learned_from_task_to_task(monkeypatch):
+    """A worker's next task asks the tokenizer for new words only; what is remembered stays bounded, and frequent words stay."""
+    monkeypatch.delitem(sys.modules, token_output.KEPT, raising=False)
+    first = token_output.Encoder.of_worker(tokenizer_path(), token_output.facts(tokenizer_path()))
+    text = b"alpha beta, gamma. Delta caf\xc3\xa9! x-1"
+    want = list(first.many([text]))
+    later, asked = token_output.Encoder.of_worker(tokenizer_path(), None), []
+    batch = later.batch
+    later.batch = lambda texts, **how: asked.extend(texts) or batch(texts, **how)
+    assert list(later.many([text])) == want and not asked
+    assert list(later.many([b"alpha epsilon,"])) and asked == ["epsilon"]
+    monkeypatch.setattr(token_output, "REMEMBER", 40)
+    monkeypatch.setattr(token_output, "WORDS_AT_ONCE", 1)
+    for i in range(30):
+        assert list(later.many([f"alpha w{'abcdefghij'[i % 10] * (1 + i // 10)}".encode(), text]))[1] == want[0]
+        assert len(later.known) <= 40 and len(later.older) <= 40
+    assert asked.count("alpha") == 0
+
+
+def test_marks_after_letters_have_the_ids_of_whole_texts():
+    rng, some = np.random.default_rng(5), ["a", "É", "é", "ÿ", "ß", "1", "٣", "漢", "µ", "÷", "“", "…", "—", "́", "̸", "̧", "'", "'s", "<", "|", "=", ">", ".", ",", "-", " ", "\t", " ", "\x1c", "K", "ʼ"]
+    texts = ["".join(some[i] for i in rng.integers(0, len(some), 12)) for _ in range(4000)]
+    coder = token_output.Encoder(tokenizer_path())
+    assert list(coder.many([t.encode() for t in texts])) == [np.array(ids, coder.dtype).tobytes() for ids in coder._ids(texts)]
