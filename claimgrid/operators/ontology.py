@@ -96,41 +96,46 @@ def _trimmed(edges: DataFrame, at_once: int = 4) -> DataFrame:
     return now
 
 
-def _coloured(edges: DataFrame) -> DataFrame:
-    """(term, colour): the greatest term from which each can be reached, itself included."""
-    now = written(nodes(edges).select("term", F.col("term").alias("colour")), "colours")
+def _coloured(edges: DataFrame, at_once: int = 4) -> DataFrame:
+    """(term, colour): the greatest term from which each can be reached, itself included. Of each written round there are
+    several steps; as every term also has an edge to itself, a step is one join and one aggregation."""
+    own = nodes(edges)
+    ways = written(edges.select(F.col("parent").alias("term"), "child", F.lit(False).alias("same")).union(own.select("term", "term", F.lit(True))), "ways")
+    now = own.select("term", F.col("term").alias("colour"))
     while True:
-        sent = now.join(edges, F.col("term") == F.col("parent")).select(F.col("child").alias("term"), "colour")
-        after = now.select("term", "colour", F.col("colour").alias("had")).union(sent.select("term", "colour", F.lit(None).cast("string")))
-        now = written(after.groupBy("term").agg(F.max("colour").alias("colour"), F.max("had").alias("had")), "colours")
-        done = now.where("colour <> had").isEmpty()
-        now = now.select("term", "colour")
-        if done:
+        after = now.select("term", "colour", F.col("colour").alias("had"))
+        for _ in range(at_once):
+            sent = after.join(ways, "term").select(F.col("child").alias("term"), "colour", F.when(F.col("same"), F.col("had")).alias("had"))
+            after = sent.groupBy("term").agg(F.max("colour").alias("colour"), F.max("had").alias("had"))
+        after = written(after, "colours")
+        now = after.select("term", "colour")
+        if after.where("colour <> had").isEmpty():
             return now
 
 
+def _alike(edges: DataFrame, colours: DataFrame) -> DataFrame:
+    """Edges between terms of one colour."""
+    at = lambda side: colours.select(F.col("term").alias(side), F.col("colour").alias(f"of_{side}"))
+    return edges.join(at("parent"), "parent").join(at("child"), "child").where("of_parent = of_child").select("parent", "child")
+
+
 def cycles(edges: DataFrame) -> DataFrame:
     """(component, term): the strongly connected components that hold a cycle, named by their least term.
 
-    After trimming, every term takes the greatest colour that reaches it (forward); what reaches a colour's own term within
-    the colour (backward) is its component, which leaves. Frames stay in proportion to terms and edges, whatever the
-    size of a component; rounds grow with the length of its ways.
+    After trimming, every term takes the greatest colour that reaches it (forward); edges between colours lie on no cycle and
+    go. Within a colour every term then takes the greatest one that it reaches (backward): where both are equal it is of the
+    component of the colour's own term, which leaves, and what is left falls apart by the second colour. Frames stay in
+    proportion to terms and edges, whatever the size of a component; rounds grow with the length of its ways.
     """
     left, found = _trimmed(edges), edges.sparkSession.createDataFrame([], "root string, term string")
     loops = edges.where("parent = child").select(F.col("parent").alias("root"), F.col("child").alias("term")).distinct()
     while not left.isEmpty():
-        colours = _coloured(left)
-        at = lambda side: colours.select(F.col("term").alias(side), F.col("colour").alias(f"of_{side}"))  # noqa: B023, E731
-        within = written(left.join(at("parent"), "parent").join(at("child"), "child").where("of_parent = of_child").select("parent", "child"), "within")
-        front = written(colours.where("term = colour").select(F.col("colour").alias("root"), "term"), "reached")
-        reached = front
-        while not front.isEmpty():
-            back = front.join(within, F.col("term") == F.col("child")).select("root", F.col("parent").alias("term")).distinct()
-            front = written(back.join(reached, ["root", "term"], "left_anti"), "reached")
-            reached = reached.union(front)
-        found, gone = found.union(reached), reached.select("term")
-        left = left.join(gone.withColumnRenamed("term", "parent"), "parent", "left_anti").join(gone.withColumnRenamed("term", "child"), "child", "left_anti")
-        left = _trimmed(left)
+        down = _coloured(left)
+        within = written(_alike(left, down), "within")
+        up = _coloured(within.select(F.col("child").alias("parent"), F.col("parent").alias("child")))
+        both = written(down.withColumnRenamed("colour", "root").join(up, "term"), "both")
+        found = found.union(both.where("root = colour").select("root", "term"))
+        left = _trimmed(_alike(within, both.where("root <> colour").select("term", "colour")))
     named = found.groupBy("root").agg(F.min("term").alias("component"), F.count("*").alias("n"))
     kept = found.join(named, "root").where("n > 1").select("component", "term")
     return kept.union(loops.join(kept, "term", "left_anti").select("root", "term"))

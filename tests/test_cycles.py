@@ -88,3 +88,19 @@ def test_known_cycle_and_last_reference(spark, tmp_path):
 def test_at_a_larger_size(spark, name):
     larger = "/root/testdata/sf0.01"
     compare(connection(larger), driver.QUERIES[name](spark, larger), driver.ORACLE_SQL[name])
+
+
+def test_rounds_of_a_chain_of_cycles(spark, monkeypatch):
+    """Cycles that lie one above the other are settled in few rounds, each of several steps."""
+    pairs = [(f"{90 - i}{x}", f"{90 - i}{y}") for i in range(12) for x, y in ("ab", "ba")] + [(f"{90 - i}a", f"{89 - i}b") for i in range(11)]
+    frames, kept = [], ontology.written
+    monkeypatch.setattr(ontology, "written", lambda df, name: frames.append(name) or kept(df, name))
+    assert {tuple(r) for r in ontology.cycles(frame(spark, pairs)).collect()} == components(set(pairs))
+    assert len(frames) <= 40, len(frames)
+
+
+def test_components_of_graphs_with_many_cycles(spark):
+    rng = np.random.default_rng(7)
+    for n, m in ((12, 30), (25, 34), (60, 66)):
+        pairs = {(f"t{a:02}", f"t{b:02}") for a, b in rng.integers(0, n, (m, 2))}
+        assert {tuple(r) for r in ontology.cycles(frame(spark, pairs)).collect()} == components(pairs)
