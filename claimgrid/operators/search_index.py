@@ -16,6 +16,7 @@ from claimgrid.functions.scalar import tokens
 from claimgrid.operators.filters import NoResults
 from claimgrid.operators.search import B, K1, filtered, ordered_synonyms, query_tokens
 from claimgrid.schema import NAME_WEIGHT, SCOPE_ORDER_TABLE, SCOPE_WEIGHTS
+from claimgrid.storage import written
 
 #: Folders that postings are dealt to.
 BUCKETS = 64
@@ -38,6 +39,7 @@ def build(terms: DataFrame, synonyms: DataFrame, folder: str, buckets: int = BUC
     spark = terms.sparkSession
     words = field_texts(terms, synonyms).select("term_id", "field", tokens(F.coalesce("text", F.lit(""))).alias("words"))
     documents = words.groupBy("term_id", "field").agg(F.flatten(F.collect_list("words")).alias("words")).where(F.size("words") > 0)
+    documents = written(documents, "index-documents")  # read for postings and for the fields
     each = documents.select("term_id", "field", F.size("words").cast("long").alias("dl"), F.explode("words").alias("token"))
     tf = each.groupBy("term_id", "field", "token").agg(F.count("*").alias("tf"), F.first("dl").alias("dl"))
     placed = tf.select(bucket(F.col("token"), buckets).alias("bucket"), "token", "field", "term_id", "tf", "dl")

@@ -51,3 +51,13 @@ def test_reads_a_share_of_the_buckets(spark, sf_dir):
     hit = search_index.of_tokens(spark, folder, "postings", ["blue", "ring"])
     assert len({re.search(r"bucket=(\d+)", f)[1] for f in hit.select("_metadata.file_path").distinct().toPandas()["file_path"]}) <= 2 < stored
     assert "bucket" in hit._jdf.queryExecution().executedPlan().toString().split("PartitionFilters: [")[1].split("]")[0]
+
+
+def test_texts_are_grouped_once(spark, corpus, tmp_path, monkeypatch):
+    """Postings and the fields' statistics come from one written frame of grouped texts."""
+    frames, kept = [], search_index.written
+    monkeypatch.setattr(search_index, "written", lambda df, name: frames.append(kept(df, name)) or frames[-1])
+    search_index.build(*corpus, f"file://{tmp_path}/index")
+    assert len(frames) == 1
+    n = {r.field: r.n for r in spark.read.parquet(f"file://{tmp_path}/index/fields").collect()}
+    assert n == {r.field: r["count"] for r in frames[0].groupBy("field").count().collect()} != {}
