@@ -10,10 +10,13 @@ seeds decide nothing. Substituted words are so tolerated, insertions split a pas
 than SPAN words have no mask: their seed is the hash of all their words, which must stand in the document one after
 another.
 
-Items longer than PIECE words are cut into pieces that share VERIFY - 1 words, so no item makes a broadcast large. Pieces are
-dealt to blocks of about BLOCK seeds, as many blocks as the counted seeds need. A block's seeds and words are broadcast, and
-windows are generated, joined and verified within one stage: no shuffle carries the corpus, however many items there are;
-more items mean more scans. Only verified diagonals are grouped.
+Texts are cut into stretches of STRETCH windows before windows are made, and a hit carries the few words around it alone, so
+that what a task buffers doesn't grow with a text's hits times its length. Items of equal words are looked for once, and
+their ids are joined to what was found in the end. Items longer than PIECE words are cut into pieces that share VERIFY - 1
+words, so no item makes a broadcast large. Pieces are dealt to blocks of about BLOCK seeds, as many blocks as the counted
+seeds need. A block's seeds and words are broadcast, and windows are generated, joined and verified within one stage: no
+shuffle carries the corpus, however many items there are; more items of other words mean more scans, one after another, so
+that one block's broadcasts are needed at a time. Only verified diagonals are grouped.
 
 Defined cases: a null text has no words, and a text or an item without words matches nothing; ``leaks`` reports items of
 any length from one word, ``decontaminate`` removes documents for items of at least LEAST words, as shorter ones stand in
@@ -37,8 +40,8 @@ SPAN = len(MASKS[0])
 #: With these, every placing of substitutions that VERIFY and AGREE accept leaves some mask a window whose places that count agree.
 ALL_MASKS = (*MASKS, "110011101", "111110001", "010111110", "001110111", "101111100")
 VERIFY, AGREE = 16, 0.8
-#: Seeds of a block on average; words of a piece.
-BLOCK, PIECE = 2_000_000, 4096
+#: Seeds of a block on average; words of a piece; windows of a stretch.
+BLOCK, PIECE, STRETCH = 2_000_000, 4096, 1024
 #: Words that an item must have for documents to be removed for it.
 LEAST = 4
 #: Scripts that are written without spaces between words.
@@ -53,15 +56,34 @@ def word_hashes(text: Column) -> Column:
     return F.transform(words, lambda w: F.xxhash64(w))
 
 
+def _stretches(docs: DataFrame, keep: list[str], least: int, before: int, after: int, stretch: int) -> DataFrame:
+    """keep columns, base, first, last, h: a row for each ``stretch`` windows of a text, of ``least`` words at least.
+
+    h holds the words of the text from base on, up to ``before`` ahead of the stretch and ``after`` of its last window; the
+    stretch's windows begin at places first to last of h.
+    """
+    words = docs.select(*keep, word_hashes(F.col("text")).alias("_words"))
+    n = F.size("_words")
+    starts = F.when(n >= least, F.sequence(F.lit(0), n - least, F.lit(stretch))).otherwise(F.array().cast("array<int>"))
+
+    def cut(start: Column) -> Column:
+        base = F.greatest(start - before, F.lit(0))
+        last = F.least(start + (stretch - 1), n - least)
+        return F.struct(base.alias("base"), (start - base).alias("first"), (last - base).alias("last"), F.slice("_words", base + 1, last - base + after).alias("h"))
+
+    # no filter on _words: it would be moved below, and texts cut into words twice
+    return words.select(*keep, F.inline(F.transform(starts, cut)))
+
+
 def _seeds(words: DataFrame, keep: list[str], masks: tuple[str, ...], short: list[int], guarded: bool) -> DataFrame:
-    """keep columns, the array ``h``, place, seed: for each window of h and each mask; and for windows of the short lengths.
+    """keep columns, the array ``h``, place, seed: for each window of h that begins at places first to last, and each mask; and
+    for windows of the short lengths.
 
     guarded: seeds are null where h ends before the window does. Without that, such a window is hashed without the words it
     lacks, and what it hits isn't verified; all masks then share their reading of the array. All of it is compiled code (no
     filter of arrays), so that rows with h are never buffered.
     """
-    least = min([len(masks[0]), *short])
-    placed = words.where(F.size("h") >= least).select(*keep, "h", F.explode(F.sequence(F.lit(0), F.size("h") - least)).alias("place"))
+    placed = words.select(*keep, "h", F.explode(F.sequence("first", "last")).alias("place"))
     word = lambda i: F.get("h", F.col("place") + i)
     within = lambda n, seed: F.when(F.col("place") + n <= F.size("h"), seed) if guarded else seed
     seeds = [within(len(m), F.xxhash64(F.lit(k), *(word(i) for i, c in enumerate(m) if c == "1"))) for k, m in enumerate(masks)]
@@ -69,51 +91,79 @@ def _seeds(words: DataFrame, keep: list[str], masks: tuple[str, ...], short: lis
     return placed.select(*keep, "h", "place", F.explode(F.array(*seeds)).alias("seed"))
 
 
-def _pieces(items: DataFrame, span: int, verify: int, piece: int) -> DataFrame:
-    """item_id, size (words of the item), at (where the piece begins), h (its words), key (which piece it is)."""
-    whole = items.select("item_id", word_hashes(F.col("text")).alias("h")).where(F.size("h") > 0).distinct()
+def _worded(items: DataFrame, least: int) -> DataFrame:
+    """item_id, words (two hashes of them all, alike for items of equal words), h, of items of ``least`` words or more."""
+    whole = items.select("item_id", word_hashes(F.col("text")).alias("h")).where(F.size("h") >= max(least, 1)).distinct()
+    words = F.struct(F.xxhash64("h").alias("x"), F.xxhash64(F.lit(1), "h").alias("y"))
+    return written(whole.select("item_id", words.alias("words"), "h"), "decontaminate-items")
+
+
+def _pieces(whole: DataFrame, verify: int, piece: int) -> DataFrame:
+    """words, size (of the item), at (where the piece begins), h (the piece's words), key (which piece it is)."""
     size = F.size("h")
     starts = F.sequence(F.lit(0), F.greatest(size - verify, F.lit(0)), F.lit(piece - verify + 1))
-    cut = whole.select("item_id", "h", size.alias("size"), F.explode(starts).alias("at"))
-    return cut.select("item_id", "size", "at", F.slice("h", F.col("at") + 1, F.lit(piece)).alias("h"), F.struct("item_id", F.xxhash64("h").alias("x"), "at").alias("key"))
+    cut = whole.dropDuplicates(["words"]).select("words", "h", size.alias("size"), F.explode(starts).alias("at"))
+    return cut.select("words", "size", "at", F.slice("h", F.col("at") + 1, F.lit(piece)).alias("h"), F.struct("words.x", "words.y", "at").alias("key"))
 
 
-def leaks(docs: DataFrame, items: DataFrame, keep: tuple[str, ...] = ("doc_id",), masks: tuple[str, ...] = ALL_MASKS, verify: int = VERIFY, agree: float = AGREE, block: int = BLOCK, piece: int = PIECE, least: int = 1) -> DataFrame:
+def leaks(docs: DataFrame, items: DataFrame, keep: tuple[str, ...] = ("doc_id",), least: int = 1, **how) -> DataFrame:
     """keep columns, item_id, agreeing (most agreeing places of a window), doc_place (where the item would begin), of items of
     ``least`` words or more."""
+    whole = _worded(items, least)
+    found = _found(docs, whole, keep, **how).join(small_side(whole.select("item_id", "words")), "words")
+    found = found.groupBy(*keep, "item_id").agg(F.max("b").alias("b"))  # an id may stand for several texts
+    return found.select(*keep, "item_id", F.col("b.agreeing").alias("agreeing"), (-F.col("b.d")).alias("doc_place"))
+
+
+def _found(docs: DataFrame, whole: DataFrame, keep: tuple[str, ...], masks: tuple[str, ...] = ALL_MASKS, verify: int = VERIFY, agree: float = AGREE, block: int = BLOCK, piece: int = PIECE, stretch: int = STRETCH) -> DataFrame:
+    """keep columns, words, b (agreeing and the least place, negative, of the best diagonal)."""
     span = len(masks[0])
-    test = written(_pieces(items, span, verify, piece).where(F.col("size") >= least), "decontaminate-items")
+    test = written(_pieces(whole, verify, piece), "decontaminate-pieces")
     seeds, short = test.agg(F.coalesce(F.sum(F.size("h")), F.lit(0)), F.collect_set(F.when(F.col("size") < span, F.col("size")))).first()
     blocks = max(1, -(-seeds * len(masks) // block))
     part = lambda i: test if blocks == 1 else test.where(F.pmod(F.xxhash64("key"), F.lit(blocks)) == i)
-    train = docs.select(*keep, word_hashes(F.col("text")).alias("h"))
-    found = reduce(DataFrame.union, (_verified(train, part(i), keep, masks, sorted(short), verify, agree) for i in range(blocks)))
+    train = _stretches(docs, [*keep], min([span, *short]), verify - span, verify, stretch)
     best = F.max(F.struct("agreeing", (-F.col("diagonal")).alias("d"))).alias("b")
-    found = found.groupBy(*keep, "item_id").agg(best)
-    return found.select(*keep, "item_id", F.col("b.agreeing").alias("agreeing"), (-F.col("b.d")).alias("doc_place"))
+    found = (_verified(train, part(i), keep, masks, sorted(short), verify, agree).groupBy(*keep, "words").agg(best) for i in range(blocks))
+    if blocks == 1:
+        return next(found)
+    found = reduce(DataFrame.union, (written(x, "decontaminate-block") for x in found))  # one block after another
+    return found.groupBy(*keep, "words").agg(F.max("b").alias("b"))
+
+
+def _hits(train: DataFrame, seeds: DataFrame, keep: tuple[str, ...], masks: tuple[str, ...], short: list[int], verify: int) -> DataFrame:
+    """keep columns, key, item_place, place (in the text), lead (words of ``near`` ahead of place), near: the words around each
+    hit that its verification looks at.
+
+    What one stretch hits is buffered, so near is cut out in the same compiled code and h goes no further.
+    """
+    hits = _seeds(train, [*keep, "base"], masks, short, False).join(F.broadcast(seeds), "seed")  # a block's seeds
+    lead = F.least("place", "item_place", F.lit(verify - len(masks[0])))
+    near = F.slice("h", F.col("place") - lead + 1, lead + verify)
+    return hits.select(*keep, "key", "item_place", (F.col("base") + F.col("place")).alias("place"), lead.alias("lead"), near.alias("near"))
 
 
 def _verified(train: DataFrame, test: DataFrame, keep: tuple[str, ...], masks: tuple[str, ...], short: list[int], verify: int, agree: float) -> DataFrame:
-    """keep columns, item_id, diagonal, agreeing of each accepted hit, for a block of pieces.
+    """keep columns, words, diagonal, agreeing of each accepted hit, for a block of pieces.
 
     An accepted run of places has a hit inside, so it is enough to look at the runs around each hit: the work for a hit
     doesn't grow with the text or the item.
     """
     span = len(masks[0])
-    seeds = _seeds(test, ["key", "size"], masks, short, True).where(F.col("seed").isNotNull() & ((F.col("size") >= span) | (F.col("place") == 0)))
+    least = min([span, *short])
+    placed = test.where(F.size("h") >= least).select("key", "size", "h", F.lit(0).alias("first"), (F.size("h") - least).alias("last"))
+    seeds = _seeds(placed, ["key", "size"], masks, short, True).where(F.col("seed").isNotNull() & ((F.col("size") >= span) | (F.col("place") == 0)))
     seeds = seeds.select("seed", "key", F.col("place").alias("item_place")).distinct()
-    hits = _seeds(train, [*keep], masks, short, False).join(F.broadcast(seeds), "seed")  # a block's seeds
-    words = test.select(F.col("key").alias("_k"), "item_id", "size", "at", F.col("h").alias("item"))
-    hits = hits.join(F.broadcast(words), F.col("key").eqNullSafe(F.col("_k")))  # a block's words
-    lead = F.least("place", "item_place", F.lit(verify - span))
-    most = lead + F.least(F.lit(verify), F.size("h") - F.col("place"), F.size("item") - F.col("item_place"))
-    same = F.zip_with(F.slice("h", F.col("place") - lead + 1, most), F.slice("item", F.col("item_place") - lead + 1, most), lambda a, b: (a == b).cast("int"))
-    found = hits.select(*keep, "item_id", (F.col("place") - F.col("item_place") - F.col("at")).alias("diagonal"), F.least(F.lit(verify), "size").alias("wide"), same.alias("same"))
+    items = test.select("key", "words", "size", "at", F.col("h").alias("item"))
+    hits = _hits(train, seeds, keep, masks, short, verify).join(F.broadcast(items), "key")  # a block's words
+    most = F.least(F.size("near"), F.col("lead") + F.least(F.lit(verify), F.size("item") - F.col("item_place")))
+    same = F.zip_with(F.slice("near", F.lit(1), most), F.slice("item", F.col("item_place") - F.col("lead") + 1, most), lambda a, b: (a == b).cast("int"))
+    found = hits.select(*keep, "words", (F.col("place") - F.col("item_place") - F.col("at")).alias("diagonal"), F.least(F.lit(verify), "size").alias("wide"), same.alias("same"))
     at = F.when(F.size("same") >= F.col("wide"), F.sequence(F.lit(1), F.size("same") - F.col("wide") + 1)).otherwise(F.array().cast("array<int>"))
     sums = F.transform(at, lambda p: F.aggregate(F.slice("same", p, F.col("wide")), F.lit(0), lambda s, x: s + x))
     needed = F.when(F.col("wide") < span, F.col("wide")).otherwise(F.ceil(F.col("wide") * agree))
     found = found.withColumn("agreeing", F.array_max(sums)).where(F.col("agreeing") >= needed)
-    return found.select(*keep, "item_id", "diagonal", "agreeing")
+    return found.select(*keep, "words", "diagonal", "agreeing")
 
 
 def decontaminate(docs: DataFrame, items: DataFrame, least: int = LEAST, **how) -> DataFrame:
@@ -122,5 +172,5 @@ def decontaminate(docs: DataFrame, items: DataFrame, least: int = LEAST, **how)
     Rows are told apart by the text's hash and length, for equal texts leak alike.
     """
     keyed = packed(docs, text=F.col("text"), _h=F.xxhash64("text"), _n=F.coalesce(F.length("text"), F.lit(-1)))
-    found = written(leaks(keyed, items, keep=("_h", "_n"), least=least, **how).select("_h", "_n").distinct(), "leaks")
+    found = written(_found(keyed, _worded(items, least), ("_h", "_n"), **how).select("_h", "_n").distinct(), "leaks")
     return unpacked(keyed.join(small_side(found), ["_h", "_n"], "left_anti"), docs.columns)

@@ -125,6 +125,26 @@ def test_long_items_in_pieces(spark):
     assert rows[0] == rows[1] == rows[2] == {(k, 16, 3 - 3 * k) for k in range(95)}
 
 
+def test_stretches_of_texts(spark):
+    """Passages are found alike wherever stretches meet, also with substituted words and short items."""
+    item, short = S.long_text("item", 30).split(), S.long_text("short", 5).split()
+    changed = [w if i % 9 != 4 else "other" for i, w in enumerate(item)]
+    docs = S.table(spark, [" ".join([f"a{j}" for j in range(i)] + x + ["b"] * (i % 3)) for i in range(0, 24, 2) for x in (item, changed, item[5:21], short)])
+    frame = spark.createDataFrame([(1, " ".join(item)), (2, " ".join(short))], "item_id long, text string")
+    rows = [{(r.doc_id, r.item_id, r.agreeing, r.doc_place) for r in decontaminate.leaks(docs, frame, stretch=n).collect()} for n in (1024, 1, 7)]
+    assert rows[0] == rows[1] == rows[2] and len(rows[0]) == 48
+
+
+def test_leaks_of_a_repeated_passage_in_equal_items(spark):
+    """A task holds no text for each hit, and items of equal words share theirs: by text, hit and item these would be some 100 GB."""
+    item = S.long_text("item", 40)
+    docs = S.table(spark, [" ".join([item] * 200), "none of these words stands in an item at all"])
+    frame = spark.createDataFrame([(k, item) for k in range(30)], "item_id long, text string")
+    found = decontaminate.leaks(docs, frame).collect()
+    assert {(r.doc_id, r.item_id, r.agreeing, r.doc_place) for r in found} == {(0, k, 16, 0) for k in range(30)} and len(found) == 30
+    assert [r.doc_id for r in decontaminate.decontaminate(docs, frame).collect()] == [1]
+
+
 def test_substituted_passage(spark):
     item = S.long_text("item", 30).split()
     changed = [w if i % 9 != 4 else "other" for i, w in enumerate(item)]
