@@ -412,13 +412,13 @@ def ingest_rows(spark, sf_dir):
 
 @query("bson_database", f"WITH {driver._claims_sql('tissue', 'sex')}, {driver._ENTRIES_SQL}, d AS (SELECT entry, attribute, source, term_id, first(ecode ORDER BY ecode) AS e, min(ecode) AS low FROM claims GROUP BY ALL), g AS (SELECT entry, attribute, source, arg_min(low, term_id) AS ecode FROM d GROUP BY ALL) SELECT d.entry, attribute, source, term_id, g.ecode, series, platform, organism FROM d JOIN g USING (entry, attribute, source) JOIN entries USING (entry)")
 def bson_database(spark, sf_dir):
-    """Claims and entries written as BSON databases and read back."""
+    """Claims and entries written as BSON databases and read back. A claim and its entry are of one document, so they aren't joined."""
     path = shared_path(spark, "bson")
     claims, own = driver.claims(spark, sf_dir, "tissue", "sex").drop("term_name").withColumn("term_name", F.lit(None).cast("string")), driver.entries(spark, sf_dir)
-    sinks.save_bson(sinks.database_rows(claims, own), path)
+    sinks.save_bson(sinks.database_rows(claims, own), path, file_bytes=64 << 20, compression="zstd")
     rows = written(readers.bson_map(spark, path), "database")  # parsed once
-    found = readers.database_claims(rows).select("entry", "attribute", "source", "term_id", "ecode")
-    return found.join(readers.database_entries(rows).select("entry", "series", "platform", "organism"), "entry").select("entry", "attribute", "source", "term_id", "ecode", "series", "platform", "organism")
+    found = readers.database_entries(rows, "json").withColumnRenamed("entry", "key")
+    return readers.database_claims(found, "series", "platform", "organism").select("entry", "attribute", "source", "term_id", "ecode", "series", "platform", "organism")
 
 
 @query("catalogue_rows", "SELECT c_custkey, c_name FROM customer WHERE c_custkey IN (SELECT o_custkey FROM orders)")

@@ -194,23 +194,33 @@ def blocks(labels: DataFrame, entries: DataFrame, places: DataFrame, absent: int
 
 def database_rows(claims: DataFrame, entries: DataFrame, attributes: Iterable[str] = ATTRIBUTES) -> DataFrame:
     """(key, json) of an annotation database: for each entry its accessions and organism, and for each attribute a map
-    source -> id, value, ecode, where several terms are joined by pipes."""
-    by = claims.groupBy("entry", "attribute", "source").agg(F.array_sort(F.collect_set(F.struct("term_id", "term_name"))).alias("t"), F.min(F.struct("term_id", "ecode"))["ecode"].alias("ecode"))
+    source -> id, value, ecode, where several terms are joined by pipes.
+
+    Claims and entries are dealt together, once, by ranges of entries, so the rows come by ranges of keys and only have to be
+    sorted within them; the long texts aren't dealt.
+    """
+    accessions = [c for c in SAMPLE_ACCESSIONS if c in entries.columns]
+    given = claims.select("entry", "attribute", "source", F.struct("term_id", "term_name").alias("t"), "ecode")
+    either = given.unionByName(entries.select("entry", F.struct(F.struct(*accessions).alias("accession_ids"), "organism").alias("own")), allowMissingColumns=True)
+    either = either.where("entry is not null").repartitionByRange("entry")
+    by = either.groupBy("entry", "attribute", "source").agg(
+        F.array_sort(F.collect_set("t")).alias("t"), F.min(F.struct(F.col("t.term_id").alias("term_id"), "ecode"))["ecode"].alias("ecode"), F.collect_list("own").alias("own"), F.count("t").alias("n")
+    )
     joined = lambda name: F.array_join(F.transform("t", lambda x: F.coalesce(x[name], F.lit(""))), "|").alias("id" if name == "term_id" else "value")
-    by = by.select("entry", "attribute", F.struct("source", F.struct(joined("term_id"), joined("term_name"), "ecode").alias("v")).alias("s"))
+    by = by.select("entry", "attribute", F.struct("source", F.struct(joined("term_id"), joined("term_name"), "ecode").alias("v")).alias("s"), "own", "n")
     maps = [F.map_from_entries(F.collect_list(F.when(F.col("attribute") == a, F.col("s")))).alias(a) for a in attributes]
-    own = by.groupBy("entry").agg(*maps)
-    accessions = [c for c in SAMPLE_ACCESSIONS if c in entries.columns]
-    both = entries.select("entry", F.struct(*accessions).alias("accession_ids"), "organism").join(own, "entry")
+    both = by.groupBy("entry").agg(*maps, F.flatten(F.collect_list("own")).alias("own"), F.sum("n").alias("n")).where("n > 0")
+    both = both.select("entry", F.explode("own").alias("own"), *attributes)
     filled = [F.when(F.size(a) > 0, F.col(a)).alias(a) for a in attributes]
-    return both.select(F.col("entry").alias("key"), F.to_json(F.struct("accession_ids", "organism", *filled)).alias("json"))
+    return both.select(F.col("entry").alias("key"), F.to_json(F.struct("own.accession_ids", "own.organism", *filled)).alias("json"))
 
 
-def save_bson(rows: DataFrame, path: str, file_bytes: int = 1 << 30) -> None:
-    """Writes (key, json) as BSON files, sorted by key over all files and within values, in place of those that are there."""
+def save_bson(rows: DataFrame, path: str, file_bytes: int = 1 << 30, compression: str = "none") -> None:
+    """Writes (key, json) as BSON files, sorted by key over all files and within values, in place of those that are there.
+    Rows that lie by ranges of keys already aren't dealt again."""
     bson.register(rows.sparkSession)
-    ordered = rows.select("key", "json").repartitionByRange("key").sortWithinPartitions("key")
-    ordered.write.format("bson").option("fileBytes", file_bytes).mode("overwrite").save(path)
+    ordered = rows.select("key", "json").orderBy("key")
+    ordered.write.format("bson").option("fileBytes", file_bytes).option("compression", compression).mode("overwrite").save(path)
 
 
 #: What a citation file says about a request, in this order.

@@ -6,6 +6,9 @@ goes over the top-level lengths of each file, seeking past every value, and cuts
 fields; tasks then read their stretch field by field. A file ends where it ends, whatever its 32-bit length says, so it
 may be larger than that can say. Writing, each task writes files of at most ``fileBytes`` whose keys are sorted at every level,
 under names of their own; the driver renames the files of committed tasks alone, so lost and repeated tasks leave nothing.
+
+With the option ``compression`` (gzip or zstd) files end in ``.bson.gz`` or ``.bson.zst``, as dumps of databases do. Readers know
+them by that. Such a file is read by one task, so ``fileBytes``, which counts what isn't compressed, should be small.
 """
 
 from __future__ import annotations
@@ -15,7 +18,9 @@ import glob
 import json
 import math
 import os
+import shutil
 import struct
+import tempfile
 import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -34,6 +39,10 @@ FIXED = {0x01: 8, 0x06: 0, 0x07: 12, 0x08: 1, 0x09: 8, 0x0A: 0, 0x10: 4, 0x11: 8
 COUNTED = {0x02: 0, 0x05: 1, 0x0C: 12, 0x0D: 0, 0x0E: 0}
 WHOLE = (0x03, 0x04, 0x0F)
 REGEX = 0x0B
+#: Endings of files by their compression.
+ENDINGS = {"none": ".bson", "gzip": ".bson.gz", "zstd": ".bson.zst"}
+#: Bytes of a compressed file's content that a task holds in memory; what is larger lies in its temporary folder meanwhile.
+HELD = 128 << 20
 
 
 class UnknownBson(ValueError):
@@ -175,11 +184,29 @@ def _local(path: str) -> str:
     return "/" + rest.lstrip("/")
 
 
+def _files(folder: str) -> list[str]:
+    return sorted(n for end in ENDINGS.values() for n in glob.glob(f"{glob.escape(folder)}/*{end}"))
+
+
+def compression(path: str) -> str:
+    """The compression that a file's name tells."""
+    return next((c for c, end in ENDINGS.items() if c != "none" and path.endswith(end)), "none")
+
+
+def unpacked(path: str, raw: pa.NativeFile | bytes | None = None) -> BinaryIO:
+    """The content of a compressed file, of the path or as given, as a file that can be sought."""
+    out = tempfile.SpooledTemporaryFile(HELD)  # noqa: SIM115  closed by the caller
+    with pa.input_stream(path if raw is None else pa.py_buffer(raw), compression=compression(path)) as stream:
+        shutil.copyfileobj(stream, out, 1 << 20)
+    out.seek(0)
+    return out
+
+
 @dataclass
 class Stretch(InputPartition):
     path: str
     start: int
-    end: int
+    end: int | None
 
 
 class BsonReader(DataSourceReader):
@@ -188,10 +215,13 @@ class BsonReader(DataSourceReader):
 
     def partitions(self) -> list[Stretch]:
         out = []
-        names = sorted(glob.glob(f"{glob.escape(self.path)}/*.bson")) if os.path.isdir(self.path) else sorted(glob.glob(self.path))
+        names = _files(self.path) if os.path.isdir(self.path) else sorted(glob.glob(self.path))
         if not names and not os.path.isdir(self.path):
             raise FileNotFoundError(self.path)
         for name in names:
+            if compression(name) != "none":
+                out.append(Stretch(name, 4, None))
+                continue
             with open(name, "rb") as file:
                 start = last = 4
                 for at, _, _, size in stretch(file, 4):
@@ -206,7 +236,7 @@ class BsonReader(DataSourceReader):
     def read(self, partition: Stretch) -> Iterator[pa.RecordBatch]:
         if not partition.path:
             return
-        with open(partition.path, "rb") as file:
+        with open(partition.path, "rb") if compression(partition.path) == "none" else unpacked(partition.path) as file:
             keys: list[str] = []
             texts: list[str] = []
             for _, kind, name, size in stretch(file, partition.start, partition.end):
@@ -226,8 +256,10 @@ class Written(WriterCommitMessage):
 
 
 class BsonWriter(DataSourceWriter):
-    def __init__(self, path: str, most: int, overwrite: bool):
-        self.path, self.most, self.overwrite = _local(path), most, overwrite
+    def __init__(self, path: str, most: int, overwrite: bool, packed: str = "none"):
+        if packed not in ENDINGS:
+            raise ValueError(f"compression {packed!r} is none of {', '.join(ENDINGS)}")
+        self.path, self.most, self.overwrite, self.packed = _local(path), most, overwrite, packed
         os.makedirs(self.path, exist_ok=True)
 
     def write(self, rows: Iterator[Any]) -> Written:
@@ -236,29 +268,32 @@ class BsonWriter(DataSourceWriter):
         for row in rows:
             body = field(row["key"], json.loads(row["json"]))
             if file is None or file.tell() + len(body) >= self.most:
-                self._end(file)
+                self._end(file, names)
                 names.append(os.path.join(self.path, f"_{uuid.uuid4().hex}.part"))
-                file = open(names[-1], "wb")  # noqa: SIM115  closed by _end
+                file = open(names[-1], "wb") if self.packed == "none" else tempfile.SpooledTemporaryFile(HELD)  # noqa: SIM115  closed by _end
                 file.write(b"\0\0\0\0")
             file.write(body)
-        self._end(file)
+        self._end(file, names)
         return Written(names)
 
-    @staticmethod
-    def _end(file: BinaryIO | None) -> None:
+    def _end(self, file: BinaryIO | None, names: list[str]) -> None:
         if file is not None:
             file.write(b"\0")
             size = file.tell()
             file.seek(0)
             file.write(struct.pack("<I", size & 0xFFFFFFFF))
+            if self.packed != "none":
+                file.seek(0)
+                with pa.CompressedOutputStream(names[-1], self.packed) as out:
+                    shutil.copyfileobj(file, out, 1 << 20)
             file.close()
 
     def commit(self, messages: list[Written | None]) -> None:
-        old = glob.glob(f"{glob.escape(self.path)}/*.bson") if self.overwrite else []
+        old = _files(self.path) if self.overwrite else []
         done = uuid.uuid4().hex[:8]
         names = [n for m in messages if m is not None for n in m.names]
         for i, n in enumerate(names):
-            os.rename(n, os.path.join(self.path, f"part-{i:05}-{done}.bson"))
+            os.rename(n, os.path.join(self.path, f"part-{i:05}-{done}{ENDINGS[self.packed]}"))
         for n in old:
             os.remove(n)
         self.abort([])
@@ -281,7 +316,7 @@ class BsonSource(DataSource):
         return BsonReader(self.options["path"], int(self.options.get("partitionBytes", 64 << 20)))
 
     def writer(self, schema: StructType, overwrite: bool) -> BsonWriter:
-        return BsonWriter(self.options["path"], int(self.options.get("fileBytes", 1 << 30)), overwrite)
+        return BsonWriter(self.options["path"], int(self.options.get("fileBytes", 1 << 30)), overwrite, self.options.get("compression", "none"))
 
 
 def register(spark: SparkSession) -> None:

@@ -11,7 +11,6 @@ import re
 import warnings
 import zipfile
 from collections.abc import Iterator
-from functools import reduce
 from itertools import islice
 
 import pandas as pd
@@ -175,39 +174,42 @@ def mounted_path(path: str) -> str | None:
 
 def bson_map(spark: SparkSession, path: str, partition_bytes: int = 64 << 20) -> DataFrame:
     """(key, json): the top-level fields of BSON files, each one document. On a mounted file system a file of any size is read
-    by a task for every ``partition_bytes``; in other stores by one task a file, up to 2 GB."""
+    by a task for every ``partition_bytes``; in other stores, and where it is compressed, by one task a file, up to 2 GB in other
+    stores."""
     if mounted_path(path) is not None:
         bson.register(spark)
         return spark.read.format("bson").option("partitionBytes", partition_bytes).load(path)
 
     def parse(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for content in (x for part in parts for x in part["content"]):
+        for path, content in (x for part in parts for x in zip(part["path"], part["content"], strict=True)):
+            if bson.compression(path) != "none":
+                with bson.unpacked(path, content) as file:
+                    content = file.read()
             rows = bson.fields(content)
             while some := list(islice(rows, bson.ROWS)):
                 yield pd.DataFrame([(k, json.dumps(v, ensure_ascii=False)) for k, v in some], columns=["key", "json"])
 
-    return spark.read.format("binaryFile").load(path).select("content").mapInPandas(parse, "key string, json string")
+    return spark.read.format("binaryFile").load(path).select("path", "content").mapInPandas(parse, "key string, json string")
 
 
-def database_claims(rows: DataFrame) -> DataFrame:
+def database_claims(rows: DataFrame, *keep: str) -> DataFrame:
     """Claims from an annotation database as (key, json) of its entries: attribute -> source -> id, value, ecode. Of an id
-    that names several terms each is a claim, with its name where there are as many."""
-    out = []
-    for a in ATTRIBUTES:
-        of = F.from_json(F.get_json_object("json", f"$.{a}"), "map<string,struct<id:string,value:string,ecode:string>>")
-        each = rows.select(F.col("key").alias("entry"), F.explode(of).alias("source", "v"))
-        ids, names = F.split("v.id", "[|]"), F.split("v.value", "[|]")
-        named = F.when(F.size(ids) == F.size(names), names).otherwise(F.transform(ids, lambda _: F.col("v.value")))
-        each = each.select("entry", "source", "v.ecode", F.explode(F.arrays_zip(ids.alias("term_id"), named.alias("term_name"))).alias("t"))
-        out.append(each.select("entry", F.lit(a).alias("attribute"), "source", "t.term_id", "t.term_name", "ecode"))
-    return reduce(DataFrame.union, out).where("term_id is not null")
-
-
-def database_entries(rows: DataFrame) -> DataFrame:
-    """Entries of an annotation database: accessions and organism."""
+    that names several terms each is a claim, with its name where there are as many. All attributes are read in one pass.
+    keep: columns of rows that each claim also gets."""
+    of = lambda a: F.from_json(F.get_json_object("json", f"$.{a}"), "map<string,struct<id:string,value:string,ecode:string>>")
+    named = lambda a: F.transform(F.map_entries(of(a)), lambda x: F.struct(F.lit(a).alias("attribute"), x["key"].alias("source"), x["value"].alias("v")))
+    each = rows.select(F.col("key").alias("entry"), *keep, F.explode(F.flatten(F.array_compact(F.array(*map(named, ATTRIBUTES))))).alias("c")).select("entry", *keep, "c.*")
+    ids, names = F.split("v.id", "[|]"), F.split("v.value", "[|]")
+    names = F.when(F.size(ids) == F.size(names), names).otherwise(F.transform(ids, lambda _: F.col("v.value")))
+    each = each.select("entry", *keep, "attribute", "source", "v.ecode", F.explode(F.arrays_zip(ids.alias("term_id"), names.alias("term_name"))).alias("t"))
+    return each.select("entry", "attribute", "source", "t.term_id", "t.term_name", "ecode", *keep).where("term_id is not null")
+
+
+def database_entries(rows: DataFrame, *keep: str) -> DataFrame:
+    """Entries of an annotation database: accessions and organism. keep: columns of rows that each entry also gets."""
     ids = F.from_json(F.get_json_object("json", "$.accession_ids"), ", ".join(f"{c} string" for c in SAMPLE_ACCESSIONS))
-    own = rows.select(F.col("key").alias("entry"), ids.alias("i"), F.get_json_object("json", "$.organism").alias("organism"))
-    return own.select("entry", *(f"i.{c}" for c in SAMPLE_ACCESSIONS), "organism")
+    own = rows.select(F.col("key").alias("entry"), ids.alias("i"), F.get_json_object("json", "$.organism").alias("organism"), *keep)
+    return own.select("entry", *(f"i.{c}" for c in SAMPLE_ACCESSIONS), "organism", *keep)
 
 
 def term_column(spark: SparkSession, path: str, column: str = "term") -> list[str]:

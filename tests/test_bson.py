@@ -93,3 +93,50 @@ def test_a_database_is_parsed_once(spark, sf_dir):
     """What is asked of a database that was read back doesn't parse its files again."""
     plan = driver.QUERIES["bson_database"](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
     assert "BatchScan" not in plan and "FileScan" in plan
+
+
+def test_claims_get_their_entry_without_a_join(spark, sf_dir):
+    """A claim and its entry are read from one document, so nothing is dealt or joined after the files are parsed."""
+    plan = driver.QUERIES["bson_database"](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan and "Exchange" not in plan
+
+
+def test_database_rows_are_dealt_once(spark, tmp_path):
+    """Claims and entries are dealt by ranges of entries, and the texts not again for their order."""
+    claims = spark.createDataFrame([("b", "tissue", "S2", "T2", "y", "e2"), ("b", "tissue", "S2", "T1", None, "e1"), ("b", "tissue", "S1", "T1", "x", "e1"), ("b", None, None, "T9", None, "e1"), ("c", None, "S1", "T1", "x", "e1"), ("d", "tissue", "S1", "T1", "x", "e1"), (None, "tissue", "S1", "T1", "x", "e1")], "entry string, attribute string, source string, term_id string, term_name string, ecode string")
+    entries = spark.createDataFrame([("a", "G1", "o"), ("b", "G1", "o"), ("c", None, None), (None, "G2", "o"), ("d", "G3", "o"), ("d", "G4", "p")], "entry string, series string, organism string")
+    rows = sinks.database_rows(claims, entries)
+    plan = rows.orderBy("key")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1 and "Join" not in plan
+    sinks.save_bson(rows, f"{tmp_path}/db", compression="gzip")
+    d = {"S1": {"id": "T1", "value": "x", "ecode": "e1"}}
+    want = [("b", {"accession_ids": {"series": "G1"}, "organism": "o", "tissue": {"S1": d["S1"], "S2": {"id": "T1|T2", "value": "|y", "ecode": "e1"}}}), ("c", {"accession_ids": {}}), ("d", {"accession_ids": {"series": "G3"}, "organism": "o", "tissue": d}), ("d", {"accession_ids": {"series": "G4"}, "organism": "p", "tissue": d})]
+    back = [(r.key, json.loads(r.json)) for r in readers.bson_map(spark, f"{tmp_path}/db").collect()]
+    assert sorted(back, key=repr) == want
+
+
+def test_compressed_files(spark, tmp_path):
+    entries = {f"GSM{i:04}": {"organism": "x" * (i % 50)} for i in range(1000)}
+    rows = spark.createDataFrame([(k, json.dumps(v)) for k, v in entries.items()], "key string, json string")
+    plain = f"{tmp_path}/plain"
+    sinks.save_bson(rows, plain)
+    sinks.save_bson(rows, f"{tmp_path}/db")
+    for name, end in (("zstd", ".bson.zst"), ("gzip", ".bson.gz")):
+        sinks.save_bson(rows, f"{tmp_path}/db", 5000, name)
+        files = sorted(n for n in os.listdir(tmp_path / "db"))
+        assert len(files) > 3 and all(n.endswith(end) for n in files)  # those that were there have gone
+        keys = []
+        for n in files:
+            with bson.unpacked(f"{tmp_path}/db/{n}") as file:
+                content = file.read()
+            assert struct.unpack_from("<i", content)[0] == len(content) <= 5100
+            keys += [k for k, _ in bson.fields(content)]
+        assert keys == sorted(entries)
+        assert {r.key: json.loads(r.json) for r in readers.bson_map(spark, f"{tmp_path}/db").collect()} == entries
+        with bson.unpacked(files[0], (tmp_path / "db" / files[0]).read_bytes()) as file:
+            assert next(bson.fields(file.read()))[0] == "GSM0000"
+    size = lambda d: sum(os.path.getsize(f"{d}/{n}") for n in os.listdir(d))
+    sinks.save_bson(rows, f"{tmp_path}/db", compression="zstd")
+    assert size(f"{tmp_path}/db") < size(plain) / 4
+    with pytest.raises(Exception, match="'lzma' is none of"):
+        sinks.save_bson(rows, f"{tmp_path}/db", compression="lzma")
