@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Iterator
+from contextlib import contextmanager
+from dataclasses import dataclass
+
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from claimgrid.functions.scalar import extract
 from claimgrid.schema import CONTROL_ID, NA
-from claimgrid.storage import shared_root, written
+from claimgrid.storage import bucketed, shared_root, written
 
 # Pseudo ids that stand for a control, by ontology; and the one edge (parent, child) that closes a cycle in the
 # published ontologies.
@@ -232,13 +236,59 @@ def leaves(edges: DataFrame) -> DataFrame:
     return nodes(edges).join(edges.select(F.col("parent").alias("term")).distinct(), "term", "left_anti")
 
 
+# Rows of edges in one bucket at most, if they are spread evenly, of a front that is broadcast or of its part for a
+# bucket that is hashed, and of one whose terms are looked up in their buckets.
+BUCKET, BROADCAST, FEW = 1_000_000, 500_000, 1000
+
+
+@dataclass
+class Ways:
+    """Edges for many rounds of walks: (parent, child), once dealt by parent and once by child, if there are many."""
+
+    by_parent: DataFrame
+    by_child: DataFrame
+    buckets: int = 0
+
+    def turned(self) -> Ways:
+        """The same edges from child to parent."""
+        turn = lambda df: df.select(F.col("child").alias("parent"), F.col("parent").alias("child"))
+        return Ways(turn(self.by_child), turn(self.by_parent), self.buckets)
+
+    def sent(self, front: DataFrame, n: int) -> DataFrame:
+        """The n rows of front and each ``child`` of their term. Where edges are dealt, they stay where they are: a front of many
+        rows is dealt to the edges by parent; one of few rows is sent to the edges by child, so what arrives lies there. Of a
+        front of very few only the buckets of its terms are read, of others what lies between their least and their greatest."""
+        at = F.col("term") == F.col("parent")
+        if not self.buckets:
+            return front.join(self.by_parent, at)
+        if n <= FEW:
+            terms = [r["term"] for r in front.select("term").distinct().collect()]
+            return self.by_parent.where(F.col("parent").isin(terms)).join(F.broadcast(front), at)
+        near = F.col("parent").between(*front.agg(F.min("term"), F.max("term")).first())
+        if n <= BROADCAST:
+            return self.by_child.where(near).join(F.broadcast(front), at)
+        return self.by_parent.where(near).join(front.hint("shuffle_hash") if n <= BROADCAST * self.buckets else front, at)
+
+
+@contextmanager
+def _ways(edges: DataFrame, bucket: int = BUCKET) -> Iterator[Ways]:
+    """Ways of a written frame; beyond a bucket's rows they are dealt. There are as many buckets as a shuffle has parts at least,
+    as Spark would deal the edges of fewer again."""
+    if (n := edges.count()) <= bucket:
+        yield Ways(edges, edges)
+        return
+    parts = max(int(edges.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-n // bucket))
+    with bucketed(edges, "by-parent", "parent", parts) as by_parent, bucketed(edges, "by-child", "child", parts) as by_child:
+        yield Ways(by_parent, by_child, parts)
+
+
 def _numbered(roots: DataFrame) -> DataFrame:
     """(term, word, bit): each root's place in the sets of ``depths``, 64 to a word; roots of near ids share words."""
     rows = roots.repartitionByRange("term").sortWithinPartitions("term").withColumn("n", F.monotonically_increasing_id())
     return written(rows.select("term", F.shiftright("n", 6).alias("word"), F.expr("shiftleft(1L, cast(n % 64 AS INT))").alias("bit")), "roots")
 
 
-def _rounds(edges: DataFrame, numbered: DataFrame):
+def _rounds(ways: Ways, numbered: DataFrame):
     """Yields (step, seen) for each round of a walk from all numbered terms at once, until no term sees a new one.
 
     seen: (term, word, seen, new, depth), the numbered terms as 64 bits of a word; depth is the last step at which the term
@@ -246,10 +296,9 @@ def _rounds(edges: DataFrame, numbered: DataFrame):
     """
     seen = numbered.select("term", "word", F.col("bit").alias("seen"), F.col("bit").alias("new"), F.lit(0).alias("depth"))
     step = 0
-    while not (front := written(seen.where("new <> 0").select("term", "word", "new"), "front")).isEmpty():
+    while n := (front := written(seen.where("new <> 0").select("term", "word", "new"), "front")).count():
         step += 1
-        sent = front.join(edges, F.col("term") == F.col("parent"))
-        sent = sent.select(F.col("child").alias("term"), "word", F.lit(0).cast("long").alias("seen"), "new", F.lit(0).alias("depth"))
+        sent = ways.sent(front, n).select(F.col("child").alias("term"), "word", F.lit(0).cast("long").alias("seen"), "new", F.lit(0).alias("depth"))
         both = seen.select("term", "word", "seen", F.lit(0).cast("long").alias("new"), "depth").union(sent)
         merged = both.groupBy("term", "word").agg(F.bit_or("seen").alias("had"), F.bit_or("new").alias("got"), F.max("depth").alias("depth"))
         new = F.col("got").bitwiseAND(F.bitwise_not("had"))
@@ -258,22 +307,24 @@ def _rounds(edges: DataFrame, numbered: DataFrame):
         yield step, seen
 
 
-def _levels(edges: DataFrame, roots: DataFrame) -> DataFrame:
-    """(term, level, several): the shortest distance from any root, and whether a root's walk of another length arrives too.
+def _levels(ways: Ways, roots: DataFrame, n: int, at_once: int = 8) -> tuple[DataFrame, DataFrame]:
+    """(term, level), the shortest distance from any of the n roots, and (term) of those that a root's walk of another length
+    reaches too.
 
-    A term is sent on twice at most: when it is first reached, and when it is found to have several lengths.
+    A term is sent on twice at most: when it is first reached, and when it is found to have several lengths. What a round
+    finds is kept beside what was found before, and put together after some rounds.
     """
-    state = roots.select("term", F.lit(0).alias("level"), F.lit(False).alias("several"), F.lit(1).alias("news"))
-    step = 0
-    while not (front := written(state.where("news > 0").select("term", "news"), "front")).isEmpty():
+    reached, several, front, step = roots.select("term", F.lit(0).alias("level")), roots.select("term").limit(0), roots.select("term"), 0
+    while n:
         step += 1
-        sent = front.join(edges, F.col("term") == F.col("parent")).select(F.col("child").alias("term"), F.lit(None).cast("int").alias("level"), F.lit(False).alias("several"), F.lit(True).alias("got"))
-        both = state.select("term", "level", "several", F.lit(False).alias("got")).union(sent)
-        merged = both.groupBy("term").agg(F.max("level").alias("level"), F.max("several").alias("had"), F.max("got").alias("got"))
-        first = F.col("level").isNull()
-        turned = ~first & F.col("got") & ~F.col("had")
-        state = written(merged.select("term", F.coalesce("level", F.lit(step)).alias("level"), (F.col("had") | turned).alias("several"), F.when(first, 1).when(turned, 2).otherwise(0).alias("news")), "levels")
-    return state.select("term", "level", "several")
+        sent = written(ways.sent(front, n).select(F.col("child").alias("term")).distinct(), "sent")
+        known = written(reached.join(sent, "term", "left_semi").select("term"), "known")
+        new, turned = written(sent.join(known, "term", "left_anti"), "reached"), written(known.join(several, "term", "left_anti"), "several")
+        reached, several = reached.union(new.select("term", F.lit(step).alias("level"))), several.union(turned)
+        front, n = new.union(turned), new.count() + turned.count()
+        if step % at_once == 0:
+            reached, several = written(reached, "levels"), written(several, "several")
+    return reached, several
 
 
 def depths(edges: DataFrame) -> DataFrame:
@@ -281,37 +332,68 @@ def depths(edges: DataFrame) -> DataFrame:
 
     Roots are the bits of numbers, 64 to a row of a term. With more roots than that, the terms that walks of one length only
     reach are settled first, as every root is at that distance. For the others, if there are fewer of them than roots, they
-    are the bits, and the walk goes up from them: their depth is the last step at which a root sees them for the first time.
-    Otherwise the walk goes down from the roots, where it is the last step at which they see a new root.
+    are the bits, which go up to the roots level by level (``_depths_upwards``). Otherwise a walk goes down from the roots, where
+    a term's depth is the last step at which it sees a new root.
+    """
+    own = written(edges.where("parent is not null and child is not null").select("parent", "child"), "edges")
+    with _ways(own) as ways:
+        below = ways.by_child.select(F.col("child").alias("term")).distinct()
+        top = written(ways.by_parent.select(F.col("parent").alias("term")).distinct().join(below, "term", "left_anti"), "tops")
+        n = top.count()
+        if n > 64:
+            levels, several = _levels(ways, top, n)
+            left = written(several, "several")
+            if left.count() < n:
+                settled = levels.join(left, "term", "left_anti").select("term", F.col("level").alias("depth"))
+                return settled.union(_depths_upwards(ways, top, levels, left))
+        numbered = _numbered(top)
+        seen = numbered.select("term", F.lit(0).alias("depth"))
+        for _, seen in _rounds(ways, numbered):  # noqa: B007  the last one counts
+            pass
+        return seen.groupBy("term").agg(F.max("depth").alias("depth"))
+
+
+def _depths_upwards(ways: Ways, roots: DataFrame, levels: DataFrame, terms: DataFrame) -> DataFrame:
+    """depths of the terms that walks of several lengths reach. What is below such a term is one too, so a way from a root to it
+    goes by settled terms first, and by an edge (above, term) on to the others.
+
+    Their distances among each other are walked within them. A settled term's parents are all one level above it, and all its
+    roots are at the distance of its level, so with what it sees go the totals that its roots see, and each edge is used
+    once, level by level. The column ``b<slot>`` of a term's row has the bits whose total is at that place among the totals of
+    their term: the first slot in which a root sees one counts. There are as many as ways of a term differ in length.
     """
-    own = written(edges.where("parent is not null and child is not null").select("parent", "child").distinct(), "edges")
-    top = written(roots(own), "tops")
-    n = top.count()
-    if n > 64:
-        levels = _levels(own, top)
-        left = written(levels.where("several").select("term"), "several")
-        if left.count() < n:
-            return levels.where("not several").select("term", F.col("level").alias("depth")).union(_depths_upwards(own, top, left))
-    numbered = _numbered(top)
-    seen = numbered.select("term", F.lit(0).alias("depth"))
-    for _, seen in _rounds(own, numbered):  # noqa: B007  the last one counts
-        pass
-    return seen.groupBy("term").agg(F.max("depth").alias("depth"))
-
-
-def _depths_upwards(edges: DataFrame, roots: DataFrame, terms: DataFrame) -> DataFrame:
-    """depths of some terms that aren't roots, by a walk from them to the roots."""
-    numbered = _numbered(terms)
-    up = edges.select(F.col("child").alias("parent"), F.col("parent").alias("child"))
-    hits = None
-    for step, seen in _rounds(up, numbered):
-        met = seen.where("new <> 0").join(roots, "term", "left_semi").groupBy("word").agg(F.bit_or("new").alias("bits"))
-        met = written(met.withColumn("step", F.lit(step)), "met")
-        hits = met if hits is None else hits.union(met)
-    if hits is None:
+    n, numbered, up = terms.count(), _numbered(terms), ways.turned()
+    into = written(up.sent(terms, n).select("term", F.col("child").alias("above")), "edges")
+    inner = written(into.join(terms.select(F.col("term").alias("above")), "above", "left_semi").select(F.col("term").alias("parent"), F.col("above").alias("child")), "edges")
+    seen = numbered.select("term", "word", F.col("bit").alias("bits"), F.lit(1).alias("steps"))
+    with _ways(inner) as within:
+        for step, after in _rounds(within, numbered):
+            seen = seen.union(after.where("new <> 0").select("term", "word", F.col("new").alias("bits"), F.lit(step + 1).alias("steps")))
+    settled = levels.join(terms, "term", "left_anti").withColumnRenamed("term", "above")
+    outer = written(into.join(settled, "above"), "edges")
+    if not (at := [r["level"] for r in outer.select("level").distinct().collect()]):
         return terms.select("term", F.lit(0).alias("depth"))
-    found = numbered.join(hits, "word").where(F.col("bits").bitwiseAND(F.col("bit")) != 0)
-    return found.groupBy("term").agg(F.max("step").alias("depth"))
+    given = outer.join(seen, "term").select(F.col("above").alias("term"), "level", "word", (F.col("level") + F.col("steps")).alias("total"), "bits")
+    totals = given.groupBy("word", "total").agg(F.bit_or("bits").alias("bits")).join(numbered, "word").where(F.col("bits").bitwiseAND(F.col("bit")) != 0)
+    slots = written(totals.select("term", "word", "bit", "total", F.row_number().over(Window.partitionBy("term").orderBy("total")).alias("slot")), "slots")
+    columns = {k: f"b{k}" for k in range(1, slots.agg(F.max("slot")).first()[0] + 1)}
+    masks = slots.groupBy("word", "total").agg(*(F.coalesce(F.bit_or(F.when(F.col("slot") == k, F.col("bit"))), F.lit(0).cast("long")).alias(c) for k, c in columns.items()))
+    own = given.join(masks, ["word", "total"]).groupBy("term", "level", "word").agg(*(F.bit_or(F.col("bits").bitwiseAND(F.col(c))).alias(c) for c in columns.values()))
+    own, now = written(own, "placed"), None
+    together = [F.bit_or(c).alias(c) for c in columns.values()]
+    for level in range(max(at), -1, -1):
+        rows = own.where(F.col("level") == level).drop("level") if level in at else None
+        if now is not None:
+            sent = up.sent(now, now.count()).select(F.col("child").alias("term"), "word", *columns.values()).groupBy("term", "word").agg(*together)
+            rows = sent if rows is None else rows.unionByName(sent).groupBy("term", "word").agg(*together)
+        now = written(rows, "up")
+    before, first = F.lit(0).cast("long"), []
+    for k, c in columns.items():
+        first.append(F.struct(F.lit(k).alias("slot"), F.bit_or(F.col(c).bitwiseAND(F.bitwise_not(before))).alias("met")))
+        before = before.bitwiseOR(F.col(c))
+    met = now.join(roots, "term", "left_semi").groupBy("word").agg(F.array(*first).alias("met")).select("word", F.inline("met"))
+    found = slots.join(met, ["word", "slot"]).where(F.col("met").bitwiseAND(F.col("bit")) != 0)
+    return found.groupBy("term").agg(F.max("total").alias("depth"))
 
 
 def deepest(edges: DataFrame, of: DataFrame) -> DataFrame:

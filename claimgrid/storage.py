@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -41,3 +43,19 @@ def written(df: DataFrame, name: str) -> DataFrame:
     path = shared_path(df.sparkSession, name)
     df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+@contextmanager
+def bucketed(df: DataFrame, name: str, column: str, n: int) -> Iterator[DataFrame]:
+    """df as a table in the shared folder, dealt into n parts by a column and sorted by it within them: joins and aggregations by it
+    don't deal it again, and of a stretch of its values little else is read.
+
+    Spark knows of the parts by its catalog, which forgets the table at the end of the block; its files stay like others.
+    """
+    path = shared_path(df.sparkSession, name)
+    table = path.rpartition("/")[2].replace("-", "_")
+    try:
+        df.repartition(n, column).write.format("parquet").bucketBy(n, column).sortBy(column).options(path=path, compression="zstd").saveAsTable(table)
+        yield df.sparkSession.table(table)
+    finally:
+        df.sparkSession.sql(f"DROP TABLE IF EXISTS {table}")

@@ -104,6 +104,53 @@ def test_depths_keep_no_row_for_each_root_of_a_term(spark, monkeypatch):
     assert max(sizes) <= len({t for way in ways for t in way})
 
 
+def walked(ways):
+    """The greatest of the shortest distances from each root, by a walk from every root."""
+    below, expected = {}, {}
+    for parent, child in ways:
+        below.setdefault(parent, set()).add(child)
+    for root in {p for p, _ in ways} - {c for _, c in ways}:
+        front, seen, d = {root}, {root}, 0
+        while front:
+            expected.update({t: max(expected.get(t, 0), d) for t in front})
+            front = {c for t in front for c in below.get(t, ())} - seen
+            seen, d = seen | front, d + 1
+    return expected
+
+
+@pytest.mark.parametrize(("broadcast", "few"), [(0, 0), (40, 3), (500_000, 1000)])
+def test_depths_by_levels_on_dealt_edges(spark, monkeypatch, broadcast, few):
+    """Shortcuts of several lengths, a loop that a root reaches and one that none does, more than 64 terms with several
+    lengths; edges in buckets, and fronts of each size."""
+    rng = random.Random(7)
+    ways = [(f"R{i}", f"A{rng.randrange(30)}") for i in range(150)] + [(f"A{i}", f"B{rng.randrange(20)}") for i in range(30) for _ in range(3)]
+    ways += [(f"B{i}", f"C{rng.randrange(70)}") for i in range(20) for _ in range(4)] + [(f"R{i}", f"C{i % 70}") for i in range(0, 150, 2)] + [("A3", "C5"), ("R9", "D1"), ("C1", "D1"), ("D1", "D2")]
+    ways += [("D2", "D1"), ("Z0", "Z1"), ("Z1", "Z0"), ("Z1", "B2"), ("Z1", "C9")] + [(f"C{i}", f"C{(i * 7 + 1) % 70}") for i in range(0, 70, 5)]
+    for name, value in (("BROADCAST", broadcast), ("FEW", few)):
+        monkeypatch.setattr(ontology, name, value)
+    dealt, upwards, plain = ontology._ways, [], ontology._depths_upwards
+    monkeypatch.setattr(ontology, "_ways", lambda edges: dealt(edges, 5))
+    monkeypatch.setattr(ontology, "_depths_upwards", lambda *a: upwards.append(1) or plain(*a))
+    assert dict(pairs(ontology.depths(spark.createDataFrame(ways, "parent string, child string")))) == walked(ways)
+    assert upwards and not [t for t in spark.catalog.listTables() if t.name.startswith("by_")]
+
+
+def test_edges_of_a_walk_are_dealt_once(spark, monkeypatch):
+    """No round deals or sorts the edges: a front goes to them, and what few send lies where it arrives."""
+    edges = ontology.written(spark.range(1000).selectExpr("concat('A', id) AS parent", "concat('B', id % 50) AS child"), "edges")
+    with ontology._ways(edges, 100) as ways:
+        front = edges.select(F.col("parent").alias("term"))
+        plan = lambda df: df._jdf.queryExecution().executedPlan().toString()
+        few = plan(ways.sent(front, 5000).groupBy("child").count())
+        assert "Exchange hashpartitioning" not in few and "BroadcastHashJoin" in few and "PushedFilters: [IsNotNull(parent), GreaterThanOrEqual(parent,A0), LessThanOrEqual(parent,A999)]" in few
+        monkeypatch.setattr(ontology, "BROADCAST", 500)
+        many = plan(ways.sent(front, 1001))
+        assert many.count("Exchange") == 1 and "ShuffledHashJoin" in many and "Sort " not in many
+        assert "EqualTo(parent,A7)" in plan(ways.sent(front.where("term = 'A7'"), 1))
+        monkeypatch.setattr(ontology, "BROADCAST", 1)
+        assert "ShuffledHashJoin" not in plan(ways.sent(front, 1001))  # too many of a bucket to hash
+
+
 def test_depths_of_odd_graphs(spark):
     loop = spark.createDataFrame([("A", "B"), ("B", "A"), ("R", "X"), (None, "X"), ("X", None)], "parent string, child string")
     assert dict(pairs(ontology.depths(loop))) == {"R": 0, "X": 1}
