@@ -236,9 +236,9 @@ def leaves(edges: DataFrame) -> DataFrame:
     return nodes(edges).join(edges.select(F.col("parent").alias("term")).distinct(), "term", "left_anti")
 
 
-# Rows of edges in one bucket at most, if they are spread evenly, of a front that is broadcast or of its part for a
-# bucket that is hashed, and of one whose terms are looked up in their buckets.
-BUCKET, BROADCAST, FEW = 1_000_000, 500_000, 1000
+# Rows of edges that aren't dealt yet, of those in one bucket at most, if they are spread evenly, of a front that is
+# broadcast or of its part for a bucket that is hashed, and of one whose terms are looked up in their buckets.
+UNDEALT, BUCKET, BROADCAST, FEW = 10_000_000, 1_000_000, 500_000, 1000
 
 
 @dataclass
@@ -271,10 +271,10 @@ class Ways:
 
 
 @contextmanager
-def _ways(edges: DataFrame, bucket: int = BUCKET) -> Iterator[Ways]:
-    """Ways of a written frame; beyond a bucket's rows they are dealt. There are as many buckets as a shuffle has parts at least,
-    as Spark would deal the edges of fewer again."""
-    if (n := edges.count()) <= bucket:
+def _ways(edges: DataFrame, undealt: int = UNDEALT, bucket: int = BUCKET) -> Iterator[Ways]:
+    """Ways of a written frame; beyond some rows they are dealt. There are as many buckets as a shuffle has parts at least, as
+    Spark would deal the edges of fewer again."""
+    if (n := edges.count()) <= undealt:
         yield Ways(edges, edges)
         return
     parts = max(int(edges.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-n // bucket))

@@ -129,7 +129,7 @@ def test_depths_by_levels_on_dealt_edges(spark, monkeypatch, broadcast, few):
     for name, value in (("BROADCAST", broadcast), ("FEW", few)):
         monkeypatch.setattr(ontology, name, value)
     dealt, upwards, plain = ontology._ways, [], ontology._depths_upwards
-    monkeypatch.setattr(ontology, "_ways", lambda edges: dealt(edges, 5))
+    monkeypatch.setattr(ontology, "_ways", lambda edges: dealt(edges, 5, 5))
     monkeypatch.setattr(ontology, "_depths_upwards", lambda *a: upwards.append(1) or plain(*a))
     assert dict(pairs(ontology.depths(spark.createDataFrame(ways, "parent string, child string")))) == walked(ways)
     assert upwards and not [t for t in spark.catalog.listTables() if t.name.startswith("by_")]
@@ -138,7 +138,7 @@ def test_depths_by_levels_on_dealt_edges(spark, monkeypatch, broadcast, few):
 def test_edges_of_a_walk_are_dealt_once(spark, monkeypatch):
     """No round deals or sorts the edges: a front goes to them, and what few send lies where it arrives."""
     edges = ontology.written(spark.range(1000).selectExpr("concat('A', id) AS parent", "concat('B', id % 50) AS child"), "edges")
-    with ontology._ways(edges, 100) as ways:
+    with ontology._ways(edges, 100, 100) as ways:
         front = edges.select(F.col("parent").alias("term"))
         plan = lambda df: df._jdf.queryExecution().executedPlan().toString()
         few = plan(ways.sent(front, 5000).groupBy("child").count())
